@@ -152,6 +152,9 @@ def rename(cols: "OrderedDict[str, Column]", mapping: dict[str, str] | None, on_
     """Rename by map (unknown names kept), top level only.
 
     Names are compared case-insensitively, as Spark and most warehouses do.
+    Document fields come in sorted key order (VARIANT does not keep the
+    JSON text's order), so "last" is deterministic: the later key in sorted
+    order wins.
     ``on_collision``: ``last`` (position of the first, value of the last --
     dict semantics), ``suffix`` (``_2``, ``_3`` ...), or ``error``.
     """
