@@ -49,10 +49,13 @@ def to_utc_text(col: Column | str, offset: str = SOURCE_OFFSET) -> Column:
     trailing text) are returned unchanged, as is every other string.
     """
     c = _c(col)
-    strict = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}\.\d{1,6}" + _offset_re(offset) + "$"
+    # The full-match guard implies the detection pattern (a prefix match)
+    # and rejects what the strict parse would reject too (7+ fraction
+    # digits, trailing text); bad field values then fail the parse.
+    strict = DETECT_PATTERN.replace(r"\d+", r"\d{1,6}") + _offset_re(offset) + "$"
     parsed = F.try_to_timestamp(c, F.lit(ISO_PARSE_FORMATS[0]))
     converted = F.date_format(utc_wall_clock(parsed), UTC_TEXT_FORMAT)
-    return F.when(is_source_date(c, offset) & c.rlike(strict) & parsed.isNotNull(), converted).otherwise(c)
+    return F.when(c.rlike(strict), F.coalesce(converted, c)).otherwise(c)
 
 
 def parse_mark(col: Column | str) -> Column:

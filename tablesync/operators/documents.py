@@ -79,11 +79,12 @@ def _normalise(dtype: T.DataType) -> T.DataType:
     return dtype
 
 
-def infer_schemas(docs: DataFrame, by: str | None = "_target") -> dict[str, tuple[T.DataType, T.DataType]]:
+def infer_schemas(docs: DataFrame, by=None) -> dict:
     """Per group: (type of ``fields``, type of ``changelog``), merged over docs.
 
     A single aggregation job; partial schemas are merged map-side, so a hot
-    type costs no more than a cold one.  ``by=None`` gives one group ``""``.
+    type costs no more than a cold one.  ``by=None`` gives one group ``""``;
+    a column name gives its values as keys; a list of names gives tuples.
     """
     aggs = [
         F.expr(f"schema_of_variant_agg(try_variant_get(doc, '$.{ENVELOPE_FIELDS}', 'variant'))").alias("f"),
@@ -91,6 +92,8 @@ def infer_schemas(docs: DataFrame, by: str | None = "_target") -> dict[str, tupl
     ]
     if by is None:
         rows = [("",) + tuple(docs.agg(*aggs).first())]
+    elif isinstance(by, (list, tuple)):
+        rows = [(tuple(r[: len(by)]),) + tuple(r[len(by):]) for r in docs.groupBy(*by).agg(*aggs).collect()]
     else:
         rows = [tuple(r) for r in docs.groupBy(by).agg(*aggs).collect()]
     return {
@@ -113,10 +116,19 @@ def typed(v: Column, dtype: T.DataType, dict_value: bool = True, convert_dates:
         if not dtype.fields:  # only {} (or nothing) was ever seen here
             text = F.when(_is_null(v), F.lit(None).cast("string")).otherwise(F.to_json(v))
             return F.lit(None).cast("string") if (dict_value and null_empty) else text
-        struct = F.struct(*[typed(_vget(v, f.name), f.dataType, True, convert_dates, null_empty).alias(f.name) for f in dtype.fields])
+        kids = [_vget(v, f.name) for f in dtype.fields]
+        struct = F.struct(*[typed(k, f.dataType, True, convert_dates, null_empty).alias(f.name) for k, f in zip(kids, dtype.fields)])
         out = F.when(_is_null(v), F.lit(None))
         if dict_value and null_empty:
-            out = out.when(F.to_json(v) == F.lit("{}"), F.lit(None))
+            # The schema holds every key seen in any document, so an object
+            # is {} exactly when none of its known keys is present.  A key
+            # holding JSON null is present (variant null, not SQL NULL).
+            # The child extractions are shared with the struct above by
+            # subexpression elimination -- no re-serialisation of the object.
+            missing = kids[0].isNull()
+            for k in kids[1:]:
+                missing = missing & k.isNull()
+            out = out.when(missing, F.lit(None))
         return out.otherwise(struct)
     if isinstance(dtype, T.ArrayType):
         arr = F.try_variant_get(v, "$", "array<variant>")

@@ -33,14 +33,40 @@ def route(docs: DataFrame, types: DataFrame | None = None, exclude_types=()) ->
     if exclude_types:
         docs = docs.where(~F.col("_type").isin(list(exclude_types)) | F.col("_type").isNull())
     if types is not None:
-        meta = types.select(F.col("name").alias("_meta_name"), F.col("subtask").alias("_meta_subtask"))
-        if meta.limit(MAX_BROADCAST_TYPES + 1).count() <= MAX_BROADCAST_TYPES:
-            meta = F.broadcast(meta)
-        docs = docs.join(meta, docs["_type"] == meta["_meta_name"], "left")
-        docs = docs.withColumn("_subtask", F.coalesce(F.col("_subtask"), F.col("_meta_subtask"))).drop("_meta_name", "_meta_subtask")
+        docs = attach_subtask(docs, types)
     return docs.withColumn("_target", type_table_name_col(F.col("_type"), F.col("_subtask")))
 
 
-def route_counts(routed: DataFrame) -> DataFrame:
-    """Rows per target (partial counts per partition, then one small shuffle)."""
-    return routed.groupBy(F.col("_target").alias("t")).agg(F.count(F.lit(1)).alias("n"))
+def attach_subtask(docs: DataFrame, types: DataFrame) -> DataFrame:
+    """Fill a missing sub-task flag from type metadata ``(name, subtask)``.
+
+    The metadata is a project's configuration; it is broadcast only after
+    its row count is checked against ``MAX_BROADCAST_TYPES``.
+    """
+    meta = types.select(F.col("name").alias("_meta_name"), F.col("subtask").alias("_meta_subtask"))
+    if meta.limit(MAX_BROADCAST_TYPES + 1).count() <= MAX_BROADCAST_TYPES:
+        meta = F.broadcast(meta)
+    docs = docs.join(meta, docs["_type"] == meta["_meta_name"], "left")
+    return docs.withColumn("_subtask", F.coalesce(F.col("_subtask"), F.col("_meta_subtask"))).drop("_meta_name", "_meta_subtask")
+
+
+def route_counts(docs: DataFrame, types: DataFrame | None = None, exclude_types=()) -> DataFrame:
+    """Rows per target table.
+
+    Counts are taken per raw (type, flag) first -- partial counts per
+    partition, one small shuffle -- and only the few resulting rows go
+    through the name cleaning, so no per-row Python work is done.  Names
+    that clean to the same table are summed.
+    """
+    if "_type" not in docs.columns:
+        docs = with_type(docs)
+    per_type = docs.groupBy("_type", "_subtask").agg(F.count(F.lit(1)).alias("n"))
+    routed = route(per_type, types=types, exclude_types=exclude_types)
+    return routed.groupBy(F.col("_target").alias("t")).agg(F.sum("n").alias("n"))
+
+
+def target_names(pairs) -> dict[tuple, str]:
+    """Driver-side table names for distinct (type, flag) pairs (metadata)."""
+    from ..functions.names import type_table_name
+
+    return {(t, s): (type_table_name(t, bool(s)) if t is not None else None) for t, s in pairs}

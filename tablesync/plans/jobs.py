@@ -28,6 +28,16 @@ RESULT_SCHEMA = T.StructType(
 )
 
 
+STAGING_SCHEMA = T.StructType(
+    [
+        T.StructField("jira", T.StringType()),
+        T.StructField("doc", T.VariantType()),
+        T.StructField("_subtask", T.BooleanType()),
+        T.StructField("_type", T.StringType()),
+    ]
+)
+
+
 def prepare_table(
     spark: SparkSession,
     source: TableSource,
@@ -153,23 +163,42 @@ def sync_documents(
     since_ts, since_text = (None, None) if force_full else read_mark(family, updated_column)
     incremental = since_text is not None
 
-    batch = routing.route(documents.parse(fetch(since_text)), types=types)
+    batch = documents.parse(fetch(since_text))
+    batch = routing.with_type(batch)
+    if types is not None:
+        batch = routing.attach_subtask(batch, types)
     staging = scratch_path(spark, "staging")
+    # Staged once, partitioned by the raw type: the API is read once and
+    # each type's pass prunes to its own folder.  The parsed VARIANT is
+    # staged (Parquet stores it natively), so the schema pass and the typing
+    # pass read binary values, not JSON text.
     (
-        batch.select("_target", "_type", F.try_variant_get("doc", "$.key", "string").alias("jira"), "raw")
+        batch.select(
+            F.coalesce(F.col("_subtask"), F.lit(False)).alias("_subtask"),
+            "_type",
+            F.try_variant_get("doc", "$.key", "string").alias("jira"),
+            "doc",
+        )
         .write.mode("errorifexists")
-        .partitionBy("_target")
+        .partitionBy("_subtask", "_type")
         .parquet(staging)
     )
-    staged = documents.parse(spark.read.parquet(staging))
+    # explicit schema: partition values are not type-guessed (a type named
+    # "2024" stays a string, the flag is a boolean)
+    staged = spark.read.schema(STAGING_SCHEMA).parquet(staging)
     wanted = staged if not exclude_types else staged.where(~F.col("_type").isin(list(exclude_types)))
-    schemas = documents.infer_schemas(wanted, by="_target")
+    # schemas per raw (type, flag); table names from those few pairs only
+    per_pair = documents.infer_schemas(wanted, by=["_type", "_subtask"])
+    names = routing.target_names(per_pair.keys())
     protected = (documents.KEY_COLUMN, updated_column)
-    batch_by_target = {
-        t: documents.flatten(wanted.where(F.col("_target") == t), ft, ct, field_map, exclude_fields, protected=protected)
-        for t, (ft, ct) in schemas.items()
-        if t is not None
-    }
+    batch_by_target: dict[str, DataFrame] = {}
+    for pair, (ft, ct) in per_pair.items():
+        t = names[pair]
+        if t is None:
+            continue
+        rows = wanted.where((F.col("_type") == pair[0]) & (F.col("_subtask") == F.lit(bool(pair[1]))))
+        flat = documents.flatten(rows, ft, ct, field_map, exclude_fields, protected=protected)
+        batch_by_target[t] = upsert.append_by_name(batch_by_target[t], flat) if t in batch_by_target else flat
     current = family.read_all()
     if incremental:
         new_state = upsert.upsert_all(current, batch_by_target, staged.select("jira"), documents.KEY_COLUMN)

@@ -508,7 +508,7 @@ def full_refresh(spark, sf_dir):
     "SELECT " + _clean_sql("o_orderpriority") + " AS t, count(*) AS n FROM orders GROUP BY 1",
 )
 def route_counts(spark, sf_dir):
-    return routing.route_counts(routing.route(_order_docs(spark, sf_dir)))
+    return routing.route_counts(_order_docs(spark, sf_dir))
 
 
 @register(
@@ -516,7 +516,7 @@ def route_counts(spark, sf_dir):
     "SELECT " + _clean_sql("o_orderpriority") + f" AS t, count(*) AS n FROM orders WHERE o_orderpriority NOT IN ('{MOVED_TO_TYPE}') GROUP BY 1",
 )
 def exclude_types(spark, sf_dir):
-    return routing.route_counts(routing.route(_order_docs(spark, sf_dir), exclude_types=[MOVED_TO_TYPE]))
+    return routing.route_counts(_order_docs(spark, sf_dir), exclude_types=[MOVED_TO_TYPE])
 
 
 @register(
