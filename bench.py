@@ -52,7 +52,10 @@ def main() -> None:
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
-    registry.QUERIES["jdbc_scan"](spark, sf_dir).write.format("noop").mode("overwrite").save()  # warm-up
+    # Warm-up of the session, not of any query: one JVM scan and one Python
+    # worker start (Arrow UDFs and the Python data source share the workers).
+    registry.QUERIES["jdbc_scan"](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    registry._field_map(spark, sf_dir)
     times: dict[str, float] = {}
     for name in HEADLINE:
         t0 = time.perf_counter()

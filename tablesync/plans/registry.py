@@ -206,11 +206,10 @@ def _flat_orders(spark, sf_dir, field_map=None, exclude_fields=(), protected=(do
 
 
 def _field_map(spark, sf_dir) -> dict[str, str]:
-    paged.register(spark)
+    paged.register(spark, standins.parquet_orders_fetcher)
     fields = (
         spark.read.format("paged_documents")
         .option("resource", "fields")
-        .option("fetcher", "tablesync.sources.standins:parquet_orders_fetcher")
         .option("path", os.path.join(sf_dir, "orders.parquet"))
         .load()
     )
@@ -399,10 +398,9 @@ def incremental_filter(spark, sf_dir):
 
 @register("paged_scan", "SELECT o_orderkey FROM orders")
 def paged_scan(spark, sf_dir):
-    paged.register(spark)
+    paged.register(spark, standins.parquet_orders_fetcher)
     raw = (
         spark.read.format("paged_documents")
-        .option("fetcher", "tablesync.sources.standins:parquet_orders_fetcher")
         .option("path", os.path.join(sf_dir, "orders.parquet"))
         .option("page_size", str(paged.PAGE_SIZE))
         .load()

@@ -34,10 +34,15 @@ SEARCH_EXPAND = "changelog"
 PAGES_PER_PARTITION = 16
 
 
-def load_fetcher(options: dict):
+def load_fetcher(options: dict, factory=None):
+    """The bound factory if the source was registered with one, else the
+    ``module:factory`` named by option ``fetcher`` (must be importable on
+    the executors)."""
+    if factory is not None and not options.get("fetcher"):
+        return factory(options)
     spec = options.get("fetcher")
     if not spec:
-        raise ValueError("option 'fetcher' (module:factory) is required")
+        raise ValueError("register the source with a fetcher, or set option 'fetcher' (module:factory)")
     module, _, attr = spec.partition(":")
     return getattr(importlib.import_module(module), attr)(options)
 
@@ -50,8 +55,9 @@ class PagePartition(InputPartition):
 
 
 class PagedDocumentsReader(DataSourceReader):
-    def __init__(self, options: dict):
+    def __init__(self, options: dict, factory=None):
         self.options = dict(options)
+        self.factory = factory
         self.resource = self.options.get("resource", "issues")
         self.page_size = int(self.options.get("page_size", PAGE_SIZE))
         self.per_partition = int(self.options.get("pages_per_partition", PAGES_PER_PARTITION))
@@ -59,7 +65,7 @@ class PagedDocumentsReader(DataSourceReader):
     def partitions(self):
         if self.resource != "issues":
             return [PagePartition(0, 0)]
-        fetcher = load_fetcher(self.options)
+        fetcher = load_fetcher(self.options, self.factory)
         total = int(self.options.get("total") or fetcher.total(self.options.get("query", ""), self.options.get("since")))
         pages = math.ceil(total / self.page_size)
         if pages == 0:
@@ -67,7 +73,7 @@ class PagedDocumentsReader(DataSourceReader):
         return [PagePartition(p, min(p + self.per_partition, pages) - 1) for p in range(0, pages, self.per_partition)]
 
     def read(self, partition):
-        fetcher = load_fetcher(self.options)
+        fetcher = load_fetcher(self.options, self.factory)
         if self.resource == "fields":
             for fid, name in fetcher.fields():
                 yield (fid, name)
@@ -86,6 +92,8 @@ class PagedDocumentsReader(DataSourceReader):
 
 
 class PagedDocuments(DataSource):
+    fetcher_factory = None
+
     @classmethod
     def name(cls):
         return "paged_documents"
@@ -99,11 +107,17 @@ class PagedDocuments(DataSource):
         return "page bigint, raw string"
 
     def reader(self, schema):
-        return PagedDocumentsReader(self.options)
+        return PagedDocumentsReader(self.options, type(self).fetcher_factory)
 
 
-def register(spark) -> None:
-    spark.dataSource.register(PagedDocuments)
+def register(spark, fetcher=None) -> None:
+    """Register ``paged_documents``; ``fetcher`` (a factory taking the
+    options) is bound to the source and shipped with it to the executors."""
+    if fetcher is None:
+        spark.dataSource.register(PagedDocuments)
+        return
+    bound = type("PagedDocumentsBound", (PagedDocuments,), {"fetcher_factory": staticmethod(fetcher)})
+    spark.dataSource.register(bound)
 
 
 class RestSearchFetcher:

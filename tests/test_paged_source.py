@@ -22,8 +22,10 @@ def _orders_file(root, n):
 
 
 def _read(spark, path, **opts):
-    paged.register(spark)
-    r = spark.read.format("paged_documents").option("fetcher", "tablesync.sources.standins:parquet_orders_fetcher").option("path", path)
+    from tablesync.sources.standins import parquet_orders_fetcher
+
+    paged.register(spark, parquet_orders_fetcher)
+    r = spark.read.format("paged_documents").option("path", path)
     for k, v in opts.items():
         r = r.option(k, str(v))
     return r.load()
