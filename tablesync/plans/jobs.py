@@ -146,6 +146,7 @@ def sync_documents(
     types: DataFrame | None = None,
     updated_column: str = watermark.UPDATED_COLUMN,
     force_full: bool = False,
+    parallelism: int = 4,
 ) -> DataFrame:
     """Full refresh or incremental upsert of a document collection.
 
@@ -172,14 +173,16 @@ def sync_documents(
     # each type's pass prunes to its own folder.  The parsed VARIANT is
     # staged (Parquet stores it natively), so the schema pass and the typing
     # pass read binary values, not JSON text.
-    (
+    to_stage, fetched = observe_rows(
         batch.select(
             F.coalesce(F.col("_subtask"), F.lit(False)).alias("_subtask"),
             "_type",
             F.try_variant_get("doc", "$.key", "string").alias("jira"),
             "doc",
         )
-        .write.mode("errorifexists")
+    )
+    (
+        to_stage.write.mode("errorifexists")
         .partitionBy("_subtask", "_type")
         .parquet(staging)
     )
@@ -206,7 +209,12 @@ def sync_documents(
     else:
         new_state = upsert.refresh_all(current, batch_by_target)
         changed = set(batch_by_target)
-    staged_versions = {t: family.stage(t, new_state[t]) for t in sorted(changed)}
-    commit = family.commit(staged_versions)
-    rows = [(t, r, "incremental" if incremental else "full", commit) for t, (_, r) in sorted(staged_versions.items())]
-    return spark.createDataFrame(rows, "table_name string, rows bigint, mode string, commit bigint")
+    # one write job per table, submitted by a bounded pool so small types
+    # do not wait behind a big one; nothing is visible before the commit
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        paths = dict(zip(sorted(changed), pool.map(lambda t: family.stage(t, new_state[t]), sorted(changed))))
+    commit = family.commit(paths)
+    n_fetched = int(fetched.get.get("rows", 0))
+    mode = "incremental" if incremental else "full"
+    rows = [(t, r, mode, commit, n_fetched) for t, (_, r) in sorted(paths.items())]
+    return spark.createDataFrame(rows, "table_name string, rows bigint, mode string, commit bigint, fetched bigint")
