@@ -38,6 +38,7 @@ HEADLINE = [
     "paged_scan",
     "repartition_rows",
     "copy_schema",
+    "document_sync",
 ]
 
 

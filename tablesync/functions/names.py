@@ -89,8 +89,13 @@ def _strip_accents_arrow(values: pa.Array) -> pa.Array:
 
 
 def strip_accents(col: Column | str) -> Column:
-    """NFKD + combining marks removed, over whole strings, Arrow-batched."""
-    return _strip_accents_arrow(F.col(col) if isinstance(col, str) else col)
+    """NFKD + combining marks removed, over whole strings, Arrow-batched.
+
+    ASCII strings are their own NFKD form, so only non-ASCII values are
+    sent to Python (ASCII rows travel as NULLs and are taken back as is).
+    """
+    c = F.col(col) if isinstance(col, str) else col
+    return F.coalesce(_strip_accents_arrow(F.when(c.rlike("[^\\x00-\\x7F]"), c)), c)
 
 
 def clean_identifier(col: Column | str) -> Column:

@@ -146,7 +146,7 @@ def sync_documents(
     types: DataFrame | None = None,
     updated_column: str = watermark.UPDATED_COLUMN,
     force_full: bool = False,
-    parallelism: int = 4,
+    parallelism: int = 8,
 ) -> DataFrame:
     """Full refresh or incremental upsert of a document collection.
 

@@ -616,3 +616,46 @@ def copy_schema_drop_types(spark, sf_dir):
         raise RuntimeError(res.collect())
     out = read_written(spark, sink, "part_wide")
     return out.withColumn("p_price_dec", F.col("p_price_dec").cast("double"))
+
+
+# --------------------------------------------------------------------------
+# the whole document job: full refresh, then an incremental batch
+# --------------------------------------------------------------------------
+
+def _changed_order_docs(o: DataFrame) -> DataFrame:
+    """Orders changed after CHANGED_SINCE: status X, moved to MOVED_TO_TYPE."""
+    changed = o.where(F.col("o_orderdate") > F.lit(CHANGED_SINCE).cast(T.TimestampNTZType())).select(
+        "o_orderkey", "o_custkey", F.lit("X").alias("o_orderstatus"), "o_totalprice", "o_orderdate",
+        F.lit(MOVED_TO_TYPE).alias("o_orderpriority"),
+    )
+    return standins.order_documents(changed)
+
+
+@register(
+    "document_sync",
+    "SELECT "
+    + _clean_sql(f"CASE WHEN o_orderdate > TIMESTAMP '{CHANGED_SINCE}' THEN '{MOVED_TO_TYPE}' ELSE o_orderpriority END")
+    + " AS t, 'ORD-' || o_orderkey AS jira, "
+    f"CASE WHEN o_orderdate > TIMESTAMP '{CHANGED_SINCE}' THEN 'X' ELSE o_orderstatus END AS status, "
+    f"{_utc_text_sql('o_orderdate')} AS Mise_a_jour, o_totalprice AS Prix_total__XPF_ FROM orders",
+)
+def document_sync(spark, sf_dir):
+    """Full refresh of all orders as documents, then an incremental batch in
+    which later orders change status and move to another type; returns the
+    committed state of every type table."""
+    from .jobs import sync_documents
+    from .sinks import TableFamily
+
+    o = table(spark, sf_dir, "orders")
+    family = TableFamily(spark, scratch_path(spark, "family"))
+    field_map = _field_map(spark, sf_dir)
+    batches = iter([standins.order_documents(o), _changed_order_docs(o)])
+    fetch = lambda _since: next(batches)  # noqa: E731 - the stand-in API ignores the filter text
+    sync_documents(spark, fetch, family, field_map=field_map)
+    sync_documents(spark, fetch, family, field_map=field_map)
+    return upsert.union_all(
+        [
+            df.select(F.lit(t).alias("t"), "jira", F.col("status.name").alias("status"), "Mise_a_jour", "Prix_total__XPF_")
+            for t, df in sorted(family.read_all().items())
+        ]
+    )

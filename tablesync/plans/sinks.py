@@ -48,10 +48,11 @@ def read_written(spark: SparkSession, sink: Sink, table: str) -> DataFrame:
 
 
 def _existing_columns(spark: SparkSession, sink: Sink, table: str) -> list[str] | None:
-    try:
-        return read_written(spark, sink, table).columns
-    except Exception:  # noqa: BLE001 - no table yet
-        return None
+    from ..session import path_exists
+
+    if not path_exists(spark, sink.target(table)):
+        return None  # no table yet
+    return read_written(spark, sink, table).columns
 
 
 def write_table(df: DataFrame, sink: Sink, table: str, mode: str = "overwrite", evolve: bool = False) -> None:
@@ -94,10 +95,11 @@ class TableFamily:
         self.log = f"{self.root}/_commits"
 
     def _log(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(_COMMIT_SCHEMA).json(self.log)
-        except Exception:  # noqa: BLE001 - no commit yet
-            return None
+        from ..session import path_exists
+
+        if not path_exists(self.spark, self.log):
+            return None  # no commit yet
+        return self.spark.read.schema(_COMMIT_SCHEMA).json(self.log)
 
     def current(self) -> dict[str, str]:
         """Committed version path of each table (one row per table)."""

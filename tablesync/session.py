@@ -55,3 +55,10 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A new, unique folder below the checkpoint root for one run."""
     return os.path.join(checkpoint_root(spark), "tablesync", purpose, uuid.uuid4().hex)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists, on whatever file system the path names."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
