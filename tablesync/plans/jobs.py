@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import times
 from ..operators import coerce, documents, routing, upsert, watermark
 from ..operators.metrics import observe_rows
 from ..operators.partitioning import size_partitions
@@ -118,10 +119,79 @@ def copy_catalog(
     return copy_schema(spark, source, cat.filter_catalog(catalog, schema, exclude, only), sink, **kw)
 
 
+def copy_postgresql_schema(
+    spark: SparkSession,
+    url: str,
+    schema: str,
+    sink: Sink,
+    mode: str = "overwrite",
+    exclude=None,
+    only=None,
+    partition_key: str | None = None,
+    **kw,
+) -> DataFrame:
+    """Copy a PostgreSQL schema: catalogue from ``information_schema``,
+    qualified table names, size-based output partitions, evolving writes."""
+    from ..sources.relational import POSTGRESQL_DRIVER, jdbc_url
+
+    url = jdbc_url(url)
+    source = TableSource(format="jdbc", url=url, driver=POSTGRESQL_DRIVER, schema=schema)
+    tables = cat.jdbc_catalog(spark, url, schema, exclude, only, "postgresql", {"driver": POSTGRESQL_DRIVER})
+    kw.setdefault("evolve", True)
+    return copy_schema(spark, source, tables, sink, mode=mode, partition_key=partition_key, **kw)
+
+
+def copy_oracle_schema(
+    spark: SparkSession,
+    url: str,
+    owner: str,
+    sink: Sink,
+    mode: str = "overwrite",
+    exclude=None,
+    drop_unsupported: bool = False,
+    fetchsize: int | None = None,
+    partition_key: str | None = None,
+    **kw,
+) -> DataFrame:
+    """Copy an Oracle owner's tables (``all_tables``); optional dropping of
+    binary/map/array columns; strict writes; no size probe (none exists)."""
+    from ..sources.relational import ORACLE_DRIVER, ORACLE_FETCHSIZE, jdbc_url
+
+    url = jdbc_url(url)
+    source = TableSource(format="jdbc", url=url, driver=ORACLE_DRIVER, schema=owner, fetchsize=fetchsize or ORACLE_FETCHSIZE)
+    tables = cat.jdbc_catalog(spark, url, owner, exclude, None, "oracle", {"driver": ORACLE_DRIVER})
+    kw.setdefault("size_partitioning", False)  # the partitioned scan sets the parallelism
+    return copy_schema(spark, source, tables, sink, mode=mode, drop_unsupported=drop_unsupported, partition_key=partition_key, **kw)
+
+
 # --------------------------------------------------------------------------
 # documents
 # --------------------------------------------------------------------------
 
+def latest_per_key(docs: DataFrame) -> DataFrame:
+    """One document per key: the one with the latest ``fields.updated``.
+
+    ``max_by`` in a hash aggregate: partial results are combined map-side,
+    so a key repeated in a third of the batch is reduced before the shuffle
+    instead of landing whole in one task.  Documents without a key are kept
+    as they are.
+    """
+    key = F.try_variant_get(F.col("doc"), "$.key", "string")
+    updated = F.coalesce(
+        times.parse_mark(F.try_variant_get(F.col("doc"), "$.fields.updated", "string")),
+        F.lit("0001-01-01 00:00:00").cast(T.TimestampNTZType()),
+    )
+    cols = [c for c in docs.columns]
+    keyed = docs.withColumn("_k", key).withColumn("_u", updated)
+    latest = (
+        keyed.where(F.col("_k").isNotNull())
+        .groupBy("_k")
+        .agg(F.max_by(F.struct(*[F.col(c) for c in cols]), F.col("_u")).alias("_w"))
+        .select("_w.*")
+    )
+    return latest.unionByName(keyed.where(F.col("_k").isNull()).select(*cols))
+
+
 def read_mark(family: TableFamily, column: str = watermark.UPDATED_COLUMN):
     """(mark as UTC timestamp_ntz, API filter text) or (None, None).
 
@@ -147,6 +217,7 @@ def sync_documents(
     updated_column: str = watermark.UPDATED_COLUMN,
     force_full: bool = False,
     parallelism: int = 8,
+    dedupe_keys: bool = False,
 ) -> DataFrame:
     """Full refresh or incremental upsert of a document collection.
 
@@ -160,6 +231,11 @@ def sync_documents(
        moves the document), then each type's rows are appended by name;
        full: each type present in the batch replaces its table;
     5. all new versions are committed together.
+
+    ``dedupe_keys`` keeps one document per key (the latest update) when a
+    batch may repeat a key -- page drift, or several landed files in one
+    micro-batch.  It costs a shuffle of the batch by key, so it is off for
+    a plain API read.
     """
     since_ts, since_text = (None, None) if force_full else read_mark(family, updated_column)
     incremental = since_text is not None
@@ -168,6 +244,8 @@ def sync_documents(
     batch = routing.with_type(batch)
     if types is not None:
         batch = routing.attach_subtask(batch, types)
+    if dedupe_keys:
+        batch = latest_per_key(batch)
     staging = scratch_path(spark, "staging")
     # Staged once, partitioned by the raw type: the API is read once and
     # each type's pass prunes to its own folder.  The parsed VARIANT is

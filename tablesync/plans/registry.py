@@ -659,3 +659,29 @@ def document_sync(spark, sf_dir):
             for t, df in sorted(family.read_all().items())
         ]
     )
+
+
+@register("stream_sync", ORACLE_SQL["document_sync"])
+def stream_sync(spark, sf_dir):
+    """The same two batches landed as JSON-lines files by Spark and applied
+    by the streaming form (foreachBatch, available-now trigger)."""
+    from ..streaming.incremental import start_sync
+    from .sinks import TableFamily
+
+    o = table(spark, sf_dir, "orders")
+    landing = scratch_path(spark, "landing")
+    family = TableFamily(spark, scratch_path(spark, "family"))
+    checkpoint = scratch_path(spark, "stream-checkpoint")
+    field_map = _field_map(spark, sf_dir)
+    for batch in (standins.order_documents(o), _changed_order_docs(o)):
+        batch.write.mode("append").text(landing)
+        query = start_sync(spark, landing, family, checkpoint=checkpoint, field_map=field_map)
+        query.awaitTermination()
+        if query.exception() is not None:
+            raise RuntimeError(str(query.exception()))
+    return upsert.union_all(
+        [
+            df.select(F.lit(t).alias("t"), "jira", F.col("status.name").alias("status"), "Mise_a_jour", "Prix_total__XPF_")
+            for t, df in sorted(family.read_all().items())
+        ]
+    )

@@ -132,10 +132,24 @@ def partitions_for_rows(rows: int, rows_per_partition: int = 1_000_000) -> int:
     return max(1, math.ceil(rows / rows_per_partition))
 
 
+def bounds_sql(table: str, key: str) -> str:
+    """One-row bounds statement run by the database itself (a plain JDBC
+    read does not push aggregates down, so ``MIN/MAX`` over a scan would
+    stream the whole key column through one task)."""
+    return f"(SELECT MIN({key}) AS lo, MAX({key}) AS hi, COUNT(*) AS n FROM {table}) b"
+
+
+def source_bounds(spark: SparkSession, source: TableSource, table: str, key: str) -> tuple:
+    """(min, max, rows) of an integer key, computed where the data lives."""
+    if source.format == "jdbc":
+        r = spark.read.jdbc(source.url, bounds_sql(source.qualified(table), key), properties=source.jdbc_properties()).first()
+        return r[0], r[1], r[2]
+    return key_bounds(read_table(spark, source, table).select(key), key)
+
+
 def read_table_partitioned(spark: SparkSession, source: TableSource, table: str, key: str, num_partitions: int | None = None, rows_per_partition: int = 1_000_000) -> DataFrame:
     """Scan split into key ranges from a min/max probe of an integer key."""
-    probe = read_table(spark, source, table).select(key)
-    lower, upper, rows = key_bounds(probe, key)
+    lower, upper, rows = source_bounds(spark, source, table, key)
     if lower is None:
         return read_table(spark, source, table)
     n = num_partitions or partitions_for_rows(rows, rows_per_partition)

@@ -46,8 +46,10 @@ def start_sync(
     def apply(batch: DataFrame, epoch_id: int) -> None:
         if batch.isEmpty():
             return
-        # the files are the changes: no API filter text is needed
-        sync_documents(batch.sparkSession, lambda _since: batch, family, **sync_kw)
+        # the files are the changes: no API filter text is needed; several
+        # files in one micro-batch may repeat a key, so keep the latest
+        kw = {"dedupe_keys": True, **sync_kw}
+        sync_documents(batch.sparkSession, lambda _since: batch, family, **kw)
 
     ckpt = checkpoint or os.path.join(checkpoint_root(spark), "tablesync", "streams", os.path.basename(family.root.rstrip("/")))
     writer = stream.writeStream.foreachBatch(apply).option("checkpointLocation", ckpt)

@@ -105,3 +105,15 @@ def test_strict_append_refuses_new_columns(spark, tmp_root):
         write_table(spark.range(2).withColumn("extra", F.lit(1)), sink, "t", mode="append", evolve=False)
     write_table(spark.range(2).withColumn("extra", F.lit(1)), sink, "t", mode="append", evolve=True)
     assert read_written(spark, sink, "t").where(F.col("extra").isNull()).count() == 2
+
+
+def test_repeated_keys_keep_latest(spark, tmp_root):
+    fam = TableFamily(spark, os.path.join(tmp_root, "targets"))
+    batch = [
+        doc("P-1", "Bug", "2024-03-05T10:00:00.000+1100", x=1),
+        doc("P-1", "Task", "2024-03-05T11:00:00.000+1100", x=2),
+        doc("P-1", "Bug", "2024-03-05T09:00:00.000+1100", x=3),
+        doc("P-2", "Bug", "2024-03-05T09:00:00.000+1100", x=4),
+    ]
+    sync_documents(spark, fetcher(spark, [batch], []), fam, field_map=FIELD_MAP, dedupe_keys=True)
+    assert state(fam) == {"Bug": [("P-2", 4)], "Task": [("P-1", 2)]}

@@ -45,3 +45,41 @@ def test_url_prefix_and_size_sql():
     assert jdbc_url("postgresql://h/db") == "jdbc:postgresql://h/db"
     assert jdbc_url("jdbc:postgresql://h/db") == "jdbc:postgresql://h/db"
     assert size_sql("public.o'x") == "(SELECT pg_total_relation_size('public.o''x') AS size_bytes) AS s"
+
+
+def test_bounds_run_in_the_database():
+    from tablesync.sources.relational import bounds_sql, source_bounds
+
+    class _Row(tuple):
+        pass
+
+    class _Frame:
+        def first(self):
+            return (1, 99, 50)
+
+    class _R(_Reader):
+        def jdbc(self, url, table, predicates=None, properties=None):
+            self.calls.append((url, table, predicates, properties))
+            return _Frame()
+
+    spark = _Spark()
+    spark.read = _R()
+    src = TableSource(url="jdbc:postgresql://db/x", driver=POSTGRESQL_DRIVER, schema="s")
+    assert source_bounds(spark, src, "t", "id") == (1, 99, 50)
+    assert spark.read.calls[0][1] == bounds_sql("s.t", "id") == "(SELECT MIN(id) AS lo, MAX(id) AS hi, COUNT(*) AS n FROM s.t) b"
+
+
+def test_schema_copy_wiring(monkeypatch):
+    from tablesync.plans import jobs
+
+    seen = {}
+    monkeypatch.setattr(jobs.cat, "jdbc_catalog", lambda spark, url, schema, exclude, only, dialect, props: (url, schema, exclude, only, dialect, props))
+    monkeypatch.setattr(jobs, "copy_schema", lambda spark, source, tables, sink, **kw: seen.update(source=source, tables=tables, kw=kw))
+    jobs.copy_postgresql_schema(None, "postgresql://h/db", "public", sink=None, exclude=["a"], only=["b"])
+    assert seen["source"].driver == POSTGRESQL_DRIVER and seen["source"].schema == "public"
+    assert seen["tables"] == ("jdbc:postgresql://h/db", "public", ["a"], ["b"], "postgresql", {"driver": POSTGRESQL_DRIVER})
+    assert seen["kw"]["evolve"] is True
+    jobs.copy_oracle_schema(None, "oracle:thin:@h:1521/s", "HR", sink=None, drop_unsupported=True)
+    assert seen["source"].fetchsize == ORACLE_FETCHSIZE and seen["source"].driver == ORACLE_DRIVER
+    assert seen["tables"][4] == "oracle" and seen["kw"]["drop_unsupported"] is True
+    assert seen["kw"]["size_partitioning"] is False
