@@ -55,7 +55,9 @@ def to_utc_text(col: Column | str, offset: str = SOURCE_OFFSET) -> Column:
     strict = DETECT_PATTERN.replace(r"\d+", r"\d{1,6}") + _offset_re(offset) + "$"
     parsed = F.try_to_timestamp(c, F.lit(ISO_PARSE_FORMATS[0]))
     converted = F.date_format(utc_wall_clock(parsed), UTC_TEXT_FORMAT)
-    return F.when(c.rlike(strict), F.coalesce(converted, c)).otherwise(c)
+    # cheap length / 'T' test first: most strings are not dates at all
+    shaped = F.length(c).between(25, 31 + len(offset) - 5) & (F.substring(c, 11, 1) == F.lit("T"))
+    return F.when(shaped & c.rlike(strict), F.coalesce(converted, c)).otherwise(c)
 
 
 def parse_mark(col: Column | str) -> Column:

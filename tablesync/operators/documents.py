@@ -110,8 +110,53 @@ def _is_null(v: Column) -> Column:
     return v.isNull() | F.is_variant_null(v)
 
 
+def _needs_walk(dtype: T.DataType, dict_value: bool, null_empty: bool) -> bool:
+    """Whether typing this subtree needs the untyped value below its root:
+    a struct that is the value of a key (empty-struct rule) or a value of
+    mixed shape.  Everything else is cast in one step."""
+    if isinstance(dtype, T.VariantType):
+        return True
+    if isinstance(dtype, T.StructType):
+        if (dict_value and null_empty) or not dtype.fields:
+            return True
+        return any(_needs_walk(f.dataType, True, null_empty) for f in dtype.fields)
+    if isinstance(dtype, T.ArrayType):
+        return _needs_walk(dtype.elementType, False, null_empty)
+    return False
+
+
+def _typed_dates(c: Column, dtype: T.DataType) -> Column:
+    """Date rule on an already typed value (structs, arrays)."""
+    if isinstance(dtype, T.StringType):
+        return times.to_utc_text(c)
+    if isinstance(dtype, T.StructType):
+        if not any(_has_strings(f.dataType) for f in dtype.fields):
+            return c
+        inner = F.struct(*[_typed_dates(c.getField(f.name), f.dataType).alias(f.name) for f in dtype.fields])
+        return F.when(c.isNull(), F.lit(None)).otherwise(inner)
+    if isinstance(dtype, T.ArrayType):
+        if not _has_strings(dtype.elementType):
+            return c
+        return F.transform(c, lambda x: _typed_dates(x, dtype.elementType))
+    return c
+
+
+def _has_strings(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.StringType):
+        return True
+    if isinstance(dtype, T.StructType):
+        return any(_has_strings(f.dataType) for f in dtype.fields)
+    if isinstance(dtype, T.ArrayType):
+        return _has_strings(dtype.elementType)
+    return False
+
+
 def typed(v: Column, dtype: T.DataType, dict_value: bool = True, convert_dates: bool = True, null_empty: bool = True) -> Column:
     """Typed value of the VARIANT ``v`` under ``dtype`` (see module doc)."""
+    if isinstance(dtype, (T.StructType, T.ArrayType)) and not _needs_walk(dtype, dict_value, null_empty):
+        # one cast for the whole subtree (no rule needs the untyped value)
+        cast = F.try_variant_get(v, "$", dtype.simpleString())
+        return _typed_dates(cast, dtype) if convert_dates else cast
     if isinstance(dtype, T.StructType):
         if not dtype.fields:  # only {} (or nothing) was ever seen here
             text = F.when(_is_null(v), F.lit(None).cast("string")).otherwise(F.to_json(v))
