@@ -52,6 +52,16 @@ def _vget(v: Column, name: str, dtype: str = "variant") -> Column:
     return F.try_variant_get(v, _path(name), dtype)
 
 
+def key_of(doc: Column | str = "doc") -> Column:
+    """The effective document key: ``fields.jira`` where a document holds it
+    (dict precedence), else the envelope ``key``."""
+    v = F.col(doc) if isinstance(doc, str) else doc
+    override = F.try_variant_get(v, f"$.{ENVELOPE_FIELDS}.{KEY_COLUMN}", "variant")
+    return F.when(override.isNotNull(), F.try_variant_get(override, "$", "string")).otherwise(
+        F.try_variant_get(v, f"$.{ENVELOPE_KEY}", "string")
+    )
+
+
 # --------------------------------------------------------------------------
 # schema inference
 # --------------------------------------------------------------------------
@@ -187,11 +197,12 @@ def typed(v: Column, dtype: T.DataType, dict_value: bool = True, convert_dates:
 
 
 def envelope_columns(fields_type: T.DataType, changelog_type: T.DataType, doc: str = "doc", **rules) -> "OrderedDict[str, Column]":
-    """Top-level columns of the flattened envelope, in document order.
+    """Top-level columns of the flattened envelope.
 
     ``{jira: key, id: id, **fields, changelog: changelog}`` with dict
-    semantics: a field named ``jira``/``id`` overrides the envelope value in
-    the envelope's position; ``changelog`` always takes the envelope's value.
+    semantics, decided per document: where a document's fields hold
+    ``jira``/``id``, that value replaces the envelope's (same position);
+    ``changelog`` always takes the envelope's value.
     """
     v = F.col(doc)
     cols: OrderedDict[str, Column] = OrderedDict()
@@ -200,7 +211,15 @@ def envelope_columns(fields_type: T.DataType, changelog_type: T.DataType, doc: s
     fields_v = F.try_variant_get(v, f"$.{ENVELOPE_FIELDS}", "variant")
     if isinstance(fields_type, T.StructType):
         for f in fields_type.fields:
-            cols[f.name] = typed(_vget(fields_v, f.name), f.dataType, True, **rules)
+            value = typed(_vget(fields_v, f.name), f.dataType, True, **rules)
+            if f.name in (KEY_COLUMN, ENVELOPE_ID):
+                # per document: the field wins only where the document has
+                # it (a JSON null counts as present); elsewhere the envelope
+                as_text = value if isinstance(f.dataType, T.StringType) else (
+                    F.to_json(_vget(fields_v, f.name)) if isinstance(f.dataType, (T.StructType, T.ArrayType)) else value.cast("string")
+                )
+                value = F.when(_vget(fields_v, f.name).isNotNull(), as_text).otherwise(cols[f.name])
+            cols[f.name] = value
     cols[ENVELOPE_CHANGELOG] = typed(F.try_variant_get(v, f"$.{ENVELOPE_CHANGELOG}", "variant"), changelog_type, True, **rules)
     return cols
 

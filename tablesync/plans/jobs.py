@@ -176,7 +176,7 @@ def latest_per_key(docs: DataFrame) -> DataFrame:
     instead of landing whole in one task.  Documents without a key are kept
     as they are.
     """
-    key = F.try_variant_get(F.col("doc"), "$.key", "string")
+    key = documents.key_of("doc")
     updated = F.coalesce(
         times.parse_mark(F.try_variant_get(F.col("doc"), "$.fields.updated", "string")),
         F.lit("0001-01-01 00:00:00").cast(T.TimestampNTZType()),
@@ -255,7 +255,7 @@ def sync_documents(
         batch.select(
             F.coalesce(F.col("_subtask"), F.lit(False)).alias("_subtask"),
             "_type",
-            F.try_variant_get("doc", "$.key", "string").alias("jira"),
+            documents.key_of("doc").alias("jira"),
             "doc",
         )
     )
