@@ -49,10 +49,15 @@ def prepare_table(
     partition_key: str | None = None,
     size_bytes: int | None = None,
     size_partitioning: bool = True,
+    partition_hash: str | None = None,
 ) -> DataFrame:
-    """The lazy plan of one table copy, up to (not including) the write."""
-    if partition_key and source.format == "jdbc":
-        df = read_table_partitioned(spark, source, table, partition_key)
+    """The lazy plan of one table copy, up to (not including) the write.
+
+    ``partition_key`` (integer key) or ``partition_hash`` (a hash expression
+    in the database's dialect) splits a JDBC scan into parallel tasks.
+    """
+    if (partition_key or partition_hash) and source.format == "jdbc":
+        df = read_table_partitioned(spark, source, table, partition_key, hash_expr=partition_hash)
     else:
         df = read_table(spark, source, table)
     if drop_unsupported:

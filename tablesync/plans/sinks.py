@@ -18,6 +18,7 @@ built while reading the previous one.
 from __future__ import annotations
 
 import os
+import threading
 import uuid
 from dataclasses import dataclass, field
 
@@ -35,6 +36,7 @@ class Sink:
     root: str | None = None
     dataset: str | None = None
     options: dict = field(default_factory=dict)
+    versioned: bool = False  # file sinks: overwrite = new version + commit
 
     def target(self, table: str) -> str:
         if self.root:
@@ -44,6 +46,11 @@ class Sink:
 
 def read_written(spark: SparkSession, sink: Sink, table: str) -> DataFrame:
     """Read a table written by :func:`write_table` (schemas merged)."""
+    if sink.versioned:
+        path = TableFamily(spark, sink.root, sink.format).current().get(table)
+        if path is None:
+            raise FileNotFoundError(f"no committed version of {table}")
+        return spark.read.format(sink.format).option("mergeSchema", "true").load(path)
     return spark.read.format(sink.format).option("mergeSchema", "true").load(sink.target(table))
 
 
@@ -62,6 +69,9 @@ def write_table(df: DataFrame, sink: Sink, table: str, mode: str = "overwrite",
     ``evolve=True`` accepts added columns and relaxes every column to nullable.
     """
     spark = df.sparkSession
+    if sink.versioned and sink.root:
+        _write_versioned(df, sink, table, mode, evolve)
+        return
     if mode == "append" and sink.root:
         existing = _existing_columns(spark, sink, table)
         if existing is not None:
@@ -75,6 +85,37 @@ def write_table(df: DataFrame, sink: Sink, table: str, mode: str = "overwrite",
     out.write.format(sink.format).options(**sink.options).mode(mode).save(sink.target(table))
 
 
+def _write_versioned(df: DataFrame, sink: Sink, table: str, mode: str, evolve: bool) -> None:
+    """Overwrite without a window where the table is gone: the new version
+    is written beside the old one and made current by a commit.  Append adds
+    files to the current version (visible at the job's commit)."""
+    spark = df.sparkSession
+    family = TableFamily(spark, sink.root, sink.format)
+    current = family.current().get(table)
+    if current is not None and mode in ("ignore",):
+        return
+    if current is not None and mode in ("error", "errorifexists"):
+        raise FileExistsError(f"{table} exists")
+    if current is not None and mode == "append":
+        existing = spark.read.format(sink.format).load(current).columns
+        new = [c for c in df.columns if c not in existing]
+        missing = [c for c in existing if c not in df.columns]
+        if not evolve and (new or missing):
+            raise ValueError(f"schema of {table} differs: new {new}, missing {missing}")
+        df.write.format(sink.format).options(**sink.options).mode("append").save(current)
+        return
+    family.commit({table: family.stage(table, df)})
+
+
+_COMMIT_LOCKS: dict[str, threading.Lock] = {}
+_LOCKS_GUARD = threading.Lock()
+
+
+def _commit_lock(root: str) -> threading.Lock:
+    with _LOCKS_GUARD:
+        return _COMMIT_LOCKS.setdefault(root, threading.Lock())
+
+
 _COMMIT_SCHEMA = T.StructType(
     [
         T.StructField("commit", T.LongType()),
@@ -136,7 +177,10 @@ class TableFamily:
         """Make all staged versions visible at once (one append job)."""
         if not staged:
             return self.last_commit()
-        n = self.last_commit() + 1
-        rows = [(n, t, p, r) for t, (p, r) in sorted(staged.items())]
-        self.spark.createDataFrame(rows, _COMMIT_SCHEMA).coalesce(1).write.mode("append").json(self.log)
+        # one writer per family: threads of this driver take turns (the
+        # copies of a schema commit table by table, concurrently)
+        with _commit_lock(self.root):
+            n = self.last_commit() + 1
+            rows = [(n, t, p, r) for t, (p, r) in sorted(staged.items())]
+            self.spark.createDataFrame(rows, _COMMIT_SCHEMA).coalesce(1).write.mode("append").json(self.log)
         return n

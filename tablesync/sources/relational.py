@@ -147,8 +147,24 @@ def source_bounds(spark: SparkSession, source: TableSource, table: str, key: str
     return key_bounds(read_table(spark, source, table).select(key), key)
 
 
-def read_table_partitioned(spark: SparkSession, source: TableSource, table: str, key: str, num_partitions: int | None = None, rows_per_partition: int = 1_000_000) -> DataFrame:
-    """Scan split into key ranges from a min/max probe of an integer key."""
+def read_table_partitioned(
+    spark: SparkSession,
+    source: TableSource,
+    table: str,
+    key: str,
+    num_partitions: int | None = None,
+    rows_per_partition: int = 1_000_000,
+    hash_expr: str | None = None,
+) -> DataFrame:
+    """Scan split into key ranges from a min/max probe of an integer key,
+    or -- with ``hash_expr`` (e.g. ``ORA_HASH(code)``) for keys that are not
+    integers -- into hash buckets sized from a row count."""
+    if hash_expr is not None:
+        if source.format != "jdbc":
+            return read_table(spark, source, table)
+        rows = spark.read.jdbc(source.url, f"(SELECT COUNT(*) AS n FROM {source.qualified(table)}) c", properties=source.jdbc_properties()).first()[0]
+        n = num_partitions or partitions_for_rows(int(rows or 0), rows_per_partition)
+        return read_table(spark, source, table, predicates=hash_predicates(hash_expr, n))
     lower, upper, rows = source_bounds(spark, source, table, key)
     if lower is None:
         return read_table(spark, source, table)

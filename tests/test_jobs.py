@@ -117,3 +117,18 @@ def test_repeated_keys_keep_latest(spark, tmp_root):
     ]
     sync_documents(spark, fetcher(spark, [batch], []), fam, field_map=FIELD_MAP, dedupe_keys=True)
     assert state(fam) == {"Bug": [("P-2", 4)], "Task": [("P-1", 2)]}
+
+
+def test_versioned_copy_never_exposes_a_missing_table(spark, sf_dir, tmp_root):
+    sink = Sink(format="parquet", root=os.path.join(tmp_root, "vout"), versioned=True)
+    src = TableSource(format="parquet", root=sf_dir)
+    res = copy_schema(spark, src, ["nation", "region"], sink, parallelism=2)
+    assert {r.table_name: r.rows for r in res.collect()} == {"nation": 25, "region": 5}
+    fam = TableFamily(spark, sink.root)
+    first = fam.current()
+    copy_schema(spark, src, ["nation"], sink)  # overwrite: a new version
+    second = fam.current()
+    assert second["region"] == first["region"] and second["nation"] != first["nation"]
+    assert read_written(spark, sink, "nation").count() == 25
+    write_table(spark.read.parquet(f"{sf_dir}/nation.parquet"), sink, "nation", mode="append")
+    assert read_written(spark, sink, "nation").count() == 50

@@ -83,3 +83,33 @@ def test_schema_copy_wiring(monkeypatch):
     assert seen["source"].fetchsize == ORACLE_FETCHSIZE and seen["source"].driver == ORACLE_DRIVER
     assert seen["tables"][4] == "oracle" and seen["kw"]["drop_unsupported"] is True
     assert seen["kw"]["size_partitioning"] is False
+
+
+def test_hash_partitioned_scan_predicates():
+    from tablesync.sources.relational import read_table_partitioned
+
+    class _Frame:
+        def first(self):
+            return (2_500_000,)
+
+    class _R(_Reader):
+        def jdbc(self, url, table, predicates=None, properties=None):
+            self.calls.append((url, table, predicates, properties))
+            return _Frame() if table.startswith("(SELECT COUNT") else "frame"
+
+    spark = _Spark()
+    spark.read = _R()
+    src = TableSource(url="jdbc:oracle:thin:@h:1521/s", driver=ORACLE_DRIVER, schema="HR")
+    assert read_table_partitioned(spark, src, "EMP", key="code", hash_expr="ORA_HASH(code)") == "frame"
+    count_call, scan_call = spark.read.calls
+    assert count_call[1] == "(SELECT COUNT(*) AS n FROM HR.EMP) c"
+    assert len(scan_call[2]) == 3 and scan_call[2][2] == "MOD(ORA_HASH(code), 3) = 2"
+
+
+def test_spark_catalog_namespace(spark):
+    from tablesync.sources import catalog as cat
+
+    spark.range(1).createOrReplaceTempView("tmp_a")
+    spark.range(1).createOrReplaceTempView("tmp_b")
+    names = {r[0] for r in cat.spark_catalog(spark, "default", exclude=["tmp_b"]).collect()}
+    assert "tmp_a" in names and "tmp_b" not in names
