@@ -1,0 +1,41 @@
+"""Single-process comparison for the document path.
+
+Times the plain-Python statement of the document rules (tests/brute.py:
+envelope, deep dates, rename, exclusion, empty structures -- one process,
+documents in memory, the way the source tool works) on the same documents
+the Spark path types in ``flatten_envelope``.  The documents are produced
+by Spark and brought to the driver here only because this *is* the
+single-process measurement.
+"""
+
+from __future__ import annotations
+
+import json
+import os
+import sys
+import time
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+sys.path.insert(0, os.path.join(ROOT, "tests"))
+
+from brute import pipeline  # noqa: E402
+from tablesync.session import job_session  # noqa: E402
+from tablesync.sources import standins  # noqa: E402
+
+
+def main() -> None:
+    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
+    spark = job_session(master="local[8]", **{"spark.ui.showConsoleProgress": "false", "spark.driver.memory": "16g"})
+    spark.sparkContext.setLogLevel("ERROR")
+    raws = [r[0] for r in standins.order_documents(spark.read.parquet(f"{sf_dir}/orders.parquet")).collect()]
+    field_map = {k: v for k, v in [("updated", "Mise_a_jour"), ("customfield_10001", "Prix")]}
+    t0 = time.perf_counter()
+    out = [pipeline(json.loads(r), field_map, ["summary"]) for r in raws]
+    el = time.perf_counter() - t0
+    print(json.dumps({"documents": len(out), "single_process_sec": round(el, 3), "docs_per_sec": round(len(out) / el)}))
+    spark.stop()
+
+
+if __name__ == "__main__":
+    main()
