@@ -27,7 +27,6 @@ from ..sources import standins
 from ..sources.relational import (
     TableSource,
     key_bounds,
-    partitions_for_rows,
     range_predicates,
     read_table,
     table_size_bytes,
@@ -45,7 +44,7 @@ ONLY_TABLES = ["nation", "orders", "region"]
 CHANGED_SINCE = "1997-01-01"
 SYNCED_BEFORE = "2000-01-01"
 MOVED_TO_TYPE = "5-LOW"
-SCAN_ROWS_PER_PARTITION = 2000
+SCAN_PARTITIONS = 8  # JDBC scan tasks of the check (a cluster picks its own)
 BIG_QUANTITY = 45
 
 # The tables of the test folder (the folder catalogue lists them).
@@ -132,8 +131,8 @@ def jdbc_scan(spark, sf_dir):
 
 @register(
     "jdbc_scan_partitioned",
-    f"""WITH b AS (SELECT min(o_orderkey) AS lo, max(o_orderkey) AS hi, count(*) AS n FROM orders),
- w AS (SELECT lo, hi, CAST(greatest(1, ceil(n / {SCAN_ROWS_PER_PARTITION}.0)) AS BIGINT) AS k FROM b),
+    f"""WITH b AS (SELECT min(o_orderkey) AS lo, max(o_orderkey) AS hi FROM orders),
+ w AS (SELECT lo, hi, CAST({SCAN_PARTITIONS} AS BIGINT) AS k FROM b),
  s AS (SELECT lo, greatest(1, CAST(ceil((hi - lo + 1) / k::DOUBLE) AS BIGINT)) AS width, hi, k FROM w),
  p AS (SELECT lo, width, greatest(1, least(k, CAST(ceil((hi - lo + 1) / width::DOUBLE) AS BIGINT))) AS parts FROM s)
 SELECT o.*, CAST(CASE WHEN o_orderkey IS NULL THEN 0
@@ -143,8 +142,8 @@ FROM orders o, p""",
 def jdbc_scan_partitioned(spark, sf_dir):
     src = _source(sf_dir)
     df = read_table(spark, src, "orders")
-    lo, hi, rows = key_bounds(df.select("o_orderkey"), "o_orderkey")
-    preds = range_predicates("o_orderkey", int(lo), int(hi), partitions_for_rows(rows, SCAN_ROWS_PER_PARTITION))
+    lo, hi, _rows = key_bounds(df.select("o_orderkey"), "o_orderkey")
+    preds = range_predicates("o_orderkey", int(lo), int(hi), SCAN_PARTITIONS)
     return tag_scan_partition(df, preds)
 
 

@@ -70,6 +70,9 @@ class PagedDocumentsReader(DataSourceReader):
         pages = math.ceil(total / self.page_size)
         if pages == 0:
             return [PagePartition(0, -1)]
+        if hasattr(fetcher, "plan_pages") and "pages_per_partition" not in self.options:
+            # the fetcher knows its storage layout (e.g. row groups)
+            return [PagePartition(a, b) for a, b in fetcher.plan_pages(pages, self.page_size)]
         return [PagePartition(p, min(p + self.per_partition, pages) - 1) for p in range(0, pages, self.per_partition)]
 
     def read(self, partition):

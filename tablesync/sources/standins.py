@@ -125,6 +125,27 @@ class ParquetOrdersFetcher:
     def total(self, query, since):
         return self.rows
 
+    def plan_pages(self, pages: int, page_size: int, max_docs_per_task: int = 50_000):
+        """Page ranges that never straddle a row group, at most
+        ``max_docs_per_task`` documents each: a task decodes one row group
+        and a group is decoded by ceil(rows / max_docs_per_task) tasks."""
+        out = []
+        for i, first in enumerate(self.starts):
+            n = self.file.metadata.row_group(i).num_rows
+            lo_page, hi_page = first // page_size, (first + n - 1) // page_size
+            step = max(1, max_docs_per_task // page_size)
+            for p in range(lo_page, hi_page + 1, step):
+                out.append((p, min(p + step - 1, hi_page)))
+        # a page straddling two groups may appear at the end of one range and
+        # the start of the next: keep each page once
+        seen, plan = -1, []
+        for a, b in out:
+            a = max(a, seen + 1)
+            if a <= b:
+                plan.append((a, b))
+                seen = b
+        return plan or [(0, pages - 1)]
+
     def _group(self, i):
         if self._cache is None or self._cache[0] != i:
             self._cache = (i, self.file.read_row_group(i, columns=["o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice", "o_custkey"]))

@@ -44,3 +44,16 @@ def test_edge_page_counts(spark, tmp_root):
 def test_fields_resource(spark, sf_dir):
     df = _read(spark, os.path.join(sf_dir, "orders.parquet"), resource="fields")
     assert ("updated", "Mise à jour") in [tuple(r) for r in df.collect()]
+
+
+def test_row_group_aligned_plan(spark, tmp_root):
+    # 250 rows in groups of 37: default plan comes from the fetcher
+    path = _orders_file(tmp_root, 250)
+    df = _read(spark, path)
+    rows = df.collect()
+    assert len(rows) == 250 and len({r.raw for r in rows}) == 250
+    from tablesync.sources.standins import ParquetOrdersFetcher
+
+    plan = ParquetOrdersFetcher({"path": path}).plan_pages(3, 100, max_docs_per_task=100)
+    covered = [p for a, b in plan for p in range(a, b + 1)]
+    assert covered == [0, 1, 2]
