@@ -16,18 +16,25 @@ from pyspark.sql import functions as F
 
 
 def keys_of(changed: DataFrame, key: str = "jira") -> DataFrame:
-    """Key projection of the changed rows (duplicates are harmless)."""
+    """Key projection of the changed rows."""
     return changed.select(F.col(key)).where(F.col(key).isNotNull())
 
 
+def _distinct_keys(keys: DataFrame, key: str) -> DataFrame:
+    # A key repeated in a third of the changed rows is collapsed by the
+    # partial aggregate before any shuffle; the result is hash-partitioned on
+    # the key, which a sort-merge join reuses without another exchange.
+    return keys.select(F.col(key)).distinct()
+
+
 def delete_by_keys(target: DataFrame, keys: DataFrame, key: str = "jira") -> DataFrame:
     """Rows of ``target`` whose key is not among ``keys``."""
-    return target.join(keys.select(F.col(key)), on=key, how="left_anti")
+    return target.join(_distinct_keys(keys, key), on=key, how="left_anti")
 
 
 def deleted_count(target: DataFrame, keys: DataFrame, key: str = "jira") -> DataFrame:
     """One row ``n``: how many target rows a delete by ``keys`` removes."""
-    return target.join(keys.select(F.col(key)), on=key, how="left_semi").agg(F.count(F.lit(1)).alias("n"))
+    return target.join(_distinct_keys(keys, key), on=key, how="left_semi").agg(F.count(F.lit(1)).alias("n"))
 
 
 def append_by_name(kept: DataFrame, inserted: DataFrame) -> DataFrame:
@@ -53,7 +60,7 @@ def upsert_all(
     changed rows routed to it.  Tables that exist only in the batch are
     created; tables absent from the batch only lose keys.
     """
-    keys = all_changed_keys.select(F.col(key)).where(F.col(key).isNotNull())
+    keys = _distinct_keys(all_changed_keys.where(F.col(key).isNotNull()), key)
     out: dict[str, DataFrame] = {}
     for name, tgt in targets.items():
         kept = delete_by_keys(tgt, keys, key)
