@@ -39,13 +39,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and staging.
 
     Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir).
-    Only when neither is set -- local runs and tests -- a fresh local
-    folder is created and registered, so later calls agree on it.
+    Only when neither is set on a ``local`` master -- local runs and tests --
+    a fresh local folder is created and registered, so later calls agree on
+    it; on a cluster an unset folder is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            # executors on other machines could not see a local folder
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         root = tempfile.mkdtemp(prefix="tablesync-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
         root = spark.sparkContext.getCheckpointDir() or root
