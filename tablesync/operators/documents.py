@@ -112,6 +112,34 @@ def infer_schemas(docs: DataFrame, by=None) -> dict:
     }
 
 
+def keyed_schema_input(doc: Column, group_key: Column) -> Column:
+    """A VARIANT object ``{group_key: {f: fields, c: changelog}}`` per document.
+
+    ``schema_of_variant_agg`` over it merges each group's schema under its
+    own key, so one aggregate -- e.g. an Observation attached to the job
+    that stages the batch -- yields every group's schema without another
+    pass over the data.
+    """
+    inner = F.struct(
+        F.try_variant_get(doc, f"$.{ENVELOPE_FIELDS}", "variant").alias("f"),
+        F.try_variant_get(doc, f"$.{ENVELOPE_CHANGELOG}", "variant").alias("c"),
+    )
+    return F.to_variant_object(F.create_map(group_key, inner))
+
+
+def split_keyed_schemas(ddl: str | None) -> dict[str, tuple[T.DataType, T.DataType]]:
+    """Per group key: (type of ``fields``, type of ``changelog``)."""
+    merged = _variant_ddl_to_type(ddl)
+    if not isinstance(merged, T.StructType):
+        return {}
+    out = {}
+    for g in merged.fields:
+        inner = g.dataType if isinstance(g.dataType, T.StructType) else T.StructType([])
+        names = {f.name: f.dataType for f in inner.fields}
+        out[g.name] = (_normalise(names.get("f", T.NullType())), _normalise(names.get("c", T.NullType())))
+    return out
+
+
 # --------------------------------------------------------------------------
 # typing
 # --------------------------------------------------------------------------

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import traceback
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -253,11 +254,17 @@ def sync_documents(
         batch = latest_per_key(batch)
     staging = scratch_path(spark, "staging")
     # Staged once, partitioned by the raw type: the API is read once and
-    # each type's pass prunes to its own folder.  The parsed VARIANT is
-    # staged (Parquet stores it natively), so the schema pass and the typing
-    # pass read binary values, not JSON text.
-    to_stage, fetched = observe_rows(
-        batch.select(
+    # each type's typing pass prunes to its own folder.  The parsed VARIANT
+    # is staged (Parquet stores it natively), so typing reads binary values.
+    # The same job counts the documents and merges every (type, flag)
+    # group's schema through an Observation -- no separate schema pass.
+    # (Schema merging is idempotent, so a re-run task cannot distort it.)
+    group_key = F.concat(F.col("_type"), F.lit("|"), F.coalesce(F.col("_subtask"), F.lit(False)).cast("string"))
+    observed = Observation(f"stage_{uuid.uuid4().hex[:8]}")
+    to_stage = (
+        batch.withColumn("_schema_in", F.when(F.col("_type").isNotNull(), documents.keyed_schema_input(F.col("doc"), group_key)))
+        .observe(observed, F.count(F.lit(1)).alias("rows"), F.expr("schema_of_variant_agg(_schema_in)").alias("schemas"))
+        .select(
             F.coalesce(F.col("_subtask"), F.lit(False)).alias("_subtask"),
             "_type",
             documents.key_of("doc").alias("jira"),
@@ -272,9 +279,15 @@ def sync_documents(
     # explicit schema: partition values are not type-guessed (a type named
     # "2024" stays a string, the flag is a boolean)
     staged = spark.read.schema(STAGING_SCHEMA).parquet(staging)
+    metrics = observed.get
+    per_key = documents.split_keyed_schemas(metrics.get("schemas"))
+    per_pair = {}
+    for k, schema in per_key.items():
+        name, _, flag = k.rpartition("|")
+        if name in set(exclude_types):
+            continue
+        per_pair[(name, flag == "true")] = schema
     wanted = staged if not exclude_types else staged.where(~F.col("_type").isin(list(exclude_types)))
-    # schemas per raw (type, flag); table names from those few pairs only
-    per_pair = documents.infer_schemas(wanted, by=["_type", "_subtask"])
     names = routing.target_names(per_pair.keys())
     protected = (documents.KEY_COLUMN, updated_column)
     batch_by_target: dict[str, DataFrame] = {}
@@ -297,7 +310,7 @@ def sync_documents(
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         paths = dict(zip(sorted(changed), pool.map(lambda t: family.stage(t, new_state[t]), sorted(changed))))
     commit = family.commit(paths)
-    n_fetched = int(fetched.get.get("rows", 0))
+    n_fetched = int(metrics.get("rows", 0))
     mode = "incremental" if incremental else "full"
     rows = [(t, r, mode, commit, n_fetched) for t, (_, r) in sorted(paths.items())]
     return spark.createDataFrame(rows, "table_name string, rows bigint, mode string, commit bigint, fetched bigint")
