@@ -684,3 +684,27 @@ def stream_sync(spark, sf_dir):
             for t, df in sorted(family.read_all().items())
         ]
     )
+
+
+@register(
+    "dedupe_latest",
+    f"SELECT 'ORD-' || o_orderkey AS jira, CASE WHEN o_orderdate > TIMESTAMP '{CHANGED_SINCE}' THEN 'X' ELSE o_orderstatus END AS status, "
+    f"CASE WHEN o_orderdate > TIMESTAMP '{CHANGED_SINCE}' THEN {_utc_text_sql('o_orderdate + INTERVAL 1 DAY')} "
+    f"ELSE {_utc_text_sql('o_orderdate')} END AS updated FROM orders",
+)
+def dedupe_latest(spark, sf_dir):
+    """A batch holding every order and, for the later ones, a newer version
+    (status X, updated a day later): one document per key, the newest."""
+    from .jobs import latest_per_key
+
+    o = table(spark, sf_dir, "orders")
+    newer = o.where(F.col("o_orderdate") > F.lit(CHANGED_SINCE).cast(T.TimestampNTZType())).select(
+        "o_orderkey", "o_custkey", F.lit("X").alias("o_orderstatus"), "o_totalprice",
+        (F.col("o_orderdate") + F.expr("INTERVAL 1 DAY")).alias("o_orderdate"), "o_orderpriority",
+    )
+    # newer versions first: the order of arrival must not matter
+    raw = standins.order_documents(newer).unionByName(standins.order_documents(o))
+    docs = latest_per_key(routing.with_type(documents.parse(raw)))
+    ft, ct = documents.infer_schemas(docs, by=None)[""]
+    flat = documents.flatten(docs, ft, ct)
+    return flat.select("jira", F.col("status.name").alias("status"), "updated")
