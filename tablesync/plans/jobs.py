@@ -179,8 +179,9 @@ def latest_per_key(docs: DataFrame) -> DataFrame:
 
     ``max_by`` in a hash aggregate: partial results are combined map-side,
     so a key repeated in a third of the batch is reduced before the shuffle
-    instead of landing whole in one task.  Documents without a key are kept
-    as they are.
+    instead of landing whole in one task (the aggregate is sort-based, as
+    the kept value is a variable-width document, so it spills rather than
+    fails).  Documents without a key are kept as they are.
     """
     key = documents.key_of("doc")
     updated = F.coalesce(
@@ -246,7 +247,8 @@ def sync_documents(
     since_ts, since_text = (None, None) if force_full else read_mark(family, updated_column)
     incremental = since_text is not None
 
-    batch = documents.parse(fetch(since_text))
+    # only the parsed document travels on (the JSON text is dead after parsing)
+    batch = documents.parse(fetch(since_text)).select("doc")
     batch = routing.with_type(batch)
     if types is not None:
         batch = routing.attach_subtask(batch, types)
