@@ -13,6 +13,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def keys_of(changed: DataFrame, key: str = "jira") -> DataFrame:
@@ -37,8 +38,34 @@ def deleted_count(target: DataFrame, keys: DataFrame, key: str = "jira") -> Data
     return target.join(_distinct_keys(keys, key), on=key, how="left_semi").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _as_text(df: DataFrame, names: set[str]) -> DataFrame:
+    cols = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if f.name in names and not isinstance(f.dataType, T.StringType):
+            c = F.to_json(c) if isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)) else c.cast("string")
+        cols.append(c.alias(f.name))
+    return df.select(*cols)
+
+
 def append_by_name(kept: DataFrame, inserted: DataFrame) -> DataFrame:
-    """Insert side: union by name; columns missing on one side become NULL."""
+    """Insert side: union by name; columns missing on one side become NULL.
+
+    Types that widen (int -> bigint -> double) are widened by the union;
+    a column whose shape changed between runs (e.g. text, then an object)
+    is carried as JSON text on both sides instead of failing the sync.
+    """
+    old = {f.name: f.dataType for f in kept.schema.fields}
+    new = {f.name: f.dataType for f in inserted.schema.fields}
+    conflicts = set()
+    for name in set(old) & set(new):
+        if old[name] != new[name]:
+            try:
+                kept.select(name).unionByName(inserted.select(name)).schema  # noqa: B018 - analysis only
+            except Exception:  # noqa: BLE001 - incompatible shapes
+                conflicts.add(name)
+    if conflicts:
+        kept, inserted = _as_text(kept, conflicts), _as_text(inserted, conflicts)
     return kept.unionByName(inserted, allowMissingColumns=True)
 
 

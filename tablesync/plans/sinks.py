@@ -54,12 +54,12 @@ def read_written(spark: SparkSession, sink: Sink, table: str) -> DataFrame:
     return spark.read.format(sink.format).option("mergeSchema", "true").load(sink.target(table))
 
 
-def _existing_columns(spark: SparkSession, sink: Sink, table: str) -> list[str] | None:
+def _existing_schema(spark: SparkSession, sink: Sink, table: str) -> T.StructType | None:
     from ..session import path_exists
 
     if not path_exists(spark, sink.target(table)):
         return None  # no table yet
-    return read_written(spark, sink, table).columns
+    return read_written(spark, sink, table).schema
 
 
 def write_table(df: DataFrame, sink: Sink, table: str, mode: str = "overwrite", evolve: bool = False) -> None:
@@ -73,16 +73,26 @@ def write_table(df: DataFrame, sink: Sink, table: str, mode: str = "overwrite",
         _write_versioned(df, sink, table, mode, evolve)
         return
     if mode == "append" and sink.root:
-        existing = _existing_columns(spark, sink, table)
+        existing = _existing_schema(spark, sink, table)
         if existing is not None:
-            new = [c for c in df.columns if c not in existing]
-            missing = [c for c in existing if c not in df.columns]
-            if not evolve and (new or missing):
-                raise ValueError(f"schema of {table} differs: new {new}, missing {missing}")
-    out = df
-    if evolve:  # relaxation: nothing written is REQUIRED
-        out = df.select(*[F.col(f"`{c}`") for c in df.columns])
-    out.write.format(sink.format).options(**sink.options).mode(mode).save(sink.target(table))
+            _check_append(existing, df.schema, table, evolve)
+    # Field relaxation needs no step: file sources write every column as
+    # nullable, so nothing written is REQUIRED.
+    df.write.format(sink.format).options(**sink.options).mode(mode).save(sink.target(table))
+
+
+def _check_append(existing: T.StructType, incoming: T.StructType, table: str, evolve: bool) -> None:
+    """Strict: same columns.  Evolving: columns may be added or left out.
+    Both: a column keeps its type (readers could not merge the files)."""
+    old = {f.name.lower(): f.dataType for f in existing.fields}
+    new = {f.name.lower(): f.dataType for f in incoming.fields}
+    added = [c for c in new if c not in old]
+    missing = [c for c in old if c not in new]
+    if not evolve and (added or missing):
+        raise ValueError(f"schema of {table} differs: new {added}, missing {missing}")
+    changed = [c for c in new if c in old and new[c] != old[c]]
+    if changed:
+        raise ValueError(f"column types of {table} change: {changed}")
 
 
 def _write_versioned(df: DataFrame, sink: Sink, table: str, mode: str, evolve: bool) -> None:
@@ -97,11 +107,7 @@ def _write_versioned(df: DataFrame, sink: Sink, table: str, mode: str, evolve: b
     if current is not None and mode in ("error", "errorifexists"):
         raise FileExistsError(f"{table} exists")
     if current is not None and mode == "append":
-        existing = spark.read.format(sink.format).load(current).columns
-        new = [c for c in df.columns if c not in existing]
-        missing = [c for c in existing if c not in df.columns]
-        if not evolve and (new or missing):
-            raise ValueError(f"schema of {table} differs: new {new}, missing {missing}")
+        _check_append(spark.read.format(sink.format).load(current).schema, df.schema, table, evolve)
         df.write.format(sink.format).options(**sink.options).mode("append").save(current)
         return
     family.commit({table: family.stage(table, df)})

@@ -132,3 +132,21 @@ def test_versioned_copy_never_exposes_a_missing_table(spark, sf_dir, tmp_root):
     assert read_written(spark, sink, "nation").count() == 25
     write_table(spark.read.parquet(f"{sf_dir}/nation.parquet"), sink, "nation", mode="append")
     assert read_written(spark, sink, "nation").count() == 50
+
+
+def test_append_refuses_type_change(spark, tmp_root):
+    sink = Sink(format="parquet", root=os.path.join(tmp_root, "out"))
+    write_table(spark.range(2), sink, "t")
+    with pytest.raises(ValueError):
+        write_table(spark.range(2).select(F.col("id").cast("string").alias("id")), sink, "t", mode="append", evolve=True)
+
+
+def test_changed_field_shape_becomes_text(spark, tmp_root):
+    fam = TableFamily(spark, os.path.join(tmp_root, "targets"))
+    b1 = [doc("P-1", "Bug", "2024-03-05T10:00:00.000+1100", m="plain"), doc("P-2", "Bug", "2024-03-05T10:00:00.000+1100", m="old")]
+    b2 = [doc("P-2", "Bug", "2024-03-05T11:00:00.000+1100", m={"a": 1})]
+    fetch = fetcher(spark, [b1, b2], [])
+    sync_documents(spark, fetch, fam, field_map=FIELD_MAP)
+    sync_documents(spark, fetch, fam, field_map=FIELD_MAP)
+    rows = sorted((r["jira"], r["m"]) for r in fam.read("Bug").collect())
+    assert rows == [("P-1", "plain"), ("P-2", '{"a":1}')]
