@@ -2,7 +2,6 @@
 
 import json
 
-from pyspark.sql import functions as F
 
 from brute import normal, pipeline
 from tablesync.operators import documents

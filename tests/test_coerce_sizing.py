@@ -1,6 +1,5 @@
 import decimal
 
-from pyspark.sql import types as T
 
 from tablesync.functions.sizing import partitions_for
 from tablesync.operators import coerce
