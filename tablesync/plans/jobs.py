@@ -300,19 +300,28 @@ def sync_documents(
         rows = wanted.where((F.col("_type") == pair[0]) & (F.col("_subtask") == F.lit(bool(pair[1]))))
         flat = documents.flatten(rows, ft, ct, field_map, exclude_fields, protected=protected)
         batch_by_target[t] = upsert.append_by_name(batch_by_target[t], flat) if t in batch_by_target else flat
-    current = family.read_all()
+    state = family._state()
     if incremental:
-        new_state = upsert.upsert_all(current, batch_by_target, staged.select("jira"), documents.KEY_COLUMN)
-        changed = set(new_state)  # every table loses the changed keys
+        # every changed key leaves every table (a type change moves the
+        # document); only the buckets those keys hash to are rewritten
+        keys = staged.select("jira")
+        touched = sorted(r[0] for r in keys.select(family.bucket_of(F.col("jira"))).distinct().collect())
+        tables = sorted(set(state[1]) | set(batch_by_target))
+
+        def stage_one(t):
+            return family.stage_upsert(t, keys, batch_by_target.get(t), touched, state)
     else:
-        new_state = upsert.refresh_all(current, batch_by_target)
-        changed = set(batch_by_target)
+        tables = sorted(batch_by_target)
+
+        def stage_one(t):
+            return family.stage(t, batch_by_target[t])
+
     # one write job per table, submitted by a bounded pool so small types
     # do not wait behind a big one; nothing is visible before the commit
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        paths = dict(zip(sorted(changed), pool.map(lambda t: family.stage(t, new_state[t]), sorted(changed))))
-    commit = family.commit(paths)
+        staged_tables = [x for x in pool.map(stage_one, tables) if x is not None]
+    commit = family.commit(staged_tables)
     n_fetched = int(metrics.get("rows", 0))
     mode = "incremental" if incremental else "full"
-    rows = [(t, r, mode, commit, n_fetched) for t, (_, r) in sorted(paths.items())]
+    rows = [(x.table, x.rows, mode, commit, n_fetched) for x in staged_tables]
     return spark.createDataFrame(rows, "table_name string, rows bigint, mode string, commit bigint, fetched bigint")

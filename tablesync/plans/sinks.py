@@ -17,12 +17,13 @@ built while reading the previous one.
 
 from __future__ import annotations
 
+import json
 import os
 import threading
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,10 +48,10 @@ class Sink:
 def read_written(spark: SparkSession, sink: Sink, table: str) -> DataFrame:
     """Read a table written by :func:`write_table` (schemas merged)."""
     if sink.versioned:
-        path = TableFamily(spark, sink.root, sink.format).current().get(table)
-        if path is None:
+        df = TableFamily(spark, sink.root, sink.format).read(table)
+        if df is None:
             raise FileNotFoundError(f"no committed version of {table}")
-        return spark.read.format(sink.format).option("mergeSchema", "true").load(path)
+        return df
     return spark.read.format(sink.format).option("mergeSchema", "true").load(sink.target(table))
 
 
@@ -98,19 +99,19 @@ def _check_append(existing: T.StructType, incoming: T.StructType, table: str, ev
 def _write_versioned(df: DataFrame, sink: Sink, table: str, mode: str, evolve: bool) -> None:
     """Overwrite without a window where the table is gone: the new version
     is written beside the old one and made current by a commit.  Append adds
-    files to the current version (visible at the job's commit)."""
+    a folder (visible at its commit)."""
     spark = df.sparkSession
     family = TableFamily(spark, sink.root, sink.format)
-    current = family.current().get(table)
-    if current is not None and mode in ("ignore",):
+    current = family.read(table)
+    if current is not None and mode == "ignore":
         return
     if current is not None and mode in ("error", "errorifexists"):
         raise FileExistsError(f"{table} exists")
     if current is not None and mode == "append":
-        _check_append(spark.read.format(sink.format).load(current).schema, df.schema, table, evolve)
-        df.write.format(sink.format).options(**sink.options).mode("append").save(current)
+        _check_append(current.schema, df.schema, table, evolve)
+        family.commit([family.stage_add(table, df)])
         return
-    family.commit({table: family.stage(table, df)})
+    family.commit([family.stage(table, df)])
 
 
 _COMMIT_LOCKS: dict[str, threading.Lock] = {}
@@ -126,21 +127,52 @@ _COMMIT_SCHEMA = T.StructType(
     [
         T.StructField("commit", T.LongType()),
         T.StructField("table", T.StringType()),
-        T.StructField("path", T.StringType()),
-        T.StructField("rows", T.LongType()),
+        T.StructField("bucket", T.IntegerType()),
+        T.StructField("op", T.StringType()),  # replace | add
+        T.StructField("path", T.StringType()),  # "" = the bucket is empty
+        T.StructField("rows", T.LongType()),  # rows written by this commit
+        T.StructField("schema", T.StringType()),  # the table's merged schema (JSON)
     ]
 )
 
 
+@dataclass
+class Staged:
+    """A written, not yet visible change of one table."""
+
+    table: str
+    entries: list  # (bucket, op, path)
+    rows: int
+    schema: T.StructType
+
+
 class TableFamily:
-    """A set of tables that change together (one table per document type)."""
+    """A set of tables that change together (one table per document type).
+
+    Layout: ``<root>/<table>/v-<id>/_bucket=<b>/part-*`` plus a commit log
+    ``<root>/_commits`` (JSON rows, appended by one Spark job per commit).
+    Keyed tables are split into ``buckets`` by ``pmod(xxhash64(key), n)``:
+    an upsert rewrites only the buckets its changed keys fall in, so the
+    cost follows the change, not the table.  For each (table, bucket) the
+    log names the folder of the last ``replace`` and the folders ``add``-ed
+    after it; the last commit of a table carries its merged schema, so
+    readers need no footer merging.  Nothing is visible before its commit,
+    and one commit covers every table of a batch.
+    """
 
-    def __init__(self, spark: SparkSession, root: str, format: str = "parquet"):
+    def __init__(self, spark: SparkSession, root: str, format: str = "parquet", buckets: int = 64, key: str = "jira"):
         self.spark = spark
         self.root = root.rstrip("/")
         self.format = format
+        self.buckets = int(buckets)
+        self.key = key
         self.log = f"{self.root}/_commits"
 
+    # -- reading ----------------------------------------------------------
+
+    def bucket_of(self, key: Column) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int")
+
     def _log(self) -> DataFrame | None:
         from ..session import path_exists
 
@@ -148,13 +180,36 @@ class TableFamily:
             return None  # no commit yet
         return self.spark.read.schema(_COMMIT_SCHEMA).json(self.log)
 
-    def current(self) -> dict[str, str]:
-        """Committed version path of each table (one row per table)."""
+    def _state(self) -> tuple[dict[str, list[tuple[int, str]]], dict[str, T.StructType]]:
+        """(table -> [(bucket, path)], table -> schema), from the log.
+
+        The log is reduced by Spark; only the live folder list -- at most
+        tables x buckets x appends -- reaches the driver.
+        """
         log = self._log()
         if log is None:
-            return {}
-        rows = log.groupBy("table").agg(F.max_by("path", "commit").alias("path")).collect()
-        return {r["table"]: r["path"] for r in rows}
+            return {}, {}
+        last_replace = log.where(F.col("op") == "replace").groupBy("table", "bucket").agg(F.max("commit").alias("r"))
+        live = (
+            log.join(last_replace, ["table", "bucket"], "left")
+            .where(
+                ((F.col("op") == "replace") & (F.col("commit") == F.col("r")))
+                | ((F.col("op") == "add") & (F.col("r").isNull() | (F.col("commit") > F.col("r"))))
+            )
+            .where(F.col("path") != "")
+            .select("table", "bucket", "path")
+        )
+        schemas = log.groupBy("table").agg(F.max_by("schema", "commit").alias("schema"))
+        paths: dict[str, list[tuple[int, str]]] = {}
+        for r in live.collect():
+            paths.setdefault(r["table"], []).append((r["bucket"], r["path"]))
+        out_schemas = {r["table"]: T.StructType.fromJson(json.loads(r["schema"])) for r in schemas.collect()}
+        return paths, out_schemas
+
+    def current(self) -> dict[str, list[str]]:
+        """Live folders of each non-empty table."""
+        paths, _ = self._state()
+        return {t: sorted(p for _, p in v) for t, v in paths.items()}
 
     def last_commit(self) -> int:
         log = self._log()
@@ -163,30 +218,129 @@ class TableFamily:
         v = log.agg(F.max("commit")).first()[0]
         return int(v or 0)
 
+    def _load(self, paths: list[str], schema: T.StructType) -> DataFrame:
+        return self.spark.read.format(self.format).schema(schema).load(paths)
+
+    def _frame(self, table: str, paths, schemas) -> DataFrame | None:
+        if table not in schemas:
+            return None
+        live = [p for _, p in paths.get(table, [])]
+        if not live:  # every row deleted: the table exists, empty
+            return self.spark.createDataFrame([], schemas[table])
+        return self._load(live, schemas[table])
+
     def read(self, table: str) -> DataFrame | None:
-        path = self.current().get(table)
-        return None if path is None else self.spark.read.format(self.format).load(path)
+        paths, schemas = self._state()
+        return self._frame(table, paths, schemas)
 
     def read_all(self) -> dict[str, DataFrame]:
-        return {t: self.spark.read.format(self.format).load(p) for t, p in self.current().items()}
+        paths, schemas = self._state()
+        return {t: self._frame(t, paths, schemas) for t in sorted(schemas)}
 
-    def stage(self, table: str, df: DataFrame) -> tuple[str, int]:
-        """Write a new, not yet visible version; returns (path, rows)."""
+    # -- writing ----------------------------------------------------------
+
+    def _write(self, table: str, df: DataFrame, bucketed: bool) -> tuple[str, int]:
         from ..operators.metrics import observe_rows
 
         path = f"{self.root}/{table}/v-{uuid.uuid4().hex}"
         observed, obs = observe_rows(df)
-        observed.write.format(self.format).mode("errorifexists").save(path)
+        writer = observed.write.format(self.format).mode("errorifexists")
+        if bucketed:
+            writer = writer.partitionBy("_bucket")
+        writer.save(path)
         return path, int(obs.get.get("rows", 0))
 
-    def commit(self, staged: dict[str, tuple[str, int]]) -> int:
-        """Make all staged versions visible at once (one append job)."""
-        if not staged:
+    def _bucket_dirs(self, path: str) -> dict[int, str]:
+        from ..session import list_dirs
+
+        out = {}
+        for name in list_dirs(self.spark, path):
+            if name.startswith("_bucket="):
+                out[int(name.split("=", 1)[1])] = f"{path}/{name}"
+        return out
+
+    def stage(self, table: str, df: DataFrame) -> Staged:
+        """A full new version of ``table`` (every bucket replaced)."""
+        if self.key in df.columns:
+            data = df.withColumn("_bucket", self.bucket_of(F.col(self.key)))
+            path, rows = self._write(table, data, True)
+            dirs = self._bucket_dirs(path)
+            entries = [(b, "replace", dirs.get(b, "")) for b in range(self.buckets)]
+        else:  # no key: one bucket holds the whole table
+            path, rows = self._write(table, df, False)
+            entries = [(0, "replace", path)]
+        return Staged(table, entries, rows, df.schema)
+
+    def stage_add(self, table: str, df: DataFrame) -> Staged:
+        """Rows added to ``table`` in new folders (the old ones stay)."""
+        _, schemas = self._state()
+        merged = _merge_schema(schemas.get(table), df.schema)
+        path, rows = self._write(table, df, False)
+        return Staged(table, [(0, "add", path)], rows, merged)
+
+    def stage_upsert(self, table: str, keys: DataFrame, inserted: DataFrame | None, touched: list[int], state=None) -> Staged | None:
+        """Delete ``keys`` from ``table`` and add ``inserted``, rewriting
+        only the buckets in ``touched`` (those the changed keys hash to).
+        A column whose type changes forces a rewrite of every bucket, as
+        untouched files could not be read under the new type."""
+        from ..operators.upsert import append_by_name, delete_by_keys
+
+        paths, schemas = state if state is not None else self._state()
+        live = dict(paths.get(table, []))
+        if not live and inserted is None:
+            return None  # empty or missing table, nothing to add
+        old_schema = schemas.get(table)
+        kept_paths = [p for b, p in live.items() if b in set(touched)]
+        kept = self._load(kept_paths, old_schema) if kept_paths else None
+        if kept is None and inserted is None:
+            return None
+        if kept is not None:
+            kept = delete_by_keys(kept, keys, self.key)
+        combined = inserted if kept is None else (kept if inserted is None else append_by_name(kept, inserted))
+        buckets = sorted(set(touched))
+        if old_schema is not None and _types_changed(old_schema, combined.schema):
+            all_old = self._load([p for p in live.values()], old_schema) if live else None
+            rest = delete_by_keys(all_old, keys, self.key) if all_old is not None else None
+            combined = inserted if rest is None else (rest if inserted is None else append_by_name(rest, inserted))
+            buckets = list(range(self.buckets))
+        data = combined.withColumn("_bucket", self.bucket_of(F.col(self.key)))
+        path, rows = self._write(table, data, True)
+        dirs = self._bucket_dirs(path)
+        entries = [(b, "replace", dirs.get(b, "")) for b in buckets]
+        return Staged(table, entries, rows, _merge_schema(old_schema, combined.schema))
+
+    def commit(self, staged) -> int:
+        """Make staged changes visible at once (one append job).
+
+        ``staged``: a list of :class:`Staged`, or ``{table: Staged}``.
+        """
+        items = [s for s in (staged.values() if isinstance(staged, dict) else staged) if s is not None]
+        if not items:
             return self.last_commit()
         # one writer per family: threads of this driver take turns (the
         # copies of a schema commit table by table, concurrently)
         with _commit_lock(self.root):
             n = self.last_commit() + 1
-            rows = [(n, t, p, r) for t, (p, r) in sorted(staged.items())]
+            rows = []
+            for s in items:
+                schema = s.schema.json()
+                for i, (b, op, path) in enumerate(s.entries):
+                    rows.append((n, s.table, int(b), op, path, s.rows if i == 0 else 0, schema))
             self.spark.createDataFrame(rows, _COMMIT_SCHEMA).coalesce(1).write.mode("append").json(self.log)
         return n
+
+
+def _types_changed(old: T.StructType, new: T.StructType) -> bool:
+    before = {f.name.lower(): f.dataType for f in old.fields}
+    return any(f.name.lower() in before and before[f.name.lower()] != f.dataType for f in new.fields)
+
+
+def _merge_schema(old: T.StructType | None, new: T.StructType) -> T.StructType:
+    """Old columns first (new types win), then columns that are new."""
+    if old is None:
+        return new
+    by_name = {f.name.lower(): f for f in new.fields}
+    fields = [by_name.get(f.name.lower(), f) for f in old.fields]
+    seen = {f.name.lower() for f in old.fields}
+    fields += [f for f in new.fields if f.name.lower() not in seen]
+    return T.StructType([T.StructField(f.name, f.dataType, True) for f in fields])

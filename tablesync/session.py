@@ -66,3 +66,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
+
+
+def list_dirs(spark: SparkSession, path: str) -> list[str]:
+    """Names of the sub-folders of ``path`` (empty when it does not exist)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(hpath):
+        return []
+    return [st.getPath().getName() for st in fs.listStatus(hpath) if st.isDirectory()]

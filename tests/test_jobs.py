@@ -83,10 +83,25 @@ def test_empty_family_means_full_refresh(spark, tmp_root):
 
 def test_commit_is_all_or_nothing(spark, tmp_root):
     fam = TableFamily(spark, os.path.join(tmp_root, "targets"))
-    staged = {"a": fam.stage("a", spark.range(3).withColumnRenamed("id", "jira"))}
+    staged = [fam.stage("a", spark.range(3).selectExpr("CAST(id AS STRING) AS jira")), fam.stage("b", spark.range(2).selectExpr("CAST(id AS STRING) AS jira"))]
     assert fam.current() == {}  # staged but not committed: invisible
     fam.commit(staged)
-    assert fam.read("a").count() == 3
+    assert fam.read("a").count() == 3 and fam.read("b").count() == 2
+
+
+def test_upsert_rewrites_only_touched_buckets(spark, tmp_root):
+    fam = TableFamily(spark, os.path.join(tmp_root, "targets"), buckets=16)
+    base = spark.range(2000).selectExpr("CAST(id AS STRING) AS jira", "'old' AS v")
+    fam.commit([fam.stage("t", base)])
+    before = fam.current()["t"]
+    keys = spark.createDataFrame([("5",), ("77",)], "jira string")
+    touched = sorted(r[0] for r in keys.select(fam.bucket_of(F.col("jira"))).distinct().collect())
+    ins = spark.createDataFrame([("5", "new"), ("77", "new")], "jira string, v string")
+    fam.commit([fam.stage_upsert("t", keys, ins, touched)])
+    after = fam.current()["t"]
+    assert len(set(before) - set(after)) == len(touched)  # only those folders replaced
+    rows = {r["jira"]: r["v"] for r in fam.read("t").collect()}
+    assert len(rows) == 2000 and rows["5"] == "new" and rows["77"] == "new" and rows["6"] == "old"
 
 
 def test_copy_schema_isolates_failures(spark, sf_dir, tmp_root):
@@ -128,6 +143,7 @@ def test_versioned_copy_never_exposes_a_missing_table(spark, sf_dir, tmp_root):
     first = fam.current()
     copy_schema(spark, src, ["nation"], sink)  # overwrite: a new version
     second = fam.current()
+    assert len(second["nation"]) == 1
     assert second["region"] == first["region"] and second["nation"] != first["nation"]
     assert read_written(spark, sink, "nation").count() == 25
     write_table(spark.read.parquet(f"{sf_dir}/nation.parquet"), sink, "nation", mode="append")
