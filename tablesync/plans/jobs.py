@@ -305,11 +305,13 @@ def sync_documents(
         # every changed key leaves every table (a type change moves the
         # document); only the buckets those keys hash to are rewritten
         keys = staged.select("jira")
-        touched = sorted(r[0] for r in keys.select(family.bucket_of(F.col("jira"))).distinct().collect())
         tables = sorted(set(state[1]) | set(batch_by_target))
+        touched_cache: dict[int, list[int]] = {}
+        for n in sorted(set(family._counts.get(t, 1) for t in tables)):
+            touched_cache[n] = family.touched_buckets(keys, n)
 
         def stage_one(t):
-            return family.stage_upsert(t, keys, batch_by_target.get(t), touched, state)
+            return family.stage_upsert(t, keys, batch_by_target.get(t), state, touched_cache)
     else:
         tables = sorted(batch_by_target)
 

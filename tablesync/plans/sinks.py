@@ -132,6 +132,7 @@ _COMMIT_SCHEMA = T.StructType(
         T.StructField("path", T.StringType()),  # "" = the bucket is empty
         T.StructField("rows", T.LongType()),  # rows written by this commit
         T.StructField("schema", T.StringType()),  # the table's merged schema (JSON)
+        T.StructField("buckets", T.IntegerType()),  # the table's bucket count
     ]
 )
 
@@ -144,6 +145,7 @@ class Staged:
     entries: list  # (bucket, op, path)
     rows: int
     schema: T.StructType
+    buckets: int = 1
 
 
 class TableFamily:
@@ -151,27 +153,49 @@ class TableFamily:
 
     Layout: ``<root>/<table>/v-<id>/_bucket=<b>/part-*`` plus a commit log
     ``<root>/_commits`` (JSON rows, appended by one Spark job per commit).
-    Keyed tables are split into ``buckets`` by ``pmod(xxhash64(key), n)``:
+    Keyed tables are split into n buckets by ``pmod(xxhash64(key), n)``:
     an upsert rewrites only the buckets its changed keys fall in, so the
-    cost follows the change, not the table.  For each (table, bucket) the
+    cost follows the change, not the table.  n is chosen when a table is
+    written in full -- ``buckets`` if given, else about one bucket per
+    ``rows_per_bucket`` rows (small tables: one folder) -- and kept by its
+    upserts.  For each (table, bucket) the
     log names the folder of the last ``replace`` and the folders ``add``-ed
     after it; the last commit of a table carries its merged schema, so
     readers need no footer merging.  Nothing is visible before its commit,
     and one commit covers every table of a batch.
     """
 
-    def __init__(self, spark: SparkSession, root: str, format: str = "parquet", buckets: int = 64, key: str = "jira"):
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        format: str = "parquet",
+        buckets: int | None = None,
+        key: str = "jira",
+        rows_per_bucket: int = 1_000_000,
+        max_buckets: int = 4096,
+    ):
         self.spark = spark
         self.root = root.rstrip("/")
         self.format = format
-        self.buckets = int(buckets)
+        self.buckets = buckets
         self.key = key
+        self.rows_per_bucket = rows_per_bucket
+        self.max_buckets = max_buckets
         self.log = f"{self.root}/_commits"
+        self._counts: dict[str, int] = {}
 
     # -- reading ----------------------------------------------------------
 
-    def bucket_of(self, key: Column) -> Column:
-        return F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int")
+    @staticmethod
+    def bucket_of(key: Column, n: int) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(int(n))).cast("int")
+
+    def _bucket_count(self, df: DataFrame) -> int:
+        if self.buckets:
+            return int(self.buckets)
+        rows = df.count()  # row count only: no column is decoded
+        return max(1, min(self.max_buckets, -(-rows // self.rows_per_bucket)))
 
     def _log(self) -> DataFrame | None:
         from ..session import path_exists
@@ -199,13 +223,23 @@ class TableFamily:
             .where(F.col("path") != "")
             .select("table", "bucket", "path")
         )
-        schemas = log.groupBy("table").agg(F.max_by("schema", "commit").alias("schema"))
+        meta = log.groupBy("table").agg(
+            F.max_by("schema", "commit").alias("schema"), F.max_by("buckets", "commit").alias("buckets")
+        )
         paths: dict[str, list[tuple[int, str]]] = {}
         for r in live.collect():
             paths.setdefault(r["table"], []).append((r["bucket"], r["path"]))
-        out_schemas = {r["table"]: T.StructType.fromJson(json.loads(r["schema"])) for r in schemas.collect()}
+        out_schemas = {}
+        self._counts = {}
+        for r in meta.collect():
+            out_schemas[r["table"]] = T.StructType.fromJson(json.loads(r["schema"]))
+            self._counts[r["table"]] = int(r["buckets"] or 1)
         return paths, out_schemas
 
+    def bucket_counts(self) -> dict[str, int]:
+        self._state()
+        return dict(self._counts)
+
     def current(self) -> dict[str, list[str]]:
         """Live folders of each non-empty table."""
         paths, _ = self._state()
@@ -262,30 +296,42 @@ class TableFamily:
     def stage(self, table: str, df: DataFrame) -> Staged:
         """A full new version of ``table`` (every bucket replaced)."""
         if self.key in df.columns:
-            data = df.withColumn("_bucket", self.bucket_of(F.col(self.key)))
+            n = self._bucket_count(df)
+            data = df.withColumn("_bucket", self.bucket_of(F.col(self.key), n))
             path, rows = self._write(table, data, True)
             dirs = self._bucket_dirs(path)
-            entries = [(b, "replace", dirs.get(b, "")) for b in range(self.buckets)]
-        else:  # no key: one bucket holds the whole table
-            path, rows = self._write(table, df, False)
-            entries = [(0, "replace", path)]
-        return Staged(table, entries, rows, df.schema)
+            entries = [(b, "replace", dirs.get(b, "")) for b in range(n)]
+            return Staged(table, entries, rows, df.schema, n)
+        path, rows = self._write(table, df, False)  # no key: one bucket
+        return Staged(table, [(0, "replace", path)], rows, df.schema, 1)
 
     def stage_add(self, table: str, df: DataFrame) -> Staged:
         """Rows added to ``table`` in new folders (the old ones stay)."""
         _, schemas = self._state()
         merged = _merge_schema(schemas.get(table), df.schema)
         path, rows = self._write(table, df, False)
-        return Staged(table, [(0, "add", path)], rows, merged)
+        return Staged(table, [(0, "add", path)], rows, merged, self.bucket_counts().get(table, 1))
 
-    def stage_upsert(self, table: str, keys: DataFrame, inserted: DataFrame | None, touched: list[int], state=None) -> Staged | None:
+    def touched_buckets(self, keys: DataFrame, n: int) -> list[int]:
+        """Buckets the keys hash to (at most n values reach the driver)."""
+        return sorted(r[0] for r in keys.select(self.bucket_of(F.col(self.key), n)).distinct().collect())
+
+    def stage_upsert(self, table: str, keys: DataFrame, inserted: DataFrame | None, state=None, touched_cache=None) -> Staged | None:
         """Delete ``keys`` from ``table`` and add ``inserted``, rewriting
-        only the buckets in ``touched`` (those the changed keys hash to).
-        A column whose type changes forces a rewrite of every bucket, as
-        untouched files could not be read under the new type."""
+        only the buckets the keys hash to.  A column whose type changes
+        forces a rewrite of every bucket, as untouched files could not be
+        read under the new type.  A table new to the family is written in
+        full."""
         from ..operators.upsert import append_by_name, delete_by_keys
 
         paths, schemas = state if state is not None else self._state()
+        if table not in schemas:
+            return None if inserted is None else self.stage(table, inserted)
+        n = self.bucket_counts().get(table, 1) if state is None else self._counts.get(table, 1)
+        cache = touched_cache if touched_cache is not None else {}
+        if n not in cache:
+            cache[n] = self.touched_buckets(keys, n)
+        touched = cache[n]
         live = dict(paths.get(table, []))
         if not live and inserted is None:
             return None  # empty or missing table, nothing to add
@@ -302,12 +348,12 @@ class TableFamily:
             all_old = self._load([p for p in live.values()], old_schema) if live else None
             rest = delete_by_keys(all_old, keys, self.key) if all_old is not None else None
             combined = inserted if rest is None else (rest if inserted is None else append_by_name(rest, inserted))
-            buckets = list(range(self.buckets))
-        data = combined.withColumn("_bucket", self.bucket_of(F.col(self.key)))
+            buckets = list(range(n))
+        data = combined.withColumn("_bucket", self.bucket_of(F.col(self.key), n))
         path, rows = self._write(table, data, True)
         dirs = self._bucket_dirs(path)
         entries = [(b, "replace", dirs.get(b, "")) for b in buckets]
-        return Staged(table, entries, rows, _merge_schema(old_schema, combined.schema))
+        return Staged(table, entries, rows, _merge_schema(old_schema, combined.schema), n)
 
     def commit(self, staged) -> int:
         """Make staged changes visible at once (one append job).
@@ -325,7 +371,7 @@ class TableFamily:
             for s in items:
                 schema = s.schema.json()
                 for i, (b, op, path) in enumerate(s.entries):
-                    rows.append((n, s.table, int(b), op, path, s.rows if i == 0 else 0, schema))
+                    rows.append((n, s.table, int(b), op, path, s.rows if i == 0 else 0, schema, int(s.buckets)))
             self.spark.createDataFrame(rows, _COMMIT_SCHEMA).coalesce(1).write.mode("append").json(self.log)
         return n
 

@@ -76,6 +76,14 @@ def test_full_refresh_keeps_absent_types(spark, tmp_root):
     assert fam.last_commit() == 2
 
 
+def test_bucket_count_follows_size(spark, tmp_root):
+    fam = TableFamily(spark, os.path.join(tmp_root, "targets"), rows_per_bucket=300)
+    fam.commit([fam.stage("small", spark.range(100).selectExpr("CAST(id AS STRING) AS jira")),
+                fam.stage("big", spark.range(1000).selectExpr("CAST(id AS STRING) AS jira"))])
+    assert fam.bucket_counts() == {"small": 1, "big": 4}
+    assert fam.read("big").count() == 1000
+
+
 def test_empty_family_means_full_refresh(spark, tmp_root):
     fam = TableFamily(spark, os.path.join(tmp_root, "targets"))
     assert fam.current() == {} and fam.read_all() == {}
@@ -95,9 +103,10 @@ def test_upsert_rewrites_only_touched_buckets(spark, tmp_root):
     fam.commit([fam.stage("t", base)])
     before = fam.current()["t"]
     keys = spark.createDataFrame([("5",), ("77",)], "jira string")
-    touched = sorted(r[0] for r in keys.select(fam.bucket_of(F.col("jira"))).distinct().collect())
+    touched = fam.touched_buckets(keys, 16)
+    assert fam.bucket_counts() == {"t": 16}
     ins = spark.createDataFrame([("5", "new"), ("77", "new")], "jira string, v string")
-    fam.commit([fam.stage_upsert("t", keys, ins, touched)])
+    fam.commit([fam.stage_upsert("t", keys, ins)])
     after = fam.current()["t"]
     assert len(set(before) - set(after)) == len(touched)  # only those folders replaced
     rows = {r["jira"]: r["v"] for r in fam.read("t").collect()}
