@@ -202,8 +202,16 @@ def latest_per_key(docs: DataFrame) -> DataFrame:
 def read_mark(family: TableFamily, column: str = watermark.UPDATED_COLUMN):
     """(mark as UTC timestamp_ntz, API filter text) or (None, None).
 
-    Missing tables count as empty; no table or no value means full refresh.
+    From the commit log when the family records marks (no table scanned);
+    otherwise the max of ``column`` over the union of all tables.  Missing
+    tables count as empty; no table or no value means full refresh.
     """
+    logged = family.mark()
+    if logged is not None:
+        row = watermark.mark_text(logged).first()
+        if row is None or row["last_update"] is None:
+            return None, None
+        return row["last_update"], row["mark_text"]
     targets = [t for t in family.read_all().values() if column in t.columns]
     if not targets:
         return None, None
@@ -244,6 +252,8 @@ def sync_documents(
     micro-batch.  It costs a shuffle of the batch by key, so it is off for
     a plain API read.
     """
+    if family.mark_column is None:
+        family.mark_column = updated_column
     since_ts, since_text = (None, None) if force_full else read_mark(family, updated_column)
     incremental = since_text is not None
 

@@ -23,7 +23,7 @@ import threading
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -133,6 +133,7 @@ _COMMIT_SCHEMA = T.StructType(
         T.StructField("rows", T.LongType()),  # rows written by this commit
         T.StructField("schema", T.StringType()),  # the table's merged schema (JSON)
         T.StructField("buckets", T.IntegerType()),  # the table's bucket count
+        T.StructField("mark", T.StringType()),  # newest update time written (UTC text)
     ]
 )
 
@@ -146,6 +147,7 @@ class Staged:
     rows: int
     schema: T.StructType
     buckets: int = 1
+    mark: str | None = None
 
 
 class TableFamily:
@@ -174,6 +176,7 @@ class TableFamily:
         key: str = "jira",
         rows_per_bucket: int = 1_000_000,
         max_buckets: int = 4096,
+        mark_column: str | None = None,
     ):
         self.spark = spark
         self.root = root.rstrip("/")
@@ -184,6 +187,7 @@ class TableFamily:
         self.max_buckets = max_buckets
         self.log = f"{self.root}/_commits"
         self._counts: dict[str, int] = {}
+        self.mark_column = mark_column
 
     # -- reading ----------------------------------------------------------
 
@@ -245,6 +249,15 @@ class TableFamily:
         paths, _ = self._state()
         return {t: sorted(p for _, p in v) for t, v in paths.items()}
 
+    def mark(self) -> DataFrame | None:
+        """One row ``last_update`` (UTC ``timestamp_ntz``): the newest update
+        time ever committed, from the log -- no table is scanned.  ``None``
+        when the log holds no mark (then scan the tables)."""
+        log = self._log()
+        if log is None or log.where(F.col("mark").isNotNull()).limit(1).count() == 0:
+            return None
+        return log.agg(F.max(F.to_timestamp_ntz(F.col("mark"))).alias("last_update"))
+
     def last_commit(self) -> int:
         log = self._log()
         if log is None:
@@ -273,16 +286,23 @@ class TableFamily:
 
     # -- writing ----------------------------------------------------------
 
-    def _write(self, table: str, df: DataFrame, bucketed: bool) -> tuple[str, int]:
-        from ..operators.metrics import observe_rows
+    def _write(self, table: str, df: DataFrame, bucketed: bool) -> tuple[str, int, str | None]:
+        """Write a folder; row count and newest update time are observed
+        during the write (no extra pass)."""
+        from ..functions.times import mark_as_utc
 
         path = f"{self.root}/{table}/v-{uuid.uuid4().hex}"
-        observed, obs = observe_rows(df)
-        writer = observed.write.format(self.format).mode("errorifexists")
+        obs = Observation(f"w_{uuid.uuid4().hex[:8]}")
+        metrics = [F.count(F.lit(1)).alias("rows")]
+        if self.mark_column and self.mark_column in df.columns:
+            m = mark_as_utc(F.col(f"`{self.mark_column}`"), df.schema[self.mark_column].dataType)
+            metrics.append(F.date_format(F.max(m), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("mark"))
+        writer = df.observe(obs, *metrics).write.format(self.format).mode("errorifexists")
         if bucketed:
             writer = writer.partitionBy("_bucket")
         writer.save(path)
-        return path, int(obs.get.get("rows", 0))
+        got = obs.get
+        return path, int(got.get("rows", 0)), got.get("mark")
 
     def _bucket_dirs(self, path: str) -> dict[int, str]:
         from ..session import list_dirs
@@ -298,19 +318,19 @@ class TableFamily:
         if self.key in df.columns:
             n = self._bucket_count(df)
             data = df.withColumn("_bucket", self.bucket_of(F.col(self.key), n))
-            path, rows = self._write(table, data, True)
+            path, rows, mark = self._write(table, data, True)
             dirs = self._bucket_dirs(path)
             entries = [(b, "replace", dirs.get(b, "")) for b in range(n)]
-            return Staged(table, entries, rows, df.schema, n)
-        path, rows = self._write(table, df, False)  # no key: one bucket
-        return Staged(table, [(0, "replace", path)], rows, df.schema, 1)
+            return Staged(table, entries, rows, df.schema, n, mark)
+        path, rows, mark = self._write(table, df, False)  # no key: one bucket
+        return Staged(table, [(0, "replace", path)], rows, df.schema, 1, mark)
 
     def stage_add(self, table: str, df: DataFrame) -> Staged:
         """Rows added to ``table`` in new folders (the old ones stay)."""
         _, schemas = self._state()
         merged = _merge_schema(schemas.get(table), df.schema)
-        path, rows = self._write(table, df, False)
-        return Staged(table, [(0, "add", path)], rows, merged, self.bucket_counts().get(table, 1))
+        path, rows, mark = self._write(table, df, False)
+        return Staged(table, [(0, "add", path)], rows, merged, self.bucket_counts().get(table, 1), mark)
 
     def touched_buckets(self, keys: DataFrame, n: int) -> list[int]:
         """Buckets the keys hash to (at most n values reach the driver)."""
@@ -350,10 +370,10 @@ class TableFamily:
             combined = inserted if rest is None else (rest if inserted is None else append_by_name(rest, inserted))
             buckets = list(range(n))
         data = combined.withColumn("_bucket", self.bucket_of(F.col(self.key), n))
-        path, rows = self._write(table, data, True)
+        path, rows, mark = self._write(table, data, True)
         dirs = self._bucket_dirs(path)
         entries = [(b, "replace", dirs.get(b, "")) for b in buckets]
-        return Staged(table, entries, rows, _merge_schema(old_schema, combined.schema), n)
+        return Staged(table, entries, rows, _merge_schema(old_schema, combined.schema), n, mark)
 
     def commit(self, staged) -> int:
         """Make staged changes visible at once (one append job).
@@ -371,7 +391,7 @@ class TableFamily:
             for s in items:
                 schema = s.schema.json()
                 for i, (b, op, path) in enumerate(s.entries):
-                    rows.append((n, s.table, int(b), op, path, s.rows if i == 0 else 0, schema, int(s.buckets)))
+                    rows.append((n, s.table, int(b), op, path, s.rows if i == 0 else 0, schema, int(s.buckets), s.mark if i == 0 else None))
             self.spark.createDataFrame(rows, _COMMIT_SCHEMA).coalesce(1).write.mode("append").json(self.log)
         return n
 

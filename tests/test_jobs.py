@@ -175,3 +175,15 @@ def test_changed_field_shape_becomes_text(spark, tmp_root):
     sync_documents(spark, fetch, fam, field_map=FIELD_MAP)
     rows = sorted((r["jira"], r["m"]) for r in fam.read("Bug").collect())
     assert rows == [("P-1", "plain"), ("P-2", '{"a":1}')]
+
+
+def test_logged_mark_equals_scanned_mark(spark, tmp_root):
+    from tablesync.operators import watermark
+
+    fam = TableFamily(spark, os.path.join(tmp_root, "targets"))
+    b1 = [doc("P-1", "Bug", "2024-03-05T10:11:12.123+1100"), doc("P-2", "Story", "2024-03-06T08:00:00.500+1100")]
+    sync_documents(spark, fetcher(spark, [b1], []), fam, field_map=FIELD_MAP)
+    logged = fam.mark().first()["last_update"]
+    scanned = watermark.high_water_mark(list(fam.read_all().values())).first()["last_update"]
+    assert logged == scanned
+    assert str(logged) == "2024-03-05 21:00:00.500000"
