@@ -186,6 +186,8 @@ class TableFamily:
         self.rows_per_bucket = rows_per_bucket
         self.max_buckets = max_buckets
         self.log = f"{self.root}/_commits"
+        self.snapshots = f"{self.root}/_snapshots"
+        self.compact_every = 50
         self._counts: dict[str, int] = {}
         self.mark_column = mark_column
 
@@ -202,11 +204,41 @@ class TableFamily:
         return max(1, min(self.max_buckets, -(-rows // self.rows_per_bucket)))
 
     def _log(self) -> DataFrame | None:
-        from ..session import path_exists
+        """The live part of the log: the latest snapshot (if any) plus the
+        commits after it (partition pruning skips the older folders)."""
+        from ..session import list_dirs, path_exists
 
         if not path_exists(self.spark, self.log):
             return None  # no commit yet
-        return self.spark.read.schema(_COMMIT_SCHEMA).json(self.log)
+        commits = self.spark.read.schema(_COMMIT_SCHEMA).json(self.log)
+        snaps = sorted(int(d.split("=", 1)[1]) for d in list_dirs(self.spark, self.snapshots) if d.startswith("upto="))
+        if not snaps:
+            return commits
+        upto = snaps[-1]
+        snap = self.spark.read.schema(_COMMIT_SCHEMA).json(f"{self.snapshots}/upto={upto}")
+        return snap.unionByName(commits.where(F.col("commit") > upto))
+
+    def compact(self) -> int | None:
+        """Write a snapshot of the rows the state still needs: the last
+        replace of every (table, bucket), the adds after it, and the row
+        holding the newest mark.  Later reads skip every older commit."""
+        log = self._log()
+        if log is None:
+            return None
+        upto = int(log.agg(F.max("commit")).first()[0])
+        last_replace = log.where(F.col("op") == "replace").groupBy("table", "bucket").agg(F.max("commit").alias("r"))
+        keep = (
+            log.join(last_replace, ["table", "bucket"], "left")
+            .where(
+                ((F.col("op") == "replace") & (F.col("commit") == F.col("r")))
+                | ((F.col("op") == "add") & (F.col("r").isNull() | (F.col("commit") > F.col("r"))))
+            )
+            .drop("r")
+        )
+        top_mark = log.where(F.col("mark").isNotNull()).orderBy(F.col("mark").desc()).limit(1)  # the top-1 is the feature
+        snap = keep.unionByName(top_mark).distinct().select(*[f.name for f in _COMMIT_SCHEMA.fields])
+        snap.coalesce(1).write.mode("errorifexists").json(f"{self.snapshots}/upto={upto}")
+        return upto
 
     def _state(self) -> tuple[dict[str, list[tuple[int, str]]], dict[str, T.StructType]]:
         """(table -> [(bucket, path)], table -> schema), from the log.
@@ -329,8 +361,16 @@ class TableFamily:
         """Rows added to ``table`` in new folders (the old ones stay)."""
         _, schemas = self._state()
         merged = _merge_schema(schemas.get(table), df.schema)
+        n = self.bucket_counts().get(table, 1)
+        if self.key in df.columns and table in schemas:
+            # keyed: added rows go to their key's bucket, so a later upsert
+            # of that bucket sees them
+            data = df.withColumn("_bucket", self.bucket_of(F.col(self.key), n))
+            path, rows, mark = self._write(table, data, True)
+            entries = [(b, "add", d) for b, d in sorted(self._bucket_dirs(path).items())]
+            return Staged(table, entries or [(0, "add", "")], rows, merged, n, mark)
         path, rows, mark = self._write(table, df, False)
-        return Staged(table, [(0, "add", path)], rows, merged, self.bucket_counts().get(table, 1), mark)
+        return Staged(table, [(0, "add", path)], rows, merged, n, mark)
 
     def touched_buckets(self, keys: DataFrame, n: int) -> list[int]:
         """Buckets the keys hash to (at most n values reach the driver)."""
@@ -352,11 +392,13 @@ class TableFamily:
         if n not in cache:
             cache[n] = self.touched_buckets(keys, n)
         touched = cache[n]
-        live = dict(paths.get(table, []))
+        live: dict[int, list[str]] = {}
+        for b, p in paths.get(table, []):
+            live.setdefault(b, []).append(p)  # a bucket's replace plus its adds
         if not live and inserted is None:
             return None  # empty or missing table, nothing to add
         old_schema = schemas.get(table)
-        kept_paths = [p for b, p in live.items() if b in set(touched)]
+        kept_paths = [p for b, ps in live.items() if b in set(touched) for p in ps]
         kept = self._load(kept_paths, old_schema) if kept_paths else None
         if kept is None and inserted is None:
             return None
@@ -365,7 +407,7 @@ class TableFamily:
         combined = inserted if kept is None else (kept if inserted is None else append_by_name(kept, inserted))
         buckets = sorted(set(touched))
         if old_schema is not None and _types_changed(old_schema, combined.schema):
-            all_old = self._load([p for p in live.values()], old_schema) if live else None
+            all_old = self._load([p for ps in live.values() for p in ps], old_schema) if live else None
             rest = delete_by_keys(all_old, keys, self.key) if all_old is not None else None
             combined = inserted if rest is None else (rest if inserted is None else append_by_name(rest, inserted))
             buckets = list(range(n))
@@ -392,7 +434,15 @@ class TableFamily:
                 schema = s.schema.json()
                 for i, (b, op, path) in enumerate(s.entries):
                     rows.append((n, s.table, int(b), op, path, s.rows if i == 0 else 0, schema, int(s.buckets), s.mark if i == 0 else None))
-            self.spark.createDataFrame(rows, _COMMIT_SCHEMA).coalesce(1).write.mode("append").json(self.log)
+            (
+                self.spark.createDataFrame(rows, _COMMIT_SCHEMA)
+                .coalesce(1)
+                .write.mode("append")
+                .partitionBy("commit")
+                .json(self.log)
+            )
+            if self.compact_every and n % self.compact_every == 0:
+                self.compact()
         return n
 
 

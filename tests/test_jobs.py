@@ -187,3 +187,29 @@ def test_logged_mark_equals_scanned_mark(spark, tmp_root):
     scanned = watermark.high_water_mark(list(fam.read_all().values())).first()["last_update"]
     assert logged == scanned
     assert str(logged) == "2024-03-05 21:00:00.500000"
+
+
+def test_compaction_keeps_state(spark, tmp_root):
+    fam = TableFamily(spark, os.path.join(tmp_root, "targets"), mark_column="u")
+    fam.compact_every = 3
+    base = spark.range(10).selectExpr("CAST(id AS STRING) AS jira", "'v0' AS v", "TIMESTAMP_NTZ'2024-01-01 00:00:00' AS u")
+    fam.commit([fam.stage("t", base)])
+    for i in range(1, 6):
+        keys = spark.createDataFrame([(str(i),)], "jira string")
+        ins = spark.createDataFrame([(str(i), f"v{i}")], "jira string, v string").selectExpr("*", f"TIMESTAMP_NTZ'2024-01-0{i + 1} 00:00:00' AS u")
+        fam.commit([fam.stage_upsert("t", keys, ins)])
+    fam.commit([fam.stage_add("t", spark.createDataFrame([("x", "add")], "jira string, v string"))])
+    assert fam.last_commit() == 7
+    rows = {r["jira"]: r["v"] for r in fam.read("t").collect()}
+    assert len(rows) == 11 and rows["5"] == "v5" and rows["0"] == "v0" and rows["x"] == "add"
+    assert str(fam.mark().first()["last_update"]) == "2024-01-06 00:00:00"
+
+
+def test_add_then_upsert_in_other_bucket(spark, tmp_root):
+    fam = TableFamily(spark, os.path.join(tmp_root, "targets"), buckets=8)
+    fam.commit([fam.stage("t", spark.range(100).selectExpr("CAST(id AS STRING) AS jira", "'old' AS v"))])
+    fam.commit([fam.stage_add("t", spark.range(100, 200).selectExpr("CAST(id AS STRING) AS jira", "'added' AS v"))])
+    keys = spark.range(100, 200).selectExpr("CAST(id AS STRING) AS jira")
+    fam.commit([fam.stage_upsert("t", keys, None)])  # delete every added row, whatever its bucket
+    rows = fam.read("t").collect()
+    assert len(rows) == 100 and {r["v"] for r in rows} == {"old"}
