@@ -51,9 +51,10 @@ def _as_text(df: DataFrame, names: set[str]) -> DataFrame:
 def append_by_name(kept: DataFrame, inserted: DataFrame) -> DataFrame:
     """Insert side: union by name; columns missing on one side become NULL.
 
-    Types that widen (int -> bigint -> double) are widened by the union;
-    a column whose shape changed between runs (e.g. text, then an object)
-    is carried as JSON text on both sides instead of failing the sync.
+    Types that widen (int -> bigint -> double) are widened by the union,
+    and structs -- also inside arrays -- gain the nested fields either side
+    has; a column whose shape changed between runs (e.g. text, then an
+    object) is carried as JSON text on both sides instead of failing.
     """
     old = {f.name: f.dataType for f in kept.schema.fields}
     new = {f.name: f.dataType for f in inserted.schema.fields}
@@ -61,7 +62,7 @@ def append_by_name(kept: DataFrame, inserted: DataFrame) -> DataFrame:
     for name in set(old) & set(new):
         if old[name] != new[name]:
             try:
-                kept.select(name).unionByName(inserted.select(name)).schema  # noqa: B018 - analysis only
+                kept.select(name).unionByName(inserted.select(name), allowMissingColumns=True).schema  # noqa: B018 - analysis only
             except Exception:  # noqa: BLE001 - incompatible shapes
                 conflicts.add(name)
     if conflicts:

@@ -446,9 +446,21 @@ class TableFamily:
         return n
 
 
+def _readable_as(old: T.DataType, new: T.DataType) -> bool:
+    """Whether files written as ``old`` read correctly under ``new``: same
+    type, or structs (also in arrays) that only gained fields."""
+    if isinstance(old, T.StructType) and isinstance(new, T.StructType):
+        by_name = {f.name.lower(): f.dataType for f in new.fields}
+        return all(f.name.lower() in by_name and _readable_as(f.dataType, by_name[f.name.lower()]) for f in old.fields)
+    if isinstance(old, T.ArrayType) and isinstance(new, T.ArrayType):
+        return _readable_as(old.elementType, new.elementType)
+    return old == new
+
+
 def _types_changed(old: T.StructType, new: T.StructType) -> bool:
+    """A column of the table changed in a way old files cannot follow."""
     before = {f.name.lower(): f.dataType for f in old.fields}
-    return any(f.name.lower() in before and before[f.name.lower()] != f.dataType for f in new.fields)
+    return any(f.name.lower() in before and not _readable_as(before[f.name.lower()], f.dataType) for f in new.fields)
 
 
 def _merge_schema(old: T.StructType | None, new: T.StructType) -> T.StructType:

@@ -213,3 +213,19 @@ def test_add_then_upsert_in_other_bucket(spark, tmp_root):
     fam.commit([fam.stage_upsert("t", keys, None)])  # delete every added row, whatever its bucket
     rows = fam.read("t").collect()
     assert len(rows) == 100 and {r["v"] for r in rows} == {"old"}
+
+
+def test_new_nested_field_keeps_types_and_buckets(spark, tmp_root):
+    fam = TableFamily(spark, os.path.join(tmp_root, "targets"), buckets=8)
+    b1 = [doc(f"P-{i}", "Bug", "2024-03-05T10:00:00.000+1100", status={"name": "open"}) for i in range(40)]
+    b2 = [doc("P-1", "Bug", "2024-03-05T11:00:00.000+1100", status={"name": "done", "category": "closed"})]
+    fetch = fetcher(spark, [b1, b2], [])
+    sync_documents(spark, fetch, fam, field_map=FIELD_MAP)
+    before = set(fam.current()["Bug"])
+    sync_documents(spark, fetch, fam, field_map=FIELD_MAP)
+    after = set(fam.current()["Bug"])
+    assert len(before - after) == 1  # one bucket rewritten, the rest kept
+    df = fam.read("Bug")
+    assert dict(df.dtypes)["status"] == "struct<name:string,category:string>"
+    rows = {r["jira"]: r["status"] for r in df.collect()}
+    assert rows["P-1"]["category"] == "closed" and rows["P-2"]["name"] == "open" and rows["P-2"]["category"] is None
