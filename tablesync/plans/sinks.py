@@ -288,7 +288,7 @@ class TableFamily:
         log = self._log()
         if log is None or log.where(F.col("mark").isNotNull()).limit(1).count() == 0:
             return None
-        return log.agg(F.max(F.to_timestamp_ntz(F.col("mark"))).alias("last_update"))
+        return log.agg(F.max(F.col("mark").try_cast(T.TimestampNTZType())).alias("last_update"))
 
     def last_commit(self) -> int:
         log = self._log()
@@ -321,14 +321,14 @@ class TableFamily:
     def _write(self, table: str, df: DataFrame, bucketed: bool) -> tuple[str, int, str | None]:
         """Write a folder; row count and newest update time are observed
         during the write (no extra pass)."""
-        from ..functions.times import mark_as_utc
+        from ..functions.times import mark_as_utc, ntz_text
 
         path = f"{self.root}/{table}/v-{uuid.uuid4().hex}"
         obs = Observation(f"w_{uuid.uuid4().hex[:8]}")
         metrics = [F.count(F.lit(1)).alias("rows")]
         if self.mark_column and self.mark_column in df.columns:
             m = mark_as_utc(F.col(f"`{self.mark_column}`"), df.schema[self.mark_column].dataType)
-            metrics.append(F.date_format(F.max(m), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("mark"))
+            metrics.append(ntz_text(F.max(m)).alias("mark"))
         writer = df.observe(obs, *metrics).write.format(self.format).mode("errorifexists")
         if bucketed:
             writer = writer.partitionBy("_bucket")

@@ -56,3 +56,21 @@ def test_mark_as_utc_types(spark):
     assert df.select(times.mark_as_utc("t", T.TimestampNTZType())).first()[0] == dt.datetime(2024, 1, 1, 12, 0)
     s = df.select(F.date_format("t", "yyyy-MM-dd'T'HH:mm:ss.SSSZ").alias("s"))
     assert s.select(times.mark_as_utc("s", T.StringType())).first()[0] == dt.datetime(2024, 1, 1, 12, 0)
+
+
+def test_exact_in_a_daylight_saving_session_zone(spark):
+    """Wall times inside the session zone's spring-forward gap stay exact."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Europe/Paris")
+        # 2024-03-31 02:30 does not exist in Paris; as UTC text it must survive
+        df = spark.createDataFrame([("2024-03-31T13:30:00.250+1100",)], "s string")
+        assert df.select(times.to_utc_text("s")).first()[0] == "2024-03-31 02:30:00.250000"
+        ntz = spark.createDataFrame([(dt.datetime(2024, 3, 31, 2, 30, 0, 250000),)], "t timestamp_ntz")
+        assert ntz.select(times.source_text("t")).first()[0] == "2024-03-31T13:30:00.250+1100"
+        assert ntz.select(times.format_mark("t")).first()[0] == "2024/03/31 13:30"
+        back = ntz.select(times.mark_text_to_utc(times.format_mark("t"))).first()[0]
+        assert back == dt.datetime(2024, 3, 31, 2, 30)
+        assert df.select(times.parse_mark("s")).first()[0] == dt.datetime(2024, 3, 31, 2, 30, 0, 250000)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
