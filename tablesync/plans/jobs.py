@@ -283,8 +283,11 @@ def sync_documents(
             "doc",
         )
     )
+    # REBALANCE by type before the partitioned write: one file per task and
+    # type otherwise; AQE coalesces small types and splits a hot one.
     (
-        to_stage.write.mode("errorifexists")
+        to_stage.hint("rebalance", "_subtask", "_type")
+        .write.mode("errorifexists")
         .partitionBy("_subtask", "_type")
         .parquet(staging)
     )

@@ -329,7 +329,14 @@ class TableFamily:
         if self.mark_column and self.mark_column in df.columns:
             m = mark_as_utc(F.col(f"`{self.mark_column}`"), df.schema[self.mark_column].dataType)
             metrics.append(ntz_text(F.max(m)).alias("mark"))
-        writer = df.observe(obs, *metrics).write.format(self.format).mode("errorifexists")
+        data = df
+        if bucketed:
+            # Without a shuffle every task would write one file per bucket it
+            # sees (tasks x buckets files).  REBALANCE groups rows by bucket and
+            # lets AQE size the output: small buckets are coalesced and a hot
+            # bucket (a key holding a third of the rows) is split over tasks.
+            data = df.hint("rebalance", "_bucket")
+        writer = data.observe(obs, *metrics).write.format(self.format).mode("errorifexists")
         if bucketed:
             writer = writer.partitionBy("_bucket")
         writer.save(path)
