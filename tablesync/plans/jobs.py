@@ -15,7 +15,7 @@ from ..functions import times
 from ..operators import coerce, documents, routing, upsert, watermark
 from ..operators.metrics import observe_rows
 from ..operators.partitioning import size_partitions
-from ..session import scratch_path
+from ..session import delete_path, scratch_path
 from ..sources import catalog as cat
 from ..sources.relational import TableSource, read_table, read_table_partitioned, table_size_bytes
 from .sinks import Sink, TableFamily, write_table
@@ -233,6 +233,7 @@ def sync_documents(
     force_full: bool = False,
     parallelism: int = 8,
     dedupe_keys: bool = False,
+    keep_staging: bool = False,
 ) -> DataFrame:
     """Full refresh or incremental upsert of a document collection.
 
@@ -336,6 +337,8 @@ def sync_documents(
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         staged_tables = [x for x in pool.map(stage_one, tables) if x is not None]
     commit = family.commit(staged_tables)
+    if not keep_staging:
+        delete_path(spark, staging)  # the batch now lives in the committed versions
     n_fetched = int(metrics.get("rows", 0))
     mode = "incremental" if incremental else "full"
     rows = [(x.table, x.rows, mode, commit, n_fetched) for x in staged_tables]

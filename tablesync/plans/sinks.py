@@ -290,6 +290,32 @@ class TableFamily:
             return None
         return log.agg(F.max(F.col("mark").try_cast(T.TimestampNTZType())).alias("last_update"))
 
+    def vacuum(self, retain_commits: int = 10) -> list[str]:
+        """Delete version folders no live bucket uses and no commit among the
+        last ``retain_commits`` wrote (readers of recent versions keep their
+        files).  Returns the deleted folders."""
+        from ..session import delete_path, list_dirs
+
+        log = self._log()
+        if log is None:
+            return []
+        last = self.last_commit()
+        paths, schemas = self._state()
+        keep = set()
+        for entries in paths.values():
+            keep.update(_version_dir(p) for _, p in entries)
+        recent = log.where((F.col("commit") > last - retain_commits) & (F.col("path") != "")).select("path").distinct()
+        keep.update(_version_dir(r[0]) for r in recent.collect())
+        deleted = []
+        for table in schemas:
+            base = f"{self.root}/{table}"
+            for name in list_dirs(self.spark, base):
+                folder = f"{base}/{name}"
+                if name.startswith("v-") and folder not in keep:
+                    delete_path(self.spark, folder)
+                    deleted.append(folder)
+        return deleted
+
     def last_commit(self) -> int:
         log = self._log()
         if log is None:
@@ -464,6 +490,12 @@ def _readable_as(old: T.DataType, new: T.DataType) -> bool:
     return old == new
 
 
+def _version_dir(path: str) -> str:
+    """``<root>/<table>/v-<id>`` of a bucket folder or version folder."""
+    head, _, tail = path.rstrip("/").rpartition("/")
+    return head if tail.startswith("_bucket=") else path.rstrip("/")
+
+
 def _types_changed(old: T.StructType, new: T.StructType) -> bool:
     """A column of the table changed in a way old files cannot follow."""
     before = {f.name.lower(): f.dataType for f in old.fields}

@@ -76,3 +76,11 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(hpath):
         return []
     return [st.getPath().getName() for st in fs.listStatus(hpath) if st.isDirectory()]
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Delete a folder (recursively) on whatever file system the path names."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.delete(hpath, True)) if fs.exists(hpath) else False

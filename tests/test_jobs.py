@@ -229,3 +229,23 @@ def test_new_nested_field_keeps_types_and_buckets(spark, tmp_root):
     assert dict(df.dtypes)["status"] == "struct<name:string,category:string>"
     rows = {r["jira"]: r["status"] for r in df.collect()}
     assert rows["P-1"]["category"] == "closed" and rows["P-2"]["name"] == "open" and rows["P-2"]["category"] is None
+
+
+def test_vacuum_keeps_live_versions(spark, tmp_root):
+    from tablesync.session import list_dirs
+
+    fam = TableFamily(spark, os.path.join(tmp_root, "targets"), buckets=4)
+    b1 = [doc(f"P-{i}", "Bug", "2024-03-05T10:00:00.000+1100", x=i) for i in range(20)]
+    b2 = [doc("P-1", "Bug", "2024-03-05T11:00:00.000+1100", x=100)]
+    fetch = fetcher(spark, [b1, b2], [])
+    sync_documents(spark, fetch, fam, field_map=FIELD_MAP)
+    sync_documents(spark, fetch, fam, field_map=FIELD_MAP)
+    before = {r["jira"]: r["x"] for r in fam.read("Bug").collect()}
+    deleted = fam.vacuum(retain_commits=0)
+    after = {r["jira"]: r["x"] for r in fam.read("Bug").collect()}
+    assert after == before and after["P-1"] == 100 and len(after) == 20
+    # the first version still holds three untouched buckets, so it stays
+    assert len(list_dirs(spark, os.path.join(fam.root, "Bug"))) == 2 and deleted == []
+    fam.commit([fam.stage("Bug", fam.read("Bug"))])  # a full rewrite frees both
+    assert len(fam.vacuum(retain_commits=0)) == 2
+    assert fam.read("Bug").count() == 20
