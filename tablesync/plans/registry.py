@@ -390,9 +390,10 @@ def incremental_filter(spark, sf_dir):
         F.col("o_orderdate").alias(watermark.UPDATED_COLUMN)
     )
     mark = watermark.mark_text(watermark.high_water_mark([synced]))
-    since = mark.select(times.mark_text_to_utc(F.col("mark_text")).alias("since"))
-    # one-row mark: broadcast is size-bounded by construction
-    return o.join(F.broadcast(since), F.col("o_orderdate") > F.col("since"), "left_semi")
+    # the mark is one scalar (as in the API's query text): read it once and
+    # filter with a literal, which reaches the Parquet scan as a pushed filter
+    since = mark.select(times.mark_text_to_utc(F.col("mark_text")).alias("since")).first()["since"]
+    return watermark.since(o, F.lit(since).cast(T.TimestampNTZType()), "o_orderdate")
 
 
 @register("paged_scan", "SELECT o_orderkey FROM orders")

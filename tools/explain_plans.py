@@ -18,7 +18,7 @@ NOTES = {
     "route_counts": "Per-(type, flag) partial count before the shuffle; the accent-stripping UDF runs on the aggregated rows, not per document.",
     "flatten_envelope": "One projection types the VARIANT; the schema comes from a separate aggregation job (only its result reaches the driver).",
     "jdbc_scan_partitioned": "Range predicates from one bounds probe (pushed to the database on JDBC); here applied as tags over the file scan.",
-    "incremental_filter": "The one-row mark is broadcast (size-bounded by construction) into a left-semi range filter.",
+    "incremental_filter": "The mark is read once as a scalar; the filter on it is pushed into the Parquet scan.",
     "repartition_rows": "Size known (files): repartition(ceil(bytes/9 MiB)); unknown: REBALANCE for AQE.",
     "decimal_to_float": "A single projection of casts inside whole-stage codegen; no per-column plan growth.",
 }
