@@ -57,3 +57,34 @@ def test_row_group_aligned_plan(spark, tmp_root):
     plan = ParquetOrdersFetcher({"path": path}).plan_pages(3, 100, max_docs_per_task=100)
     covered = [p for a, b in plan for p in range(a, b + 1)]
     assert covered == [0, 1, 2]
+
+
+class _TypesFetcher:
+    def __init__(self, options):
+        self.options = options
+
+    def types(self):
+        return [("Tâche", False), ("Sous-tâche", True)]
+
+
+def _types_fetcher(options):
+    return _TypesFetcher(options)
+
+
+def test_types_resource_feeds_routing(spark):
+    import json
+    import sys
+
+    from pyspark import cloudpickle
+
+    from tablesync.operators import documents, routing
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    paged.register(spark, _types_fetcher)
+    types = spark.read.format("paged_documents").option("resource", "types").load()
+    assert sorted(tuple(r) for r in types.collect()) == [("Sous-tâche", True), ("Tâche", False)]
+    docs = spark.createDataFrame(
+        [(json.dumps({"key": "K-1", "fields": {"issuetype": {"name": "Sous-tâche"}}}),)], "raw string"
+    )
+    routed = routing.route(documents.parse(docs), types=types)
+    assert routed.select("_target").first()[0] == "Sous_tache_subtask"
