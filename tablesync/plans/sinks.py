@@ -511,3 +511,55 @@ def _merge_schema(old: T.StructType | None, new: T.StructType) -> T.StructType:
     seen = {f.name.lower() for f in old.fields}
     fields += [f for f in new.fields if f.name.lower() not in seen]
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in fields])
+
+
+# --------------------------------------------------------------------------
+# table formats with MERGE (Delta, Iceberg): the family's job is done by SQL
+# --------------------------------------------------------------------------
+
+def _ident(name: str) -> str:
+    return ".".join("`" + part.replace("`", "``") + "`" for part in name.split("."))
+
+
+def merge_delete_sql(table: str, keys_view: str, key: str = "jira") -> str:
+    """Remove every changed key from one table (a type change moves a row)."""
+    return (
+        f"MERGE INTO {_ident(table)} AS t USING (SELECT DISTINCT {_ident(key)} FROM {_ident(keys_view)}) AS k "
+        f"ON t.{_ident(key)} = k.{_ident(key)} WHEN MATCHED THEN DELETE"
+    )
+
+
+def merge_upsert_sql(table: str, changes_view: str, key: str = "jira") -> str:
+    """Replace or insert the changed rows of one table, matched by key."""
+    return (
+        f"MERGE INTO {_ident(table)} AS t USING {_ident(changes_view)} AS s "
+        f"ON t.{_ident(key)} = s.{_ident(key)} "
+        "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"
+    )
+
+
+def merge_family(spark: SparkSession, tables: list[str], keys: DataFrame, changes_by_table: dict[str, DataFrame], key: str = "jira") -> None:
+    """Incremental upsert on catalog tables of a format with MERGE INTO.
+
+    Each statement is atomic per table (the format's own commit), so unlike
+    :class:`TableFamily` the tables do not switch together.  New tables are
+    created from their first rows.  Needs the format's jar and catalog; not
+    available in the test environment (the statements are unit-tested).
+    """
+    view = f"_tablesync_keys_{uuid.uuid4().hex[:8]}"
+    keys.select(key).createOrReplaceTempView(view)
+    try:
+        for t in tables:
+            spark.sql(merge_delete_sql(t, view, key))
+        for t, rows in changes_by_table.items():
+            if spark.catalog.tableExists(t):
+                cv = f"_tablesync_rows_{uuid.uuid4().hex[:8]}"
+                rows.createOrReplaceTempView(cv)
+                try:
+                    spark.sql(merge_upsert_sql(t, cv, key))
+                finally:
+                    spark.catalog.dropTempView(cv)
+            else:
+                rows.writeTo(t).create()
+    finally:
+        spark.catalog.dropTempView(view)

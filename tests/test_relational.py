@@ -113,3 +113,16 @@ def test_spark_catalog_namespace(spark):
     spark.range(1).createOrReplaceTempView("tmp_b")
     names = {r[0] for r in cat.spark_catalog(spark, "default", exclude=["tmp_b"]).collect()}
     assert "tmp_a" in names and "tmp_b" not in names
+
+
+def test_merge_statements():
+    from tablesync.plans.sinks import merge_delete_sql, merge_upsert_sql
+
+    assert merge_delete_sql("db.Bug", "keys") == (
+        "MERGE INTO `db`.`Bug` AS t USING (SELECT DISTINCT `jira` FROM `keys`) AS k "
+        "ON t.`jira` = k.`jira` WHEN MATCHED THEN DELETE"
+    )
+    assert merge_upsert_sql("db.Bug", "rows") == (
+        "MERGE INTO `db`.`Bug` AS t USING `rows` AS s ON t.`jira` = s.`jira` "
+        "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"
+    )
