@@ -138,6 +138,10 @@ _COMMIT_SCHEMA = T.StructType(
 )
 
 
+# Partition column of family tables; a name no document field will carry.
+BUCKET_COLUMN = "__tablesync_bucket"
+
+
 @dataclass
 class Staged:
     """A written, not yet visible change of one table."""
@@ -153,7 +157,7 @@ class Staged:
 class TableFamily:
     """A set of tables that change together (one table per document type).
 
-    Layout: ``<root>/<table>/v-<id>/_bucket=<b>/part-*`` plus a commit log
+    Layout: ``<root>/<table>/v-<id>/__tablesync_bucket=<b>/part-*`` plus a commit log
     ``<root>/_commits`` (JSON rows, appended by one Spark job per commit).
     Keyed tables are split into n buckets by ``pmod(xxhash64(key), n)``:
     an upsert rewrites only the buckets its changed keys fall in, so the
@@ -361,10 +365,10 @@ class TableFamily:
             # sees (tasks x buckets files).  REBALANCE groups rows by bucket and
             # lets AQE size the output: small buckets are coalesced and a hot
             # bucket (a key holding a third of the rows) is split over tasks.
-            data = df.hint("rebalance", "_bucket")
+            data = df.hint("rebalance", BUCKET_COLUMN)
         writer = data.observe(obs, *metrics).write.format(self.format).mode("errorifexists")
         if bucketed:
-            writer = writer.partitionBy("_bucket")
+            writer = writer.partitionBy(BUCKET_COLUMN)
         writer.save(path)
         got = obs.get
         return path, int(got.get("rows", 0)), got.get("mark")
@@ -374,7 +378,7 @@ class TableFamily:
 
         out = {}
         for name in list_dirs(self.spark, path):
-            if name.startswith("_bucket="):
+            if name.startswith(BUCKET_COLUMN + "="):
                 out[int(name.split("=", 1)[1])] = f"{path}/{name}"
         return out
 
@@ -382,7 +386,7 @@ class TableFamily:
         """A full new version of ``table`` (every bucket replaced)."""
         if self.key in df.columns:
             n = self._bucket_count(df)
-            data = df.withColumn("_bucket", self.bucket_of(F.col(self.key), n))
+            data = df.withColumn(BUCKET_COLUMN, self.bucket_of(F.col(self.key), n))
             path, rows, mark = self._write(table, data, True)
             dirs = self._bucket_dirs(path)
             entries = [(b, "replace", dirs.get(b, "")) for b in range(n)]
@@ -398,7 +402,7 @@ class TableFamily:
         if self.key in df.columns and table in schemas:
             # keyed: added rows go to their key's bucket, so a later upsert
             # of that bucket sees them
-            data = df.withColumn("_bucket", self.bucket_of(F.col(self.key), n))
+            data = df.withColumn(BUCKET_COLUMN, self.bucket_of(F.col(self.key), n))
             path, rows, mark = self._write(table, data, True)
             entries = [(b, "add", d) for b, d in sorted(self._bucket_dirs(path).items())]
             return Staged(table, entries or [(0, "add", "")], rows, merged, n, mark)
@@ -444,7 +448,7 @@ class TableFamily:
             rest = delete_by_keys(all_old, keys, self.key) if all_old is not None else None
             combined = inserted if rest is None else (rest if inserted is None else append_by_name(rest, inserted))
             buckets = list(range(n))
-        data = combined.withColumn("_bucket", self.bucket_of(F.col(self.key), n))
+        data = combined.withColumn(BUCKET_COLUMN, self.bucket_of(F.col(self.key), n))
         path, rows, mark = self._write(table, data, True)
         dirs = self._bucket_dirs(path)
         entries = [(b, "replace", dirs.get(b, "")) for b in buckets]
@@ -493,7 +497,7 @@ def _readable_as(old: T.DataType, new: T.DataType) -> bool:
 def _version_dir(path: str) -> str:
     """``<root>/<table>/v-<id>`` of a bucket folder or version folder."""
     head, _, tail = path.rstrip("/").rpartition("/")
-    return head if tail.startswith("_bucket=") else path.rstrip("/")
+    return head if tail.startswith(BUCKET_COLUMN + "=") else path.rstrip("/")
 
 
 def _types_changed(old: T.StructType, new: T.StructType) -> bool:
