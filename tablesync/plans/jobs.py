@@ -209,9 +209,8 @@ def read_mark(family: TableFamily, column: str = watermark.UPDATED_COLUMN):
     logged = family.mark()
     if logged is not None:
         row = watermark.mark_text(logged).first()
-        if row is None or row["last_update"] is None:
-            return None, None
-        return row["last_update"], row["mark_text"]
+        if row is not None and row["last_update"] is not None:
+            return row["last_update"], row["mark_text"]
     targets = [t for t in family.read_all().values() if column in t.columns]
     if not targets:
         return None, None

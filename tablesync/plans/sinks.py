@@ -288,9 +288,9 @@ class TableFamily:
     def mark(self) -> DataFrame | None:
         """One row ``last_update`` (UTC ``timestamp_ntz``): the newest update
         time ever committed, from the log -- no table is scanned.  ``None``
-        when the log holds no mark (then scan the tables)."""
+        without a log; a NULL mark when no commit recorded one."""
         log = self._log()
-        if log is None or log.where(F.col("mark").isNotNull()).limit(1).count() == 0:
+        if log is None:
             return None
         return log.agg(F.max(F.col("mark").try_cast(T.TimestampNTZType())).alias("last_update"))
 
