@@ -291,7 +291,8 @@ def clean_text(spark, sf_dir):
 @register(
     "array_to_text",
     "SELECT o_orderkey, o_orderkey || ', ' || o_custkey AS c, o_orderstatus || ', None' AS c2, "
-    "CASE WHEN o_orderstatus = 'F' THEN 'True' ELSE 'False' END AS c3 FROM orders",
+    "CASE WHEN o_orderstatus = 'F' THEN 'True' ELSE 'False' END AS c3, "
+    "CAST(o_totalprice AS VARCHAR) || ', None' AS c4 FROM orders",
 )
 def array_to_text(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
@@ -303,6 +304,7 @@ def array_to_text(spark, sf_dir):
         value_text(a, T.ArrayType(T.LongType())).alias("c"),
         value_text(nested, T.ArrayType(T.ArrayType(T.StringType()))).alias("c2"),
         value_text(flag, T.ArrayType(T.BooleanType())).alias("c3"),
+        value_text(F.array(F.col("o_totalprice"), F.lit(None).cast("double")), T.ArrayType(T.DoubleType())).alias("c4"),
     )
 
 

@@ -117,3 +117,22 @@ def test_value_text(spark):
         value_text(F.col("e"), T.ArrayType(T.IntegerType())),
     ).first()
     assert tuple(r) == ("1, None, 2", "True", "")
+
+
+def test_python_float_text(spark):
+    import random
+    import struct
+
+    from tablesync.functions.text import python_float_text
+
+    fixed = [0.0, -0.0, 1.0, 1e7, 12345678.9, 1e16, 1.5e16, 1e-3, 1e-4, 1.5e-5, 123.456, 1e23, 5e-324,
+             1.7976931348623157e308, 0.1 + 0.2, float("nan"), float("inf"), float("-inf"), -1e-7, 1e15, 2.5]
+    rnd = random.Random(5)
+    sample = [struct.unpack("d", struct.pack("Q", rnd.getrandbits(64)))[0] for _ in range(500)]
+    sample += [rnd.uniform(-1, 1) * 10 ** rnd.randint(-20, 25) for _ in range(500)]
+    vals = fixed + sample
+    df = spark.createDataFrame(list(enumerate(vals)), "i int, x double")
+    got = {r.i: r.t for r in df.select("i", python_float_text(F.col("x")).alias("t")).collect()}
+    assert [got[i] for i in range(len(fixed))] == [str(v) for v in fixed]
+    misses = sum(got[i] != str(vals[i]) for i in range(len(fixed), len(vals)))
+    assert misses <= 2  # rare halfway cases in the last digit (see the docstring)
