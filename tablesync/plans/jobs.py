@@ -1,4 +1,5 @@
-"""Composite jobs: copy a table, copy a schema, synchronise documents."""
+"""Composite jobs: copy a table, copy a schema (JDBC, folder), synchronise
+documents (full refresh or incremental upsert into a table family)."""
 
 from __future__ import annotations
 
@@ -236,16 +237,18 @@ def sync_documents(
 ) -> DataFrame:
     """Full refresh or incremental upsert of a document collection.
 
-    1. high-water mark over all targets -> API filter text (none -> full);
-    2. ``fetch(since)`` -> raw documents; parsed, routed, and written once
-       to a staging folder under the checkpoint root (the API is read once;
-       everything later re-reads the staged files, which survive the loss
-       of an executor);
-    3. per-type schemas by one distributed aggregation;
+    1. high-water mark from the family's commit log (scanning the targets
+       only for logs without marks) -> API filter text (none -> full);
+    2. ``fetch(since)`` -> raw documents; parsed and written once to a
+       staging folder under the checkpoint root, partitioned by raw type
+       (the API is read once; everything later re-reads the staged files,
+       which survive the loss of an executor);
+    3. per-type schemas merged by an Observation on that same staging job;
     4. incremental: every changed key leaves every table (a type change
-       moves the document), then each type's rows are appended by name;
-       full: each type present in the batch replaces its table;
-    5. all new versions are committed together.
+       moves the document) -- only the buckets the keys hash to are
+       rewritten -- and each type's rows are added by name; full: each type
+       present in the batch replaces its table;
+    5. all changes are committed together; the staging folder is dropped.
 
     ``dedupe_keys`` keeps one document per key (the latest update) when a
     batch may repeat a key -- page drift, or several landed files in one

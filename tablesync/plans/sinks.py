@@ -7,12 +7,15 @@ relaxation) and direct strict.  For file formats, "field addition" means the
 new files may carry extra columns and readers merge schemas; "strict" refuses
 an append whose columns differ from the table's.
 
-A :class:`TableFamily` keeps one folder per table and a commit log
-(``_commits``, JSON).  New versions are written to fresh folders first;
-one Spark append job then adds the commit rows for *all* tables at once, so
-readers see either the old set or the new set -- never a table deleted but
-not yet re-filled.  Nothing is overwritten in place, so a version can be
-built while reading the previous one.
+A :class:`TableFamily` keeps one folder per table (split into key buckets)
+and a commit log (``_commits``, JSON, compacted into snapshots).  Changes
+are written to fresh folders first; one Spark append job then adds the
+commit rows for *all* tables at once, so readers see either the old set or
+the new set -- never a table deleted but not yet re-filled.  An upsert
+rewrites only the buckets its keys fall in; nothing is overwritten in
+place, so a version can be built while reading the previous one.  Where a
+table format with ``MERGE INTO`` is installed, :func:`merge_family` does
+the same work with SQL.
 """
 
 from __future__ import annotations
