@@ -249,3 +249,14 @@ def test_vacuum_keeps_live_versions(spark, tmp_root):
     fam.commit([fam.stage("Bug", fam.read("Bug"))])  # a full rewrite frees both
     assert len(fam.vacuum(retain_commits=0)) == 2
     assert fam.read("Bug").count() == 20
+
+
+def test_empty_incremental_batch_changes_nothing(spark, tmp_root):
+    fam = TableFamily(spark, os.path.join(tmp_root, "targets"))
+    b1 = [doc("P-1", "Bug", "2024-03-05T10:00:00.000+1100", x=1)]
+    fetch = fetcher(spark, [b1, []], [])
+    sync_documents(spark, fetch, fam, field_map=FIELD_MAP)
+    before, commits = fam.current(), fam.last_commit()
+    empty_fetch = lambda _since: spark.createDataFrame([], "raw string")
+    res = sync_documents(spark, empty_fetch, fam, field_map=FIELD_MAP)
+    assert res.count() == 0 and fam.current() == before and fam.last_commit() == commits
