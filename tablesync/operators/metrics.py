@@ -9,6 +9,15 @@ from pyspark.sql import functions as F
 
 
 def observe_rows(df: DataFrame, name: str | None = None) -> tuple[DataFrame, Observation]:
-    """Attach a row-count metric; read ``obs.get['rows']`` after the action."""
+    """Attach a row-count metric; read it with :func:`observed` after the action."""
     obs = Observation(name or f"rows_{uuid.uuid4().hex[:8]}")
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+
+
+def observed(obs: Observation) -> dict:
+    """The metrics of an Observation; empty when the observed job ran no
+    task at all (an input with no partitions reports no metrics row)."""
+    try:
+        return dict(obs.get)
+    except Exception:  # noqa: BLE001 - nothing was observed
+        return {}

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from ..functions import times
 from ..operators import coerce, documents, routing, upsert, watermark
 from ..operators.metrics import observe_rows
+from ..operators.metrics import observed as observed_metrics
 from ..operators.partitioning import size_partitions
 from ..session import delete_path, scratch_path
 from ..sources import catalog as cat
@@ -76,9 +77,9 @@ def prepare_table(
 def copy_table(spark: SparkSession, source: TableSource, table: str, sink: Sink, mode: str = "overwrite", evolve: bool = False, **prepare) -> tuple:
     """Copy one table; the row count is measured during the write (one scan)."""
     df = prepare_table(spark, source, table, **prepare)
-    observed, obs = observe_rows(df)
-    write_table(observed, sink, table, mode=mode, evolve=evolve)
-    return (table, int(obs.get.get("rows", 0)), "ok", None)
+    watched, obs = observe_rows(df)
+    write_table(watched, sink, table, mode=mode, evolve=evolve)
+    return (table, int(observed_metrics(obs).get("rows") or 0), "ok", None)
 
 
 def copy_schema(
@@ -297,7 +298,7 @@ def sync_documents(
     # explicit schema: partition values are not type-guessed (a type named
     # "2024" stays a string, the flag is a boolean)
     staged = spark.read.schema(STAGING_SCHEMA).parquet(staging)
-    metrics = observed.get
+    metrics = observed_metrics(observed)
     per_key = documents.split_keyed_schemas(metrics.get("schemas"))
     per_pair = {}
     for k, schema in per_key.items():
@@ -341,7 +342,7 @@ def sync_documents(
     commit = family.commit(staged_tables)
     if not keep_staging:
         delete_path(spark, staging)  # the batch now lives in the committed versions
-    n_fetched = int(metrics.get("rows", 0))
+    n_fetched = int(metrics.get("rows") or 0)
     mode = "incremental" if incremental else "full"
     rows = [(x.table, x.rows, mode, commit, n_fetched) for x in staged_tables]
     return spark.createDataFrame(rows, "table_name string, rows bigint, mode string, commit bigint, fetched bigint")

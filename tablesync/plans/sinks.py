@@ -373,8 +373,10 @@ class TableFamily:
         if bucketed:
             writer = writer.partitionBy(BUCKET_COLUMN)
         writer.save(path)
-        got = obs.get
-        return path, int(got.get("rows", 0)), got.get("mark")
+        from ..operators.metrics import observed
+
+        got = observed(obs)
+        return path, int(got.get("rows") or 0), got.get("mark")
 
     def _bucket_dirs(self, path: str) -> dict[int, str]:
         from ..session import list_dirs
