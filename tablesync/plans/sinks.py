@@ -440,6 +440,28 @@ class TableFamily:
         if not live and inserted is None:
             return None  # empty or missing table, nothing to add
         old_schema = schemas.get(table)
+        # Narrow the candidate buckets to those that really change: a bucket
+        # holding one of the keys (found from the key column alone) or
+        # receiving an inserted row.  Each changed document then costs about
+        # one bucket in the whole family, not one per table.
+        candidates = [b for b in touched if b in live]
+        hits: set[int] = set()
+        if candidates:
+            key_only = self.spark.read.format(self.format).schema(
+                T.StructType([old_schema[self.key]])
+            ).load([p for b in candidates for p in live[b]])
+            hits = {
+                r[0]
+                for r in key_only.join(keys.select(self.key).distinct(), self.key, "left_semi")
+                .select(self.bucket_of(F.col(self.key), n))
+                .distinct()
+                .collect()
+            }
+        if inserted is not None:
+            hits |= {r[0] for r in inserted.select(self.bucket_of(F.col(self.key), n)).distinct().collect()}
+        touched = sorted(hits)
+        if not touched:
+            return None
         kept_paths = [p for b, ps in live.items() if b in set(touched) for p in ps]
         kept = self._load(kept_paths, old_schema) if kept_paths else None
         if kept is None and inserted is None:
