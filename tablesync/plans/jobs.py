@@ -246,8 +246,9 @@ def sync_documents(
        which survive the loss of an executor);
     3. per-type schemas merged by an Observation on that same staging job;
     4. incremental: every changed key leaves every table (a type change
-       moves the document) -- only the buckets the keys hash to are
-       rewritten -- and each type's rows are added by name; full: each type
+       moves the document) -- only buckets that hold a changed key or
+       receive a row are rewritten -- and each type's rows are added by
+       name; full: each type
        present in the batch replaces its table;
     5. all changes are committed together; the staging folder is dropped.
 

@@ -420,7 +420,7 @@ class TableFamily:
 
     def stage_upsert(self, table: str, keys: DataFrame, inserted: DataFrame | None, state=None, touched_cache=None) -> Staged | None:
         """Delete ``keys`` from ``table`` and add ``inserted``, rewriting
-        only the buckets the keys hash to.  A column whose type changes
+        only the buckets that hold one of the keys or receive a row.  A column whose type changes
         forces a rewrite of every bucket, as untouched files could not be
         read under the new type.  A table new to the family is written in
         full."""
