@@ -191,14 +191,18 @@ def latest_per_key(docs: DataFrame) -> DataFrame:
         F.lit("0001-01-01 00:00:00").cast(T.TimestampNTZType()),
     )
     cols = [c for c in docs.columns]
-    keyed = docs.withColumn("_k", key).withColumn("_u", updated)
-    latest = (
-        keyed.where(F.col("_k").isNotNull())
-        .groupBy("_k")
+    # A document without a key gets a group of its own (a surrogate that no
+    # key can equal), so it is kept as it is -- no filter and no union: a
+    # filter on the parsed key would be pushed below the parse and parse
+    # every document twice.
+    group = F.coalesce(key, F.concat(F.lit("\u0001"), F.monotonically_increasing_id().cast("string")))
+    return (
+        docs.withColumn("_g", group)
+        .withColumn("_u", updated)
+        .groupBy("_g")
         .agg(F.max_by(F.struct(*[F.col(c) for c in cols]), F.col("_u")).alias("_w"))
         .select("_w.*")
     )
-    return latest.unionByName(keyed.where(F.col("_k").isNull()).select(*cols))
 
 
 def read_mark(family: TableFamily, column: str = watermark.UPDATED_COLUMN):

@@ -260,3 +260,19 @@ def test_empty_incremental_batch_changes_nothing(spark, tmp_root):
     empty_fetch = lambda _since: spark.createDataFrame([], "raw string")
     res = sync_documents(spark, empty_fetch, fam, field_map=FIELD_MAP)
     assert res.count() == 0 and fam.current() == before and fam.last_commit() == commits
+
+
+def test_latest_per_key_keeps_keyless_documents(spark):
+    from tablesync.operators import documents, routing
+    from tablesync.plans.jobs import latest_per_key
+
+    objs = [
+        {"fields": {"issuetype": {"name": "Bug"}, "updated": "2024-03-05T10:00:00.000+1100", "n": 1}},
+        {"fields": {"issuetype": {"name": "Bug"}, "updated": "2024-03-05T10:00:00.000+1100", "n": 1}},
+        {"key": "A", "fields": {"updated": "2024-03-05T10:00:00.000+1100", "n": 2}},
+        {"key": "A", "fields": {"updated": "2024-03-05T12:00:00.000+1100", "n": 3}},
+    ]
+    raw = spark.createDataFrame([(json.dumps(o),) for o in objs], "raw string")
+    out = latest_per_key(routing.with_type(documents.parse(raw).select("doc")))
+    ns = sorted(r[0] for r in out.select(F.try_variant_get("doc", "$.fields.n", "int")).collect())
+    assert ns == [1, 1, 3]  # both keyless documents kept, the newest "A"
