@@ -446,7 +446,10 @@ class TableFamily:
         # one bucket in the whole family, not one per table.
         candidates = [b for b in touched if b in live]
         hits: set[int] = set()
-        if candidates:
+        if len(set(touched)) >= n:
+            # the keys reach every bucket: narrowing cannot save a rewrite
+            hits = set(range(n))
+        elif candidates:
             key_only = self.spark.read.format(self.format).schema(
                 T.StructType([old_schema[self.key]])
             ).load([p for b in candidates for p in live[b]])
@@ -457,7 +460,7 @@ class TableFamily:
                 .distinct()
                 .collect()
             }
-        if inserted is not None:
+        if inserted is not None and len(hits) < n:
             hits |= {r[0] for r in inserted.select(self.bucket_of(F.col(self.key), n)).distinct().collect()}
         touched = sorted(hits)
         if not touched:
