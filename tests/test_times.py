@@ -74,3 +74,19 @@ def test_exact_in_a_daylight_saving_session_zone(spark):
         assert df.select(times.parse_mark("s")).first()[0] == dt.datetime(2024, 3, 31, 2, 30, 0, 250000)
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_ntz_text_paths_agree(spark):
+    """The date_format path (fixed-offset session zone) and the zone-free
+    path spell every wall clock the same way."""
+    import random
+
+    rnd = random.Random(9)
+    base = dt.datetime(1970, 1, 1)
+    vals = [base + dt.timedelta(microseconds=rnd.randrange(0, 2_000_000_000_000_000)) for _ in range(300)]
+    vals += [dt.datetime(2024, 3, 5, 10, 11, 12), dt.datetime(2024, 3, 5, 10, 11, 12, 100000), dt.datetime(1999, 12, 31, 23, 59, 59, 999999)]
+    df = spark.createDataFrame([(v,) for v in vals], "t timestamp_ntz")
+    fast = [r[0] for r in df.select(times.ntz_text("t")).collect()]  # session zone is UTC here
+    base_part, frac = times._ntz_parts(F.col("t"))
+    slow = [r[0] for r in df.select(F.concat(base_part, F.lit("."), frac)).collect()]
+    assert fast == slow == [v.strftime("%Y-%m-%d %H:%M:%S.%f") for v in vals]
