@@ -43,3 +43,21 @@ def test_scan_partition_tags_are_disjoint_and_complete(spark, sf_dir):
     df = registry.QUERIES["jdbc_scan_partitioned"](spark, sf_dir)
     assert df.where("scan_part IS NULL").count() == 0
     assert df.select("scan_part").distinct().count() >= 1
+
+
+def test_anti_join_at_scale_has_one_exchange_per_side(spark, sf_dir):
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        df = registry.QUERIES["delete_by_keys"](spark, sf_dir)
+        qe = df._jdf.queryExecution()
+        qe.toRdd().count()
+        final = qe.executedPlan().toString().split("== Initial Plan ==")[0]
+        assert "SortMergeJoin" in final and "LeftAnti" in final
+        assert final.count("Exchange hashpartitioning") == 2  # the distinct's partitioning is reused
+        assert "partial" not in final or "HashAggregate" in final
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
