@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tablesync.llm import line_dedup, packing
+from tablesync.llm import line_dedup, packing, substring_dedup
 
 QUERIES = {
+    "op1_substring_dedup": substring_dedup.query,
     "op2_line_dedup": line_dedup.query,
     "op9_best_fit_packing": packing.query,
 }
