@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tablesync.llm import line_dedup, packing, simhash, substring_dedup
+from tablesync.llm import line_dedup, packing, quality, simhash, substring_dedup
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.query,
     "op2_line_dedup": line_dedup.query,
+    "op3_quality_rules": quality.query,
     "op4_simhash_near_dedup": simhash.query,
     "op9_best_fit_packing": packing.query,
 }
