@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from tablesync.llm import line_dedup, packing, quality, simhash, substring_dedup
+from tablesync.llm import line_dedup, mixing, packing, quality, simhash, substring_dedup
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.query,
     "op2_line_dedup": line_dedup.query,
     "op3_quality_rules": quality.query,
     "op4_simhash_near_dedup": simhash.query,
+    "op5_source_mixing": mixing.query,
     "op9_best_fit_packing": packing.query,
 }
 
 ORACLE_SQL = {
     "op2_line_dedup": line_dedup.ORACLE,
+    "op5_source_mixing": mixing.ORACLE,
 }
