@@ -179,8 +179,9 @@ WITH keyed AS (
          sum(source_size) OVER () AS total
   FROM sources
 ), share AS (
-  SELECT min((1.5::DOUBLE * total - given) / weights) AS per_weight FROM steps
+  SELECT (1.5::DOUBLE * total - given) / weights AS per_weight FROM steps
   WHERE (1.5::DOUBLE * total - given) / weights * weight <= cap
+  ORDER BY cap / weight::DOUBLE, source LIMIT 1
 ), targets AS (
   SELECT source, source_size, least(per_weight * weight, cap::DOUBLE) AS target FROM sources, share
 ), placed AS (
