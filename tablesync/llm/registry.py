@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tablesync.llm import line_dedup, mixing, packing, quality, simhash, substring_dedup
+from tablesync.llm import line_dedup, mixing, packing, quality, secrets, simhash, substring_dedup
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_quality_rules": quality.query,
     "op4_simhash_near_dedup": simhash.query,
     "op5_source_mixing": mixing.query,
+    "op6_secret_scan": secrets.query,
     "op9_best_fit_packing": packing.query,
 }
 
