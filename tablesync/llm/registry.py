@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tablesync.llm import line_dedup, mixing, packing, quality, secrets, simhash, substring_dedup
+from tablesync.llm import line_dedup, mixing, packing, quality, secrets, simhash, substring_dedup, topk
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.query,
@@ -11,10 +11,12 @@ QUERIES = {
     "op4_simhash_near_dedup": simhash.query,
     "op5_source_mixing": mixing.query,
     "op6_secret_scan": secrets.query,
+    "op8_exact_top_k": topk.query,
     "op9_best_fit_packing": packing.query,
 }
 
 ORACLE_SQL = {
     "op2_line_dedup": line_dedup.ORACLE,
     "op5_source_mixing": mixing.ORACLE,
+    "op8_exact_top_k": topk.ORACLE,
 }
