@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tablesync.llm import line_dedup, mixing, packing, quality, secrets, simhash, substring_dedup, topk
+from tablesync.llm import line_dedup, mixing, packing, quality, secrets, simhash, substring_dedup, topk, toxicity
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.query,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_secret_scan": secrets.query,
     "op8_exact_top_k": topk.query,
     "op9_best_fit_packing": packing.query,
+    "op10_toxicity": toxicity.query,
 }
 
 ORACLE_SQL = {
