@@ -3,9 +3,9 @@
 A logistic regression over the words present in a text and the words' beginnings
 (inflected and compound forms share them).  Besides the labels it is
 fitted to *counterfactual pairs*: in every labelled text that names a group, the name
-is swapped for other names of its category and for a neutral one, and the change
-of the score is penalised.  A group's name thus cannot carry a weight of its own,
-however often it stood in toxic texts.
+is swapped for other names of its category and for a neutral word, and the change
+of the score is penalised.  Neutral words carry no weight, so a group's name cannot
+carry one either, however often it stood in toxic texts.
 
 The fit uses a bounded sample of labelled rows, ``SAMPLE_ROWS`` at most (those of the
 smallest hash of the id); it is the only bounded part, and the only data broadcast
@@ -101,7 +101,7 @@ def vocabulary(rows: DataFrame, size: int = VOCABULARY) -> list[str]:
     best = (
         counts.withColumn("chi2", chi2).filter(F.col("chi2") >= ASSOCIATED).orderBy(F.col("chi2").desc(), "word").limit(size)
     )
-    names = sorted(CATEGORY_OF)
+    names = sorted(CATEGORY_OF.keys() - NEUTRAL.keys())
     return names + sorted(r["word"] for r in best.select("word").collect() if r["word"] not in CATEGORY_OF)
 
 
@@ -109,11 +109,10 @@ def pairs_of(present: set[str], nth: int) -> list[tuple[str, str]]:
     """(name, other name) swaps for one text; the neutral name is always among them."""
     out = []
     for name in sorted(present & CATEGORY_OF.keys()):
-        others = [w for w in CATEGORIES[CATEGORY_OF[name]] if w != name]
-        chosen = [others[(nth + k) % len(others)] for k in range(min(SWAPS, len(others)))]
-        neutral = CATEGORIES[CATEGORY_OF[name]][0]
-        if neutral != name and neutral not in chosen:
-            chosen.append(neutral)
+        if name in NEUTRAL:
+            continue
+        neutral, *others = (w for w in CATEGORIES[CATEGORY_OF[name]] if w != name)
+        chosen = [neutral] + [others[(nth + k) % len(others)] for k in range(min(SWAPS, len(others)))]
         out += [(name, other) for other in chosen if other not in present]
     return out
 
@@ -131,7 +130,7 @@ def fit(labels: np.ndarray, texts: list[set[str]], words: list[str], counterfact
     swaps: dict[tuple[int, int], int] = {}
     for nth, t in enumerate(texts):
         for a, b in pairs_of(t, nth):
-            key = (index[a], index[b])
+            key = (index[a], index.get(b, len(words)))  # a neutral word: the place after the last
             swaps[key] = swaps.get(key, 0) + 1
     a = np.array([k[0] for k in swaps], np.int64)
     b = np.array([k[1] for k in swaps], np.int64)
@@ -142,7 +141,7 @@ def fit(labels: np.ndarray, texts: list[set[str]], words: list[str], counterfact
     # a bound on the curvature of each coordinate sets its step
     per_row = np.bincount(row, minlength=n) + 1.0
     curvature = 0.25 * np.bincount(col, weights=per_row[row], minlength=size) + RIDGE
-    pull = np.bincount(a, weights=times, minlength=size) + np.bincount(b, weights=times, minlength=size)
+    pull = np.bincount(a, weights=times, minlength=size) + np.bincount(b, weights=times, minlength=size + 1)[:size]
     step = 1.0 / (curvature + 2 * pull)
     step_0 = 1.0 / (0.25 * per_row.sum())
     w, ahead = np.zeros(size), np.zeros(size)
@@ -153,8 +152,9 @@ def fit(labels: np.ndarray, texts: list[set[str]], words: list[str], counterfact
         z = np.bincount(row, weights=ahead[col], minlength=n) + ahead0
         error = 1 / (1 + np.exp(-z)) - y
         gradient = np.bincount(col, weights=error[row], minlength=size) + RIDGE * ahead
-        change = times * (ahead[a] - ahead[b])
-        gradient += np.bincount(a, weights=change, minlength=size) - np.bincount(b, weights=change, minlength=size)
+        change = times * (ahead[a] - np.append(ahead, 0.0)[b])
+        gradient += np.bincount(a, weights=change, minlength=size)
+        gradient -= np.bincount(b, weights=change, minlength=size + 1)[:size]
         following, following0 = ahead - step * gradient, ahead0 - step_0 * error.sum()
         t, before = (1 + np.sqrt(1 + 4 * t * t)) / 2, t
         ahead = following + (before - 1) / t * (following - w)

@@ -43,13 +43,13 @@ def biased_rows():
 
 def test_swaps_reduce_false_positives_on_neutral_mentions():
     rows = list(biased_rows())
-    words = sorted(toxicity.CATEGORY_OF) + ["day", "tree", "river", "walk", "house", "green", "scumbag"]
+    words = sorted(toxicity.CATEGORY_OF.keys() - toxicity.NEUTRAL.keys()) + ["day", "tree", "river", "walk", "house", "green", "scumbag"]
     y, texts = np.array([t for t, _ in rows]), [w for _, w in rows]
 
     def change(penalty):
         w, w0 = toxicity.fit(y, texts, words, penalty)
         at = dict(zip(words, w))
-        score = lambda present: 1 / (1 + np.exp(-w0 - sum(at[x] for x in present)))
+        score = lambda present: 1 / (1 + np.exp(-w0 - sum(at.get(x, 0.0) for x in present)))
         return score({"tree", "muslims"}), score({"tree", "believers"}), score({"tree", "scumbag"})
 
     plain, regular = change(0.0), change(toxicity.COUNTERFACTUAL)
