@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tablesync.llm import line_dedup, mixing, packing, quality, secrets, simhash, substring_dedup, topk, toxicity
+from tablesync.llm import line_dedup, mixing, packing, quality, secrets, simhash, substring_dedup, token_counts, topk, toxicity
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.query,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_simhash_near_dedup": simhash.query,
     "op5_source_mixing": mixing.query,
     "op6_secret_scan": secrets.query,
+    "op7_token_counts": token_counts.query,
     "op8_exact_top_k": topk.query,
     "op9_best_fit_packing": packing.query,
     "op10_toxicity": toxicity.query,
