@@ -2,13 +2,15 @@
 
 Every document becomes a vector of transformed statistics.  For each (language,
 source) the minimum-covariance-determinant estimate of location and scatter is
-found by concentration steps over *all* its documents that pass the base rules:
-start from medians and MADs, keep the share ``CORE`` of the documents with the
-smallest Mahalanobis distances, take their mean and (consistency-corrected)
-covariance, repeat.  A step is two group aggregates (a quantile sketch and 45 sums),
-combined before the shuffle, so a source that holds a third of the corpus costs
-what its rows cost.  A document is rejected if its distance exceeds the chi-squared
-quantile ``CUTOFF``.
+found by concentration steps over its documents that pass the base rules: keep the
+share ``CORE`` with the smallest Mahalanobis distances, take their mean and
+(consistency-corrected) covariance, repeat.  As in the fast algorithm for large
+samples, every group is first cut into subsets of bounded size, which concentrate by
+themselves from medians and MADs; the pooled moments of all subsets' cores start
+``FULL_STEPS`` steps over *all* documents.  Such a step is two group aggregates (a
+quantile sketch and 44 sums), combined before the shuffle, so a source that holds a
+third of the corpus costs what its rows cost.  A document is rejected if its distance
+exceeds the chi-squared quantile ``CUTOFF``.
 
 A fixed ridge keeps features that hardly vary (no symbols at all in most sources)
 from rejecting a document for a trace of them.  Groups with fewer than
@@ -38,10 +40,12 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 CORE = 0.75  # share of a group's documents that the estimate rests on
 CUTOFF = 0.99999  # of the chi-squared distribution of squared distances
-STEPS = 12  # concentration steps at most
-SETTLED = 1e-6  # a step that moves no mean by more than this is the last
+SUBSET = 1500  # documents, about, of a subset that concentrates by itself
+STEPS = 30  # concentration steps of a subset at most
+FULL_STEPS = 2  # concentration steps over all documents
 FEWEST = 40  # documents of a group with an estimate of its own
 QUANTILE_ACCURACY = 10_000
+BROADCAST_GROUPS = 10_000  # of about 600 bytes each
 
 # feature -> ridge: the spread below which differences in it say nothing
 FEATURES = {
@@ -159,94 +163,125 @@ def _levels(lang, source) -> list:
     return [as_json(lang.alias("lang"), source.alias("source")), as_json(lang.alias("lang")), F.lit("all")]
 
 
-def _distance(x, mean: str, inverse: str):
+PAIRS = [(i, j) for i in range(SIZE) for j in range(i, SIZE)]
+SUMS = [f"s{i}" for i in range(SIZE)] + [f"p{i}_{j}" for i, j in PAIRS]
+MOMENTS = "level string, core double, " + ", ".join(f"{c} double" for c in SUMS)
+PARAMS = "level string, mean array<double>, inverse array<double>"
+RIDGE = np.diag(np.array(list(FEATURES.values())) ** 2)
+
+
+def _distance(x, mean, inverse):
     """Squared Mahalanobis distance of the array ``x``."""
-    z = [x[i] - F.col(mean)[i] for i in range(SIZE)]
+    z = [x[i] - mean[i] for i in range(SIZE)]
     total = F.lit(0.0)
-    for i in range(SIZE):
-        row = F.lit(0.0)
-        for j in range(SIZE):
-            row = row + F.col(inverse)[i * SIZE + j] * z[j]
-        total = total + z[i] * row
+    for i, j in PAIRS:
+        total = total + inverse[i * SIZE + j] * z[i] * z[j] * (1.0 if i == j else 2.0)
     return total
 
 
-PARAMS = "level string, n long, mean array<double>, inverse array<double>"
+def distances(x: np.ndarray, mean: np.ndarray, scatter: np.ndarray) -> np.ndarray:
+    z = x - mean
+    return np.einsum("ij,jk,ik->i", z, np.linalg.inv(scatter), z)
+
+
+def estimate(core: float, sums: np.ndarray, products: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and scatter from a core's count, sums and (upper triangle of) cross products."""
+    mean = sums / core
+    cross = np.zeros((SIZE, SIZE))
+    for value, (i, j) in zip(products, PAIRS):
+        cross[i, j] = cross[j, i] = value / core
+    return mean, (cross - np.outer(mean, mean)) * CONSISTENCY + RIDGE
+
+
+def moments_of(x: np.ndarray) -> np.ndarray:
+    """[count, sums, cross products] of some rows."""
+    return np.concatenate([[len(x)], x.sum(axis=0), [(x[:, i] * x[:, j]).sum() for i, j in PAIRS]])
+
+
+def core_of(x: np.ndarray) -> np.ndarray:
+    """Concentration steps on one subset, from medians and MADs until the core stands."""
+    mean = np.median(x, axis=0)
+    scatter = np.diag((np.median(abs(x - mean), axis=0) * 1.4826) ** 2) + RIDGE
+    before = None
+    for _ in range(STEPS):
+        d = distances(x, mean, scatter)
+        inside = d <= np.quantile(d, CORE, method="inverted_cdf")
+        if before is not None and (inside == before).all():
+            break
+        before = inside
+        m = moments_of(x[inside])
+        mean, scatter = estimate(m[0], m[1 : SIZE + 1], m[SIZE + 1 :])
+    return moments_of(x[before])
+
+
+def _subset(key, part):
+    x = part.column("x").combine_chunks().values.to_numpy(zero_copy_only=False).reshape(-1, SIZE)
+    values = core_of(x)
+    return pa.table({"level": [key[0].as_py()], **{c: [float(v)] for c, v in zip(["core", *SUMS], values)}})
 
 
 def _params(moments: DataFrame) -> DataFrame:
     """Moments of each group's core -> its mean and inverse scatter."""
-    ridge = np.diag(np.array(list(FEATURES.values())) ** 2)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = batch.to_pylist()
-            means, inverses = [], []
-            for r in rows:
-                mean = np.array(r["sums"]) / r["core"]
-                cross = np.array(r["products"]).reshape(SIZE, SIZE) / r["core"]
-                scatter = (cross - np.outer(mean, mean)) * CONSISTENCY
-                means.append(mean.tolist())
-                inverses.append(np.linalg.inv(scatter + ridge).ravel().tolist())
+            values = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns[1:]], axis=1) if batch.num_rows else []
+            found = [estimate(v[0], v[1 : SIZE + 1], v[SIZE + 1 :]) for v in values]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([r["level"] for r in rows], pa.string()),
-                    pa.array([r["n"] for r in rows], pa.int64()),
-                    pa.array(means, pa.list_(pa.float64())),
-                    pa.array(inverses, pa.list_(pa.float64())),
+                    batch.column(0),
+                    pa.array([m.tolist() for m, _ in found], pa.list_(pa.float64())),
+                    pa.array([np.linalg.inv(s).ravel().tolist() for _, s in found], pa.list_(pa.float64())),
                 ],
-                names=["level", "n", "mean", "inverse"],
+                names=["level", "mean", "inverse"],
             )
 
     return moments.mapInArrow(run, PARAMS)
 
 
-def _moments(rows: DataFrame, counts: DataFrame) -> DataFrame:
+def small(df: DataFrame, groups: int) -> DataFrame:
+    """A table of one row a group, marked for broadcast if its groups are counted and few;
+    beyond that the join shuffles and Spark splits the large groups' partitions."""
+    return F.broadcast(df) if groups <= BROADCAST_GROUPS else df
+
+
+def _step(rows: DataFrame, params: DataFrame, groups: int) -> DataFrame:
+    """One concentration step over all documents of every group."""
+    measured = rows.join(small(params, groups), "level").select("level", "x", _distance(F.col("x"), F.col("mean"), F.col("inverse")).alias("d"))
+    bounds = measured.groupBy("level").agg(F.percentile_approx("d", CORE, QUANTILE_ACCURACY).alias("bound"))
     x = F.col("x")
-    core = rows.groupBy("level").agg(
-        F.count("*").alias("core"),
-        F.array(*(F.sum(x[i]) for i in range(SIZE))).alias("sums"),
-        F.array(*(F.sum(x[i] * x[j]) for i in range(SIZE) for j in range(SIZE))).alias("products"),
+    core = measured.join(small(bounds, groups), "level").filter("d <= bound").groupBy("level").agg(
+        F.count("*").cast("double").alias("core"),
+        *(F.sum(x[i]).alias(f"s{i}") for i in range(SIZE)),
+        *(F.sum(x[i] * x[j]).alias(f"p{i}_{j}") for i, j in PAIRS),
     )
-    return core.join(counts, "level")
+    return stored(_params(core), "quality-params")
 
 
 def fit(stats: DataFrame) -> DataFrame:
-    """(lang, source, x) of the documents that pass the base rules -> params of each group."""
-    rows = stored(
-        stats.select("x", F.explode(F.array(*_levels(F.col("lang"), F.col("source")))).alias("level")), "quality-rows"
+    """(doc_id, lang, source, x) of the documents that pass the base rules -> params of each group."""
+    fine, coarse, whole = _levels(F.col("lang"), F.col("source"))
+    base = stored(stats.select("x", F.xxhash64("doc_id", "x").alias("row"), fine.alias("fine"), coarse.alias("coarse")), "quality-rows")
+    counts = stored(base.groupBy("fine", "coarse").agg(F.count("*").alias("n")), "quality-counts")
+    # a coarser group is needed only where a finer one is too small
+    languages = counts.groupBy("coarse").agg(F.sum("n").alias("n"), F.min("n").alias("least")).filter(F.col("least") < FEWEST)
+    languages = stored(languages, "quality-counts")
+    levels = counts.filter(F.col("n") >= FEWEST).select(F.col("fine").alias("level"), "n").unionByName(
+        languages.filter(F.col("n") >= FEWEST).select(F.col("coarse").alias("level"), "n")
     )
-    counts = rows.groupBy("level").agg(F.count("*").alias("n"))
-    counts = stored(counts.filter((F.col("n") >= FEWEST) | (F.col("level") == "all")), "quality-counts")
-    rows = rows.join(counts.select("level"), "level")
-
-    middle = lambda c: F.percentile_approx(c, 0.5, QUANTILE_ACCURACY)
-    medians = rows.groupBy("level").agg(F.array(*(middle(F.col("x")[i]) for i in range(SIZE))).alias("median"))
-    off = rows.join(medians, "level")
-    spread = off.groupBy("level").agg(
-        F.first("median").alias("mean"),
-        F.array(*(middle(F.abs(F.col("x")[i] - F.col("median")[i])) for i in range(SIZE))).alias("mad"),
-    )
-    ridges = list(FEATURES.values())
-    inverse = [
-        1 / (F.pow(F.col("mad")[i] * 1.4826, 2) + ridges[i] ** 2) if i == j else F.lit(0.0)
-        for i in range(SIZE)
-        for j in range(SIZE)
-    ]
-    params = spread.join(counts, "level").select("level", "n", "mean", F.array(*inverse).alias("inverse"))
-    params = stored(params, "quality-params")
-    for _ in range(STEPS):
-        measured = rows.join(params.select("level", "mean", "inverse"), "level").select(
-            "level", "x", _distance(F.col("x"), "mean", "inverse").alias("d")
-        )
-        bounds = measured.groupBy("level").agg(F.percentile_approx("d", CORE, QUANTILE_ACCURACY).alias("bound"))
-        core = measured.join(bounds, "level").filter("d <= bound")
-        following = stored(_params(_moments(core, counts)), "quality-params")
-        step = F.array_max(F.transform(F.arrays_zip("mean", "before"), lambda p: F.abs(p["mean"] - p["before"])))
-        moved = following.join(params.select("level", F.col("mean").alias("before")), "level").agg(F.max(step)).first()[0]
-        params = following
-        if moved is None or moved <= SETTLED:
-            break
+    if not languages.filter(F.col("n") < FEWEST).isEmpty():
+        levels = levels.unionByName(counts.agg(F.sum("n").alias("n")).select(whole.alias("level"), "n"))
+    levels = stored(levels, "quality-levels")
+    groups = levels.count()
+    rows = base.select("x", "row", F.explode(F.array("fine", "coarse", whole)).alias("level")).join(small(levels, groups), "level")
+    rows = stored(rows, "quality-rows")
+    # every group is cut into subsets of bounded size; their cores' moments add up to a start
+    subset = F.pmod(F.col("row"), F.ceil(F.col("n") / SUBSET))
+    subsets = rows.withColumn("subset", subset).groupBy("level", "subset").applyInArrow(_subset, MOMENTS)
+    start = subsets.groupBy("level").agg(*(F.sum(c).alias(c) for c in ["core", *SUMS]))
+    params = stored(_params(start), "quality-params")
+    for _ in range(FULL_STEPS):
+        params = _step(rows.select("level", "x"), params, groups)
     return params
 
 
@@ -256,16 +291,21 @@ def _judge(df: DataFrame, stats: str, params: DataFrame, verdict: str) -> DataFr
     levels = _levels(F.col("lang"), F.col("source"))
     d = None
     extra = []
-    for k, level in enumerate(levels):
+    groups = params.count()
+    for k, level in enumerate(levels[:2]):
         names = {c: free_name(df, f"quality_{c}_{k}") for c in ("level", "mean", "inverse")}
         extra += names.values()
-        own = params.select(*(F.col(c).alias(n) for c, n in names.items()))
+        own = small(params.select(*(F.col(c).alias(n) for c, n in names.items())), groups)
         df = df.withColumn(free_name(df, f"quality_key_{k}"), level)
         key = df.columns[-1]
         extra.append(key)
         df = df.join(own, F.col(key) == F.col(names["level"]), "left")
-        mine = _distance(F.col(f"{stats}.x"), names["mean"], names["inverse"])
+        mine = _distance(F.col(f"{stats}.x"), F.col(names["mean"]), F.col(names["inverse"]))
         d = mine if d is None else F.coalesce(d, mine)
+    whole = params.filter(F.col("level") == levels[2]).first()
+    if whole is not None:  # one row, where some language is too small
+        literal = lambda values: [F.lit(v) for v in values]
+        d = F.coalesce(d, _distance(F.col(f"{stats}.x"), literal(whole["mean"]), literal(whole["inverse"])))
     judged = df.withColumn(verdict, ~base_failed(stats) & F.coalesce(d <= cutoff, F.lit(True)))
     return judged.drop(*extra)
 
@@ -273,7 +313,7 @@ def _judge(df: DataFrame, stats: str, params: DataFrame, verdict: str) -> DataFr
 def _fitted(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     narrow = with_statistics(docs.select("doc_id", "lang", "source", "text"), "stats").drop("text")
     stats = stored(narrow, "quality-stats")
-    return stats, fit(stats.filter(~base_failed("stats")).select("lang", "source", "stats.x"))
+    return stats, fit(stats.filter(~base_failed("stats")).select("doc_id", "lang", "source", "stats.x"))
 
 
 def verdicts(docs: DataFrame) -> DataFrame:
