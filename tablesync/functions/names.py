@@ -9,6 +9,7 @@ Two forms that agree character for character:
 
 from __future__ import annotations
 
+import re
 import sys
 import unicodedata
 
@@ -57,20 +58,21 @@ def _re2_class(ranges: list[tuple[int, int]]) -> str:
     return "[" + "".join(parts) + "]"
 
 
-COMBINING_CLASS_RE2 = _re2_class(_combining_ranges())
+_COMBINING = _combining_ranges()
+COMBINING_CLASS_RE2 = _re2_class(_COMBINING)
+_COMBINING_CLASS = re.compile("[" + "".join(f"{chr(lo)}-{chr(hi)}" for lo, hi in _COMBINING) + "]+")
 
 
-def strip_accents_py(text: str) -> str:
-    """NFKD, then drop every character with a non-zero combining class."""
-    decomposed = unicodedata.normalize("NFKD", text)
-    return "".join(ch for ch in decomposed if not unicodedata.combining(ch))
+def without_accents(text: str) -> str:
+    """Driver form of :func:`strip_accents`: the same ranges, as one pattern."""
+    return _COMBINING_CLASS.sub("", unicodedata.normalize("NFKD", text))
 
 
 def clean_name(name: str | None) -> str:
     """Clean one identifier: accents stripped, other characters -> ``_``,
     ``_`` prefixed unless it starts with a letter or ``_``, cut to 128.
     An empty (or NULL) name becomes ``_``."""
-    text = strip_accents_py(name or "")
+    text = without_accents(name or "")
     out = "".join(ch if (ch.isascii() and (ch.isalnum() or ch == "_")) else REPLACEMENT for ch in text)
     if not out or not (out[0].isalpha() or out[0] == "_"):
         out = PREFIX + out

@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 
 from ..functions import times
 from ..functions.names import clean_name
+from ..session import case_sensitive
 
 # Envelope keys of a document and the names they take.
 ENVELOPE_KEY = "key"
@@ -38,8 +39,9 @@ SUBTASK_PATH = '$.fields.issuetype.subtask'
 
 
 def parse(raw: DataFrame, column: str = "raw") -> DataFrame:
-    """Add ``doc`` (VARIANT) parsed from the JSON text column."""
-    return raw.withColumn("doc", F.parse_json(F.col(column)))
+    """Add ``doc`` (VARIANT) parsed from the JSON text column; text that is no
+    JSON document gives NULL instead of failing the batch."""
+    return raw.withColumn("doc", F.try_parse_json(F.col(column)))
 
 
 def _path(name: str) -> str:
@@ -100,12 +102,15 @@ def infer_schemas(docs: DataFrame, by=None) -> dict:
         F.expr(f"schema_of_variant_agg(try_variant_get(doc, '$.{ENVELOPE_FIELDS}', 'variant'))").alias("f"),
         F.expr(f"schema_of_variant_agg(try_variant_get(doc, '$.{ENVELOPE_CHANGELOG}', 'variant'))").alias("c"),
     ]
+    grouped = docs.agg(*aggs) if by is None else docs.groupBy(*([by] if isinstance(by, str) else by)).agg(*aggs)
+    with case_sensitive(docs.sparkSession):
+        found = [tuple(r) for r in grouped.collect()]
     if by is None:
-        rows = [("",) + tuple(docs.agg(*aggs).first())]
+        rows = [("",) + found[0]]
     elif isinstance(by, (list, tuple)):
-        rows = [(tuple(r[: len(by)]),) + tuple(r[len(by):]) for r in docs.groupBy(*by).agg(*aggs).collect()]
+        rows = [(r[: len(by)],) + r[len(by) :] for r in found]
     else:
-        rows = [tuple(r) for r in docs.groupBy(by).agg(*aggs).collect()]
+        rows = found
     return {
         g: (_normalise(_variant_ddl_to_type(f)), _normalise(_variant_ddl_to_type(c)))
         for g, f, c in rows
@@ -148,6 +153,23 @@ def _is_null(v: Column) -> Column:
     return v.isNull() | F.is_variant_null(v)
 
 
+def _by_name(dtype: T.StructType) -> "OrderedDict[str, list[T.StructField]]":
+    """Fields grouped by their name in any case: one column each, as Spark and
+    most warehouses cannot tell ``Name`` from ``name``."""
+    out: OrderedDict[str, list[T.StructField]] = OrderedDict()
+    for f in dtype.fields:
+        out.setdefault(f.name.lower(), []).append(f)
+    return out
+
+
+def _one_value(values: list[tuple[Column, T.DataType]]) -> Column:
+    """The value of a column fed by several keys: per document, the last key
+    that holds one; as text where the keys' types differ."""
+    if any(d != values[0][1] for _, d in values):
+        values = [(F.to_json(c) if isinstance(d, (T.StructType, T.ArrayType)) else c.cast("string"), d) for c, d in values]
+    return F.coalesce(*[c for c, _ in reversed(values)]) if len(values) > 1 else values[0][0]
+
+
 def _needs_walk(dtype: T.DataType, dict_value: bool, null_empty: bool) -> bool:
     """Whether typing this subtree needs the untyped value below its root:
     a struct that is the value of a key (empty-struct rule) or a value of
@@ -155,7 +177,7 @@ def _needs_walk(dtype: T.DataType, dict_value: bool, null_empty: bool) -> bool:
     if isinstance(dtype, T.VariantType):
         return True
     if isinstance(dtype, T.StructType):
-        if (dict_value and null_empty) or not dtype.fields:
+        if (dict_value and null_empty) or not dtype.fields or len(_by_name(dtype)) < len(dtype.fields):
             return True
         return any(_needs_walk(f.dataType, True, null_empty) for f in dtype.fields)
     if isinstance(dtype, T.ArrayType):
@@ -200,7 +222,8 @@ def typed(v: Column, dtype: T.DataType, dict_value: bool = True, convert_dates:
             text = F.when(_is_null(v), F.lit(None).cast("string")).otherwise(F.to_json(v))
             return F.lit(None).cast("string") if (dict_value and null_empty) else text
         kids = [_vget(v, f.name) for f in dtype.fields]
-        struct = F.struct(*[typed(k, f.dataType, True, convert_dates, null_empty).alias(f.name) for k, f in zip(kids, dtype.fields)])
+        own = {f.name: typed(k, f.dataType, True, convert_dates, null_empty) for k, f in zip(kids, dtype.fields)}
+        struct = F.struct(*[_one_value([(own[f.name], f.dataType) for f in fs]).alias(fs[0].name) for fs in _by_name(dtype).values()])
         out = F.when(_is_null(v), F.lit(None))
         if dict_value and null_empty:
             # The schema holds every key seen in any document, so an object
@@ -219,8 +242,14 @@ def typed(v: Column, dtype: T.DataType, dict_value: bool = True, convert_dates:
     if isinstance(dtype, T.StringType):
         s = F.try_variant_get(v, "$", "string")
         return times.to_utc_text(s) if convert_dates else s
-    if isinstance(dtype, T.VariantType):  # conflicting shapes across documents
-        return F.when(_is_null(v), F.lit(None).cast("string")).otherwise(F.to_json(v))
+    if isinstance(dtype, T.VariantType):  # conflicting shapes: each value by its own kind
+        kind = F.schema_of_variant(v)
+        text = F.try_variant_get(v, "$", "string")
+        out = F.when(_is_null(v), F.lit(None).cast("string"))
+        if dict_value and null_empty:
+            out = out.when(kind == "OBJECT<>", F.lit(None).cast("string"))
+        out = out.when(kind == "STRING", times.to_utc_text(text) if convert_dates else text)
+        return out.otherwise(F.to_json(v))
     return F.try_variant_get(v, "$", dtype.simpleString())
 
 
@@ -238,8 +267,9 @@ def envelope_columns(fields_type: T.DataType, changelog_type: T.DataType, doc: s
     cols[ENVELOPE_ID] = F.try_variant_get(v, f"$.{ENVELOPE_ID}", "string")
     fields_v = F.try_variant_get(v, f"$.{ENVELOPE_FIELDS}", "variant")
     if isinstance(fields_type, T.StructType):
-        for f in fields_type.fields:
-            value = typed(_vget(fields_v, f.name), f.dataType, True, **rules)
+        for same in _by_name(fields_type).values():
+            f = same[0]
+            value = _one_value([(typed(_vget(fields_v, s.name), s.dataType, True, **rules), s.dataType) for s in same])
             if f.name in (KEY_COLUMN, ENVELOPE_ID):
                 # per document: the field wins only where the document has
                 # it (a JSON null counts as present); elsewhere the envelope

@@ -17,7 +17,7 @@ from ..operators import coerce, documents, routing, upsert, watermark
 from ..operators.metrics import observe_rows
 from ..operators.metrics import observed as observed_metrics
 from ..operators.partitioning import size_partitions
-from ..session import delete_path, scratch_path
+from ..session import case_sensitive, delete_path, scratch_path
 from ..sources import catalog as cat
 from ..sources.relational import TableSource, read_table, read_table_partitioned, table_size_bytes
 from .sinks import Sink, TableFamily, write_table
@@ -38,6 +38,8 @@ STAGING_SCHEMA = T.StructType(
         T.StructField("doc", T.VariantType()),
         T.StructField("_subtask", T.BooleanType()),
         T.StructField("_type", T.StringType()),
+        T.StructField("_reason", T.StringType()),
+        T.StructField("raw", T.StringType()),
     ]
 )
 
@@ -106,7 +108,7 @@ def copy_schema(
         try:
             return copy_table(spark, source, name, sink, mode=mode, evolve=evolve, **prepare)
         except Exception as exc:  # noqa: BLE001 - isolate per table
-            return (name, None, "failed", "".join(traceback.format_exception_only(type(exc), exc)).strip()[:2000])
+            return (name, None, "failed", "".join(traceback.format_exception_only(type(exc), exc)).strip())
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         results = list(pool.map(one, names))
@@ -237,8 +239,10 @@ def sync_documents(
     updated_column: str = watermark.UPDATED_COLUMN,
     force_full: bool = False,
     parallelism: int = 8,
-    dedupe_keys: bool = False,
+    dedupe_keys: bool = True,
     keep_staging: bool = False,
+    upsert_only: bool = False,
+    keep_newest: bool = False,
 ) -> DataFrame:
     """Full refresh or incremental upsert of a document collection.
 
@@ -254,75 +258,136 @@ def sync_documents(
        receive a row are rewritten -- and each type's rows are added by
        name; full: each type
        present in the batch replaces its table;
-    5. all changes are committed together; the staging folder is dropped.
-
-    ``dedupe_keys`` keeps one document per key (the latest update) when a
-    batch may repeat a key -- page drift, or several landed files in one
-    micro-batch.  It costs a shuffle of the batch by key, so it is off for
-    a plain API read.
+    5. all changes are committed together; the staging folder is dropped, also
+       when a step fails.
+
+    Documents that cannot be parsed or routed (no type, an empty type name, a
+    type that the metadata lists as task and as sub-task and that carries no
+    flag) go to ``<family root>/_rejects`` with the reason; their keys delete
+    nothing.  The result's ``rejected`` counts them.
+
+    ``dedupe_keys`` keeps one document per key (the latest update): a parallel
+    offset read may see a document twice.  ``upsert_only`` applies the batch as
+    changes whatever the mark says; ``keep_newest`` leaves out documents older
+    than the stored row of their key.
     """
     if family.mark_column is None:
         family.mark_column = updated_column
     since_ts, since_text = (None, None) if force_full else read_mark(family, updated_column)
-    incremental = since_text is not None
+    incremental = since_text is not None or upsert_only
 
-    # only the parsed document travels on (the JSON text is dead after parsing)
-    batch = documents.parse(fetch(since_text)).select("doc")
+    # only the parsed document travels on; the text stays for documents that do not parse
+    batch = documents.parse(fetch(since_text))
+    batch = batch.select("doc", F.when(F.col("doc").isNull(), F.col("raw")).alias("raw"))
     batch = routing.with_type(batch)
     if types is not None:
         batch = routing.attach_subtask(batch, types)
+    else:
+        batch = batch.withColumn("_ambiguous", F.lit(False))
     if dedupe_keys:
         batch = latest_per_key(batch)
+    reason = (
+        F.when(F.col("doc").isNull(), F.lit("not a JSON document"))
+        .when(F.coalesce(F.trim("_type"), F.lit("")) == "", F.lit("no type"))
+        .when(F.col("_ambiguous"), F.lit("task or sub-task"))
+    )
+    batch = batch.withColumn("_reason", reason).withColumn("_type", F.when(reason.isNull(), F.col("_type")))
     staging = scratch_path(spark, "staging")
+    try:
+        return _sync_staged(
+            spark, batch, staging, family, field_map, exclude_fields, exclude_types, updated_column, incremental, parallelism, keep_newest
+        )
+    finally:
+        if not keep_staging:
+            delete_path(spark, staging)  # what succeeded lives in the committed versions
+
+
+def _stored_marks(family: TableFamily, column: str) -> DataFrame | None:
+    """(jira, _stored): the update time of every stored row that has one."""
+    marks = [
+        df.select("jira", times.mark_as_utc(F.col(f"`{column}`"), df.schema[column].dataType).alias("_stored"))
+        for df in family.read_all().values()
+        if column in df.columns and "jira" in df.columns
+    ]
+    return upsert.union_all(marks) if marks else None
+
+
+def _sync_staged(
+    spark, batch, staging, family, field_map, exclude_fields, exclude_types, updated_column, incremental, parallelism, keep_newest
+) -> DataFrame:
+    """Steps 2 to 5 of :func:`sync_documents`."""
     # Staged once, partitioned by the raw type: the API is read once and
     # each type's typing pass prunes to its own folder.  The parsed VARIANT
     # is staged (Parquet stores it natively), so typing reads binary values.
     # The same job counts the documents and merges every (type, flag)
     # group's schema through an Observation -- no separate schema pass.
     # (Schema merging is idempotent, so a re-run task cannot distort it.)
-    group_key = F.concat(F.col("_type"), F.lit("|"), F.coalesce(F.col("_subtask"), F.lit(False)).cast("string"))
+    # (The key is encoded: names that differ by case only are different groups.)
+    pair = F.concat(F.col("_type"), F.lit("|"), F.coalesce(F.col("_subtask"), F.lit(False)).cast("string"))
+    group_key = F.concat(F.lit("k"), F.hex(F.encode(pair, "UTF-8")))
     observed = Observation(f"stage_{uuid.uuid4().hex[:8]}")
     to_stage = (
         batch.withColumn("_schema_in", F.when(F.col("_type").isNotNull(), documents.keyed_schema_input(F.col("doc"), group_key)))
-        .observe(observed, F.count(F.lit(1)).alias("rows"), F.expr("schema_of_variant_agg(_schema_in)").alias("schemas"))
+        .observe(
+            observed,
+            F.count(F.lit(1)).alias("rows"),
+            F.count("_reason").alias("rejected"),
+            F.expr("schema_of_variant_agg(_schema_in)").alias("schemas"),
+        )
         .select(
             F.coalesce(F.col("_subtask"), F.lit(False)).alias("_subtask"),
             "_type",
             documents.key_of("doc").alias("jira"),
             "doc",
+            "_reason",
+            "raw",
         )
     )
     # REBALANCE by type before the partitioned write: one file per task and
     # type otherwise; AQE coalesces small types and splits a hot one.
-    (
-        to_stage.hint("rebalance", "_subtask", "_type")
-        .write.mode("errorifexists")
-        .partitionBy("_subtask", "_type")
-        .parquet(staging)
-    )
+    with case_sensitive(spark):
+        (
+            to_stage.hint("rebalance", "_subtask", "_type")
+            .write.mode("errorifexists")
+            .partitionBy("_subtask", "_type")
+            .parquet(staging)
+        )
     # explicit schema: partition values are not type-guessed (a type named
     # "2024" stays a string, the flag is a boolean)
     staged = spark.read.schema(STAGING_SCHEMA).parquet(staging)
     metrics = observed_metrics(observed)
+    rejected = int(metrics.get("rejected") or 0)
+    if rejected:
+        # the whole document, as text where it did not parse
+        lost = staged.where(F.col("_reason").isNotNull())
+        lost.select("jira", F.col("_reason").alias("reason"), F.coalesce("raw", F.to_json("doc")).alias("document")).write.mode(
+            "append"
+        ).parquet(f"{family.root}/_rejects")
+    staged = staged.where(F.col("_reason").isNull())
+    if keep_newest:
+        stored = _stored_marks(family, (field_map or {}).get("updated", "updated"))
+        if stored is not None:
+            newer = stored.groupBy("jira").agg(F.max("_stored").alias("_stored"))
+            mine = times.parse_mark(F.try_variant_get(F.col("doc"), "$.fields.updated", "string"))
+            late = staged.select("jira", mine.alias("_own")).join(newer, "jira").where(F.col("_own") < F.col("_stored"))
+            staged = staged.join(late.select("jira").distinct(), "jira", "left_anti")
     per_key = documents.split_keyed_schemas(metrics.get("schemas"))
     per_pair = {}
     for k, schema in per_key.items():
-        name, _, flag = k.rpartition("|")
+        name, _, flag = bytes.fromhex(k[1:]).decode("utf-8").rpartition("|")
         if name in set(exclude_types):
             continue
         per_pair[(name, flag == "true")] = schema
     wanted = staged if not exclude_types else staged.where(~F.col("_type").isin(list(exclude_types)))
-    names = routing.target_names(per_pair.keys())
+    state = family._state()
+    names = routing.target_names(per_pair.keys(), state[1])
     protected = (documents.KEY_COLUMN, updated_column)
     batch_by_target: dict[str, DataFrame] = {}
     for pair, (ft, ct) in per_pair.items():
         t = names[pair]
-        if t is None:
-            continue
         rows = wanted.where((F.col("_type") == pair[0]) & (F.col("_subtask") == F.lit(bool(pair[1]))))
         flat = documents.flatten(rows, ft, ct, field_map, exclude_fields, protected=protected)
         batch_by_target[t] = upsert.append_by_name(batch_by_target[t], flat) if t in batch_by_target else flat
-    state = family._state()
     if incremental:
         # every changed key leaves every table (a type change moves the
         # document); only the buckets those keys hash to are rewritten
@@ -345,9 +410,9 @@ def sync_documents(
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         staged_tables = [x for x in pool.map(stage_one, tables) if x is not None]
     commit = family.commit(staged_tables)
-    if not keep_staging:
-        delete_path(spark, staging)  # the batch now lives in the committed versions
     n_fetched = int(metrics.get("rows") or 0)
     mode = "incremental" if incremental else "full"
-    rows = [(x.table, x.rows, mode, commit, n_fetched) for x in staged_tables]
-    return spark.createDataFrame(rows, "table_name string, rows bigint, mode string, commit bigint, fetched bigint")
+    rows = [(x.table, x.rows, mode, commit, n_fetched, rejected) for x in staged_tables]
+    return spark.createDataFrame(
+        rows, "table_name string, rows bigint, mode string, commit bigint, fetched bigint, rejected bigint"
+    )

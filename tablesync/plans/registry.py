@@ -68,10 +68,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def _values(names) -> str:
-    return "SELECT * FROM (VALUES " + ", ".join(f"('{n}')" for n in names) + ") t(table_name)"
-
-
 def _clean_sql(expr: str) -> str:
     """DuckDB form of the identifier cleaning for ASCII input."""
     c = f"regexp_replace({expr}, '[^a-zA-Z0-9_]', '_', 'g')"
@@ -86,34 +82,46 @@ def _utc_text_sql(ts: str) -> str:
 # catalogue
 # --------------------------------------------------------------------------
 
+def _counts_sql(names) -> str:
+    return " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n FROM {t}" for t in names)
+
+
 def _catalog(spark, sf_dir, exclude=None, only=None):
     folder = cat.folder_catalog(spark, sf_dir)
     return cat.filter_catalog(folder, os.path.basename(os.path.normpath(sf_dir)), exclude, only)
 
 
-@register("catalog_list", _values(GIVEN_TABLES))
+def _catalog_counts(spark, sf_dir, exclude=None, only=None):
+    """The catalogue's tables and their rows (every listed table is read)."""
+    counts = upsert.union_all(
+        [table(spark, sf_dir, t).agg(F.count(F.lit(1)).alias("n")).withColumn("table_name", F.lit(t)) for t in GIVEN_TABLES]
+    )
+    return _catalog(spark, sf_dir, exclude, only).join(counts, "table_name").select("table_name", "n")
+
+
+@register("catalog_list", _counts_sql(GIVEN_TABLES))
 def catalog_list(spark, sf_dir):
-    return _catalog(spark, sf_dir)
+    return _catalog_counts(spark, sf_dir)
 
 
-@register("catalog_exclude", _values([t for t in GIVEN_TABLES if t != EXCLUDED_TABLE]))
+@register("catalog_exclude", _counts_sql([t for t in GIVEN_TABLES if t != EXCLUDED_TABLE]))
 def catalog_exclude(spark, sf_dir):
-    return _catalog(spark, sf_dir, exclude=[EXCLUDED_TABLE])
+    return _catalog_counts(spark, sf_dir, exclude=[EXCLUDED_TABLE])
 
 
-@register("catalog_only", _values(ONLY_TABLES))
+@register("catalog_only", _counts_sql(ONLY_TABLES))
 def catalog_only(spark, sf_dir):
-    return _catalog(spark, sf_dir, only=ONLY_TABLES)
+    return _catalog_counts(spark, sf_dir, only=ONLY_TABLES)
 
 
-@register("catalog_only_wins", _values([EXCLUDED_TABLE]))
+@register("catalog_only_wins", _counts_sql([EXCLUDED_TABLE]))
 def catalog_only_wins(spark, sf_dir):
-    return _catalog(spark, sf_dir, exclude=[EXCLUDED_TABLE], only=[EXCLUDED_TABLE])
+    return _catalog_counts(spark, sf_dir, exclude=[EXCLUDED_TABLE], only=[EXCLUDED_TABLE])
 
 
-@register("catalog_count", f"SELECT CAST({len(GIVEN_TABLES)} AS BIGINT) AS n")
+@register("catalog_count", f"SELECT count(*) AS tables, sum(n)::BIGINT AS n FROM ({_counts_sql(GIVEN_TABLES)})")
 def catalog_count(spark, sf_dir):
-    return _catalog(spark, sf_dir).agg(F.count(F.lit(1)).alias("n"))
+    return _catalog_counts(spark, sf_dir).agg(F.count(F.lit(1)).alias("tables"), F.sum("n").alias("n"))
 
 
 # --------------------------------------------------------------------------
@@ -527,7 +535,7 @@ def route_names(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
     docs = documents.parse(standins.order_documents(o, subtask_types=None))  # flag not in the documents
     types = o.select(F.col("o_orderpriority").alias("name")).distinct().withColumn("subtask", F.col("name") == MOVED_TO_TYPE)
-    return routing.route(docs, types=types).select(F.col("_target").alias("t")).distinct()
+    return routing.route_names(docs, types=types)
 
 
 # --------------------------------------------------------------------------
@@ -555,27 +563,30 @@ def repartition_rows(spark, sf_dir):
 # sinks and copies (write under the checkpoint root, read back)
 # --------------------------------------------------------------------------
 
-@register("sink_overwrite", "SELECT * FROM nation")
+@register("sink_overwrite", "SELECT * FROM lineitem")
 def sink_overwrite(spark, sf_dir):
     sink = Sink(format="parquet", root=scratch_path(spark, "sink"))
-    nation = table(spark, sf_dir, "nation")
-    write_table(nation, sink, "nation", mode="overwrite")
-    write_table(nation, sink, "nation", mode="overwrite")  # second run replaces, no duplicates
-    return read_written(spark, sink, "nation")
+    lineitem = table(spark, sf_dir, "lineitem")
+    write_table(lineitem, sink, "lineitem", mode="overwrite")
+    write_table(lineitem, sink, "lineitem", mode="overwrite")  # second run replaces, no duplicates
+    return read_written(spark, sink, "lineitem")
 
 
 @register(
     "sink_append_evolve",
-    "SELECT n_nationkey, n_name, NULL::INTEGER AS extra FROM nation UNION ALL SELECT r_regionkey, r_name, 1 FROM region",
+    "SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority, NULL::VARCHAR AS segment FROM orders "
+    "UNION ALL SELECT NULL, c_custkey, c_acctbal, NULL, c_mktsegment FROM customer",
 )
 def sink_append_evolve(spark, sf_dir):
+    # the appended rows bring a new column and leave others out
     sink = Sink(format="parquet", root=scratch_path(spark, "sink"))
-    write_table(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"), sink, "t", mode="overwrite")
-    region = table(spark, sf_dir, "region").select(
-        F.col("r_regionkey").alias("n_nationkey"), F.col("r_name").alias("n_name"), F.lit(1).alias("extra")
+    kept = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority"]
+    write_table(table(spark, sf_dir, "orders").select(*kept), sink, "t", mode="overwrite")
+    customers = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("o_custkey"), F.col("c_acctbal").alias("o_totalprice"), F.col("c_mktsegment").alias("segment")
     )
-    write_table(region, sink, "t", mode="append", evolve=True)
-    return read_written(spark, sink, "t").select("n_nationkey", "n_name", "extra")
+    write_table(customers, sink, "t", mode="append", evolve=True)
+    return read_written(spark, sink, "t").select(*kept, "segment")
 
 
 @register("copy_table", "SELECT * FROM orders")
@@ -585,20 +596,20 @@ def copy_table_query(spark, sf_dir):
     return read_written(spark, sink, "orders")
 
 
-COPY_COUNTS_SQL = " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n FROM {t}" for t in ONLY_TABLES)
+COPY_COUNTS_SQL = _counts_sql(GIVEN_TABLES)
 
 
 @register("copy_schema", COPY_COUNTS_SQL)
 def copy_schema_query(spark, sf_dir):
     sink = Sink(format="parquet", root=scratch_path(spark, "copy"))
-    res = copy_schema(spark, _source(sf_dir), _catalog(spark, sf_dir, only=ONLY_TABLES), sink)
+    res = copy_schema(spark, _source(sf_dir), _catalog(spark, sf_dir), sink)
     return res.select("table_name", F.col("rows").alias("n"))
 
 
 @register("row_counts", COPY_COUNTS_SQL)
 def row_counts(spark, sf_dir):
     sink = Sink(format="parquet", root=scratch_path(spark, "copy"))
-    res = copy_schema(spark, _source(sf_dir), list(ONLY_TABLES), sink, parallelism=3)
+    res = copy_schema(spark, _source(sf_dir), list(GIVEN_TABLES), sink, parallelism=3)
     return res.where(F.col("status") == "ok").select("table_name", F.col("rows").alias("n"))
 
 
@@ -663,6 +674,74 @@ def document_sync(spark, sf_dir):
     )
 
 
+def _hard_documents(orders: DataFrame) -> DataFrame:
+    """Orders as hard documents: types and keys that differ by case, no type,
+    an empty type, text that does not parse, a repeated key, and a type listed
+    both as task and as sub-task without a flag in the document."""
+    k = F.col("o_orderkey")
+    typ = (
+        F.when(k % 7 == 0, F.lower("o_orderpriority"))
+        .when(k % 11 == 0, F.lit(""))
+        .when(k % 13 != 0, F.col("o_orderpriority"))
+    )
+    issue = F.when(typ.isNotNull(), F.struct(typ.alias("name"), F.when(typ != MOVED_TO_TYPE, F.lit(False)).alias("subtask")))
+    lower = F.when(k % 2 == 0, F.col("o_custkey"))
+    upper = F.when(k % 2 == 1, F.col("o_custkey"))
+    body = lambda updated, mark: F.to_json(
+        F.struct(
+            F.concat(F.lit("ORD-"), k.cast("string")).alias("key"),
+            F.struct(
+                issue.alias("issuetype"),
+                F.lit(updated).alias("updated"),
+                F.lit(mark).alias("mark"),
+                F.struct(F.coalesce(lower, upper).alias("v")).alias("inner"),
+            ).alias("fields"),
+        )
+    )
+    # half of the documents spell a key differently
+    spelled = lambda text: F.when(k % 2 == 0, text).otherwise(F.replace(text, F.lit('"v":'), F.lit('"V":')))
+    first = F.when(k % 17 == 0, F.lit("{not json")).otherwise(spelled(body("2024-01-01T10:00:00.000+1100", "old")))
+    newer = orders.where((k % 5 == 0) & (k % 17 != 0)).select(spelled(body("2024-01-02T10:00:00.000+1100", "new")).alias("raw"))
+    return orders.select(first.alias("raw")).unionByName(newer)
+
+
+@register(
+    "sync_hard_documents",
+    "WITH d AS (SELECT *, CASE WHEN o_orderkey % 7 = 0 THEN lower(o_orderpriority) WHEN o_orderkey % 11 = 0 THEN '' "
+    "WHEN o_orderkey % 13 <> 0 THEN o_orderpriority END AS typ FROM orders) "
+    "SELECT CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE 'ORD-' || o_orderkey END AS jira, "
+    "CASE WHEN o_orderkey % 17 = 0 THEN 'not a JSON document' WHEN coalesce(typ, '') = '' THEN 'no type' "
+    f"WHEN typ = '{MOVED_TO_TYPE}' THEN 'task or sub-task' ELSE lower({_clean_sql('typ')}) END AS place, "
+    f"CASE WHEN o_orderkey % 17 = 0 OR coalesce(typ, '') IN ('', '{MOVED_TO_TYPE}') THEN NULL "
+    "WHEN o_orderkey % 5 = 0 THEN 'new' ELSE 'old' END AS mark, "
+    f"CASE WHEN o_orderkey % 17 = 0 OR coalesce(typ, '') IN ('', '{MOVED_TO_TYPE}') THEN NULL ELSE o_custkey END AS v FROM d",
+)
+def sync_hard_documents(spark, sf_dir):
+    """Every order once: in the table of its type, or among the rejects."""
+    from .jobs import sync_documents
+    from .sinks import TableFamily
+
+    o = table(spark, sf_dir, "orders")
+    family = TableFamily(spark, scratch_path(spark, "family"))
+    names = o.select(F.col("o_orderpriority").alias("name")).distinct()
+    both = names.where(F.col("name") == MOVED_TO_TYPE)
+    types = names.withColumn("subtask", F.lit(False)).unionByName(both.withColumn("subtask", F.lit(True)))
+    sync_documents(spark, lambda _since: _hard_documents(o), family, types=types)
+    written = [
+        df.select("jira", F.lit(t.lower()).alias("place"), "mark", F.col(f"inner.{_field(df, 'inner', 'v')}").alias("v"))
+        for t, df in sorted(family.read_all().items())
+    ]
+    none = F.lit(None)
+    rejects = spark.read.parquet(f"{family.root}/_rejects").select(
+        "jira", F.col("reason").alias("place"), none.cast("string").alias("mark"), none.cast("bigint").alias("v")
+    )
+    return upsert.union_all([*written, rejects])
+
+
+def _field(df: DataFrame, struct: str, name: str) -> str:
+    return next(f.name for f in df.schema[struct].dataType.fields if f.name.lower() == name)
+
+
 @register("stream_sync", ORACLE_SQL["document_sync"])
 def stream_sync(spark, sf_dir):
     """The same two batches landed as JSON-lines files by Spark and applied

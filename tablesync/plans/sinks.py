@@ -30,6 +30,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import age_hours, create_file, delete_path, list_dirs
+
 
 @dataclass(frozen=True)
 class Sink:
@@ -155,6 +157,11 @@ class Staged:
     schema: T.StructType
     buckets: int = 1
     mark: str | None = None
+    base: int | None = None  # the last commit it was built on
+
+
+class CommitConflict(RuntimeError):
+    """Another writer committed, or is committing, what this change was built on."""
 
 
 class TableFamily:
@@ -182,7 +189,6 @@ class TableFamily:
         buckets: int | None = None,
         key: str = "jira",
         rows_per_bucket: int = 1_000_000,
-        max_buckets: int = 4096,
         mark_column: str | None = None,
     ):
         self.spark = spark
@@ -191,11 +197,11 @@ class TableFamily:
         self.buckets = buckets
         self.key = key
         self.rows_per_bucket = rows_per_bucket
-        self.max_buckets = max_buckets
         self.log = f"{self.root}/_commits"
         self.snapshots = f"{self.root}/_snapshots"
         self.compact_every = 50
         self._counts: dict[str, int] = {}
+        self._base: int | None = None  # the last commit that _state() saw
         self.mark_column = mark_column
 
     # -- reading ----------------------------------------------------------
@@ -208,7 +214,7 @@ class TableFamily:
         if self.buckets:
             return int(self.buckets)
         rows = df.count()  # row count only: no column is decoded
-        return max(1, min(self.max_buckets, -(-rows // self.rows_per_bucket)))
+        return max(1, -(-rows // self.rows_per_bucket))
 
     def _log(self) -> DataFrame | None:
         """The live part of the log: the latest snapshot (if any) plus the
@@ -254,6 +260,7 @@ class TableFamily:
         tables x buckets x appends -- reaches the driver.
         """
         log = self._log()
+        self._base = 0
         if log is None:
             return {}, {}
         last_replace = log.where(F.col("op") == "replace").groupBy("table", "bucket").agg(F.max("commit").alias("r"))
@@ -267,7 +274,9 @@ class TableFamily:
             .select("table", "bucket", "path")
         )
         meta = log.groupBy("table").agg(
-            F.max_by("schema", "commit").alias("schema"), F.max_by("buckets", "commit").alias("buckets")
+            F.max_by("schema", "commit").alias("schema"),
+            F.max_by("buckets", "commit").alias("buckets"),
+            F.max("commit").alias("last"),
         )
         paths: dict[str, list[tuple[int, str]]] = {}
         for r in live.collect():
@@ -277,6 +286,7 @@ class TableFamily:
         for r in meta.collect():
             out_schemas[r["table"]] = T.StructType.fromJson(json.loads(r["schema"]))
             self._counts[r["table"]] = int(r["buckets"] or 1)
+            self._base = max(self._base, int(r["last"]))
         return paths, out_schemas
 
     def bucket_counts(self) -> dict[str, int]:
@@ -297,11 +307,11 @@ class TableFamily:
             return None
         return log.agg(F.max(F.col("mark").try_cast(T.TimestampNTZType())).alias("last_update"))
 
-    def vacuum(self, retain_commits: int = 10) -> list[str]:
+    def vacuum(self, retain_commits: int = 10, min_age_hours: float = 24.0) -> list[str]:
         """Delete version folders no live bucket uses and no commit among the
         last ``retain_commits`` wrote (readers of recent versions keep their
-        files).  Returns the deleted folders."""
-        from ..session import delete_path, list_dirs
+        files).  Folders younger than ``min_age_hours`` stay: a change that is
+        staged and not committed yet owns one.  Returns the deleted folders."""
 
         log = self._log()
         if log is None:
@@ -318,7 +328,8 @@ class TableFamily:
             base = f"{self.root}/{table}"
             for name in list_dirs(self.spark, base):
                 folder = f"{base}/{name}"
-                if name.startswith("v-") and folder not in keep:
+                old = age_hours(self.spark, folder) >= min_age_hours
+                if name.startswith("v-") and folder not in keep and old:
                     delete_path(self.spark, folder)
                     deleted.append(folder)
         return deleted
@@ -446,10 +457,7 @@ class TableFamily:
         # one bucket in the whole family, not one per table.
         candidates = [b for b in touched if b in live]
         hits: set[int] = set()
-        if len(set(touched)) >= n:
-            # the keys reach every bucket: narrowing cannot save a rewrite
-            hits = set(range(n))
-        elif candidates:
+        if candidates:
             key_only = self.spark.read.format(self.format).schema(
                 T.StructType([old_schema[self.key]])
             ).load([p for b in candidates for p in live[b]])
@@ -482,7 +490,7 @@ class TableFamily:
         path, rows, mark = self._write(table, data, True)
         dirs = self._bucket_dirs(path)
         entries = [(b, "replace", dirs.get(b, "")) for b in buckets]
-        return Staged(table, entries, rows, _merge_schema(old_schema, combined.schema), n, mark)
+        return Staged(table, entries, rows, _merge_schema(old_schema, combined.schema), n, mark, self._base)
 
     def commit(self, staged) -> int:
         """Make staged changes visible at once (one append job).
@@ -492,26 +500,48 @@ class TableFamily:
         items = [s for s in (staged.values() if isinstance(staged, dict) else staged) if s is not None]
         if not items:
             return self.last_commit()
-        # one writer per family: threads of this driver take turns (the
-        # copies of a schema commit table by table, concurrently)
+        # threads of this driver take turns (the copies of a schema commit
+        # table by table, concurrently); writers elsewhere meet at the claim
         with _commit_lock(self.root):
             n = self.last_commit() + 1
-            rows = []
-            for s in items:
-                schema = s.schema.json()
-                for i, (b, op, path) in enumerate(s.entries):
-                    rows.append((n, s.table, int(b), op, path, s.rows if i == 0 else 0, schema, int(s.buckets), s.mark if i == 0 else None))
-            (
-                self.spark.createDataFrame(rows, _COMMIT_SCHEMA)
-                .coalesce(1)
-                .write.mode("append")
-                .partitionBy("commit")
-                .json(self.log)
-            )
+            claim = f"{self.root}/_claims/{n}"
+            if not create_file(self.spark, claim):
+                raise CommitConflict(f"another writer holds commit {n}; if it died, delete {claim}")
+            try:
+                self._check_base(items)
+                self._append(items, n)
+            except BaseException:
+                delete_path(self.spark, claim)  # nothing was committed under this number
+                raise
             if self.compact_every and n % self.compact_every == 0:
                 self.compact()
         return n
 
+    def _check_base(self, items: list[Staged]) -> None:
+        """A bucket built from an older version must not have changed since."""
+        base = min((s.base for s in items if s.base is not None), default=None)
+        log = self._log() if base is not None else None
+        if log is None:
+            return
+        since = {(r["table"], r["bucket"]): r["c"] for r in log.where(F.col("commit") > base).groupBy("table", "bucket").agg(F.max("commit").alias("c")).collect()}
+        for s in items:
+            if s.base is not None and any(since.get((s.table, b), 0) > s.base for b, _, _ in s.entries):
+                raise CommitConflict(f"{s.table} changed after this change was staged; stage it again")
+
+    def _append(self, items: list[Staged], n: int) -> None:
+        rows = []
+        for s in items:
+            schema = s.schema.json()
+            for i, (b, op, path) in enumerate(s.entries):
+                rows.append((n, s.table, int(b), op, path, s.rows if i == 0 else 0, schema, int(s.buckets), s.mark if i == 0 else None))
+        (
+            self.spark.createDataFrame(rows, _COMMIT_SCHEMA)
+            .coalesce(1)
+            .write.mode("append")
+            .partitionBy("commit")
+            .json(self.log)
+        )
+
 
 def _readable_as(old: T.DataType, new: T.DataType) -> bool:
     """Whether files written as ``old`` read correctly under ``new``: same

@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -84,3 +85,33 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return bool(fs.delete(hpath, True)) if fs.exists(hpath) else False
+
+
+def create_file(spark: SparkSession, path: str) -> bool:
+    """Create an empty file unless it is there already (one of several writers wins)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(hpath.getParent())
+    return bool(fs.createNewFile(hpath))
+
+
+def age_hours(spark: SparkSession, path: str) -> float:
+    """Hours since a file or folder was last changed."""
+    import time
+
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return time.time() / 3600 - fs.getFileStatus(hpath).getModificationTime() / 3_600_000
+
+
+@contextmanager
+def case_sensitive(spark: SparkSession):
+    """For the actions inside, names that differ by case are different names
+    (merging the schemas of documents would otherwise drop one of two keys)."""
+    before = spark.conf.get("spark.sql.caseSensitive")
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.caseSensitive", before)

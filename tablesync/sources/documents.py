@@ -4,7 +4,9 @@
 offset (``startAt``/``maxResults``).  The driver asks the fetcher once for
 the total, then plans one input partition per run of pages, so pages are
 fetched in parallel by the executors and rows stream into the plan -- the
-driver never holds the documents.
+driver never holds the documents.  The last partition reads on until a page
+comes back empty, and every partition steps by the documents it received, so
+documents added after the total was read, or short pages, are not lost.
 
 The fetcher is injected: option ``fetcher`` names ``module:factory``;
 ``factory(options)`` returns an object with
@@ -48,10 +50,13 @@ def load_fetcher(options: dict, factory=None):
 
 
 class PagePartition(InputPartition):
-    def __init__(self, first_page: int, last_page: int):
-        super().__init__((first_page, last_page))
+    """Pages ``first_page`` to ``last_page``; the last partition is open-ended."""
+
+    def __init__(self, first_page: int, last_page: int, open_end: bool = False):
+        super().__init__((first_page, last_page, open_end))
         self.first_page = first_page
         self.last_page = last_page
+        self.open_end = open_end
 
 
 class PagedDocumentsReader(DataSourceReader):
@@ -69,11 +74,14 @@ class PagedDocumentsReader(DataSourceReader):
         total = int(self.options.get("total") or fetcher.total(self.options.get("query", ""), self.options.get("since")))
         pages = math.ceil(total / self.page_size)
         if pages == 0:
-            return [PagePartition(0, -1)]
-        if hasattr(fetcher, "plan_pages") and "pages_per_partition" not in self.options:
+            ranges = [(0, 0)]
+        elif hasattr(fetcher, "plan_pages") and "pages_per_partition" not in self.options:
             # the fetcher knows its storage layout (e.g. row groups)
-            return [PagePartition(a, b) for a, b in fetcher.plan_pages(pages, self.page_size)]
-        return [PagePartition(p, min(p + self.per_partition, pages) - 1) for p in range(0, pages, self.per_partition)]
+            ranges = fetcher.plan_pages(pages, self.page_size)
+        else:
+            ranges = [(p, min(p + self.per_partition, pages) - 1) for p in range(0, pages, self.per_partition)]
+        # the total is only what was there when it was read: the last range goes on to the end
+        return [PagePartition(a, b, k == len(ranges) - 1) for k, (a, b) in enumerate(ranges)]
 
     def read(self, partition):
         fetcher = load_fetcher(self.options, self.factory)
@@ -86,12 +94,15 @@ class PagedDocumentsReader(DataSourceReader):
                 yield (name, bool(subtask))
             return
         query, since = self.options.get("query", ""), self.options.get("since")
-        for page in range(partition.first_page, partition.last_page + 1):
-            docs = fetcher.page(query, page * self.page_size, self.page_size, since)
+        start, end = partition.first_page * self.page_size, (partition.last_page + 1) * self.page_size
+        while partition.open_end or start < end:
+            asked = self.page_size if partition.open_end else min(self.page_size, end - start)
+            docs = fetcher.page(query, start, asked, since)
             if not docs:  # the page after the last one is empty
                 return
-            for d in docs:
-                yield (page, d if isinstance(d, str) else json.dumps(d, ensure_ascii=False))
+            for k, d in enumerate(docs):
+                yield ((start + k) // self.page_size, d if isinstance(d, str) else json.dumps(d, ensure_ascii=False))
+            start += len(docs)  # a server may return fewer documents than asked for
 
 
 class PagedDocuments(DataSource):

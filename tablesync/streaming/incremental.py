@@ -2,8 +2,9 @@
 
 Raw documents land as JSON-lines files (one document per line) in a folder
 -- written by whatever polls the API.  A streaming query picks up new files
-and applies each micro-batch with the same full/incremental logic as the
-batch job (``foreachBatch``).  Re-running a micro-batch after a failure is
+and applies each micro-batch as an upsert (``foreachBatch``): a batch of files
+never replaces a table, and a late file with an older version of a document
+does not overwrite a newer row.  Re-running a micro-batch after a failure is
 safe: the upsert is idempotent (delete by key, then insert) and a family
 version only becomes visible at its commit.
 """
@@ -48,7 +49,7 @@ def start_sync(
             return
         # the files are the changes: no API filter text is needed; several
         # files in one micro-batch may repeat a key, so keep the latest
-        kw = {"dedupe_keys": True, **sync_kw}
+        kw = {"dedupe_keys": True, "upsert_only": True, "keep_newest": True, **sync_kw}
         sync_documents(batch.sparkSession, lambda _since: batch, family, **kw)
 
     ckpt = checkpoint or os.path.join(checkpoint_root(spark), "tablesync", "streams", os.path.basename(family.root.rstrip("/")))

@@ -241,13 +241,13 @@ def test_vacuum_keeps_live_versions(spark, tmp_root):
     sync_documents(spark, fetch, fam, field_map=FIELD_MAP)
     sync_documents(spark, fetch, fam, field_map=FIELD_MAP)
     before = {r["jira"]: r["x"] for r in fam.read("Bug").collect()}
-    deleted = fam.vacuum(retain_commits=0)
+    deleted = fam.vacuum(retain_commits=0, min_age_hours=0)
     after = {r["jira"]: r["x"] for r in fam.read("Bug").collect()}
     assert after == before and after["P-1"] == 100 and len(after) == 20
     # the first version still holds three untouched buckets, so it stays
     assert len(list_dirs(spark, os.path.join(fam.root, "Bug"))) == 2 and deleted == []
     fam.commit([fam.stage("Bug", fam.read("Bug"))])  # a full rewrite frees both
-    assert len(fam.vacuum(retain_commits=0)) == 2
+    assert len(fam.vacuum(retain_commits=0, min_age_hours=0)) == 2
     assert fam.read("Bug").count() == 20
 
 

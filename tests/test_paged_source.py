@@ -88,3 +88,35 @@ def test_types_resource_feeds_routing(spark):
     )
     routed = routing.route(documents.parse(docs), types=types)
     assert routed.select("_target").first()[0] == "Sous_tache_subtask"
+
+
+class _ListFetcher:
+    """Serves ``served`` documents, ``short`` at most a page, and announces ``announced``."""
+
+    def __init__(self, options):
+        self.options = {k: int(v) for k, v in options.items() if k in ("announced", "served", "short")}
+
+    def total(self, query, since):
+        return self.options["announced"]
+
+    def page(self, query, start_at, max_results, since):
+        end = min(start_at + min(max_results, self.options["short"]), self.options["served"])
+        return [{"key": f"K-{i}"} for i in range(start_at, end)]
+
+
+def _list_fetcher(options):
+    return _ListFetcher(options)
+
+
+def test_reads_to_the_real_end(spark):
+    import json
+    import sys
+
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    paged.register(spark, _list_fetcher)
+    for announced, served, short in ((250, 330, 100), (250, 250, 60), (0, 5, 100), (330, 250, 100)):
+        df = spark.read.format("paged_documents").options(announced=announced, served=served, short=short, pages_per_partition=1).load()
+        keys = [json.loads(r.raw)["key"] for r in df.collect()]
+        assert len(keys) == len(set(keys)) == served
