@@ -18,6 +18,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op1_substring_dedup": substring_dedup.ORACLE,
     "op2_line_dedup": line_dedup.ORACLE,
     "op5_source_mixing": mixing.ORACLE,
     "op8_exact_top_k": topk.ORACLE,

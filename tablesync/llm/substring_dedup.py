@@ -361,3 +361,25 @@ def substring_digest(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_digest(table(spark, sf_dir, "documents"))
+
+
+ORACLE = """
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), windows AS (
+  SELECT doc_id, i, array_to_string(list_slice(w, i, i + 12), ' ') AS k
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d)
+), firsts AS (
+  SELECT k, min(doc_id) AS first_doc FROM windows GROUP BY k
+), gone AS (
+  SELECT DISTINCT doc_id, i + o AS p
+  FROM (SELECT doc_id, i, unnest(range(0, 13)) AS o FROM windows JOIN firsts USING (k) WHERE first_doc < doc_id)
+), words AS (
+  SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d
+), kept AS (
+  SELECT w.doc_id, count(g.p) AS n_removed, string_agg(word, ' ' ORDER BY w.p) FILTER (g.p IS NULL) AS text
+  FROM words w LEFT JOIN gone g ON w.doc_id = g.doc_id AND w.p = g.p GROUP BY w.doc_id
+)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id
+"""
