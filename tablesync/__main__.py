@@ -21,7 +21,9 @@ def _lists(value: str | None) -> list[str]:
 def _sink(args):
     from .plans.sinks import Sink
 
-    return Sink(format=args.sink_format, root=args.sink_root, versioned=args.versioned)
+    return Sink(
+        format=args.sink_format, root=args.sink_root, dataset=args.dataset, bucket=args.bucket, versioned=args.versioned
+    )
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -30,7 +32,10 @@ def main(argv: list[str] | None = None) -> int:
 
     def copy_args(sp):
         sp.add_argument("--schema", required=True, help="schema (PostgreSQL) / owner (Oracle) / folder name")
-        sp.add_argument("--sink-root", required=True, help="folder the tables are written to")
+        where = sp.add_mutually_exclusive_group(required=True)
+        where.add_argument("--sink-root", help="folder the tables are written to")
+        where.add_argument("--dataset", help="dataset of a connector that saves by name (--sink-format names it)")
+        sp.add_argument("--bucket", default=None, help="connector: stage the loads in this bucket")
         sp.add_argument("--sink-format", default="parquet")
         sp.add_argument("--versioned", action="store_true", help="overwrite as a new committed version")
         sp.add_argument("--mode", default="overwrite", choices=["overwrite", "append", "ignore", "error"])
@@ -42,14 +47,16 @@ def main(argv: list[str] | None = None) -> int:
     copy_args(pg)
     pg.add_argument("--url", required=True)
     pg.add_argument("--only", default="")
-    pg.add_argument("--partition-key", default=None)
+    pg.add_argument("--partition-key", default=None, help="integer key that all copied tables have")
+    pg.add_argument("--partition-hash", default=None, help="non-negative hash expression, e.g. abs(hashtext(code))")
 
     ora = sub.add_parser("copy-oracle")
     copy_args(ora)
     ora.add_argument("--url", required=True)
     ora.add_argument("--drop-unsupported", action="store_true", help="drop binary/map/array columns")
     ora.add_argument("--fetchsize", type=int, default=None)
-    ora.add_argument("--partition-key", default=None)
+    ora.add_argument("--partition-key", default=None, help="integer key that all copied tables have")
+    ora.add_argument("--partition-hash", default=None, help="non-negative hash expression, e.g. ORA_HASH(code)")
 
     fo = sub.add_parser("copy-folder")
     copy_args(fo)
@@ -77,7 +84,7 @@ def main(argv: list[str] | None = None) -> int:
 
         out = copy_postgresql_schema(
             spark, args.url, args.schema, _sink(args), mode=args.mode, exclude=_lists(args.exclude),
-            only=_lists(args.only), partition_key=args.partition_key, decimals=args.decimals, parallelism=args.parallelism,
+            only=_lists(args.only), partition_key=args.partition_key, partition_hash=args.partition_hash, decimals=args.decimals, parallelism=args.parallelism,
         )
     elif args.job == "copy-oracle":
         from .plans.jobs import copy_oracle_schema
@@ -85,6 +92,7 @@ def main(argv: list[str] | None = None) -> int:
         out = copy_oracle_schema(
             spark, args.url, args.schema, _sink(args), mode=args.mode, exclude=_lists(args.exclude),
             drop_unsupported=args.drop_unsupported, fetchsize=args.fetchsize, partition_key=args.partition_key,
+            partition_hash=args.partition_hash,
             decimals=args.decimals, parallelism=args.parallelism,
         )
     elif args.job == "copy-folder":

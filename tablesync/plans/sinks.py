@@ -42,6 +42,7 @@ class Sink:
     root: str | None = None
     dataset: str | None = None
     options: dict = field(default_factory=dict)
+    bucket: str | None = None  # connectors: stage the load in this bucket
     versioned: bool = False  # file sinks: overwrite = new version + commit
 
     def target(self, table: str) -> str:
@@ -50,6 +51,22 @@ class Sink:
         return f"{self.dataset}.{table}" if self.dataset else table
 
 
+def connector_options(sink: Sink, evolve: bool) -> dict:
+    """Options of a connector write: staged in a bucket, or direct -- then with
+    field addition and relaxation if the table may evolve.  The sink's own
+    options win; file sinks need none of these."""
+    if sink.root:
+        return dict(sink.options)
+    # fixed values: option names of the warehouse connector
+    if sink.bucket:
+        own = {"temporaryGcsBucket": sink.bucket}
+    else:
+        own = {"writeMethod": "direct"}
+        if evolve:
+            own |= {"allowFieldAddition": "true", "allowFieldRelaxation": "true"}
+    return own | sink.options
+
+
 def read_written(spark: SparkSession, sink: Sink, table: str) -> DataFrame:
     """Read a table written by :func:`write_table` (schemas merged)."""
     if sink.versioned:
@@ -84,7 +101,7 @@ def write_table(df: DataFrame, sink: Sink, table: str, mode: str = "overwrite",
             _check_append(existing, df.schema, table, evolve)
     # Field relaxation needs no step: file sources write every column as
     # nullable, so nothing written is REQUIRED.
-    df.write.format(sink.format).options(**sink.options).mode(mode).save(sink.target(table))
+    df.write.format(sink.format).options(**connector_options(sink, evolve)).mode(mode).save(sink.target(table))
 
 
 def _check_append(existing: T.StructType, incoming: T.StructType, table: str, evolve: bool) -> None:

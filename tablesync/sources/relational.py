@@ -21,6 +21,11 @@ from pyspark.sql import functions as F
 from .catalog import sql_literal
 
 
+def quoted(identifier: str) -> str:
+    """A database identifier in double quotes (PostgreSQL, Oracle)."""
+    return '"' + identifier.replace('"', '""') + '"'
+
+
 @dataclass(frozen=True)
 class TableSource:
     """Where tables are read from.
@@ -40,7 +45,9 @@ class TableSource:
     options: dict = field(default_factory=dict)
 
     def qualified(self, table: str) -> str:
-        return f"{self.schema}.{table}" if self.schema else table
+        """The table's quoted name: catalogues give names as they are, so mixed
+        case and special characters must not be folded."""
+        return ".".join(quoted(p) for p in (self.schema, table) if p)
 
     def jdbc_properties(self) -> dict[str, str]:
         props = dict(self.options)

@@ -29,7 +29,7 @@ def test_postgresql_scan_call():
     spark = _Spark()
     src = TableSource(url="jdbc:postgresql://db/x", driver=POSTGRESQL_DRIVER, schema="public")
     assert read_table(spark, src, "t") == "frame"
-    assert spark.read.calls == [("jdbc:postgresql://db/x", "public.t", None, {"driver": POSTGRESQL_DRIVER})]
+    assert spark.read.calls == [("jdbc:postgresql://db/x", '"public"."t"', None, {"driver": POSTGRESQL_DRIVER})]
 
 
 def test_oracle_scan_call_with_fetchsize_and_predicates():
@@ -37,7 +37,7 @@ def test_oracle_scan_call_with_fetchsize_and_predicates():
     src = TableSource(url="jdbc:oracle:thin:@h:1521/s", driver=ORACLE_DRIVER, schema="HR", fetchsize=ORACLE_FETCHSIZE)
     read_table(spark, src, "EMP", predicates=["a < 1", "a >= 1"])
     url, table, preds, props = spark.read.calls[0]
-    assert table == "HR.EMP" and preds == ["a < 1", "a >= 1"]
+    assert table == '"HR"."EMP"' and preds == ["a < 1", "a >= 1"]
     assert props == {"driver": ORACLE_DRIVER, "fetchsize": "10000"}
 
 
@@ -66,7 +66,7 @@ def test_bounds_run_in_the_database():
     spark.read = _R()
     src = TableSource(url="jdbc:postgresql://db/x", driver=POSTGRESQL_DRIVER, schema="s")
     assert source_bounds(spark, src, "t", "id") == (1, 99, 50)
-    assert spark.read.calls[0][1] == bounds_sql("s.t", "id") == "(SELECT MIN(id) AS lo, MAX(id) AS hi, COUNT(*) AS n FROM s.t) b"
+    assert spark.read.calls[0][1] == bounds_sql('"s"."t"', "id") == '(SELECT MIN(id) AS lo, MAX(id) AS hi, COUNT(*) AS n FROM "s"."t") b'
 
 
 def test_schema_copy_wiring(monkeypatch):
@@ -102,7 +102,7 @@ def test_hash_partitioned_scan_predicates():
     src = TableSource(url="jdbc:oracle:thin:@h:1521/s", driver=ORACLE_DRIVER, schema="HR")
     assert read_table_partitioned(spark, src, "EMP", key="code", hash_expr="ORA_HASH(code)") == "frame"
     count_call, scan_call = spark.read.calls
-    assert count_call[1] == "(SELECT COUNT(*) AS n FROM HR.EMP) c"
+    assert count_call[1] == '(SELECT COUNT(*) AS n FROM "HR"."EMP") c'
     assert len(scan_call[2]) == 3 and scan_call[2][2] == "MOD(ORA_HASH(code), 3) = 2"
 
 
