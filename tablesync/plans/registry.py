@@ -538,6 +538,20 @@ def route_names(spark, sf_dir):
     return routing.route_names(docs, types=types)
 
 
+@register(
+    "type_metadata",
+    "SELECT " + _clean_sql("o_orderpriority") + f" || CASE WHEN o_orderpriority = '{MOVED_TO_TYPE}' THEN '_subtask' ELSE '' END AS t, "
+    "count(*) AS n FROM orders GROUP BY 1",
+)
+def type_metadata(spark, sf_dir):
+    """Type metadata read through the paged source decides the flag of documents that carry none."""
+    paged.register(spark, standins.parquet_orders_fetcher)
+    options = {"resource": "types", "path": os.path.join(sf_dir, "orders.parquet"), "subtask": MOVED_TO_TYPE}
+    types = spark.read.format("paged_documents").options(**options).load()
+    docs = documents.parse(standins.order_documents(table(spark, sf_dir, "orders"), subtask_types=None))
+    return routing.route_counts(docs, types=types)
+
+
 # --------------------------------------------------------------------------
 # sizing
 # --------------------------------------------------------------------------
@@ -742,6 +756,20 @@ def _field(df: DataFrame, struct: str, name: str) -> str:
     return next(f.name for f in df.schema[struct].dataType.fields if f.name.lower() == name)
 
 
+@register(
+    "fetched_documents",
+    "SELECT " + _clean_sql("o_orderpriority") + " AS t, count(*) AS rows, (SELECT count(*) FROM orders) AS fetched FROM orders GROUP BY 1",
+)
+def fetched_documents(spark, sf_dir):
+    """The job's running counts: documents read, and rows written per table."""
+    from .jobs import sync_documents
+    from .sinks import TableFamily
+
+    family = TableFamily(spark, scratch_path(spark, "family"))
+    result = sync_documents(spark, lambda _since: standins.order_documents(table(spark, sf_dir, "orders")), family)
+    return result.select(F.col("table_name").alias("t"), "rows", "fetched")
+
+
 @register("stream_sync", ORACLE_SQL["document_sync"])
 def stream_sync(spark, sf_dir):
     """The same two batches landed as JSON-lines files by Spark and applied

@@ -112,6 +112,7 @@ class ParquetOrdersFetcher:
         import pyarrow.parquet as pq
 
         self.path = options["path"]
+        self.subtask = options.get("subtask")
         self.file = pq.ParquetFile(self.path)
         md = self.file.metadata
         self.starts = []
@@ -179,6 +180,11 @@ class ParquetOrdersFetcher:
     def fields(self):
         return list(FIELD_NAMES)
 
+    def types(self):
+        """Every priority once; the option ``subtask`` names the sub-task type."""
+        column = self.file.read(columns=["o_orderpriority"]).column(0)
+        return [(name, name == self.subtask) for name in sorted(column.unique().to_pylist())]
+
 
 
 def parquet_orders_fetcher(options: dict) -> ParquetOrdersFetcher:
