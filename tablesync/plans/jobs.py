@@ -53,13 +53,18 @@ def prepare_table(
     clean_strings: bool = False,
     partition_key: str | None = None,
     size_bytes: int | None = None,
-    size_partitioning: bool = True,
+    size_partitioning: bool | str = "auto",
     partition_hash: str | None = None,
 ) -> DataFrame:
     """The lazy plan of one table copy, up to (not including) the write.
 
     ``partition_key`` (integer key) or ``partition_hash`` (a hash expression
     in the database's dialect) splits a JDBC scan into parallel tasks.
+
+    ``size_partitioning``: ``True`` shuffles into partitions of 9 MiB of the
+    table's size (for connectors that need that many small loads); ``"auto"``
+    rebalances only what one JDBC connection reads, so that it is written by
+    many tasks, and keeps the partitions of a scan that is split already.
     """
     if (partition_key or partition_hash) and source.format == "jdbc":
         df = read_table_partitioned(spark, source, table, partition_key, hash_expr=partition_hash)
@@ -70,7 +75,10 @@ def prepare_table(
     df = coerce.decimals_to(df, decimals)
     if clean_strings:
         df = coerce.clean_strings(df)
-    if size_partitioning:
+    if size_partitioning == "auto":
+        if source.format == "jdbc" and not (partition_key or partition_hash):
+            df = df.hint("rebalance")
+    elif size_partitioning:
         size = size_bytes if size_bytes is not None else table_size_bytes(spark, source, table)
         df = size_partitions(df, size)
     return df
