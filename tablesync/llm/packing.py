@@ -18,6 +18,10 @@ themselves; an empty table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import os
+import re
+import sys
+import types
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -37,6 +41,14 @@ ITEMS_PER_TASK = 50_000
 WORTH_IT = 0.9  # another round must start with at most this share of the last one's items
 CACHED_WORDS = 300_000  # word forms whose ids a Python worker remembers
 
+# Latin letters without those whose lower case or composed form is another matter, then marks.
+PLAIN = re.compile("([a-zA-Z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?]*)")
+# How byte-level vocabularies spell a byte: printable Latin-1 as itself, the rest from U+0100 on.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_LETTERS = {b: chr(b) for b in _PRINTABLE} | {
+    b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in _PRINTABLE)
+}
+
 MEMBER = np.dtype(
     [("doc_id", "<i8"), ("null_id", "u1"), ("piece", "<i4"), ("start", "<i8"), ("length", "<i4"), ("crc", "<u4")]
 )
@@ -59,6 +71,7 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.cache: dict[bytes, bytes] = {}
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
@@ -78,14 +91,35 @@ class WordEncoder:
         return out
 
     def encode(self, words: set[bytes]) -> dict[bytes, bytes]:
-        fresh = {}
-        listed = list(words)
-        for start in range(0, len(listed), 20_000):
-            part = listed[start : start + 20_000]
-            encoded = self.tokenizer.encode_batch_fast(
-                [w.decode("utf-8", "replace") for w in part], add_special_tokens=False
-            )
-            fresh.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(part, encoded))
+        """Ids of words that are not cached yet.
+
+        The normaliser and the pre-tokenizer leave a lower-case run of Latin letters
+        as it is and cut it from the marks after it, so such a run goes to the model
+        at once; everything else goes through the whole tokenizer.
+        """
+        fresh, others = {}, set()
+        plain = []
+        for w in words:
+            match = PLAIN.fullmatch(w.decode("utf-8", "replace"))
+            if match is None:
+                others.add(w)
+                continue
+            letters, marks = match[1].lower(), match[2].encode()
+            plain.append((w, letters, marks))
+            if marks and marks not in self.cache:
+                others.add(marks)
+        listed = list(others)
+        encoded = self.tokenizer.encode_batch_fast(
+            [w.decode("utf-8", "replace") for w in listed], add_special_tokens=False
+        )
+        fresh.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(listed, encoded))
+        for w, letters, marks in plain:
+            run = letters.encode()
+            ids = self.cache.get(run) or fresh.get(run)
+            if ids is None:
+                spelled = letters if letters.isascii() else "".join(map(BYTE_LETTERS.__getitem__, run))
+                ids = fresh[run] = np.array([t.id for t in self.model.tokenize(spelled)], "<u4").tobytes()
+            fresh[w] = ids + (self.cache.get(marks) or fresh[marks]) if marks else ids
         if len(self.cache) + len(fresh) > CACHED_WORDS:
             self.cache.clear()
         if len(fresh) <= CACHED_WORDS:
@@ -93,16 +127,13 @@ class WordEncoder:
         return fresh
 
 
-
 def encoder(path: str) -> WordEncoder:
-    """One encoder a Python worker, kept from task to task."""
-    import os
+    """One encoder a Python worker, kept from task to task.
 
+    This package travels to the workers by value, so the cache has a module of its own there.
+    """
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    import builtins
-
-    # functions of this package travel by value, so the worker-wide cache hangs on a real module
-    kept = builtins.__dict__.setdefault("_word_encoders", {})
+    kept = sys.modules.setdefault("_word_encoders", types.ModuleType("_word_encoders")).__dict__
     if path not in kept:
         kept[path] = WordEncoder(path)
     return kept[path]

@@ -61,3 +61,14 @@ def test_items_that_never_share(spark):
         "3000 AS size", "cast(lpad(cast(id as string), 29, '0') as binary) AS members"
     )
     assert packing.pack(items, 4096, items_per_task=100).count() == 1000
+
+
+def test_words_encode_as_whole_texts():
+    words = (
+        "Plain wörd, Straße. ÀÉÎõü!! don't it's 12.5 a1b2 ÷×µª ﬁne ﬁ İstanbul ΣΑΣ éa É, İx ﬀ <|endoftext|> <|ENDOFTEXT|> "
+        "x<|startoftext|>y ́a .,;: ... !? a.b a,b, 你好。 \U0001f600. naïve… –— \x00 \x85z  q ÿ Ÿ ſ ŉ K Å"
+    )
+    texts = [words, words.lower(), words.upper(), words.replace(" ", "\n\t "), "".join(words.split()), "", " \n"]
+    texts += words.split(" ")
+    got = [np.frombuffer(x, "<u4").tolist() for x in packing.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))(texts)]
+    assert got == ids_of(texts)
