@@ -138,7 +138,7 @@ def statistics(text: str | None) -> tuple[int, int, int, int, int, list[float]]:
 
 
 def with_statistics(docs: DataFrame, name: str) -> DataFrame:
-    """``docs`` and a struct column ``name`` of the statistics of ``text``; without ``text`` if it is not wanted."""
+    """``docs`` and a struct column ``name`` of the statistics of ``text``."""
     text_at = docs.columns.index("text")
     struct = pa.struct([(c, pa.int64()) for c in COUNTS] + [("x", pa.list_(pa.float64()))])
 
