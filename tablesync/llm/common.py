@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tablesync.session import scratch_path
 
@@ -28,6 +29,12 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def few(df: DataFrame, most: int = 10_000) -> DataFrame:
+    """A stored table, marked for broadcast if it is counted and has few rows; beyond
+    that a join with it shuffles, and Spark splits the large keys' partitions."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
 def utf8(text: str | None) -> bytes:
     """UTF-8 of a text; a null reads as empty, a lone surrogate is kept."""
     return b"" if text is None else text.encode("utf-8", "surrogatepass")

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tablesync.llm.common import SPACE, SPACE_CHARS, free_name, stored, table
+from tablesync.llm.common import SPACE, SPACE_CHARS, few, free_name, stored, table
 
 WEIGHTS = (3, 1, 2)  # by rank of the source, repeating
 TOTAL_SHARE = 1.5  # of all sizes
@@ -106,7 +106,7 @@ def _chosen(docs: DataFrame, total_share: float) -> tuple[DataFrame, DataFrame]:
     rows = stored(_keyed(docs), "mix-documents")
     sizes = rows.groupBy("source").agg(F.count("*").alias("n"), F.sum("size").alias("source_size"))
     wanted = stored(_with_epochs(targets(sizes, total_share)), "mix-targets")
-    own = wanted.withColumnRenamed("source", "of_source")
+    own = few(wanted.withColumnRenamed("source", "of_source"))
     ranges = F.greatest(F.lit(1), F.ceil(F.col("n") / DOCS_PER_RANGE))
     # 1 - exp(-key) is about uniform and grows with the key
     ranged = (
@@ -142,14 +142,14 @@ def mixed_documents(docs: DataFrame, total_share: float = TOTAL_SHARE) -> DataFr
     """``docs`` with every document as often as the mix takes it, columns unchanged.
 
     Only the last place taken of each source is joined to the documents, so no text
-    is shuffled; rows equal to a source's last one are taken alike.
+    is shuffled while the sources are few; rows equal to a source's last one are taken alike.
     """
     placed, wanted = _chosen(docs, total_share)
     last = placed.filter("chosen").groupBy("source").agg(F.max("place").alias("last"))
     last = last.withColumnRenamed("source", "last_source")
-    wanted = wanted.join(last, wanted["source"].eqNullSafe(last["last_source"]), "left")
+    wanted = stored(wanted.join(last, wanted["source"].eqNullSafe(last["last_source"]), "left"), "mix-last")
     names = {c: free_name(docs, f"mix_{c}") for c in ("source", "epochs", "last", "place", "copy")}
-    wanted = wanted.select(*(F.col(c).alias(names[c]) for c in ("source", "epochs", "last")))
+    wanted = few(wanted.select(*(F.col(c).alias(names[c]) for c in ("source", "epochs", "last"))))
     id_, size = F.col("doc_id").cast("long"), size_of(F.col("text"))
     place = _order(id_, size, F.xxhash64("text"), sampling_key(id_, quality_weight(F.col("text"))))
     joined = docs.join(wanted, docs["source"].eqNullSafe(wanted[names["source"]])).withColumn(names["place"], place)
