@@ -4,8 +4,9 @@ A logistic regression over the words present in a text and the words' beginnings
 (inflected and compound forms share them).  Besides the labels it is
 fitted to *counterfactual pairs*: in every labelled text that names a group, the name
 is swapped for other names of its category and for a neutral word, and the change
-of the score is penalised.  Neutral words carry no weight, so a group's name cannot
-carry one either, however often it stood in toxic texts.
+of the whole text's score is penalised: that of the name and of every beginning that
+comes or goes with it.  Neutral words and their beginnings carry no weight, so a
+group's name cannot carry one either, however often it stood in toxic texts.
 
 The fit uses a bounded sample of labelled rows, ``SAMPLE_ROWS`` at most (those of the
 smallest hash of the id); it is the only bounded part, and the only data broadcast
@@ -21,7 +22,9 @@ ignored.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+import zlib
+from collections import Counter
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -57,12 +60,15 @@ CATEGORY_OF = {w: name for name, words in CATEGORIES.items() for w in words}
 WORD = re.compile(r"[^\W\d_]+")
 
 
+def with_beginnings(words: set[str]) -> set[str]:
+    """Words and the beginnings of the longer ones, marked by a hyphen; neutral words
+    have none, as they carry no weight."""
+    return words | {w[:n] + "-" for w in words - NEUTRAL.keys() for n in PREFIXES if len(w) > n}
+
+
 def words_of(text: str | None) -> set[str]:
-    """What is present in a text: its runs of letters, lower-cased, and the beginnings
-    of the longer ones, marked by a hyphen."""
-    words = set(WORD.findall((text or "").lower()))
-    beginnings = {w[:n] + "-" for n in PREFIXES for w in words if len(w) > n}
-    return words | beginnings
+    """What is present in a text: its runs of letters, lower-cased, and their beginnings."""
+    return with_beginnings(set(WORD.findall((text or "").lower())))
 
 
 def held_out(doc_id):
@@ -117,32 +123,58 @@ def pairs_of(present: set[str], nth: int) -> list[tuple[str, str]]:
     return out
 
 
-def fit(labels: np.ndarray, texts: list[set[str]], words: list[str], counterfactual: float = COUNTERFACTUAL):
+def changes_of(present: Iterable[str], nth: int, known: set[str] | dict[str, int]) -> Iterator[tuple[tuple[str, ...], tuple[str, ...]]]:
+    """(lost, gained) words and beginnings of the model in each swap of one text.
+
+    A text with several names is also compared to itself with neutral words only, as
+    two names can share the beginnings that a single swap leaves in place.
+    """
+    words = {w for w in present if not w.endswith("-")}
+    swapped = [(words - {name}) | {other} for name, other in pairs_of(words, nth)]
+    names = {w for w in words & CATEGORY_OF.keys() if w not in NEUTRAL}
+    if len(names) > 1:
+        swapped.append((words - names) | {CATEGORIES[CATEGORY_OF[w]][0] for w in names})
+    before = with_beginnings(words)
+    for other in swapped:
+        after = with_beginnings(other)
+        lost, gained = (tuple(sorted(w for w in x if w in known)) for x in (before - after, after - before))
+        if lost or gained:
+            yield lost, gained
+
+
+def fit(
+    labels: np.ndarray,
+    texts: list[set[str]],
+    words: list[str],
+    counterfactual: float = COUNTERFACTUAL,
+    changes: dict[tuple[tuple[str, ...], tuple[str, ...]], int] | None = None,
+):
     """Weights of ``words`` and an intercept, by accelerated gradient descent.
 
-    Minimises log loss + ridge + counterfactual * (change of the score in a pair)^2,
-    the last summed over the pairs of all texts.
+    Minimises log loss + ridge + counterfactual * (change of the score in a swap)^2,
+    the last summed over the swaps of all texts.  ``changes`` counts the swaps' (lost,
+    gained) words where ``texts`` are cut to the model's words.
     """
     index = {w: k for k, w in enumerate(words)}
     found = [sorted(index[w] for w in t if w in index) for t in texts]
     row = np.repeat(np.arange(len(found)), [len(f) for f in found])
     col = np.array([k for f in found for k in f], np.int64)
-    swaps: dict[tuple[int, int], int] = {}
-    for nth, t in enumerate(texts):
-        for a, b in pairs_of(t, nth):
-            key = (index[a], index.get(b, len(words)))  # a neutral word: the place after the last
-            swaps[key] = swaps.get(key, 0) + 1
-    a = np.array([k[0] for k in swaps], np.int64)
-    b = np.array([k[1] for k in swaps], np.int64)
-    times = np.array(list(swaps.values()), np.float64) * counterfactual
+    if changes is None:
+        changes = Counter(c for nth, t in enumerate(texts) for c in changes_of(t, nth, index))
+    signed = [[(index[w], -1.0) for w in lost] + [(index[w], 1.0) for w in gained] for lost, gained in changes]
+    moved = np.array([len(x) for x in signed], np.int64)  # words that a swap changes
+    swap = np.repeat(np.arange(len(signed)), moved)
+    at = np.array([k for x in signed for k, _ in x], np.int64)
+    sign = np.array([v for x in signed for _, v in x], np.float64)
+    times = np.array(list(changes.values()), np.float64) * counterfactual
 
     n, size = len(found), len(words)
     y = labels.astype(np.float64)
     # a bound on the curvature of each coordinate sets its step
     per_row = np.bincount(row, minlength=n) + 1.0
     curvature = 0.25 * np.bincount(col, weights=per_row[row], minlength=size) + RIDGE
-    pull = np.bincount(a, weights=times, minlength=size) + np.bincount(b, weights=times, minlength=size + 1)[:size]
-    step = 1.0 / (curvature + 2 * pull)
+    pull = np.bincount(at, weights=(times * moved)[swap], minlength=size)
+    step = 1.0 / (curvature + pull)
     step_0 = 1.0 / (0.25 * per_row.sum())
     w, ahead = np.zeros(size), np.zeros(size)
     rate = (y.sum() + 1) / (n + 2)
@@ -152,9 +184,8 @@ def fit(labels: np.ndarray, texts: list[set[str]], words: list[str], counterfact
         z = np.bincount(row, weights=ahead[col], minlength=n) + ahead0
         error = 1 / (1 + np.exp(-z)) - y
         gradient = np.bincount(col, weights=error[row], minlength=size) + RIDGE * ahead
-        change = times * (ahead[a] - np.append(ahead, 0.0)[b])
-        gradient += np.bincount(a, weights=change, minlength=size)
-        gradient -= np.bincount(b, weights=change, minlength=size + 1)[:size]
+        change = times * np.bincount(swap, weights=sign * ahead[at], minlength=len(times))
+        gradient += np.bincount(at, weights=sign * change[swap], minlength=size)
         following, following0 = ahead - step * gradient, ahead0 - step_0 * error.sum()
         t, before = (1 + np.sqrt(1 + 4 * t * t)) / 2, t
         ahead = following + (before - 1) / t * (following - w)
@@ -163,6 +194,26 @@ def fit(labels: np.ndarray, texts: list[set[str]], words: list[str], counterfact
     return w, w0
 
 
+def swap_changes(rows: DataFrame, words: list[str]) -> dict[tuple[tuple[str, ...], tuple[str, ...]], int]:
+    """How often the swaps of all sampled texts lose and gain the same of ``words``."""
+    known = set(words)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches):
+            found = [
+                c
+                for present in batch.column(0).to_pylist()
+                if not CATEGORY_OF.keys().isdisjoint(present)
+                for c in changes_of(present, zlib.crc32(" ".join(present).encode()), known)
+            ]
+            columns = [pa.array([list(c[k]) for c in found], pa.list_(pa.string())) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays(columns, names=["lost", "gained"])
+
+    changes = rows.select("words").mapInArrow(run, "lost array<string>, gained array<string>")
+    counts = changes.groupBy("lost", "gained").agg(F.count("*").alias("n")).orderBy("lost", "gained")
+    return {(tuple(r["lost"]), tuple(r["gained"])): r["n"] for r in counts.collect()}
+
+
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[dict[str, float], float]:
     """(weights by word, intercept)."""
     rows = labelled_words(docs, labels, sample_rows)
@@ -174,7 +225,12 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     known = F.array_intersect("words", F.array(*(F.lit(w) for w in chosen)))
     # one row a sampled text, cut to the model's words
     sample = rows.select("toxic", known.alias("words")).orderBy("toxic", "words").collect()
-    weights, intercept = fit(np.array([r["toxic"] for r in sample]), [set(r["words"]) for r in sample], chosen)
+    weights, intercept = fit(
+        np.array([r["toxic"] for r in sample]),
+        [set(r["words"]) for r in sample],
+        chosen,
+        changes=swap_changes(rows, chosen),
+    )
     return {w: float(x) for w, x in zip(chosen, weights) if x}, float(intercept)
 
 

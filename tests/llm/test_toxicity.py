@@ -58,6 +58,30 @@ def test_swaps_reduce_false_positives_on_neutral_mentions():
     assert regular[2] >= 0.5  # the insult still is
 
 
+def test_swaps_reach_beginnings(spark):
+    """The biased texts through words_of() and vocabulary(): no beginning keeps the name's weight."""
+    texts = [(k, int(t), " ".join(sorted(w))) for k, (t, w) in enumerate(biased_rows())]
+    docs = spark.createDataFrame([(k, x) for k, _, x in texts], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, None, t) for k, t, _ in texts], LABELS)
+    weights, intercept = toxicity.train(docs, labels)
+    assert any(w.endswith("-") and "muslims".startswith(w[:-1]) for w in toxicity.vocabulary(toxicity.labelled_words(docs, labels)))
+    score = lambda text: 1 / (1 + np.exp(-intercept - sum(weights.get(w, 0.0) for w in toxicity.words_of(text))))
+    assert score("tree muslims") < 0.5 <= score("tree scumbag")
+    assert abs(score("tree muslims") - score("tree believers")) < 0.05
+
+
+def test_fit_swaps_whole_texts():
+    rows = [(t, toxicity.words_of(" ".join(w))) for t, w in biased_rows()]
+    words = sorted(toxicity.CATEGORY_OF.keys() - toxicity.NEUTRAL.keys()) + ["musl-", "musli-", "muslim-", "scumbag"]
+    w, w0 = toxicity.fit(np.array([t for t, _ in rows]), [x for _, x in rows], words)
+    at = dict(zip(words, w))
+    score = lambda text: 1 / (1 + np.exp(-w0 - sum(at.get(x, 0.0) for x in toxicity.words_of(text))))
+    assert score("tree muslims") < 0.5 <= score("tree scumbag")
+    # names that share beginnings are also swapped together
+    lost = {frozenset(a) for a, _ in toxicity.changes_of({"muslims", "muslime"}, 0, {"musl-"})}
+    assert frozenset({"musl-"}) in lost
+
+
 def test_hard_inputs(spark, edge_docs, empty_docs, with_clashes):
     docs = with_clashes(edge_docs)
     labels = spark.createDataFrame([(k, 1, k % 2) for k in range(12)] + [(5, None, None), (None, 1, 1)], LABELS)
