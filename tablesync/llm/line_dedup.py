@@ -101,6 +101,8 @@ def stream_firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         new[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
         goes_on = current is not None and current[:2] == (h1[0], h2[0])
         new[0] = not goes_on
+        if current is not None and not goes_on:
+            leading = False  # the leading hash ended with the batch before
         if current is None:
             yield edge(h1[0], h2[0], doc[0])
         group = np.cumsum(new) - (0 if goes_on else 1)

@@ -1,6 +1,7 @@
 import hashlib
 from collections import defaultdict
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tablesync.llm import line_dedup
@@ -46,6 +47,24 @@ def test_hash_spanning_partitions(spark):
     assert all(r.n_dropped == 2 for r in got if r.doc_id)
 
 
+def test_batches_cut_anywhere():
+    """However a partition's rows are cut into batches, the same lines come out."""
+    hashes, docs = [1] * 4 + [2] * 3 + [3] + [4] * 2 + [5] * 3, [0, 1, 1, 2, 0, 2, 3, 1, 5, 6, 0, 0, 4]
+    columns = [pa.array(x, pa.int64()) for x in (hashes, hashes, docs, docs)] + [pa.array([0] * len(docs), pa.int32())]
+    whole = pa.RecordBatch.from_arrays(columns, names=["h1", "h2", "doc", "text_hash", "pos"])
+
+    def streamed(cuts):
+        batches = [whole.slice(a, b - a) for a, b in zip([0, *cuts], [*cuts, len(docs)])]
+        return sorted(tuple(r.values()) for out in line_dedup.stream_firsts(iter(batches)) for r in out.to_pylist())
+
+    want = streamed([])
+    at_hashes = [k for k in range(1, len(hashes)) if hashes[k] != hashes[k - 1]]
+    assert streamed(at_hashes) == want
+    assert streamed(range(1, len(hashes))) == want
+    for k in range(1, len(hashes)):
+        assert streamed([k]) == want
+
+
 def test_dedup_keeps_columns(edge_docs, with_clashes):
     docs = with_clashes(edge_docs)
     out = line_dedup.dedup_lines(docs)
