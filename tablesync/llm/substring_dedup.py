@@ -13,7 +13,10 @@
 * The block, built again from the same rows, marks and removes the covered words.
 
 3-grams of short words are the smallest only where a window has no other; such a
-window is its own key, so that no few common words attract a whole bucket.
+window is its own key, so that no few common words attract a whole bucket.  So is a
+window whose minimiser alone would fill a bucket: the packed bytes of every minimiser
+are summed over some blocks first.  Equal windows have the same minimiser and hence
+the same key, whichever minimisers are found heavy.
 
 Defined results: a null or empty text has no words; a null ``doc_id`` sorts after
 all others and counts as one document; rows with the same ``doc_id`` do not remove
@@ -40,6 +43,7 @@ SHORT = 4  # letters up to which a word counts as common
 BLOCK_BYTES = 4 << 20
 BUCKET_BYTES = 8 << 20
 FEWEST = 64  # blocks and buckets, however small the input
+WEIGHED = 32  # blocks whose super-k-mers are weighed for heavy minimisers
 LAST_ID = np.iinfo(np.int64).max
 
 U = np.uint64
@@ -91,10 +95,14 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return x
 
 
+NO_KEYS = np.zeros(0, U)
+
+
 class Block:
-    """The super-k-mers of some documents, equal ones merged."""
+    """The super-k-mers of some documents, equal ones merged; windows of ``heavy``
+    minimisers are keys of their own."""
 
-    def __init__(self, ids: np.ndarray, texts: list[str | None], window: int, buckets: int):
+    def __init__(self, ids: np.ndarray, texts: list[str | None], window: int, buckets: int, heavy: np.ndarray = NO_KEYS):
         self.words = [utf8(t).split() for t in texts]
         counts = np.array([len(w) for w in self.words], np.int64)
         self.first_word = np.concatenate([[0], np.cumsum(counts)])
@@ -102,6 +110,7 @@ class Block:
         self.size = int(self.first_word[-1])
         self.run_window = self.run_length = self.run_doc = self.run_entry = np.zeros(0, np.int64)
         self.entry_bucket, self.entry_doc, self.entry_text = np.zeros(0, np.int64), np.zeros(0, np.int64), []
+        self.entry_key = NO_KEYS
         per_doc = np.maximum(counts - window + 1, 0)
         if not per_doc.sum():
             return
@@ -118,7 +127,7 @@ class Block:
         doc = np.repeat(np.arange(len(counts)), per_doc)
         windows = np.arange(len(doc)) - np.repeat(np.cumsum(per_doc) - per_doc, per_doc) + self.first_word[doc]
         key = sliding_min(values, window - gram + 1)[windows]
-        own = key >= TOP
+        own = (key >= TOP) | np.isin(key, heavy)
         if own.any():
             key[own] = spans.hashes(windows[own], windows[own] + window - 1) | TOP
         new = np.ones(len(key), bool)
@@ -142,6 +151,7 @@ class Block:
         self.run_window, self.run_length, self.run_doc = first, length, doc
         self.run_entry = np.cumsum(~same) - 1
         entry = np.flatnonzero(~same)
+        self.entry_key = key[entry]
         self.entry_bucket, self.entry_doc = bucket[entry], ids[doc[entry]]  # sorted by id: the smallest
         self.entry_text = [text[s:e] for s, e in zip(starts[entry].tolist(), ends[entry].tolist())]
 
@@ -227,11 +237,41 @@ def opened(blob: bytes, parts: int) -> list[bytes]:
     return [raw[e - s : e] for s, e in zip(sizes, ends)]
 
 
-def _block_of(part: pa.Table, window: int, buckets: int) -> tuple[Block, np.ndarray, pa.Table]:
+def _block_of(part: pa.Table, window: int, buckets: int, heavy: np.ndarray = NO_KEYS) -> tuple[Block, np.ndarray, pa.Table]:
     """The block's rows in an order of their own, and its super-k-mers."""
     part = part.sort_by([("doc", "ascending"), ("text_hash", "ascending")]).combine_chunks()
     ids = part.column("doc").to_numpy()
-    return Block(ids, part.column("text").to_pylist(), window, buckets), ids, part
+    return Block(ids, part.column("text").to_pylist(), window, buckets, heavy), ids, part
+
+
+def heavy_keys(dealt: DataFrame, blocks: int, window: int, most: int) -> tuple[np.ndarray, int]:
+    """Minimisers with more than about ``most`` packed bytes, sorted, and those bytes.
+
+    The sums are taken over WEIGHED blocks (all, if there are no more) and scaled up;
+    documents are dealt to the blocks by hash.  A block tells a minimiser only where it
+    has half its share of ``most`` there, so a heavy one misses half its bytes at most.
+    """
+    weighed = min(blocks, WEIGHED)
+    told = most / blocks / 2
+
+    def weigh(key, part):
+        block, _, _ = _block_of(part, window, 1)
+        keys, at = np.unique(block.entry_key, return_inverse=True)
+        sizes = np.bincount(at, weights=[len(t) for t in block.entry_text], minlength=len(keys))
+        chosen = (keys < TOP) & (sizes > told)
+        return pa.table({"key": pa.array(keys[chosen].astype(np.int64)), "size": pa.array(sizes[chosen].astype(np.int64))})
+
+    found = (
+        dealt.filter(F.col("block") < weighed)
+        .groupBy("block")
+        .applyInArrow(weigh, "key long, size long")
+        .groupBy("key")
+        .agg(F.sum("size").alias("size"))
+        .filter(F.col("size") > told * weighed)
+        .collect()  # about twice as many as there are buckets at most
+    )
+    bytes_ = sum(r["size"] for r in found) * blocks // weighed
+    return np.sort(np.array([r["key"] for r in found], np.int64)).astype(U), bytes_
 
 
 def _removed(block: Block, ids: np.ndarray, replies: pa.Table, window: int) -> np.ndarray:
@@ -270,11 +310,13 @@ def _dedup(docs: DataFrame, window: int, finish, schema: str) -> DataFrame:
     )
     total = rows.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
     blocks = max(FEWEST, -(-total // BLOCK_BYTES))
-    buckets = max(FEWEST, -(-3 * total // BUCKET_BYTES))  # a super-k-mer has about three times its windows' share of words
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc", "text_hash"), F.lit(blocks)))
+    heavy, heavy_bytes = heavy_keys(dealt, blocks, window, BUCKET_BYTES)
+    # a super-k-mer has about three times its windows' share of words; single windows have up to about six times its words
+    buckets = max(FEWEST, -(-(3 * total + 6 * heavy_bytes) // BUCKET_BYTES))
 
     def send(key, part):
-        block, _, _ = _block_of(part, window, buckets)
+        block, _, _ = _block_of(part, window, buckets, heavy)
         bucket, blobs = [], []
         for b, first, end in block.by_bucket():
             texts = block.entry_text[first:end]
@@ -319,7 +361,7 @@ def _dedup(docs: DataFrame, window: int, finish, schema: str) -> DataFrame:
         )
 
     def rebuild(part, replies):
-        block, ids, part = _block_of(part, window, buckets)
+        block, ids, part = _block_of(part, window, buckets, heavy)
         gone = _removed(block, ids, replies, window)
         n_removed, kept = [], []
         for k, words in enumerate(block.words):
