@@ -43,7 +43,7 @@ COUNTERFACTUAL = 50.0  # weight of the pairs' penalty
 STEPS = 600
 SWAPS = 3  # names a name is swapped for in each text, besides the neutral one
 
-# Names of groups, by category; the first of each is neutral.
+# Names of groups, by category and number; the first of each is neutral.
 GROUPS = {
     "origin": "people americans africans asians arabs mexicans chinese indians turks poles immigrants refugees foreigners ausländer flüchtlinge étrangers réfugiés inmigrantes refugiados",
     "faith": "believers christians muslims jews hindus buddhists atheists catholics christen muslime juden chrétiens musulmans juifs cristianos musulmanes judíos",
@@ -52,6 +52,14 @@ GROUPS = {
     "colour": "someone black white brown schwarze weiße noirs blancs negros blancos",
     "ability": "patients disabled deaf blind autistic behinderte gehörlose handicapés sourds discapacitados sordos",
     "age": "folks elderly old young teenagers alte junge vieux jeunes ancianos jóvenes",
+    # one of them, and the adjectives
+    "one origin": "person american african asian arab mexican chinesisch turk turkish pole polish indian immigrant refugee foreigner foreign flüchtling ausländisch türkisch polnisch arabisch étranger étrangère réfugié réfugiée arabe immigré immigrée inmigrante refugiado refugiada extranjero extranjera árabe",
+    "one faith": "believer christian muslim jew jewish hindu buddhist atheist catholic christ christlich muslimisch jude jüdin jüdisch chrétien chrétienne musulman musulmane juif juive cristiano cristiana musulmán judío judía",
+    "one gender": "individual man woman girl boy male female mann frau weiblich männlich homme femme fille garçon hombre mujer chica chico",
+    "one orientation": "partner lesbienne homosexuel homosexuelle homosexuell schwuler lesbe lesbisch lesbiana bisexuell bisexuel bisexuelle",
+    "one colour": "somebody schwarz schwarzer weiß weißer noir noire blanc blanche negro negra blanco blanca",
+    "one ability": "patient behindert behinderter gehörlos gehörloser blinder handicapé handicapée sourd sourde aveugle discapacitado discapacitada sordo sorda ciego ciega",
+    "one age": "adult teenager pensioner alter alt jung junger vieille jeune anciano anciana joven",
 }
 CATEGORIES = {name: words.split() for name, words in GROUPS.items()}
 NEUTRAL = {words[0]: name for name, words in CATEGORIES.items()}

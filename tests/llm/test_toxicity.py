@@ -82,6 +82,22 @@ def test_fit_swaps_whole_texts():
     assert frozenset({"musl-"}) in lost
 
 
+def test_singular_names_are_swapped():
+    for word in ("muslim", "jew", "christian", "immigrant", "refugee", "woman", "man", "jude", "musulman", "mujer"):
+        neutral = toxicity.CATEGORIES[toxicity.CATEGORY_OF[word]][0]
+        assert (word, neutral) in toxicity.pairs_of({word, "tree"}, 0)
+    # a word has one category, and a neutral word is no name
+    words = [w for names in toxicity.CATEGORIES.values() for w in names]
+    assert len(words) == len(set(words)) and all(w == w.lower() and toxicity.WORD.fullmatch(w) for w in words)
+    rows = [(t, toxicity.words_of(" ".join("muslim" if x == "muslims" else x for x in w))) for t, w in biased_rows()]
+    names = sorted(toxicity.CATEGORY_OF.keys() - toxicity.NEUTRAL.keys())
+    words = names + [w for w in ("musl-", "musli-", "muslim", "scumbag") if w not in names]
+    w, w0 = toxicity.fit(np.array([t for t, _ in rows]), [x for _, x in rows], words)
+    at = dict(zip(words, w))
+    score = lambda text: 1 / (1 + np.exp(-w0 - sum(at.get(x, 0.0) for x in toxicity.words_of(text))))
+    assert score("tree muslim") < 0.5 <= score("tree scumbag")
+
+
 def test_hard_inputs(spark, edge_docs, empty_docs, with_clashes):
     docs = with_clashes(edge_docs)
     labels = spark.createDataFrame([(k, 1, k % 2) for k in range(12)] + [(5, None, None), (None, 1, 1)], LABELS)
