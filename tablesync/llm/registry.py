@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tablesync.llm import line_dedup, mixing, packing, quality, secrets, simhash, substring_dedup, token_counts, topk, toxicity
+from tablesync.llm import conversation_trie, line_dedup, mixing, packing, quality, secrets, simhash, substring_dedup, token_counts, topk, toxicity
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_exact_top_k": topk.query,
     "op9_best_fit_packing": packing.query,
     "op10_toxicity": toxicity.query,
+    "op13_conversation_trie": conversation_trie.query,
 }
 
 ORACLE_SQL = {
@@ -22,4 +23,5 @@ ORACLE_SQL = {
     "op2_line_dedup": line_dedup.ORACLE,
     "op5_source_mixing": mixing.ORACLE,
     "op8_exact_top_k": topk.ORACLE,
+    "op13_conversation_trie": conversation_trie.ORACLE,
 }
