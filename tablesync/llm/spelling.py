@@ -46,6 +46,7 @@ MIN_COUNT = 5
 DOMINANCE = 5
 EDITED_EVERY = 199  # the contract's typing errors: runs whose hash this divides lose a letter
 STATE_WORDS = 2_000  # words of one initial state at most
+TASK_WORDS = 20_000  # words, about, that one task composes
 HELD_WORDS = 200_000  # distinct words a task sums up before it passes them on
 
 # Latin-1 bytes: letters stay (A-Z in lower case, U+00C0 to U+00FF as they are), all others part runs.
@@ -246,7 +247,9 @@ def pairs_behind(words: DataFrame) -> DataFrame:
     prefix = F.substr("word", F.lit(1), F.col("depth"))
     rest = F.substr("word", F.col("depth") + 1, F.length("word"))
     inside = words.filter(F.col("depth") <= F.length("word")).select(prefix.alias("prefix"), rest.alias("rest"), "n")
-    return inside.groupBy("prefix").applyInArrow(compose, PAIRS)
+    # words are few bytes and much work: the number of tasks follows the words, not their size
+    tasks = max(1, -(-words.count() // TASK_WORDS))
+    return inside.repartition(tasks, "prefix").groupBy("prefix").applyInArrow(compose, PAIRS)
 
 
 def pairs_before(words: DataFrame) -> DataFrame:
