@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tablesync.llm import conversation_trie, line_dedup, mixing, packing, quality, secrets, simhash, spelling, substring_dedup, token_counts, topk, toxicity
+from tablesync.llm import conversation_trie, hidden_markov, line_dedup, mixing, packing, quality, secrets, simhash, spelling, substring_dedup, token_counts, topk, toxicity
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_exact_top_k": topk.query,
     "op9_best_fit_packing": packing.query,
     "op10_toxicity": toxicity.query,
+    "op11_hidden_markov": hidden_markov.query,
     "op12_spelling_variants": spelling.query,
     "op13_conversation_trie": conversation_trie.query,
 }
