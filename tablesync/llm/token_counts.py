@@ -3,12 +3,15 @@
 The pre-tokenizer never puts a character and white space after it into one
 pre-token, and looks no further back than its own start.  Text may therefore be cut
 before any white space that follows another character, and the parts' counts add up.
-A document is cut there into leaves of about ``LEAF_CHARS`` code points; its tree
-holds, for every node, the code points and the tokens below it, and is kept in a table.
+A document is cut there into leaves of about ``LEAF_CHARS`` code points, a few pre-tokens
+each; its tree holds, for every node, the code points and the tokens below it, and is
+kept in a table.  A document is encoded once to build it: the leaves' tokens are counted
+by the bytes they end at.
 
-An edit finds its leaves by descending the code-point sums.  Only those are encoded
-again, joined by neighbours until both ends are safe cuts in the edited text (the
-boundary context); then the sums on their paths are updated.
+An edit finds its leaves by descending the code-point sums and marks them.  Once all edits
+of a document are made, each run of marked leaves is one region: it takes in neighbours
+until both ends are safe cuts in the edited text (the boundary context), is encoded once,
+and the sums on its leaves' paths are updated.  Nothing outside the regions is encoded.
 
 Defined results: a null or empty text has 0 tokens and one empty leaf; positions and
 lengths beyond the text are cut to it; a null position is 0, a null insertion is
@@ -31,7 +34,7 @@ from pyspark.sql import functions as F
 
 from tablesync.llm.common import stored, table, text_slices
 
-LEAF_CHARS = 1024
+LEAF_CHARS = 64
 CUT = re.compile(r"(?<=\S)(?=\s)")
 EDITS = "array<struct<position:bigint,deleted:bigint,inserted:string>>"
 TREES = "doc_id long, text_hash long, chars binary, tokens binary"
@@ -50,6 +53,23 @@ def vocabulary_encoding(path: str, pattern: str):
     return kept[path]
 
 
+def token_bytes(encoding) -> np.ndarray:
+    """Bytes of every token, kept beside the encoding in a Python worker."""
+    kept = sys.modules["_byte_encodings"].__dict__.setdefault("sizes", {})
+    if id(encoding) not in kept:
+        kept[id(encoding)] = np.array([len(encoding.decode_single_token_bytes(k)) for k in range(encoding.n_vocab)], np.int64)
+    return kept[id(encoding)]
+
+
+def leaf_tokens(encoding, text: str, parts: list[str]) -> np.ndarray:
+    """Tokens of each leaf of a text: no token crosses a leaf's end."""
+    if len(parts) == 1:
+        return np.array([len(encoding.encode_ordinary(text))], np.int64)
+    ends = np.cumsum(token_bytes(encoding)[encoding.encode_ordinary(text)])
+    cuts = np.cumsum([len(p.encode()) for p in parts])
+    return np.diff(np.searchsorted(ends, cuts, side="right"), prepend=0)
+
+
 def leaves(text: str, size: int = LEAF_CHARS) -> list[str]:
     """``text`` cut at the first safe place after every ``size`` code points."""
     out, start = [], 0
@@ -102,44 +122,59 @@ class Tree:
             node //= 2
 
 
+def make_edits(tree: Tree, text: str, edits, count) -> tuple[Tree, str, int]:
+    """All edits (position, deleted, inserted) in order -> (tree, text, code points encoded again)."""
+    marked: set[int] = set()
+    for position, deleted, inserted in edits:
+        position = min(max(position, 0), len(text))
+        end = min(position + max(deleted, 0), len(text))
+        if position == end and not inserted:
+            continue
+        first, _ = tree.find(position)
+        last, _ = tree.find(max(position, end - 1))
+        held = int(tree.chars[tree.width + first : tree.width + last + 1].sum())
+        tree.put(first, held + len(inserted) - (end - position), 0)
+        for leaf in range(first + 1, last + 1):
+            tree.put(leaf, 0, 0)
+        marked.update(range(first, last + 1))
+        text = text[:position] + inserted + text[end:]
+    if not marked:
+        return tree, text, 0
+    chars, tokens = tree.leaf_values()
+    starts = np.concatenate([[0], np.cumsum(chars)]).tolist()
+    safe = lambda at: at in (0, len(text)) or (not text[at - 1].isspace() and text[at].isspace())
+    regions: list[list[int]] = []  # first and last leaf
+    for leaf in sorted(marked):
+        if regions and leaf <= regions[-1][1]:
+            continue
+        first = last = leaf
+        while not safe(starts[first]):
+            first -= 1
+        while last + 1 < tree.n and (last + 1 in marked or not safe(starts[last + 1])):
+            last += 1
+        if regions and first <= regions[-1][1] + 1:
+            regions[-1][1] = last
+        else:
+            regions.append([first, last])
+    parts = [leaves(text[starts[a] : starts[b + 1]]) for a, b in regions]
+    again = sum(starts[b + 1] - starts[a] for a, b in regions)
+    if all(len(p) <= b - a + 1 for p, (a, b) in zip(parts, regions)):
+        for found, (a, b) in zip(parts, regions):
+            for k in range(b - a + 1):
+                part = found[k] if k < len(found) else ""
+                tree.put(a + k, len(part), count(part))
+        return tree, text, again
+    # more leaves than before: their counts are kept, the sums are laid out anew
+    chars, tokens = chars.tolist(), tokens.tolist()
+    for found, (a, b) in reversed(list(zip(parts, regions))):
+        chars[a : b + 1] = [len(p) for p in found]
+        tokens[a : b + 1] = [count(p) for p in found]
+    return Tree(chars, tokens), text, again
+
+
 def edit(tree: Tree, text: str, position: int, deleted: int, inserted: str, count) -> tuple[Tree, str, int]:
     """One edit -> (tree, text, code points encoded again)."""
-    position = min(max(position, 0), len(text))
-    end = min(position + max(deleted, 0), len(text))
-    if position == end and not inserted:
-        return tree, text, 0
-    after = text[:position] + inserted + text[end:]
-    shift = len(after) - len(text)
-    first, start = tree.find(position)
-    last, stop = tree.find(max(position, end - 1))
-    stop += int(tree.chars[tree.width + last])
-    if start and position == start and tree.chars[tree.width + first]:
-        first, start = _before(tree, first, start)  # what stands before the cut is touched
-    safe = lambda at: at in (0, len(after)) or (not after[at - 1].isspace() and after[at].isspace())
-    while start and not safe(start):
-        first, start = _before(tree, first, start)
-    while last + 1 < tree.n and not (stop >= end and safe(stop + shift)):
-        last += 1
-        stop += int(tree.chars[tree.width + last])
-    parts = leaves(after[start : stop + shift])
-    room = last - first + 1
-    if len(parts) <= room:
-        for k in range(room):
-            part = parts[k] if k < len(parts) else ""
-            tree.put(first + k, len(part), count(part))
-    else:  # more leaves than before: their counts are kept, the sums are laid out anew
-        chars, tokens = (x.tolist() for x in tree.leaf_values())
-        chars[first : last + 1] = [len(p) for p in parts]
-        tokens[first : last + 1] = [count(p) for p in parts]
-        tree = Tree(chars, tokens)
-    return tree, after, stop + shift - start
-
-
-def _before(tree: Tree, leaf: int, start: int) -> tuple[int, int]:
-    leaf -= 1
-    while leaf and not tree.chars[tree.width + leaf]:
-        leaf -= 1
-    return leaf, start - int(tree.chars[tree.width + leaf])
+    return make_edits(tree, text, [(position, deleted, inserted)], count)
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -150,13 +185,13 @@ def build_trees(docs: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
     """(doc_id, text_hash, chars, tokens): the leaves of every document's tree."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = vocabulary_encoding(vocabulary, pattern).encode_ordinary
+        encoding = vocabulary_encoding(vocabulary, pattern)
         for batch in text_slices(batches):
             chars, tokens = [], []
             for text in batch.column(2).to_pylist():
                 parts = leaves(text or "")
                 chars.append(np.array([len(p) for p in parts], "<i4").tobytes())
-                tokens.append(np.array([len(encode(p)) for p in parts], "<i4").tobytes())
+                tokens.append(leaf_tokens(encoding, text or "", parts).astype("<i4").tobytes())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(chars, pa.binary()), pa.array(tokens, pa.binary())],
                 names=["doc_id", "text_hash", "chars", "tokens"],
@@ -181,11 +216,9 @@ def apply_edits(docs: DataFrame, trees: DataFrame, vocabulary: str, pattern: str
             for text, edits, chars, tokens in zip(*(c.to_pylist() for c in batch.columns[1:])):
                 text = text or ""
                 tree = Tree(np.frombuffer(chars, "<i4"), np.frombuffer(tokens, "<i4"))
-                before, again = int(tree.tokens[1]), 0
-                for e in edits or []:
-                    if e is not None:
-                        tree, text, n = edit(tree, text, e["position"] or 0, e["deleted"] or 0, e["inserted"] or "", count)
-                        again += n
+                before = int(tree.tokens[1])
+                wanted = [(e["position"] or 0, e["deleted"] or 0, e["inserted"] or "") for e in edits or [] if e is not None]
+                tree, text, again = make_edits(tree, text, wanted, count)
                 out.append((before, int(tree.tokens[1]), len(text), again, tree.n))
             columns = list(zip(*out)) if out else [()] * 5
             yield pa.RecordBatch.from_arrays(

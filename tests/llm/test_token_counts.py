@@ -69,3 +69,34 @@ def test_null_edits(spark):
     trees = token_counts.build_trees(docs, PATH, PATTERN)
     got = {r.doc_id: (r.n_tokens, r.n_tokens_after) for r in token_counts.apply_edits(docs, trees, PATH, PATTERN).collect()}
     assert got == {None: (3, 3), 2: (0, 2)}
+
+
+@pytest.mark.parametrize("size", [1, 7, 64])
+def test_many_edits_at_once_match_a_full_count(monkeypatch, size):
+    monkeypatch.setattr(token_counts.leaves, "__defaults__", (size,))
+    rng = random.Random(size)
+    pieces = ["a", "word", " ", "  ", "\n", "\t ", "'s", "don't", "42", "...", "é", "　", "\xa0", "\U0001f600", " the", "\x85", "\x1c"]
+    count = lambda t: len(encoding().encode_ordinary(t))
+    for _ in range(200):
+        text = "".join(rng.choices(pieces, k=rng.randint(0, 120)))
+        parts = token_counts.leaves(text)
+        counts = token_counts.leaf_tokens(encoding(), text, parts)
+        assert counts.tolist() == [count(p) for p in parts]
+        tree = token_counts.Tree([len(p) for p in parts], counts)
+        for _ in range(3):
+            edits = [
+                (rng.randint(-2, len(text) + 3), rng.choice([0, 0, 1, 3, 25]), "".join(rng.choices(pieces, k=rng.choice([0, 1, 2, 15]))))
+                for _ in range(rng.randint(0, 6))
+            ]
+            want = applied(text, edits)
+            tree, text, again = token_counts.make_edits(tree, text, edits, count)
+            assert text == want and again <= len(text)  # nothing is encoded twice
+            assert tree.tokens[1] == count(text) and tree.chars[1] == len(text)
+
+
+def test_a_small_share_is_encoded_again(spark, documents):
+    trees = token_counts.build_trees(documents, PATH, PATTERN)
+    rows = token_counts.apply_edits(token_counts.derived_edits(documents), trees, PATH, PATTERN).collect()
+    share = sum(r.n_reencoded for r in rows) / sum(r.n_chars_after for r in rows)
+    assert share < 0.25, share
+    assert all(r.n_reencoded <= r.n_chars_after for r in rows)
