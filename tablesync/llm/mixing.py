@@ -8,15 +8,17 @@
    round is one aggregate over the (small) table of sources.
 3. A source takes as many complete epochs as fit its target; for the rest it takes
    documents in key order while their middle lies within the remaining budget.
-   The prefix sums run in two levels: the key is cut into ranges of about
-   ``DOCS_PER_RANGE`` documents, whose totals are summed up first, so no task sees
-   more than a range of a hot source's documents.
+   Equal rows are one row with a count before anything is sorted, and exactly as many
+   of them are taken as the budget holds.  The prefix sums run in two levels: the key is
+   cut into ranges of about ``DOCS_PER_RANGE`` documents, whose totals are summed up
+   first, so no task sees more than a range of a hot source's documents.
 
 Defined results: a null text has size 0; a null ``source`` is a source of its own and
 comes last; sources of size 0 have target 0; ties of the key are broken by ``doc_id``
-(null last), size and a hash of the text, and equal rows are interchangeable; an
-empty table gives an empty result; extra columns are ignored by :func:`mix` and kept
-by :func:`mixed_documents`.
+(null last), size and a hash of the text; rows equal in these are interchangeable, so
+which of them the fractional part takes is open, but not how many; an empty table gives
+an empty result; extra columns are ignored by :func:`mix` and kept by
+:func:`mixed_documents`.
 """
 
 from __future__ import annotations
@@ -30,6 +32,7 @@ WEIGHTS = (3, 1, 2)  # by rank of the source, repeating
 TOTAL_SHARE = 1.5  # of all sizes
 MOST_EPOCHS = 2
 DOCS_PER_RANGE = 1000
+ROWS_AT_ONCE = 1000  # copies of a row that one task makes
 MARKS = "#*$%&|<>!"  # characters that lower a document's weight
 
 
@@ -102,9 +105,11 @@ def _with_epochs(wanted: DataFrame) -> DataFrame:
 
 
 def _chosen(docs: DataFrame, total_share: float) -> tuple[DataFrame, DataFrame]:
-    """Documents with their source's figures and whether the fractional part takes them."""
-    rows = stored(_keyed(docs), "mix-documents")
-    sizes = rows.groupBy("source").agg(F.count("*").alias("n"), F.sum("size").alias("source_size"))
+    """Distinct documents (``rows`` of each) with their source's figures and how many of the
+    rows the fractional part takes."""
+    equal = _keyed(docs).groupBy("doc_id", "source", "size", "place").agg(F.count("*").alias("rows"))
+    rows = stored(equal, "mix-documents")
+    sizes = rows.groupBy("source").agg(F.sum("rows").alias("n"), F.sum(F.col("size") * F.col("rows")).alias("source_size"))
     wanted = stored(_with_epochs(targets(sizes, total_share)), "mix-targets")
     own = few(wanted.withColumnRenamed("source", "of_source"))
     ranges = F.greatest(F.lit(1), F.ceil(F.col("n") / DOCS_PER_RANGE))
@@ -114,7 +119,8 @@ def _chosen(docs: DataFrame, total_share: float) -> tuple[DataFrame, DataFrame]:
         .drop("of_source")
         .withColumn("range", F.floor((1 - F.exp(-F.col("place.key"))) * ranges).cast("long"))
     )
-    sums = ranged.groupBy("source", "range").agg(F.sum("size").alias("range_size"))
+    all_words = F.col("size") * F.col("rows")
+    sums = ranged.groupBy("source", "range").agg(F.sum(all_words).alias("range_size"))
     earlier = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     before = sums.select(
         F.col("source").alias("of_source"),
@@ -124,38 +130,70 @@ def _chosen(docs: DataFrame, total_share: float) -> tuple[DataFrame, DataFrame]:
     within = Window.partitionBy("source", "range").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
     placed = ranged.join(
         before, ranged["source"].eqNullSafe(before["of_source"]) & (ranged["range"] == before["of_range"])
-    ).withColumn("start", F.col("before") + F.coalesce(F.sum("size").over(within), F.lit(0)))
-    middle = F.col("start") + F.col("size") / 2
-    return placed.withColumn("chosen", (F.col("size") > 0) & (middle <= F.col("rest"))), wanted
+    ).withColumn("start", F.col("before") + F.coalesce(F.sum(all_words).over(within), F.lit(0)))
+    # the row after k equal ones is taken if its middle, start + k * size + size / 2, lies within the rest
+    fitting = F.floor((F.col("rest") - F.col("start") - F.col("size") / 2) / F.col("size")) + 1
+    taken = F.when(F.col("size") > 0, F.greatest(F.lit(0), F.least(fitting, F.col("rows")))).otherwise(F.lit(0))
+    return placed.withColumn("taken_rows", taken.cast("long")), wanted
+
+
+def repeated(df: DataFrame, times: str, number: str) -> DataFrame:
+    """Every row ``times`` times, numbered from 1; the copies of one row are dealt over tasks."""
+    few_ = df.filter(F.col(times).between(1, ROWS_AT_ONCE)).withColumn(number, F.explode(F.sequence(F.lit(1), F.col(times))))
+    parts = F.explode(F.sequence(F.lit(0), F.floor((F.col(times) - 1) / ROWS_AT_ONCE)))
+    many = df.filter(F.col(times) > ROWS_AT_ONCE).withColumn(number, parts)
+    first = F.col(number) * ROWS_AT_ONCE
+    many = many.hint("rebalance").withColumn(
+        number, F.explode(F.sequence(first + 1, F.least(first + ROWS_AT_ONCE, F.col(times))))
+    )
+    return few_.unionByName(many)
 
 
 def mix(docs: DataFrame, total_share: float = TOTAL_SHARE) -> DataFrame:
     """(doc_id, source, size, source_size, target, epochs, chosen, taken) of every document."""
     placed, _ = _chosen(docs, total_share)
+    columns = ["doc_id", "source", "size", "source_size", "target", "epochs", "rows", "taken_rows"]
+    every = repeated(placed.select(*columns), "rows", "nth").withColumn("chosen", F.col("nth") <= F.col("taken_rows"))
     copies = F.col("epochs") + F.col("chosen").cast("long")
-    return placed.select(
-        "doc_id", "source", "size", "source_size", "target", "epochs", "chosen", (F.col("size") * copies).alias("taken")
-    )
+    return every.select(*columns[:6], "chosen", (F.col("size") * copies).alias("taken"))
 
 
 def mixed_documents(docs: DataFrame, total_share: float = TOTAL_SHARE) -> DataFrame:
     """``docs`` with every document as often as the mix takes it, columns unchanged.
 
     Only the last place taken of each source is joined to the documents, so no text
-    is shuffled while the sources are few; rows equal to a source's last one are taken alike.
+    is shuffled while the sources are few.  Where only some of the rows of that place
+    are taken, their copies come from one of them, as they are equal.
     """
     placed, wanted = _chosen(docs, total_share)
-    last = placed.filter("chosen").groupBy("source").agg(F.max("place").alias("last"))
-    last = last.withColumnRenamed("source", "last_source")
-    wanted = stored(wanted.join(last, wanted["source"].eqNullSafe(last["last_source"]), "left"), "mix-last")
-    names = {c: free_name(docs, f"mix_{c}") for c in ("source", "epochs", "last", "place", "copy")}
-    wanted = few(wanted.select(*(F.col(c).alias(names[c]) for c in ("source", "epochs", "last"))))
+    last = placed.filter("taken_rows > 0").groupBy("source").agg(
+        F.max(F.struct("place", "taken_rows", (F.col("taken_rows") < F.col("rows")).alias("partly"))).alias("at")
+    )
+    last = last.select(F.col("source").alias("last_source"), "at.place", "at.taken_rows", "at.partly")
+    wanted = wanted.join(last, wanted["source"].eqNullSafe(last["last_source"]), "left")
+    wanted = stored(wanted.select("source", "epochs", F.col("place").alias("last"), "taken_rows", "partly"), "mix-last")
+    names = {c: free_name(docs, f"mix_{c}") for c in ("source", "epochs", "last", "taken_rows", "partly", "place", "copy", "row")}
+    own = few(wanted.select(*(F.col(c).alias(names[c]) for c in wanted.columns)))
     id_, size = F.col("doc_id").cast("long"), size_of(F.col("text"))
     place = _order(id_, size, F.xxhash64("text"), sampling_key(id_, quality_weight(F.col("text"))))
-    joined = docs.join(wanted, docs["source"].eqNullSafe(wanted[names["source"]])).withColumn(names["place"], place)
-    chosen = F.coalesce((F.col(names["place"]) <= F.col(names["last"])) & (F.col(f"{names['place']}.size") > 0), F.lit(False))
-    copies = (F.col(names["epochs"]) + chosen.cast("long")).cast("int")
-    return joined.withColumn(names["copy"], F.explode(F.array_repeat(F.lit(1), copies))).select(*docs.columns)
+    mine = {c: F.col(n) for c, n in names.items()}
+    joined = docs.join(own, docs["source"].eqNullSafe(own[names["source"]])).withColumn(names["place"], place)
+    within = F.when(mine["partly"], mine["place"] < mine["last"]).otherwise(mine["place"] <= mine["last"])
+    chosen = F.coalesce(within & (F.col(f"{names['place']}.size") > 0), F.lit(False))
+    copies = (mine["epochs"] + chosen.cast("long")).cast("int")
+    out = joined.withColumn(names["copy"], F.explode(F.array_repeat(F.lit(1), copies))).select(*docs.columns)
+    partly = wanted.filter("partly")
+    if partly.isEmpty():
+        return out
+    # one of the equal rows of each last place, found among the documents of its id
+    ids = partly.select(F.col("last.id").alias(names["row"])).distinct()
+    tied = joined.join(few(ids), F.col("doc_id").cast("long").eqNullSafe(F.col(names["row"])), "left_semi")
+    tied = tied.filter(mine["partly"] & (mine["place"] == mine["last"]))
+    one = tied.groupBy(names["source"]).agg(
+        F.first(mine["taken_rows"]).alias(names["taken_rows"]), F.first(F.struct(*docs.columns)).alias(names["row"])
+    )
+    extra = repeated(one, names["taken_rows"], names["copy"]).select(f"{names['row']}.*")
+    return out.union(extra)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@ import math
 import re
 from collections import defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
 from tablesync.llm import mixing
@@ -70,7 +71,7 @@ def test_order_is_efraimidis_spirakis(documents):
 
 
 def test_mixed_documents(documents, edge_docs, with_clashes):
-    for docs in (documents, with_clashes(edge_docs.dropDuplicates())):
+    for docs in (documents, with_clashes(edge_docs), with_clashes(edge_docs.union(edge_docs))):
         out = mixing.mixed_documents(docs)
         assert out.dtypes == docs.dtypes
         words = {r.doc_id: r.n for r in out.groupBy("doc_id").agg(F.sum(mixing.size_of(F.col("text"))).alias("n")).collect()}
@@ -82,3 +83,23 @@ def test_empty(empty_docs, spark):
     assert mixing.mix(empty_docs).count() == 0 and mixing.mixed_documents(empty_docs).count() == 0
     blank = spark.createDataFrame([(1, None, "a"), (2, " ", None)], "doc_id long, text string, source string")
     assert {(r.size, r.target, r.taken) for r in mixing.mix(blank).collect()} == {(0, 0.0, 0)}
+
+
+@pytest.mark.parametrize("at_once", [7, 1000])
+def test_exactly_as_many_equal_rows_as_fit(spark, monkeypatch, at_once):
+    """300 equal rows in three sources: no source overshoots by more than half a row."""
+    monkeypatch.setattr(mixing, "ROWS_AT_ONCE", at_once)
+    rows = [(1, "a b c d", s) for s in ("x", "y", None) for _ in range(100)]
+    rows += [(None, "no id", "x")] * 50 + [(k, "one two three", "y") for k in range(2, 30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    got = check(docs)
+    out = mixing.mixed_documents(docs)
+    words = {r.source: r.n for r in out.groupBy("source").agg(F.sum(mixing.size_of(F.col("text"))).alias("n")).collect()}
+    taken, target = defaultdict(int), {}
+    for r in got:
+        taken[r.source] += r.taken
+        target[r.source] = r.target
+    assert words == dict(taken)
+    assert all(abs(words[s] - target[s]) <= 2 for s in target)
+    copies = {(r.doc_id, r.source): r.n for r in out.groupBy("doc_id", "source").agg(F.count("*").alias("n")).collect()}
+    assert all(n <= 2 * sum(x[0] == k[0] and x[2] == k[1] for x in rows) for k, n in copies.items())
