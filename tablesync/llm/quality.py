@@ -3,14 +3,17 @@
 Every document becomes a vector of transformed statistics.  For each (language,
 source) the minimum-covariance-determinant estimate of location and scatter is
 found by concentration steps over its documents that pass the base rules: keep the
-share ``CORE`` with the smallest Mahalanobis distances, take their mean and
-(consistency-corrected) covariance, repeat.  As in the fast algorithm for large
-samples, every group is first cut into subsets of bounded size, which concentrate by
-themselves from medians and MADs; the pooled moments of all subsets' cores start
-``FULL_STEPS`` steps over *all* documents.  Such a step is two group aggregates (a
-quantile sketch and 44 sums), combined before the shuffle, so a source that holds a
-third of the corpus costs what its rows cost.  A document is rejected if its distance
-exceeds the chi-squared quantile ``CUTOFF``.
+half (``CORE``) with the smallest Mahalanobis distances, take their mean and
+(consistency-corrected) covariance, repeat until the core stands.  As in the fast
+algorithm for large samples, every group is first cut into subsets of bounded size,
+which concentrate by themselves from medians and MADs; the pooled moments of all
+subsets' cores start the steps over *all* documents.  Such a step is two group
+aggregates (a quantile sketch and 44 sums), combined before the shuffle, so a source
+that holds a third of the corpus costs what its rows cost; a group whose core stands
+takes no part in further steps.  A half that stands is the estimate with the greatest
+breakdown point; it is then reweighted: the mean and covariance of all documents within
+the ``REWEIGHT`` quantile of it, which are more precise where nearly all are clean.  A
+document is rejected if its distance exceeds the chi-squared quantile ``CUTOFF``.
 
 A fixed ridge keeps features that hardly vary (no symbols at all in most sources)
 from rejecting a document for a trace of them.  Groups with fewer than
@@ -38,11 +41,12 @@ from tablesync.llm.common import SPACE_CHARS, free_name, stored, table, text_sli
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-CORE = 0.75  # share of a group's documents that the estimate rests on
+CORE = 0.5  # share of a group's documents that the estimate rests on
+REWEIGHT = 0.975  # of the chi-squared distribution: documents that the final estimate rests on
+STANDS = 1e-3  # a core stands once no mean moves by more than this share of its feature's ridge
 CUTOFF = 0.99999  # of the chi-squared distribution of squared distances
 SUBSET = 1500  # documents, about, of a subset that concentrates by itself
-STEPS = 30  # concentration steps of a subset at most
-FULL_STEPS = 2  # concentration steps over all documents
+STEPS = 30  # concentration steps at most, of a subset and over all documents
 FEWEST = 40  # documents of a group with an estimate of its own
 QUANTILE_ACCURACY = 10_000
 BROADCAST_GROUPS = 10_000  # of about 600 bytes each
@@ -85,8 +89,12 @@ def chi2_quantile(share: float, freedom: int) -> float:
     return low
 
 
-# The covariance of the nearest CORE of a normal sample, relative to that of all of it.
-CONSISTENCY = CORE / chi2_cdf(chi2_quantile(CORE, SIZE), SIZE + 2)
+def consistency(share: float) -> float:
+    """The covariance of all of a normal sample, relative to that of the nearest ``share`` of it."""
+    return share / chi2_cdf(chi2_quantile(share, SIZE), SIZE + 2)
+
+
+CONSISTENCY = consistency(CORE)
 
 
 def repeated_words(words: list[bytes], width: int = 3) -> int:
@@ -184,13 +192,15 @@ def distances(x: np.ndarray, mean: np.ndarray, scatter: np.ndarray) -> np.ndarra
     return np.einsum("ij,jk,ik->i", z, np.linalg.inv(scatter), z)
 
 
-def estimate(core: float, sums: np.ndarray, products: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def estimate(
+    core: float, sums: np.ndarray, products: np.ndarray, factor: float = CONSISTENCY
+) -> tuple[np.ndarray, np.ndarray]:
     """Mean and scatter from a core's count, sums and (upper triangle of) cross products."""
     mean = sums / core
     cross = np.zeros((SIZE, SIZE))
     for value, (i, j) in zip(products, PAIRS):
         cross[i, j] = cross[j, i] = value / core
-    return mean, (cross - np.outer(mean, mean)) * CONSISTENCY + RIDGE
+    return mean, (cross - np.outer(mean, mean)) * factor + RIDGE
 
 
 def moments_of(x: np.ndarray) -> np.ndarray:
@@ -220,13 +230,13 @@ def _subset(key, part):
     return pa.table({"level": [key[0].as_py()], **{c: [float(v)] for c, v in zip(["core", *SUMS], values)}})
 
 
-def _params(moments: DataFrame) -> DataFrame:
+def _params(moments: DataFrame, factor: float = CONSISTENCY) -> DataFrame:
     """Moments of each group's core -> its mean and inverse scatter."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns[1:]], axis=1) if batch.num_rows else []
-            found = [estimate(v[0], v[1 : SIZE + 1], v[SIZE + 1 :]) for v in values]
+            found = [estimate(v[0], v[1 : SIZE + 1], v[SIZE + 1 :], factor) for v in values]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -245,17 +255,47 @@ def small(df: DataFrame, groups: int) -> DataFrame:
     return F.broadcast(df) if groups <= BROADCAST_GROUPS else df
 
 
-def _step(rows: DataFrame, params: DataFrame, groups: int) -> DataFrame:
-    """One concentration step over all documents of every group."""
-    measured = rows.join(small(params, groups), "level").select("level", "x", _distance(F.col("x"), F.col("mean"), F.col("inverse")).alias("d"))
-    bounds = measured.groupBy("level").agg(F.percentile_approx("d", CORE, QUANTILE_ACCURACY).alias("bound"))
+def _measured(rows: DataFrame, params: DataFrame, groups: int) -> DataFrame:
+    """(level, x, d): the documents of the groups that ``params`` has, with their distances."""
+    return rows.join(small(params, groups), "level").select(
+        "level", "x", _distance(F.col("x"), F.col("mean"), F.col("inverse")).alias("d")
+    )
+
+
+def _moments(core: DataFrame) -> DataFrame:
     x = F.col("x")
-    core = measured.join(small(bounds, groups), "level").filter("d <= bound").groupBy("level").agg(
+    return core.groupBy("level").agg(
         F.count("*").cast("double").alias("core"),
         *(F.sum(x[i]).alias(f"s{i}") for i in range(SIZE)),
         *(F.sum(x[i] * x[j]).alias(f"p{i}_{j}") for i, j in PAIRS),
     )
-    return stored(_params(core), "quality-params")
+
+
+def _step(rows: DataFrame, params: DataFrame, groups: int) -> DataFrame:
+    """One concentration step over all documents of every group of ``params``."""
+    measured = _measured(rows, params, groups)
+    bounds = measured.groupBy("level").agg(F.percentile_approx("d", CORE, QUANTILE_ACCURACY).alias("bound"))
+    core = measured.join(small(bounds, groups), "level").filter("d <= bound")
+    return stored(_params(_moments(core)), "quality-params")
+
+
+def _concentrated(rows: DataFrame, params: DataFrame, groups: int) -> DataFrame:
+    """Steps until every group's core stands."""
+    spreads = list(FEATURES.values())
+    shift = F.greatest(*(F.abs(F.col("mean")[i] - F.col("before")[i]) / spreads[i] for i in range(SIZE)))
+    standing = []
+    for _ in range(STEPS):
+        before = params.select("level", F.col("mean").alias("before"))
+        stepped = _step(rows, params, groups).join(before, "level").withColumn("moves", shift > STANDS)
+        stepped = stored(stepped.drop("before"), "quality-params")
+        standing.append(stepped.filter("NOT moves").drop("moves"))
+        params = stepped.filter("moves").drop("moves")
+        if params.isEmpty():
+            break
+    out = params
+    for more in standing:
+        out = out.unionByName(more)
+    return stored(out, "quality-params")
 
 
 def fit(stats: DataFrame) -> DataFrame:
@@ -280,9 +320,9 @@ def fit(stats: DataFrame) -> DataFrame:
     subsets = rows.withColumn("subset", subset).groupBy("level", "subset").applyInArrow(_subset, MOMENTS)
     start = subsets.groupBy("level").agg(*(F.sum(c).alias(c) for c in ["core", *SUMS]))
     params = stored(_params(start), "quality-params")
-    for _ in range(FULL_STEPS):
-        params = _step(rows.select("level", "x"), params, groups)
-    return params
+    params = _concentrated(rows.select("level", "x"), params, groups)
+    near = _measured(rows, params, groups).filter(F.col("d") <= chi2_quantile(REWEIGHT, SIZE))
+    return stored(_params(_moments(near), consistency(REWEIGHT)), "quality-params")
 
 
 def _judge(df: DataFrame, stats: str, params: DataFrame, verdict: str) -> DataFrame:
@@ -330,13 +370,13 @@ def verdicts(docs: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame) -> DataFrame:
     """``docs`` without the rejected documents, columns unchanged.
 
-    The statistics are computed a second time beside the text instead of shuffling it.
+    Texts and statistics are written beside each other once, so no text is read twice.
     """
-    _, params = _fitted(docs)
     stats = free_name(docs, "quality_stats")
     kept = free_name(docs, "quality_kept")
-    judged = _judge(with_statistics(docs, stats), stats, params, kept)
-    return judged.filter(F.col(kept)).select(*docs.columns)
+    both = stored(with_statistics(docs, stats), "quality-docs")
+    params = fit(both.filter(~base_failed(stats)).select("doc_id", "lang", "source", F.col(f"{stats}.x").alias("x")))
+    return _judge(both, stats, params, kept).filter(F.col(kept)).select(*docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tablesync.llm import quality
@@ -34,11 +35,14 @@ def brute_mcd(x):
     ridge = np.diag(np.array(list(quality.FEATURES.values())) ** 2)
     mean = np.median(x, axis=0)
     scatter = np.diag((np.median(abs(x - mean), axis=0) * 1.4826) ** 2) + ridge
+    distance = lambda: np.einsum("ij,jk,ik->i", x - mean, np.linalg.inv(scatter), x - mean)
     for _ in range(quality.STEPS):
-        d = np.einsum("ij,jk,ik->i", x - mean, np.linalg.inv(scatter), x - mean)
+        d = distance()
         core = x[d <= np.quantile(d, quality.CORE, method="inverted_cdf")]
-        mean, scatter = core.mean(axis=0), np.cov(core.T, bias=True) * quality.CONSISTENCY + ridge
-    return np.einsum("ij,jk,ik->i", x - mean, np.linalg.inv(scatter), x - mean)
+        mean, scatter = core.mean(axis=0), np.cov(core.T, bias=True) * quality.consistency(quality.CORE) + ridge
+    near = x[distance() <= quality.chi2_quantile(quality.REWEIGHT, quality.SIZE)]
+    mean, scatter = near.mean(axis=0), np.cov(near.T, bias=True) * quality.consistency(quality.REWEIGHT) + ridge
+    return distance()
 
 
 def test_estimate_and_verdict(spark):
@@ -70,3 +74,48 @@ def test_chi_squared():
     # fixed values of the distribution's tables
     assert abs(quality.chi2_quantile(0.95, 8) - 15.507) < 1e-3
     assert abs(quality.chi2_quantile(0.975, 10) - 20.483) < 1e-3
+
+
+def planted(rng, n, share, centre):
+    """Clean rows around a centre, and junk far off in one direction."""
+    ridge = np.array(list(quality.FEATURES.values()))
+    mix = rng.normal(size=(quality.SIZE, quality.SIZE)) * 0.4 + np.eye(quality.SIZE)
+    x = centre + rng.normal(size=(n, quality.SIZE)) @ mix * ridge * 1.5
+    junk = np.arange(n) < share * n
+    x[junk] += ridge * (25 + 10 * rng.random((junk.sum(), 1))) * np.where(rng.random(quality.SIZE) < 0.5, 1, -1)
+    return x, junk
+
+
+@pytest.mark.parametrize("subset", [120, 1500])
+def test_groups_with_much_junk(spark, monkeypatch, subset):
+    """Several groups and subsets, 0 to 40% junk, and groups too small for an estimate of
+    their own: the same verdicts as steps in memory, all junk rejected, all clean rows kept."""
+    monkeypatch.setattr(quality, "SUBSET", subset)
+    rng = np.random.default_rng(4)
+    groups, rows, clean = {}, [], {}
+    for k, (lang, source, n, share) in enumerate(
+        [("en", "a", 1200, 0.3), ("en", "b", 700, 0.4), ("de", None, 900, 0.2), (None, "c", 500, 0.0), ("en", "few", 30, 0.3)]
+    ):
+        x, junk = planted(rng, n, share, centre=k * 0.3)
+        for v, bad in zip(x, junk):
+            clean[len(rows)] = not bad
+            groups.setdefault((lang, source), []).append(len(rows))
+            rows.append((len(rows), lang, source, v.tolist()))
+    df = spark.createDataFrame(rows, "doc_id long, lang string, source string, x array<double>")
+    params = {r.level: r for r in quality.fit(df.repartition(7)).collect()}
+    cutoff = quality.chi2_quantile(quality.CUTOFF, quality.SIZE)
+    x = np.array([r[3] for r in rows])
+    for (lang, source), ids in groups.items():
+        if len(ids) < quality.FEWEST:
+            ids_of_estimate = [i for g, m in groups.items() if g[0] == lang for i in m]
+            level = '{"lang":"%s"}' % lang
+        else:
+            ids_of_estimate = ids
+            level = '{"lang":%s,"source":%s}' % tuple("null" if v is None else f'"{v}"' for v in (lang, source))
+        want = brute_mcd(x[ids_of_estimate])
+        p = params[level]
+        z = x[ids_of_estimate] - np.array(p["mean"])
+        got = np.einsum("ij,jk,ik->i", z, np.array(p["inverse"]).reshape(quality.SIZE, -1), z)
+        assert ((got > cutoff) == (want > cutoff)).all()
+        if len(ids) >= quality.FEWEST:
+            assert [v <= cutoff for v in got] == [clean[i] for i in ids]
