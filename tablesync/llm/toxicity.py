@@ -8,13 +8,16 @@ of the whole text's score is penalised: that of the name and of every beginning
 comes or goes with it.  Neutral words and their beginnings carry no weight, so a
 group's name cannot carry one either, however often it stood in toxic texts.
 
-The fit uses a bounded sample of labelled rows, ``SAMPLE_ROWS`` at most (those of the
-smallest hash of the id); it is the only bounded part, and the only data broadcast
-are that sample's ids and the fitted weights.  Every document is scored in full.
+The fit uses a bounded sample of labelled ids, ``SAMPLE_ROWS`` at most (those whose hash
+lies below a threshold), with one text each; it is the only bounded part, and the only
+data broadcast are that sample's ids and the fitted weights.  Every document is scored
+in full.  ``VOCABULARY`` and ``ASSOCIATED`` choose the model's words; both can be lifted.
 
 Defined results: a null or empty text scores the model's base rate; a null ``doc_id``
 is never held out (it has no remainder) and never trains; rows with a null label do
-not train; without both labels every score is the smoothed share of toxic rows;
+not train; an id with several labels is toxic if one of them is; an id with several
+texts trains on the one of the smallest hash, repeated rows once; without both labels
+every score is the smoothed share of toxic rows;
 repeated rows score alike; an empty table gives an empty result; extra columns are
 ignored.
 """
@@ -83,13 +86,29 @@ def held_out(doc_id):
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
 
 
-def labelled_words(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """(toxic, words) of the training sample."""
+def labelled_sample(labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """(doc_id, toxic): at most ``sample_rows`` training ids, those of the smallest hashes.
+
+    A threshold on the hash is counted and lowered until few enough are below it, so
+    nothing is sorted and no task gathers more than its own share.
+    """
     id_ = F.col("doc_id").cast("long")
     usable = labels.select(id_.alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).filter(
         F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))
     )
-    sample = stored(usable.orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(sample_rows), "labelled-sample")
+    ids = usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).withColumn("place", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 53)))
+    whole = 1 << 53
+    below, found = whole, ids.count()
+    while found > sample_rows:
+        # a little under the share that would fill the sample, as hashes are not spread evenly
+        below = int(below * max(0.25, 1 - 3 / max(1, sample_rows) ** 0.5) * sample_rows / found)
+        found = ids.filter(F.col("place") < below).count()
+    return stored(ids.filter(F.col("place") < below).select("doc_id", "toxic"), "labelled-sample")
+
+
+def labelled_words(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """(toxic, words) of the training sample: a row an id at most."""
+    sample = labelled_sample(labels, sample_rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
@@ -99,23 +118,27 @@ def labelled_words(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE
             )
 
     # the sample has at most sample_rows rows of two numbers
-    texts = docs.select(id_.alias("doc_id"), "text").join(F.broadcast(sample), "doc_id").select("toxic", "text")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id")
+    # repeated rows and ids meet in a partial aggregate before they are shuffled
+    text = F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("first")
+    texts = texts.groupBy("doc_id", "toxic").agg(text).select("toxic", "first.text")
     return stored(texts.mapInArrow(run, "toxic int, words array<string>"), "labelled-words")
 
 
-def vocabulary(rows: DataFrame, size: int = VOCABULARY) -> list[str]:
-    """The words most associated with the label, and the groups' names."""
+def vocabulary(rows: DataFrame, size: int | None = VOCABULARY, associated: float = ASSOCIATED) -> list[str]:
+    """The words most associated with the label (``size`` of them, or all), and the groups' names."""
     totals = rows.agg(F.sum("toxic").alias("toxic"), F.count("*").alias("n")).first()
     n, toxic = totals["n"], totals["toxic"]
     counts = rows.select("toxic", F.explode("words").alias("word")).groupBy("word").agg(
         F.sum("toxic").cast("double").alias("a"), F.count("*").cast("double").alias("df")
     )
     spread = F.col("df") * (n - F.col("df")) * float(toxic) * float(n - toxic)
-    chi2 = F.pow(F.col("a") * n - F.col("df") * float(toxic), 2) * n / spread
-    best = (
-        counts.withColumn("chi2", chi2).filter(F.col("chi2") >= ASSOCIATED).orderBy(F.col("chi2").desc(), "word").limit(size)
-    )
+    chi2 = F.when(spread > 0, F.pow(F.col("a") * n - F.col("df") * float(toxic), 2) * n / spread).otherwise(0.0)
+    best = counts.withColumn("chi2", chi2).filter(F.col("chi2") >= associated)
+    if size is not None:
+        best = best.orderBy(F.col("chi2").desc(), "word").limit(size)
     names = sorted(CATEGORY_OF.keys() - NEUTRAL.keys())
+    # at most as many words as the sampled texts have
     return names + sorted(r["word"] for r in best.select("word").collect() if r["word"] not in CATEGORY_OF)
 
 
@@ -218,24 +241,36 @@ def swap_changes(rows: DataFrame, words: list[str]) -> dict[tuple[tuple[str, ...
             yield pa.RecordBatch.from_arrays(columns, names=["lost", "gained"])
 
     changes = rows.select("words").mapInArrow(run, "lost array<string>, gained array<string>")
-    counts = changes.groupBy("lost", "gained").agg(F.count("*").alias("n")).orderBy("lost", "gained")
-    return {(tuple(r["lost"]), tuple(r["gained"])): r["n"] for r in counts.collect()}
+    counts = changes.groupBy("lost", "gained").agg(F.count("*").alias("n")).collect()
+    return {k: n for k, n in sorted(((tuple(r["lost"]), tuple(r["gained"])), r["n"]) for r in counts)}
 
 
-def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[dict[str, float], float]:
+def train(
+    docs: DataFrame,
+    labels: DataFrame,
+    sample_rows: int = SAMPLE_ROWS,
+    vocabulary_size: int | None = VOCABULARY,
+    associated: float = ASSOCIATED,
+) -> tuple[dict[str, float], float]:
     """(weights by word, intercept)."""
     rows = labelled_words(docs, labels, sample_rows)
     totals = rows.agg(F.coalesce(F.sum("toxic"), F.lit(0)).alias("toxic"), F.count("*").alias("n")).first()
     if not 0 < totals["toxic"] < totals["n"]:
         rate = (totals["toxic"] + 1) / (totals["n"] + 2)
         return {}, float(np.log(rate / (1 - rate)))
-    chosen = vocabulary(rows)
-    known = F.array_intersect("words", F.array(*(F.lit(w) for w in chosen)))
-    # one row a sampled text, cut to the model's words
-    sample = rows.select("toxic", known.alias("words")).orderBy("toxic", "words").collect()
+    chosen = vocabulary(rows, vocabulary_size, associated)
+    place = {w: k for k, w in enumerate(chosen)}
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.array(sorted(place[w] for w in t if w in place), "<i4").tobytes() for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["toxic", "at"])
+
+    # at most sample_rows rows, of the model's words as numbers; ordered here, so that reruns agree
+    sample = sorted((r["toxic"], bytes(r["at"])) for r in rows.mapInArrow(cut, "toxic int, at binary").collect())
     weights, intercept = fit(
-        np.array([r["toxic"] for r in sample]),
-        [set(r["words"]) for r in sample],
+        np.array([toxic for toxic, _ in sample]),
+        [{chosen[k] for k in np.frombuffer(at, "<i4")} for _, at in sample],
         chosen,
         changes=swap_changes(rows, chosen),
     )

@@ -111,3 +111,61 @@ def test_hard_inputs(spark, edge_docs, empty_docs, with_clashes):
     nothing = spark.createDataFrame([], LABELS)
     weights, intercept = toxicity.train(docs, nothing)
     assert weights == {} and 1 / (1 + np.exp(-intercept)) == pytest.approx(0.5)
+
+
+def test_the_sample_is_bounded_whatever_repeats(spark):
+    rows = [(1, "scumbag tree")] * 1000 + [(1, "other text")] * 1000 + [(k, f"day tree {k}") for k in range(2, 300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0, 0)] * 500 + [(1, 1, 1)] + [(k, 1, 0) for k in range(2, 300)] * 2, LABELS)
+    train_ids = {k for k in range(1, 300) if zlib.crc32(str(k).encode()) % 5}
+    for bound in (2, 7, 50, 10_000):
+        sample = [tuple(r) for r in toxicity.labelled_sample(labels, bound).collect()]
+        assert len(sample) == len(dict(sample)) <= bound and set(dict(sample)) <= train_ids
+        assert len(sample) >= min(bound, len(train_ids)) // 5
+        assert toxicity.labelled_words(docs, labels, bound).count() == len(sample)
+    assert dict(sample)[1] == 1 and len(sample) == len(train_ids)  # toxic, as one of its labels is
+    # the model does not change with the number of copies
+    once = spark.createDataFrame(sorted(set(rows)), "doc_id long, text string")
+    assert toxicity.train(docs, labels) == toxicity.train(once, labels.distinct())
+
+
+def test_vocabulary_without_limits(spark):
+    docs = spark.createDataFrame([(k, f"word{'x' * (k % 5)} scumbag" if k % 3 == 0 else f"tree{'y' * (k % 4)}") for k in range(60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, 1, int(k % 3 == 0)) for k in range(60)], LABELS)
+    rows = toxicity.labelled_words(docs, labels)
+    words = {w for r in rows.collect() for w in r.words}
+    assert words <= set(toxicity.vocabulary(rows, None, 0.0))
+    assert len(set(toxicity.vocabulary(rows, 1)) - toxicity.CATEGORY_OF.keys()) == 1
+    weights, _ = toxicity.train(docs, labels, vocabulary_size=None, associated=0.0)
+    assert any(w.startswith("tree") for w in weights)
+
+
+def test_fit_and_scores_equal_plain_ones(spark):
+    """The objective by loops over texts and swaps is flat at the fitted weights; scores by loops."""
+    rows = [(t, toxicity.words_of(" ".join(sorted(w)))) for t, w in biased_rows()][:120]
+    words = sorted({w for _, x in rows for w in x} | {"believers", "believ-"} - toxicity.NEUTRAL.keys())
+    words = [w for w in words if w not in toxicity.NEUTRAL]
+    w, w0 = toxicity.fit(np.array([t for t, _ in rows]), [x for _, x in rows], words)
+    known = set(words)
+
+    def objective(at, bias):
+        score = lambda present: bias + sum(at.get(x, 0.0) for x in present)
+        total = toxicity.RIDGE / 2 * sum(x * x for x in at.values())
+        for nth, (t, present) in enumerate(rows):
+            z = score(present)
+            total += np.log1p(np.exp(-z)) if t else np.log1p(np.exp(z))
+            for lost, gained in toxicity.changes_of(present, nth, known):
+                total += toxicity.COUNTERFACTUAL / 2 * (sum(at[x] for x in gained) - sum(at[x] for x in lost)) ** 2
+        return total
+
+    at = dict(zip(words, w))
+    here = objective(at, w0)
+    for x in words:
+        for d in (1e-3, -1e-3):
+            assert objective(at | {x: at[x] + d}, w0) >= here - 1e-6
+    assert min(objective(at, w0 + 1e-3), objective(at, w0 - 1e-3)) >= here - 2e-5  # after a fixed number of steps
+    texts = [None, "", "tree muslims SCUMBAG", "Tree tree"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in toxicity.score_documents(docs, at, w0).collect():
+        z = w0 + sum(at.get(x, 0.0) for x in toxicity.words_of(texts[r.doc_id]))
+        assert r.score == pytest.approx(1 / (1 + np.exp(-z)), rel=1e-12) and r.predicted == int(r.score >= 0.5)
