@@ -6,8 +6,9 @@
    dealt over partitions of about ``items_per_task`` items.  Each task packs its
    items best-fit decreasing and emits its bins; nearly full bins are final, the
    underfull ones go into the next round as single items, over fewer partitions.
-   The last round has one partition, or is the one that no longer merges anything
-   worth another round (items that cannot share a bin stay spread over tasks).
+   The last round has one partition, or is the first that merges no more than the
+   share ``1 - worth_it`` of its items (items that cannot share a bin stay spread over
+   tasks); with ``worth_it = 1`` rounds go on as long as any two items merge.
 3. A bin carries its members (at most one per token), so no join is needed to
    find a piece's place.
 
@@ -20,6 +21,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import sys
 import types
 import zlib
@@ -38,11 +40,13 @@ SEQUENCE_TOKENS = 4096
 END_ID = 1
 NEARLY_FULL = 4  # tokens a final bin may lack before the last round
 ITEMS_PER_TASK = 50_000
-WORTH_IT = 0.9  # another round must start with at most this share of the last one's items
-CACHED_WORDS = 300_000  # word forms whose ids a Python worker remembers
+WORTH_IT = 1.0  # another round must start with less than this share of the last one's items
+CACHE_BYTES = 200 << 20  # of word forms and their ids that a Python worker remembers, about
+FORM_BYTES = 170  # of a remembered form besides its letters and ids
+MARKS = b".,;:!?"
 
-# Latin letters without those whose lower case or composed form is another matter, then marks.
-PLAIN = re.compile("([a-zA-Z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?]*)")
+# Latin letters without those whose lower case or composed form is another matter.
+PLAIN = re.compile("[a-zA-Z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
 # How byte-level vocabularies spell a byte: printable Latin-1 as itself, the rest from U+0100 on.
 _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 BYTE_LETTERS = {b: chr(b) for b in _PRINTABLE} | {
@@ -64,7 +68,9 @@ class WordEncoder:
 
     The vocabulary's pre-tokenizer never crosses white space and its normaliser
     lower-cases, so a text's ids are its space-separated words' ids in a row.
-    The cache is bounded: it starts anew when full.
+    Word forms are remembered in two generations of half the bound each: once the
+    young one is full it becomes the old one, and what was not asked for since the
+    last change is forgotten.
     """
 
     def __init__(self, path: str):
@@ -72,7 +78,9 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.cache: dict[bytes, bytes] = {}
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+        self.young_bytes = 0
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text, then the end token."""
@@ -82,50 +90,81 @@ class WordEncoder:
             data = utf8(text)
             # lower-casing must not turn other letters into a special token's name
             words = (data if b"<|" in data else data.lower()).split()
-            ids = list(map(self.cache.get, words))
+            ids = list(map(self.young.get, words))
             if None in ids:
-                fresh = self.encode({w for w, x in zip(words, ids) if x is None})
+                fresh = self.recall({w for w, x in zip(words, ids) if x is None})
                 ids = [fresh[w] if x is None else x for w, x in zip(words, ids)]
             ids.append(end)
             out.append(b"".join(ids))
         return out
 
+    def remember(self, word: bytes, ids: bytes) -> None:
+        self.young[word] = ids
+        self.young_bytes += len(word) + len(ids) + FORM_BYTES
+        if self.young_bytes > CACHE_BYTES // 2:
+            self.old, self.young, self.young_bytes = self.young, {}, 0
+
+    def recall(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """Ids of words that are not young: the old ones become young, the others are encoded."""
+        found = {}
+        for w in words:
+            ids = self.old.get(w)
+            if ids is not None:
+                found[w] = ids
+        unknown = words - found.keys()
+        if unknown:
+            found |= self.encode(unknown)
+        for w, ids in found.items():
+            self.remember(w, ids)
+        return found
+
     def encode(self, words: set[bytes]) -> dict[bytes, bytes]:
-        """Ids of words that are not cached yet.
+        """Ids of words that are not remembered.
 
         The normaliser and the pre-tokenizer leave a lower-case run of Latin letters
         as it is and cut it from the marks after it, so such a run goes to the model
         at once; everything else goes through the whole tokenizer.
         """
-        fresh, others = {}, set()
-        plain = []
+        fresh, others, marked = {}, set(), []
+        run_ids = self.run_ids
         for w in words:
-            match = PLAIN.fullmatch(w.decode("utf-8", "replace"))
-            if match is None:
-                others.add(w)
+            if w.isalpha():  # ASCII letters only
+                fresh[w] = run_ids(w.lower())
                 continue
-            letters, marks = match[1].lower(), match[2].encode()
-            plain.append((w, letters, marks))
-            if marks and marks not in self.cache:
-                others.add(marks)
+            letters = w.rstrip(MARKS)
+            if not PLAIN.fullmatch(letters.decode("utf-8", "replace")):
+                others.add(w)
+            elif len(letters) == len(w):
+                fresh[w] = run_ids(letters.decode().lower().encode())
+            else:
+                marks = w[len(letters) :]
+                marked.append((w, letters, marks))
+                if marks not in self.young and marks not in self.old:
+                    others.add(marks)
         listed = list(others)
-        encoded = self.tokenizer.encode_batch_fast(
-            [w.decode("utf-8", "replace") for w in listed], add_special_tokens=False
-        )
-        fresh.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(listed, encoded))
-        for w, letters, marks in plain:
-            run = letters.encode()
-            ids = self.cache.get(run) or fresh.get(run)
+        if listed:
+            encoded = self.tokenizer.encode_batch_fast(
+                [w.decode("utf-8", "replace") for w in listed], add_special_tokens=False
+            )
+            fresh.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(listed, encoded))
+        known = lambda w: self.young.get(w) or self.old.get(w) or fresh.get(w)
+        for w, letters, marks in marked:
+            run = letters.decode().lower().encode()
+            ids = known(run)
             if ids is None:
-                spelled = letters if letters.isascii() else "".join(map(BYTE_LETTERS.__getitem__, run))
-                ids = fresh[run] = np.array([t.id for t in self.model.tokenize(spelled)], "<u4").tobytes()
-            fresh[w] = ids + (self.cache.get(marks) or fresh[marks]) if marks else ids
-        if len(self.cache) + len(fresh) > CACHED_WORDS:
-            self.cache.clear()
-        if len(fresh) <= CACHED_WORDS:
-            self.cache.update(fresh)
+                ids = fresh[run] = run_ids(run)
+            fresh[w] = ids + known(marks)
         return fresh
 
+    def run_ids(self, run: bytes) -> bytes:
+        """Ids of a lower-case run of Latin letters."""
+        spelled = run.decode() if run.isascii() else "".join(map(BYTE_LETTERS.__getitem__, run))
+        tokens = self.model.tokenize(spelled)
+        return pack_ids[len(tokens)](*[t.id for t in tokens]) if len(tokens) < len(pack_ids) else np.array([t.id for t in tokens], "<u4").tobytes()
+
+
+pack_ids = [struct.Struct(f"<{k}I").pack for k in range(24)]
+
 
 def encoder(path: str) -> WordEncoder:
     """One encoder a Python worker, kept from task to task.
@@ -184,7 +223,9 @@ def best_fit(sizes: list[int], room: int) -> list[list[int]]:
     return bins
 
 
-def pack(items: DataFrame, sequence_tokens: int = SEQUENCE_TOKENS, items_per_task: int = ITEMS_PER_TASK) -> DataFrame:
+def pack(
+    items: DataFrame, sequence_tokens: int = SEQUENCE_TOKENS, items_per_task: int = ITEMS_PER_TASK, worth_it: float = WORTH_IT
+) -> DataFrame:
     """(size, members) items -> (size, members, bin): the rounds described above."""
 
     def packed(round_: int, last: bool):
@@ -213,7 +254,7 @@ def pack(items: DataFrame, sequence_tokens: int = SEQUENCE_TOKENS, items_per_tas
     while True:
         n = open_.count()
         tasks = max(1, -(-n // items_per_task))
-        last = tasks == 1 or (before is not None and n > WORTH_IT * before)
+        last = tasks == 1 or (before is not None and n >= worth_it * before)
         dealt = open_.repartition(tasks, F.xxhash64("members", F.lit(round_)))
         bins = stored(dealt.mapInArrow(packed(round_, last), BINS), "pack-bins")
         finished.append(bins.filter("NOT open").select("size", "members", "bin"))
