@@ -159,11 +159,8 @@ class WordEncoder:
     def run_ids(self, run: bytes) -> bytes:
         """Ids of a lower-case run of Latin letters."""
         spelled = run.decode() if run.isascii() else "".join(map(BYTE_LETTERS.__getitem__, run))
-        tokens = self.model.tokenize(spelled)
-        return pack_ids[len(tokens)](*[t.id for t in tokens]) if len(tokens) < len(pack_ids) else np.array([t.id for t in tokens], "<u4").tobytes()
-
-
-pack_ids = [struct.Struct(f"<{k}I").pack for k in range(24)]
+        ids = [t.id for t in self.model.tokenize(spelled)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
 
 def encoder(path: str) -> WordEncoder:
