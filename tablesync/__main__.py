@@ -111,18 +111,14 @@ def main(argv: list[str] | None = None) -> int:
         from .plans.jobs import sync_documents
         from .plans.sinks import TableFamily
         from .sources import documents as paged
+        from .sources.tracker import fetch_for_sync
 
         paged.register(spark, paged.rest_fetcher)
         opts = {"url": args.url, "token": args.token, "project": args.project}
         fields = spark.read.format("paged_documents").options(resource="fields", **opts).load()
         types = spark.read.format("paged_documents").options(resource="types", **opts).load()
-
-        def fetch(since):
-            reader = spark.read.format("paged_documents").options(**opts)
-            return (reader.option("since", since) if since else reader).load()
-
         out = sync_documents(
-            spark, fetch, TableFamily(spark, args.root), field_map=field_map_of(fields),
+            spark, fetch_for_sync(spark, paged.rest_fetcher, **opts), TableFamily(spark, args.root), field_map=field_map_of(fields),
             exclude_fields=_lists(args.exclusion_fields), exclude_types=_lists(args.exclusion_types),
             types=types, force_full=args.full,
         )

@@ -149,19 +149,44 @@ class RestSearchFetcher:
         with urllib.request.urlopen(req, timeout=600) as resp:  # noqa: S310
             return json.loads(resp.read().decode("utf-8"))
 
+    def _base(self, query: str) -> str:
+        return f"({query})" if query else f"project={self.project}"
+
     def _jql(self, query: str, since: str | None) -> str:
-        jql = query or f"project={self.project}"
-        return jql + (f' AND updated > "{since}"' if since else "")
+        return self._base(query) + (f' AND updated > "{since}"' if since else "")
+
+    def _slice(self, query: str, since: str, before: str | None) -> str:
+        return self._base(query) + f' AND updated >= "{since}"' + (f' AND updated < "{before}"' if before else "")
+
+    def _total(self, jql: str) -> int:
+        return int(self._get("/rest/api/2/search", {"jql": jql, "maxResults": 0})["total"])
+
+    def _issues(self, jql: str, start_at: int, max_results: int) -> list:
+        params = {"jql": jql, "startAt": start_at, "maxResults": max_results, "fields": SEARCH_FIELDS, "expand": SEARCH_EXPAND}
+        return self._get("/rest/api/2/search", params).get("issues", [])
+
+    # pages by offset: by key, so an update moves no document (new ones come last)
 
     def total(self, query, since):
-        return int(self._get("/rest/api/2/search", {"jql": self._jql(query, since), "maxResults": 0})["total"])
+        return self._total(self._jql(query, since))
 
     def page(self, query, start_at, max_results, since):
-        res = self._get(
-            "/rest/api/2/search",
-            {"jql": self._jql(query, since), "startAt": start_at, "maxResults": max_results, "fields": SEARCH_FIELDS, "expand": SEARCH_EXPAND},
-        )
-        return res.get("issues", [])
+        return self._issues(self._jql(query, since) + " ORDER BY key ASC", start_at, max_results)
+
+    # by update time (see ``tracker``)
+
+    def now(self) -> str:
+        return self._get("/rest/api/2/serverInfo")["serverTime"][:16].replace("-", "/").replace("T", " ")
+
+    def first(self, query) -> str | None:
+        found = self._issues(self._base(query) + " ORDER BY updated ASC, key ASC", 0, 1)
+        return found[0]["fields"]["updated"][:16].replace("-", "/").replace("T", " ") if found else None
+
+    def count(self, query, since, before) -> int:
+        return self._total(self._slice(query, since, before))
+
+    def search(self, query, since, before, start_at, limit) -> list:
+        return self._issues(self._slice(query, since, before) + " ORDER BY updated ASC, key ASC", start_at, limit)
 
     def fields(self):
         return [(f["id"], f["name"]) for f in self._get("/rest/api/2/field")]

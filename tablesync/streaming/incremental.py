@@ -20,6 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..plans.jobs import sync_documents
 from ..plans.sinks import TableFamily
 from ..session import checkpoint_root
+from ..sources import tracker
 
 
 def document_stream(spark: SparkSession, folder: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -30,9 +31,16 @@ def document_stream(spark: SparkSession, folder: str, max_files_per_trigger: int
     return reader.load(folder).select(F.col("value").alias("raw")).where(F.length(F.trim("raw")) > 0)
 
 
+def tracker_stream(spark: SparkSession, fetcher_factory, **options) -> DataFrame:
+    """Streaming frame ``raw`` of the documents updated at the tracker; the
+    offset in the query's checkpoint is the high-water mark."""
+    tracker.register(spark, fetcher_factory)
+    return spark.readStream.format("updated_documents").options(**options).load().select("raw")
+
+
 def start_sync(
     spark: SparkSession,
-    folder: str,
+    source: str | DataFrame,
     family: TableFamily,
     checkpoint: str | None = None,
     available_now: bool = True,
@@ -40,9 +48,10 @@ def start_sync(
     max_files_per_trigger: int | None = None,
     **sync_kw,
 ) -> StreamingQuery:
-    """Start the streaming sync; ``available_now`` processes what is there
-    and stops (a scheduled job), otherwise it runs every ``processing_time``."""
-    stream = document_stream(spark, folder, max_files_per_trigger)
+    """Start the streaming sync of a folder or of a stream with a column ``raw``;
+    ``available_now`` processes what is there and stops (a scheduled job),
+    otherwise it runs every ``processing_time``."""
+    stream = document_stream(spark, source, max_files_per_trigger) if isinstance(source, str) else source
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
         if batch.isEmpty():
