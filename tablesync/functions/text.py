@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.functions import arrow_udf
 
 # List separator and the spellings of NULL / booleans.
 LIST_SEPARATOR = ", "
 NULL_TEXT = "None"
 TRUE_TEXT = "True"
 FALSE_TEXT = "False"
+SMALLEST_NORMAL = 2.2250738585072014e-308
 
 
 def _let(value: Column, body) -> Column:
@@ -18,12 +21,14 @@ def _let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
-def _sci_parts(sci: Column) -> Column:
-    mant = F.regexp_extract(sci, r"^-?([0-9.]+)e", 1)
-    return F.struct(
-        F.regexp_replace(F.regexp_replace(mant, r"\.", ""), r"0+$", "").alias("d"),
-        F.regexp_extract(sci, r"e([+-][0-9]+)$", 1).cast("int").alias("e"),
-    )
+@arrow_udf(T.StringType())
+def _python_text(values: pa.Array) -> pa.Array:
+    """Python's ``str`` of numbers; lists are joined recursively."""
+
+    def text(v) -> str:
+        return LIST_SEPARATOR.join(map(text, v)) if isinstance(v, list) else str(v)
+
+    return pa.array([None if v is None else text(v) for v in values.to_pylist()], pa.string())
 
 
 def _python_layout(d: Column, e: Column) -> Column:
@@ -48,51 +53,51 @@ def _python_layout(d: Column, e: Column) -> Column:
     return F.when((e >= -4) & (e < 16), F.when(e >= 0, fixed_pos).otherwise(fixed_neg)).otherwise(scientific)
 
 
+def _jvm_digits(t: Column) -> Column:
+    """(digits without zeros at the ends, exponent of the first) of the JVM's text of a double."""
+    has_e = F.instr(t, "E") > 0
+    mant = F.when(has_e, F.substring_index(t, "E", 1)).otherwise(t)
+    jexp = F.when(has_e, F.substring_index(t, "E", -1).cast("int")).otherwise(F.lit(0))
+    whole = F.substring_index(mant, ".", 1)
+    raw = F.concat(whole, F.substring_index(mant, ".", -1))
+    lead = F.length(raw) - F.length(F.regexp_replace(raw, "^0+", ""))
+    digits = F.regexp_replace(F.regexp_replace(raw, "^0+", ""), "0+$", "")
+    return F.struct(digits.alias("d"), (jexp + F.length(whole) - 1 - lead).alias("e"))
+
+
 def python_float_text(x: Column) -> Column:
     """A double spelled as Python's ``str`` does (``1e+16``, ``10000000.0``,
     ``1e-05``, ``nan``, ``inf``).
 
-    Digits: the JVM's own ``toString`` digits when nothing shorter parses
-    back to the same double (one ``printf`` checks); otherwise -- the JVM's
-    ``toString`` is not always shortest -- the shortest ``%.{p}e`` that
-    does, searched only for those values.  Intermediate values are bound
-    once (one-element ``transform``) so the layout does not recompute them.
-    Known limit: ``%e`` rounds the JVM's 17-digit form, so in rare halfway
-    cases the last digit differs (2 in 7,000 random bit patterns).
+    The JVM's text is not always the shortest.  Where it has at most 15 digits and the
+    number is normal, it is: no two decimals of so few digits read as one double.  Those
+    values are laid out JVM-side; only the others travel to Python (as in
+    :func:`~tablesync.functions.names.strip_accents`, the rest goes as NULLs).
     """
     jtext = F.regexp_replace(x.cast("string"), "^-", "")
-
-    def from_jvm(t: Column) -> Column:
-        has_e = F.instr(t, "E") > 0
-        mant = F.when(has_e, F.substring_index(t, "E", 1)).otherwise(t)
-        jexp = F.when(has_e, F.substring_index(t, "E", -1).cast("int")).otherwise(F.lit(0))
-        whole = F.substring_index(mant, ".", 1)
-        raw = F.concat(whole, F.substring_index(mant, ".", -1))
-        lead = F.length(raw) - F.length(F.regexp_replace(raw, "^0+", ""))
-        digits = F.regexp_replace(F.regexp_replace(raw, "^0+", ""), "0+$", "")
-        return F.struct(digits.alias("d"), (jexp + F.length(whole) - 1 - lead).alias("e"))
-
-    def shortest(j: Column) -> Column:
-        k = F.length(j["d"])
-        shorter = F.printf(F.concat(F.lit("%."), (k - 2).cast("string"), F.lit("e")), x)
-        cands = F.transform(F.sequence(F.lit(0), F.lit(16)), lambda p: F.printf(F.concat(F.lit("%."), p.cast("string"), F.lit("e")), x))
-        searched = _sci_parts(F.get(F.filter(cands, lambda c: c.cast("double") == x), 0))
-        return F.when((k >= 2) & (shorter.cast("double") == x), searched).otherwise(j)
-
-    parts = _let(_let(_let(jtext, from_jvm), shortest), lambda r: _python_layout(r["d"], r["e"]))
-    spelled = F.concat(F.when(x < 0, F.lit("-")).otherwise(F.lit("")), parts)
+    few = (F.length(_jvm_digits(jtext)["d"]) <= 15) & (F.abs(x) >= SMALLEST_NORMAL)
+    laid_out = _let(_let(jtext, _jvm_digits), lambda r: _python_layout(r["d"], r["e"]))
+    spelled = F.concat(F.when(x < 0, F.lit("-")).otherwise(F.lit("")), laid_out)
+    plain = F.isnan(x) | (x == 0) | (F.abs(x) == F.lit(float("inf")))
+    exact = _python_text(F.when(x.isNotNull() & ~plain & ~few, x))
     return (
         F.when(x.isNull(), F.lit(None).cast("string"))
         .when(F.isnan(x), F.lit("nan"))
         .when(x == F.lit(float("inf")), F.lit("inf"))
         .when(x == F.lit(float("-inf")), F.lit("-inf"))
         .when(x == 0, x.cast("string"))
-        .otherwise(spelled)
+        .otherwise(F.coalesce(exact, spelled))
     )
 
 
+def _holds_floats(dtype: T.DataType) -> bool:
+    return isinstance(dtype, (T.DoubleType, T.FloatType)) or isinstance(dtype, T.ArrayType) and _holds_floats(dtype.elementType)
+
+
 def value_text(col: Column, dtype: T.DataType) -> Column:
     """Text of one value; arrays are joined recursively with ``", "``."""
+    if isinstance(dtype, T.ArrayType) and _holds_floats(dtype):
+        return F.coalesce(_python_text(col), F.lit(NULL_TEXT))  # Python does not run inside array functions
     if isinstance(dtype, T.ArrayType):
         inner = dtype.elementType
         joined = F.array_join(F.transform(col, lambda x: value_text(x, inner)), LIST_SEPARATOR)
