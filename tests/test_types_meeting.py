@@ -1,0 +1,49 @@
+"""The types that two runs of a column meet in."""
+
+import pytest
+from pyspark.sql import types as T
+
+from tablesync.operators.upsert import append_by_name, common_type, refresh
+
+L, I, S, D, F32, B = T.LongType(), T.IntegerType(), T.StringType(), T.DoubleType(), T.FloatType(), T.BooleanType()
+N, DATE, TS, NTZ = T.NullType(), T.DateType(), T.TimestampType(), T.TimestampNTZType()
+dec = T.DecimalType
+
+
+def struct(**kinds):
+    return T.StructType([T.StructField(k, v) for k, v in kinds.items()])
+
+
+PAIRS = [
+    (I, L, L), (T.ByteType(), T.ShortType(), T.ShortType()), (L, F32, D), (L, D, D), (F32, D, D),
+    (N, S, S), (N, struct(a=L), struct(a=L)), (S, L, None), (S, D, None), (B, L, None), (S, B, None), (S, TS, None),
+    (dec(5, 2), I, dec(12, 2)), (dec(5, 2), L, dec(22, 2)), (dec(10, 4), dec(12, 0), dec(16, 4)), (dec(38, 0), dec(10, 9), D),
+    (dec(5, 2), D, D), (DATE, TS, TS), (DATE, NTZ, NTZ), (TS, NTZ, None), (DATE, L, None),
+    (T.ArrayType(I), T.ArrayType(L), T.ArrayType(L)), (T.ArrayType(S), T.ArrayType(L), None), (T.ArrayType(S), S, None),
+    (T.MapType(S, I), T.MapType(S, L), T.MapType(S, L)), (T.MapType(S, I), T.MapType(L, I), None),
+    (struct(a=I), struct(a=L, b=S), struct(a=L, b=S)), (struct(a=I), struct(a=S), None), (struct(a=I), S, None),
+    (struct(a=struct(x=I)), struct(a=struct(x=D)), struct(a=struct(x=D))), (struct(a=I), struct(A=L), struct(a=L)),
+]
+
+
+@pytest.mark.parametrize("a,b,met", PAIRS)
+def test_pairs(a, b, met):
+    same = lambda x, y: x == y or (isinstance(x, T.StructType) and x.simpleString().lower() == y.simpleString().lower())
+    for got in (common_type(a, b), common_type(b, a)):
+        assert (got is None and met is None) or (got is not None and met is not None and same(T.StructType(sorted(got.fields, key=lambda f: f.name)) if isinstance(got, T.StructType) else got, met))
+
+
+def test_text_then_number_and_back(spark):
+    text = spark.createDataFrame([("abc", 1), (None, 2)], "v string, k int")
+    number = spark.createDataFrame([(7, 3_000_000_000)], "v long, k long")
+    for a, b in ((text, number), (number, text)):
+        got = append_by_name(a, b)
+        assert dict(got.dtypes) == {"v": "string", "k": "bigint"}
+        assert sorted(str(r.v) for r in got.collect()) == ["7", "None", "abc"]
+
+
+def test_refresh_keeps_absent_routes(spark):
+    old = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4)], "t string, v int")
+    new = spark.createDataFrame([("a", 9), ("c", 8), (None, 7)], "t string, v int")
+    got = sorted(map(tuple, refresh(old, new, "t").collect()), key=str)
+    assert got == sorted([("a", 9), ("b", 3), ("c", 8), (None, 4), (None, 7)], key=str)
