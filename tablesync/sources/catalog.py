@@ -65,9 +65,9 @@ def catalog_sql(schema: str, exclude=None, only=None, dialect: str = "postgresql
     return q
 
 
-def filter_catalog(catalog: DataFrame, schema: str | None, exclude=None, only=None) -> DataFrame:
+def filter_catalog(catalog: DataFrame, schema: str | None, exclude=None, only=None, keep=()) -> DataFrame:
     """Apply schema equality, ``NOT IN exclude`` and ``IN only`` to a
-    ``(table_schema, table_name)`` frame; returns ``table_name``."""
+    ``(table_schema, table_name)`` frame; returns ``table_name`` (and the columns ``keep``)."""
     excl, onl = resolve_filters(exclude, only)
     out = catalog
     if schema is not None:
@@ -76,7 +76,7 @@ def filter_catalog(catalog: DataFrame, schema: str | None, exclude=None, only=No
         out = out.where(~F.col("table_name").isin(excl))
     if onl:
         out = out.where(F.col("table_name").isin(onl))
-    return out.select("table_name")
+    return out.select("table_name", *keep)
 
 
 def jdbc_catalog(spark: SparkSession, url: str, schema: str, exclude=None, only=None, dialect: str = "postgresql", properties: dict | None = None) -> DataFrame:
@@ -91,6 +91,36 @@ def jdbc_catalog(spark: SparkSession, url: str, schema: str, exclude=None, only=
     return df.select(F.col(df.columns[0]).alias("table_name"))
 
 
+def keys_sql(schema: str, dialect: str = "postgresql") -> str:
+    """Statement for (table, column): the first column of each primary key, where it is a number."""
+    if dialect == "postgresql":
+        return (
+            "SELECT k.table_name, k.column_name FROM information_schema.table_constraints c "
+            "JOIN information_schema.key_column_usage k ON k.constraint_schema = c.constraint_schema "
+            "AND k.constraint_name = c.constraint_name AND k.table_name = c.table_name "
+            "JOIN information_schema.columns d ON d.table_schema = k.table_schema AND d.table_name = k.table_name "
+            "AND d.column_name = k.column_name "
+            f"WHERE c.constraint_type = 'PRIMARY KEY' AND c.table_schema = {sql_literal(schema)} "
+            "AND k.ordinal_position = 1 AND d.data_type IN ('smallint', 'integer', 'bigint', 'numeric')"
+        )
+    if dialect == "oracle":
+        return (
+            "SELECT k.table_name, k.column_name FROM all_constraints c "
+            "JOIN all_cons_columns k ON k.owner = c.owner AND k.constraint_name = c.constraint_name "
+            "JOIN all_tab_columns d ON d.owner = k.owner AND d.table_name = k.table_name AND d.column_name = k.column_name "
+            f"WHERE c.constraint_type = 'P' AND c.owner = {sql_literal(schema)} AND k.position = 1 AND d.data_type = 'NUMBER'"
+        )
+    raise ValueError(f"unknown dialect {dialect!r}")
+
+
+def jdbc_keys(spark: SparkSession, url: str, schema: str, dialect: str = "postgresql", properties: dict | None = None) -> dict[str, str]:
+    """{table: key column} of a schema: one row a table, metadata of the database."""
+    reader = spark.read.format("jdbc").option("url", url).option("query", keys_sql(schema, dialect))
+    for k, v in (properties or {}).items():
+        reader = reader.option(k, v)
+    return {r[0]: r[1] for r in reader.load().collect()}
+
+
 def spark_catalog(spark: SparkSession, namespace: str, exclude=None, only=None) -> DataFrame:
     """Catalogue of a Spark catalog namespace (``SHOW TABLES``)."""
     shown = spark.sql(f"SHOW TABLES IN {namespace}")

@@ -4,22 +4,28 @@ A :class:`TableSource` names where tables live: a database over JDBC, or a
 columnar folder (``format`` + ``root``).  :func:`read_table` gives the same
 lazy ``DataFrame`` either way, so every later step is source-agnostic.
 
-JDBC scans are split into ``num_partitions`` key ranges
-(:func:`range_predicates`) or hash buckets (:func:`hash_predicates`), one
+JDBC scans are split into ``num_partitions`` key ranges of equal depth
+(:func:`depth_predicates`) or hash buckets (:func:`hash_predicates`), one
 task each: a single-partition read of a big table is one task on one
 executor holding one connection, however big the cluster.
 """
 
 from __future__ import annotations
 
+import logging
 import math
 from dataclasses import dataclass, field
+from decimal import Decimal
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .catalog import sql_literal
 
+log = logging.getLogger(__name__)
+
 
 def quoted(identifier: str) -> str:
     """A database identifier in double quotes (PostgreSQL, Oracle)."""
@@ -49,6 +55,11 @@ class TableSource:
         case and special characters must not be folded."""
         return ".".join(quoted(p) for p in (self.schema, table) if p)
 
+    @property
+    def sized(self) -> bool:
+        """Whether the database tells the bytes of a table."""
+        return self.format == "jdbc" and self.driver == POSTGRESQL_DRIVER
+
     def jdbc_properties(self) -> dict[str, str]:
         props = dict(self.options)
         if self.driver:
@@ -121,6 +132,24 @@ def range_predicates(key: str, lower: int, upper: int, num_partitions: int) -> l
     return preds
 
 
+def _point(value) -> str:
+    """A split point as a literal of the database."""
+    if isinstance(value, bool) or not isinstance(value, (int, float, Decimal, str)):
+        raise ValueError(f"keys of type {type(value).__name__} cannot be split into ranges; use a hash")
+    return sql_literal(value) if isinstance(value, str) else f"{value:f}" if isinstance(value, Decimal) else str(value)
+
+
+def depth_predicates(key: str, points) -> list[str]:
+    """Disjoint, exhaustive predicates between ascending split points: one range more than
+    points.  Equal points (a key that fills several ranges) are one; NULLs are in the first."""
+    points = sorted({p for p in points if p is not None})
+    if not points:
+        return ["1 = 1"]
+    cuts = [_point(p) for p in points]
+    first = f"({key} < {cuts[0]}) OR {key} IS NULL"
+    return [first, *(f"{key} >= {a} AND {key} < {b}" for a, b in zip(cuts, cuts[1:])), f"{key} >= {cuts[-1]}"]
+
+
 def hash_predicates(key_expr_sql: str, num_partitions: int) -> list[str]:
     """Bucket predicates for keys that are not numeric: ``MOD(<hash>, n) = i``.
 
@@ -154,6 +183,26 @@ def source_bounds(spark: SparkSession, source: TableSource, table: str, key: str
     return key_bounds(read_table(spark, source, table).select(key), key)
 
 
+def split_sql(table: str, key: str, ranges: int, sample: str = "") -> str:
+    """Statement for the smallest key of each of ``ranges`` equally deep ranges, run by the
+    database itself; ``sample`` is its own sampling clause (``TABLESAMPLE SYSTEM (1)`` or
+    ``SAMPLE BLOCK (1)``), for tables too large to sort."""
+    tiles = f"SELECT {key} AS k, NTILE({int(ranges)}) OVER (ORDER BY {key}) AS t FROM {table}{' ' + sample if sample else ''} WHERE {key} IS NOT NULL"
+    return f"(SELECT MIN(k) AS lo FROM ({tiles}) q GROUP BY t) b"
+
+
+def split_points(spark: SparkSession, source: TableSource, table: str, key: str, ranges: int, sample: str = "") -> list:
+    """Up to ``ranges - 1`` ascending keys between which about as many rows lie."""
+    if source.format == "jdbc":
+        statement = split_sql(source.qualified(table), quoted(key), ranges, sample)
+        found = sorted(r[0] for r in spark.read.jdbc(source.url, statement, properties=source.jdbc_properties()).collect())
+        return found[1:]
+    shares = [i / ranges for i in range(1, ranges)]
+    if not shares:
+        return []
+    return read_table(spark, source, table).agg(F.percentile_approx(key, shares, 100 * ranges)).first()[0] or []
+
+
 def read_table_partitioned(
     spark: SparkSession,
     source: TableSource,
@@ -162,21 +211,34 @@ def read_table_partitioned(
     num_partitions: int | None = None,
     rows_per_partition: int = 1_000_000,
     hash_expr: str | None = None,
+    sample: str = "",
+    equal_width: bool = False,
 ) -> DataFrame:
-    """Scan split into key ranges from a min/max probe of an integer key,
-    or -- with ``hash_expr`` (e.g. ``ORA_HASH(code)``) for keys that are not
-    integers -- into hash buckets sized from a row count."""
-    if hash_expr is not None:
-        if source.format != "jdbc":
+    """Scan split into ranges of a key that hold about as many rows each, however the key
+    is distributed, or -- with ``hash_expr`` (e.g. ``ORA_HASH(code)``), for keys that have
+    no order to use -- into hash buckets.  Sized from a row count in the database.
+
+    ``equal_width`` cuts an integer key's range evenly instead: one cheap probe, for keys
+    known to be spread evenly."""
+    if source.format != "jdbc":
+        return read_table(spark, source, table)  # files split themselves
+    if equal_width and hash_expr is None:
+        lower, upper, rows = source_bounds(spark, source, table, quoted(key))
+        if lower is None:
             return read_table(spark, source, table)
-        rows = spark.read.jdbc(source.url, f"(SELECT COUNT(*) AS n FROM {source.qualified(table)}) c", properties=source.jdbc_properties()).first()[0]
-        n = num_partitions or partitions_for_rows(int(rows or 0), rows_per_partition)
+        n = num_partitions or partitions_for_rows(int(rows), rows_per_partition)
+        return read_table(spark, source, table, predicates=range_predicates(quoted(key), int(lower), int(upper), n))
+    n = num_partitions
+    if n is None:
+        counting = f"(SELECT COUNT(*) AS n FROM {source.qualified(table)}) c"
+        rows = spark.read.jdbc(source.url, counting, properties=source.jdbc_properties()).first()[0]
+        n = partitions_for_rows(int(rows or 0), rows_per_partition)
+    if hash_expr is not None:
         return read_table(spark, source, table, predicates=hash_predicates(hash_expr, n))
-    lower, upper, rows = source_bounds(spark, source, table, key)
-    if lower is None:
+    if n == 1:
         return read_table(spark, source, table)
-    n = num_partitions or partitions_for_rows(rows, rows_per_partition)
-    return read_table(spark, source, table, predicates=range_predicates(key, int(lower), int(upper), n))
+    points = split_points(spark, source, table, key, n, sample)
+    return read_table(spark, source, table, predicates=depth_predicates(quoted(key), points))
 
 
 def size_sql(table: str) -> str:
@@ -186,7 +248,7 @@ def size_sql(table: str) -> str:
 
 def table_size_bytes(spark: SparkSession, source: TableSource, table: str) -> int:
     """Bytes of one table: PostgreSQL asks the database, files sum their
-    lengths; any failure or NULL gives 0 ("unknown")."""
+    lengths; a failure, which is logged, or NULL gives 0 ("unknown")."""
     try:
         if source.format == "jdbc":
             row = spark.read.jdbc(source.url, size_sql(source.qualified(table)), properties=source.jdbc_properties()).first()
@@ -197,5 +259,6 @@ def table_size_bytes(spark: SparkSession, source: TableSource, table: str) -> in
             .agg(F.sum("length")).first()
         )
         return int(row[0]) if row and row[0] else 0
-    except Exception:  # noqa: BLE001 - the size is only a hint
+    except (PySparkException, Py4JError) as exc:  # the size is only a hint
+        log.warning("size of %s unknown: %s", table, exc)
         return 0
