@@ -18,15 +18,17 @@ which is why they run on the VARIANT while it is being typed.
 from __future__ import annotations
 
 import re
+import uuid
 from collections import OrderedDict
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import times
 from ..functions.names import clean_name
-from ..session import case_sensitive
+from ..session import case_sensitive, scratch_path
+from .metrics import observed
 
 # Envelope keys of a document and the names they take.
 ENVELOPE_KEY = "key"
@@ -145,6 +147,26 @@ def split_keyed_schemas(ddl: str | None) -> dict[str, tuple[T.DataType, T.DataTy
     return out
 
 
+def staged(raw: DataFrame, column: str = "raw") -> tuple[DataFrame, T.DataType, T.DataType]:
+    """(doc VARIANT, type of ``fields``, type of ``changelog``): every document is parsed once.
+
+    The parsed documents are written below the checkpoint folder; the same job merges
+    their schema in an Observation, so typing reads binary values instead of parsing the
+    text a second time.
+    """
+    spark = raw.sparkSession
+    parsed = parse(raw, column).select("doc")
+    watched = Observation(f"documents_{uuid.uuid4().hex[:8]}")
+    path = scratch_path(spark, "documents")
+    merged = parsed.withColumn("_schema_in", keyed_schema_input(F.col("doc"), F.lit("all"))).observe(
+        watched, F.expr("schema_of_variant_agg(_schema_in)").alias("schemas")
+    )
+    with case_sensitive(spark):
+        merged.select("doc").write.parquet(path)
+    found = split_keyed_schemas(observed(watched).get("schemas")).get("all")
+    return spark.read.schema("doc variant").parquet(path), *(found or (T.StringType(), T.StringType()))
+
+
 # --------------------------------------------------------------------------
 # typing
 # --------------------------------------------------------------------------
@@ -211,6 +233,33 @@ def _has_strings(dtype: T.DataType) -> bool:
     return False
 
 
+def _walked_json(v: Column, convert_dates: bool, null_empty: bool) -> Column:
+    """JSON text of an object or list without a fixed shape, both rules applied at any depth.
+
+    The text of a VARIANT has no white space between its tokens, so it is cut into
+    strings and what stands between them: a string before ``:`` is a key, other strings
+    follow the date rule, and a ``:{}`` after a key is an empty object that is a key's
+    value (one in a list follows no ``:``).  Escaped quotes and backslashes stand aside
+    meanwhile as control characters, which JSON text never holds unescaped.
+    """
+    text = F.replace(F.replace(F.to_json(v), F.lit("\\\\"), F.lit("\u0001")), F.lit('\\"'), F.lit("\u0002"))
+    tokens = F.regexp_extract_all(text, F.lit('"[^"]*+"|[^"]++'), F.lit(0))
+    following = F.slice(tokens, F.lit(2), F.size(tokens))
+
+    def walked(token: Column, after: Column) -> Column:
+        out = F.when(F.lit(False), token)
+        if null_empty:
+            out = out.when(token.startswith(":{}"), F.concat(F.lit(":null"), F.substr(token, F.lit(4))))
+        if convert_dates:
+            value = token.startswith('"') & ~F.coalesce(after.startswith(":"), F.lit(False))
+            inside = F.substr(token, F.lit(2), F.length(token) - 2)
+            out = out.when(value, F.concat(F.lit('"'), times.to_utc_text(inside), F.lit('"')))
+        return out.otherwise(token)
+
+    joined = F.array_join(F.zip_with(tokens, following, walked), "")
+    return F.replace(F.replace(joined, F.lit("\u0002"), F.lit('\\"')), F.lit("\u0001"), F.lit("\\\\"))
+
+
 def typed(v: Column, dtype: T.DataType, dict_value: bool = True, convert_dates: bool = True, null_empty: bool = True) -> Column:
     """Typed value of the VARIANT ``v`` under ``dtype`` (see module doc)."""
     if isinstance(dtype, (T.StructType, T.ArrayType)) and not _needs_walk(dtype, dict_value, null_empty):
@@ -249,6 +298,7 @@ def typed(v: Column, dtype: T.DataType, dict_value: bool = True, convert_dates:
         if dict_value and null_empty:
             out = out.when(kind == "OBJECT<>", F.lit(None).cast("string"))
         out = out.when(kind == "STRING", times.to_utc_text(text) if convert_dates else text)
+        out = out.when(kind.startswith("OBJECT") | kind.startswith("ARRAY"), _walked_json(v, convert_dates, null_empty))
         return out.otherwise(F.to_json(v))
     return F.try_variant_get(v, "$", dtype.simpleString())
 
@@ -273,8 +323,8 @@ def envelope_columns(fields_type: T.DataType, changelog_type: T.DataType, doc: s
             if f.name in (KEY_COLUMN, ENVELOPE_ID):
                 # per document: the field wins only where the document has
                 # it (a JSON null counts as present); elsewhere the envelope
-                as_text = value if isinstance(f.dataType, T.StringType) else (
-                    F.to_json(_vget(fields_v, f.name)) if isinstance(f.dataType, (T.StructType, T.ArrayType)) else value.cast("string")
+                as_text = value if isinstance(f.dataType, (T.StringType, T.VariantType)) else (
+                    _walked_json(_vget(fields_v, f.name), True, True) if isinstance(f.dataType, (T.StructType, T.ArrayType)) else value.cast("string")
                 )
                 value = F.when(_vget(fields_v, f.name).isNotNull(), as_text).otherwise(cols[f.name])
             cols[f.name] = value

@@ -19,7 +19,7 @@ from ..operators.metrics import observed as observed_metrics
 from ..operators.partitioning import size_partitions
 from ..session import case_sensitive, delete_path, scratch_path
 from ..sources import catalog as cat
-from ..sources.relational import TableSource, read_table, read_table_partitioned, table_size_bytes
+from ..sources.relational import ORACLE_FETCHSIZE, TableSource, read_table, read_table_partitioned, table_size_bytes
 from .sinks import Sink, TableFamily, write_table
 
 RESULT_SCHEMA = T.StructType(
@@ -32,6 +32,8 @@ RESULT_SCHEMA = T.StructType(
 )
 
 
+BROADCAST_KEYS = 100_000  # keys of a batch, with a time each, that are broadcast to the stored rows
+
 STAGING_SCHEMA = T.StructType(
     [
         T.StructField("jira", T.StringType()),
@@ -100,27 +102,48 @@ def copy_schema(
     mode: str = "overwrite",
     evolve: bool = False,
     parallelism: int = 4,
+    partition_keys: dict[str, str] | None = None,
     **prepare,
 ) -> DataFrame:
     """Copy every table of a catalogue.
 
     The catalogue is read once (its names are metadata); tables are copied
-    by a bounded pool of driver threads, each submitting its own Spark jobs,
-    so small tables do not wait behind big ones.  A failing table is
+    by a bounded pool of driver threads, each submitting its own Spark jobs.
+    With the FAIR scheduler every table has a pool of its own, so a small table's
+    tasks do not queue behind a big one's.  The largest tables begin first where
+    their sizes are known, so none of them is left for the end.  ``partition_keys``
+    names the key each table's JDBC scan is split by.  A failing table is
     reported in the result frame and does not stop the others.
     """
-    names = tables if isinstance(tables, list) else [r[0] for r in tables.select("table_name").collect()]
+    sizes = {}
+    if isinstance(tables, list):
+        names = tables
+    elif "bytes" in tables.columns:
+        sizes = dict(tables.select("table_name", "bytes").collect())
+        names = list(sizes)
+    else:
+        names = [r[0] for r in tables.select("table_name").collect()]
+    if not sizes and len(names) > parallelism and source.sized:
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            sizes = dict(zip(names, pool.map(lambda n: table_size_bytes(spark, source, n), names)))
+    order = sorted(names, key=lambda n: -(sizes.get(n) or 0))
 
     def one(name: str) -> tuple:
         spark.sparkContext.setJobGroup(f"copy:{name}", f"copy table {name}")
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"copy:{name}")
+        own = dict(prepare)
+        if partition_keys and name in partition_keys:
+            own["partition_key"] = partition_keys[name]
+        if name in sizes:
+            own.setdefault("size_bytes", sizes[name])
         try:
-            return copy_table(spark, source, name, sink, mode=mode, evolve=evolve, **prepare)
+            return copy_table(spark, source, name, sink, mode=mode, evolve=evolve, **own)
         except Exception as exc:  # noqa: BLE001 - isolate per table
             return (name, None, "failed", "".join(traceback.format_exception_only(type(exc), exc)).strip())
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        results = list(pool.map(one, names))
-    return spark.createDataFrame(results, RESULT_SCHEMA)
+        results = dict(zip(order, pool.map(one, order)))
+    return spark.createDataFrame([results[n] for n in names], RESULT_SCHEMA)
 
 
 def copy_catalog(
@@ -134,7 +157,8 @@ def copy_catalog(
     **kw,
 ) -> DataFrame:
     """Catalogue filter, then :func:`copy_schema`."""
-    return copy_schema(spark, source, cat.filter_catalog(catalog, schema, exclude, only), sink, **kw)
+    keep = ("bytes",) if "bytes" in catalog.columns else ()
+    return copy_schema(spark, source, cat.filter_catalog(catalog, schema, exclude, only, keep), sink, **kw)
 
 
 def copy_postgresql_schema(
@@ -146,16 +170,24 @@ def copy_postgresql_schema(
     exclude=None,
     only=None,
     partition_key: str | None = None,
+    partition_keys: dict[str, str] | str | None = None,
     **kw,
 ) -> DataFrame:
     """Copy a PostgreSQL schema: catalogue from ``information_schema``,
-    qualified table names, size-based output partitions, evolving writes."""
+    qualified table names, size-based output partitions, evolving writes.
+
+    ``partition_keys``: the key each table's scan is split by, or ``"catalog"`` for the
+    numeric first columns of the primary keys; ``partition_key`` is one for all tables."""
     from ..sources.relational import POSTGRESQL_DRIVER, jdbc_url
 
     url = jdbc_url(url)
     source = TableSource(format="jdbc", url=url, driver=POSTGRESQL_DRIVER, schema=schema)
     tables = cat.jdbc_catalog(spark, url, schema, exclude, only, "postgresql", {"driver": POSTGRESQL_DRIVER})
     kw.setdefault("evolve", True)
+    if partition_keys == "catalog":
+        partition_keys = cat.jdbc_keys(spark, url, schema, "postgresql", {"driver": POSTGRESQL_DRIVER})
+    if partition_keys:
+        kw["partition_keys"] = partition_keys
     return copy_schema(spark, source, tables, sink, mode=mode, partition_key=partition_key, **kw)
 
 
@@ -167,18 +199,24 @@ def copy_oracle_schema(
     mode: str = "overwrite",
     exclude=None,
     drop_unsupported: bool = False,
-    fetchsize: int | None = None,
+    fetchsize: int | None = ORACLE_FETCHSIZE,
     partition_key: str | None = None,
+    partition_keys: dict[str, str] | str | None = None,
     **kw,
 ) -> DataFrame:
     """Copy an Oracle owner's tables (``all_tables``); optional dropping of
-    binary/map/array columns; strict writes; no size probe (none exists)."""
-    from ..sources.relational import ORACLE_DRIVER, ORACLE_FETCHSIZE, jdbc_url
+    binary/map/array columns; strict writes; no size probe (none exists).
+    ``fetchsize=None`` leaves the driver's default; ``partition_keys`` as for PostgreSQL."""
+    from ..sources.relational import ORACLE_DRIVER, jdbc_url
 
     url = jdbc_url(url)
-    source = TableSource(format="jdbc", url=url, driver=ORACLE_DRIVER, schema=owner, fetchsize=fetchsize or ORACLE_FETCHSIZE)
+    source = TableSource(format="jdbc", url=url, driver=ORACLE_DRIVER, schema=owner, fetchsize=fetchsize)
     tables = cat.jdbc_catalog(spark, url, owner, exclude, None, "oracle", {"driver": ORACLE_DRIVER})
     kw.setdefault("size_partitioning", False)  # the partitioned scan sets the parallelism
+    if partition_keys == "catalog":
+        partition_keys = cat.jdbc_keys(spark, url, owner, "oracle", {"driver": ORACLE_DRIVER})
+    if partition_keys:
+        kw["partition_keys"] = partition_keys
     return copy_schema(spark, source, tables, sink, mode=mode, drop_unsupported=drop_unsupported, partition_key=partition_key, **kw)
 
 
@@ -271,7 +309,7 @@ def sync_documents(
 
     Documents that cannot be parsed or routed (no type, an empty type name, a
     type that the metadata lists as task and as sub-task and that carries no
-    flag) go to ``<family root>/_rejects`` with the reason; their keys delete
+    flag) go to the folder ``family.rejects`` with the reason; their keys delete
     nothing.  The result's ``rejected`` counts them.
 
     ``dedupe_keys`` keeps one document per key (the latest update): a parallel
@@ -308,16 +346,33 @@ def sync_documents(
     finally:
         if not keep_staging:
             delete_path(spark, staging)  # what succeeded lives in the committed versions
+            delete_path(spark, f"{staging}-late")
 
 
-def _stored_marks(family: TableFamily, column: str) -> DataFrame | None:
-    """(jira, _stored): the update time of every stored row that has one."""
-    marks = [
-        df.select("jira", times.mark_as_utc(F.col(f"`{column}`"), df.schema[column].dataType).alias("_stored"))
-        for df in family.read_all().values()
-        if column in df.columns and "jira" in df.columns
-    ]
-    return upsert.union_all(marks) if marks else None
+def late_keys(family: TableFamily, batch: DataFrame, column: str, rows: int) -> DataFrame | None:
+    """Keys of the batch (jira, _own) whose stored row is newer.
+
+    Only the buckets that the batch's keys hash to are read, and of them the key and the
+    update column.  While the batch has few documents its keys are broadcast, so no stored
+    row is shuffled; a larger batch is joined as Spark sees fit.
+    """
+    paths, schemas = family._state()
+    mine = F.broadcast(batch) if rows <= BROADCAST_KEYS else batch
+    touched: dict[int, set[int]] = {}
+    late = []
+    for table, schema in schemas.items():
+        if column not in schema.fieldNames() or "jira" not in schema.fieldNames():
+            continue
+        n = family._counts.get(table, 1)
+        if n not in touched:
+            touched[n] = set(family.touched_buckets(batch, n))
+        live = [p for b, p in paths.get(table, []) if b in touched[n]]
+        if live:
+            stored = family._load(live, T.StructType([schema["jira"], schema[column]]))
+            mark = times.mark_as_utc(F.col(f"`{column}`"), schema[column].dataType)
+            found = stored.select("jira", mark.alias("_stored")).join(mine, "jira")
+            late.append(found.where(F.col("_own") < F.col("_stored")).select("jira"))
+    return upsert.union_all(late).distinct() if late else None
 
 
 def _sync_staged(
@@ -370,15 +425,16 @@ def _sync_staged(
         lost = staged.where(F.col("_reason").isNotNull())
         lost.select("jira", F.col("_reason").alias("reason"), F.coalesce("raw", F.to_json("doc")).alias("document")).write.mode(
             "append"
-        ).parquet(f"{family.root}/_rejects")
+        ).parquet(family.rejects)
     staged = staged.where(F.col("_reason").isNull())
     if keep_newest:
-        stored = _stored_marks(family, (field_map or {}).get("updated", "updated"))
-        if stored is not None:
-            newer = stored.groupBy("jira").agg(F.max("_stored").alias("_stored"))
-            mine = times.parse_mark(F.try_variant_get(F.col("doc"), "$.fields.updated", "string"))
-            late = staged.select("jira", mine.alias("_own")).join(newer, "jira").where(F.col("_own") < F.col("_stored"))
-            staged = staged.join(late.select("jira").distinct(), "jira", "left_anti")
+        own = staged.select("jira", times.parse_mark(F.try_variant_get(F.col("doc"), "$.fields.updated", "string")).alias("_own"))
+        late = late_keys(family, own, (field_map or {}).get("updated", "updated"), int(metrics.get("rows") or 0))
+        if late is not None:
+            # written once: every type's rows are filtered by it
+            late_path = f"{staging}-late"
+            late.write.parquet(late_path)
+            staged = staged.join(spark.read.schema(late.schema).parquet(late_path), "jira", "left_anti")
     per_key = documents.split_keyed_schemas(metrics.get("schemas"))
     per_pair = {}
     for k, schema in per_key.items():

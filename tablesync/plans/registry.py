@@ -7,6 +7,7 @@ Keys without an oracle entry are compared on rows only.
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Callable
 
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import times
-from ..functions.names import clean_identifier
+from ..functions.names import clean_identifier, type_table_name_col
 from ..functions.sizing import partitions_col
 from ..functions.text import value_text
 from ..operators import coerce, documents, routing, upsert, watermark
@@ -26,6 +27,7 @@ from ..sources import documents as paged
 from ..sources import standins
 from ..sources.relational import (
     TableSource,
+    depth_predicates,
     key_bounds,
     range_predicates,
     read_table,
@@ -92,11 +94,11 @@ def _catalog(spark, sf_dir, exclude=None, only=None):
 
 
 def _catalog_counts(spark, sf_dir, exclude=None, only=None):
-    """The catalogue's tables and their rows (every listed table is read)."""
-    counts = upsert.union_all(
-        [table(spark, sf_dir, t).agg(F.count(F.lit(1)).alias("n")).withColumn("table_name", F.lit(t)) for t in GIVEN_TABLES]
+    """The catalogue's tables and their rows (only the listed tables are read)."""
+    names = [r[0] for r in _catalog(spark, sf_dir, exclude, only).collect()]
+    return upsert.union_all(
+        [table(spark, sf_dir, t).agg(F.count(F.lit(1)).alias("n")).select(F.lit(t).alias("table_name"), "n") for t in names]
     )
-    return _catalog(spark, sf_dir, exclude, only).join(counts, "table_name").select("table_name", "n")
 
 
 @register("catalog_list", _counts_sql(GIVEN_TABLES))
@@ -155,6 +157,33 @@ def jdbc_scan_partitioned(spark, sf_dir):
     return tag_scan_partition(df, preds)
 
 
+@register(
+    "equal_depth_scan",
+    f"SELECT {SCAN_PARTITIONS} AS ranges, count(*) AS n, count(*) AS in_one_range, true AS balanced FROM lineitem",
+)
+def equal_depth_scan(spark, sf_dir):
+    """The predicates of a scan split at a skewed key's quantiles: every row is in exactly
+    one range, and the deepest range has at most twice the rows of the shallowest."""
+    src = _source(sf_dir)
+    # prices crowd at the low end: the square of a price has its median near a quarter of its range
+    li = read_table(spark, src, "lineitem").withColumn("skewed", (F.col("l_extendedprice") * F.col("l_extendedprice")).cast("long"))
+    shares = [i / SCAN_PARTITIONS for i in range(1, SCAN_PARTITIONS)]
+    points = li.agg(F.percentile_approx("skewed", shares, 100 * SCAN_PARTITIONS)).first()[0]
+    preds = depth_predicates("skewed", points)
+    hits = F.lit(0)
+    for p in preds:
+        hits = hits + F.coalesce(F.expr(p), F.lit(False)).cast("int")
+    per_range = tag_scan_partition(li.withColumn("hits", hits), preds).groupBy("scan_part").agg(
+        F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("hits") == 1, 1)).alias("one")
+    )
+    return per_range.agg(
+        F.count(F.lit(1)).cast("int").alias("ranges"),
+        F.sum("n").alias("n"),
+        F.sum("one").alias("in_one_range"),
+        (F.max("n") <= 2 * F.min("n")).alias("balanced"),
+    )
+
+
 @register(
     "string_cleanup",
     "SELECT p_partkey, nullif(trim(p_name), '') AS p_name, nullif(trim(p_brand), '') AS p_brand, "
@@ -207,8 +236,7 @@ def _order_docs(spark, sf_dir, subtask_types=()) -> DataFrame:
 
 
 def _flat_orders(spark, sf_dir, field_map=None, exclude_fields=(), protected=(documents.KEY_COLUMN,)):
-    docs = _order_docs(spark, sf_dir)
-    ft, ct = documents.infer_schemas(docs, by=None)[""]
+    docs, ft, ct = documents.staged(standins.order_documents(table(spark, sf_dir, "orders")))
     return documents.flatten(docs, ft, ct, field_map, exclude_fields, protected=protected)
 
 
@@ -323,9 +351,7 @@ def to_utc(spark, sf_dir):
 
 
 def _event_docs_flat(spark, sf_dir) -> DataFrame:
-    docs = documents.parse(standins.event_documents(table(spark, sf_dir, "events")))
-    ft, ct = documents.infer_schemas(docs, by=None)[""]
-    return documents.flatten(docs, ft, ct)
+    return documents.flatten(*documents.staged(standins.event_documents(table(spark, sf_dir, "events"))))
 
 
 @register(
@@ -361,6 +387,21 @@ def empty_struct_to_null(spark, sf_dir):
     )
 
 
+@register(
+    "mixed_shapes",
+    "SELECT event_id, CASE event_id % 7 WHEN 0 THEN event_type WHEN 1 THEN u WHEN 4 THEN NULL WHEN 5 THEN event_id::VARCHAR "
+    "WHEN 2 THEN '{\"at\":\"' || u || '\",\"deep\":{\"kind\":\"' || event_type || '\",\"list\":[{\"at\":\"' || u || '\",\"e\":null},{},[]]},\"e\":null}' "
+    "WHEN 3 THEN '[\"' || u || '\",{},\"x\",null,\"' || event_type || '\"]' "
+    "ELSE '{\"a\\\\\":null,\"b\":[\":{}\",{\"c\":null}],\"k\\\":{}\":\"\\\":{},\\\"\",\"t\":\":{}\"}' END AS mixed "
+    f"FROM (SELECT *, {_utc_text_sql('ts')} AS u FROM events)",
+)
+def mixed_shapes(spark, sf_dir):
+    """A field whose shape differs by document: dates are converted and empty
+    objects nulled inside its objects and lists, too."""
+    flat = documents.flatten(*documents.staged(standins.mixed_documents(table(spark, sf_dir, "events"))))
+    return flat.select(F.col("id").cast("bigint").alias("event_id"), "mixed")
+
+
 # --------------------------------------------------------------------------
 # high-water mark
 # --------------------------------------------------------------------------
@@ -462,30 +503,21 @@ def upsert_query(spark, sf_dir):
     return upsert.upsert(target, changed, "o_orderkey")
 
 
-def _priorities(o: DataFrame) -> list[str]:
-    # the distinct type names: configuration-sized, not data-sized
-    return sorted(r[0] for r in o.select("o_orderpriority").distinct().collect())
-
-
-def _targets_by_type(o: DataFrame, extra=()) -> dict[str, DataFrame]:
-    from ..functions.names import type_table_name
-
-    return {type_table_name(p, False): o.where(F.col("o_orderpriority") == p).select("o_orderkey", *extra) for p in _priorities(o)}
-
-
 @register(
     "upsert_type_move",
     "SELECT " + _clean_sql(f"CASE WHEN o_orderdate > TIMESTAMP '{CHANGED_SINCE}' THEN '{MOVED_TO_TYPE}' ELSE o_orderpriority END") + " AS t, o_orderkey FROM orders",
 )
 def upsert_type_move(spark, sf_dir):
-    from ..functions.names import type_table_name
-
+    """Changed documents leave whatever table they were in and enter their new type's: one pass."""
     o = table(spark, sf_dir, "orders")
-    targets = _targets_by_type(o)
-    changed = o.where(F.col("o_orderdate") > F.lit(CHANGED_SINCE).cast(T.TimestampNTZType())).select("o_orderkey")
-    moved_to = type_table_name(MOVED_TO_TYPE, False)
-    new_state = upsert.upsert_all(targets, {moved_to: changed}, changed, "o_orderkey")
-    return upsert.union_all([df.select(F.lit(t).alias("t"), "o_orderkey") for t, df in new_state.items()])
+    target = o.select(F.col("o_orderpriority").alias("_type"), "o_orderkey")
+    changed = o.where(F.col("o_orderdate") > F.lit(CHANGED_SINCE).cast(T.TimestampNTZType())).select(
+        F.lit(MOVED_TO_TYPE).alias("_type"), "o_orderkey"
+    )
+    moved = upsert.upsert(target, changed, "o_orderkey")
+    # names are cleaned once per type, not once per row
+    types = target.select("_type").distinct().union(spark.createDataFrame([(MOVED_TO_TYPE,)], "_type string")).distinct()
+    return moved.join(types.withColumn("t", type_table_name_col(F.col("_type"))), "_type").select("t", "o_orderkey")
 
 
 @register(
@@ -493,18 +525,11 @@ def upsert_type_move(spark, sf_dir):
     f"SELECT o_orderpriority, o_orderkey, CASE WHEN o_orderpriority = '{MOVED_TO_TYPE}' THEN 'old' ELSE 'new' END AS src FROM orders",
 )
 def full_refresh(spark, sf_dir):
-    from ..functions.names import type_table_name
-
-    o = table(spark, sf_dir, "orders")
-    old = _targets_by_type(o.withColumn("src", F.lit("old")), extra=("o_orderpriority", "src"))
-    batch_rows = o.where(F.col("o_orderpriority") != MOVED_TO_TYPE).withColumn("src", F.lit("new"))
-    batch = {
-        type_table_name(p, False): batch_rows.where(F.col("o_orderpriority") == p).select("o_orderkey", "o_orderpriority", "src")
-        for p in _priorities(o)
-        if p != MOVED_TO_TYPE
-    }
-    new_state = upsert.refresh_all(old, batch)
-    return upsert.union_all([df.select("o_orderpriority", "o_orderkey", "src") for df in new_state.values()])
+    """The types of the batch replace their tables; the table of an absent type stays: one pass."""
+    o = table(spark, sf_dir, "orders").select("o_orderpriority", "o_orderkey")
+    old = o.withColumn("src", F.lit("old"))
+    batch = o.where(F.col("o_orderpriority") != MOVED_TO_TYPE).withColumn("src", F.lit("new"))
+    return upsert.refresh(old, batch, "o_orderpriority")
 
 
 # --------------------------------------------------------------------------
@@ -546,7 +571,9 @@ def route_names(spark, sf_dir):
 def type_metadata(spark, sf_dir):
     """Type metadata read through the paged source decides the flag of documents that carry none."""
     paged.register(spark, standins.parquet_orders_fetcher)
-    options = {"resource": "types", "path": os.path.join(sf_dir, "orders.parquet"), "subtask": MOVED_TO_TYPE}
+    names = sorted(r[0] for r in table(spark, sf_dir, "orders").select("o_orderpriority").distinct().collect())
+    types_ = json.dumps([(name, name == MOVED_TO_TYPE) for name in names])  # a project's types: metadata
+    options = {"resource": "types", "path": os.path.join(sf_dir, "orders.parquet"), "types": types_}
     types = spark.read.format("paged_documents").options(**options).load()
     docs = documents.parse(standins.order_documents(table(spark, sf_dir, "orders"), subtask_types=None))
     return routing.route_counts(docs, types=types)
@@ -746,7 +773,7 @@ def sync_hard_documents(spark, sf_dir):
         for t, df in sorted(family.read_all().items())
     ]
     none = F.lit(None)
-    rejects = spark.read.parquet(f"{family.root}/_rejects").select(
+    rejects = spark.read.parquet(family.rejects).select(
         "jira", F.col("reason").alias("place"), none.cast("string").alias("mark"), none.cast("bigint").alias("v")
     )
     return upsert.union_all([*written, rejects])

@@ -8,7 +8,7 @@ new files may carry extra columns and readers merge schemas; "strict" refuses
 an append whose columns differ from the table's.
 
 A :class:`TableFamily` keeps one folder per table (split into key buckets)
-and a commit log (``_commits``, JSON, compacted into snapshots).  Changes
+and a commit log (``.family/commits``, JSON, compacted into snapshots).  Changes
 are written to fresh folders first; one Spark append job then adds the
 commit rows for *all* tables at once, so readers see either the old set or
 the new set -- never a table deleted but not yet re-filled.  An upsert
@@ -185,7 +185,8 @@ class TableFamily:
     """A set of tables that change together (one table per document type).
 
     Layout: ``<root>/<table>/v-<id>/__tablesync_bucket=<b>/part-*`` plus a commit log
-    ``<root>/_commits`` (JSON rows, appended by one Spark job per commit).
+    ``<root>/.family/commits`` (JSON rows, appended by one Spark job per commit;
+    no table name holds a dot, so no document type can reach that folder).
     Keyed tables are split into n buckets by ``pmod(xxhash64(key), n)``:
     an upsert rewrites only the buckets its changed keys fall in, so the
     cost follows the change, not the table.  n is chosen when a table is
@@ -207,6 +208,7 @@ class TableFamily:
         key: str = "jira",
         rows_per_bucket: int = 1_000_000,
         mark_column: str | None = None,
+        claim_minutes: float = 10.0,
     ):
         self.spark = spark
         self.root = root.rstrip("/")
@@ -214,8 +216,11 @@ class TableFamily:
         self.buckets = buckets
         self.key = key
         self.rows_per_bucket = rows_per_bucket
-        self.log = f"{self.root}/_commits"
-        self.snapshots = f"{self.root}/_snapshots"
+        self.log = f"{self.root}/.family/commits"
+        self.snapshots = f"{self.root}/.family/snapshots"
+        self.claims = f"{self.root}/.family/claims"
+        self.rejects = f"{self.root}/.family/rejects"
+        self.claim_minutes = claim_minutes
         self.compact_every = 50
         self._counts: dict[str, int] = {}
         self._base: int | None = None  # the last commit that _state() saw
@@ -521,9 +526,14 @@ class TableFamily:
         # table by table, concurrently); writers elsewhere meet at the claim
         with _commit_lock(self.root):
             n = self.last_commit() + 1
-            claim = f"{self.root}/_claims/{n}"
+            claim = f"{self.claims}/{n}"
             if not create_file(self.spark, claim):
-                raise CommitConflict(f"another writer holds commit {n}; if it died, delete {claim}")
+                # a claim outlives its writer only if that died before its commit, which takes seconds
+                if age_hours(self.spark, claim) * 60 < self.claim_minutes or self.last_commit() >= n:
+                    raise CommitConflict(f"another writer holds commit {n}")
+                delete_path(self.spark, claim)
+                if not create_file(self.spark, claim):
+                    raise CommitConflict(f"another writer holds commit {n}")
             try:
                 self._check_base(items)
                 self._append(items, n)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
 from contextlib import contextmanager
 
@@ -105,13 +106,29 @@ def age_hours(spark: SparkSession, path: str) -> float:
     return time.time() / 3600 - fs.getFileStatus(hpath).getModificationTime() / 3_600_000
 
 
+_case_lock = threading.Lock()
+_case_users: dict[int, tuple[int, str]] = {}  # session -> users inside, value before the first
+
+
 @contextmanager
 def case_sensitive(spark: SparkSession):
     """For the actions inside, names that differ by case are different names
-    (merging the schemas of documents would otherwise drop one of two keys)."""
-    before = spark.conf.get("spark.sql.caseSensitive")
-    spark.conf.set("spark.sql.caseSensitive", "true")
+    (merging the schemas of documents would otherwise drop one of two keys).
+
+    Concurrent users of a session share the setting: the first one in sets it, the
+    last one out restores it.  Other queries planned meanwhile on this session see it.
+    """
+    key = "spark.sql.caseSensitive"
+    with _case_lock:
+        users, before = _case_users.get(id(spark), (0, spark.conf.get(key)))
+        _case_users[id(spark)] = (users + 1, before)
+        spark.conf.set(key, "true")
     try:
         yield
     finally:
-        spark.conf.set("spark.sql.caseSensitive", before)
+        with _case_lock:
+            users, before = _case_users.pop(id(spark))
+            if users > 1:
+                _case_users[id(spark)] = (users - 1, before)
+            else:
+                spark.conf.set(key, before)

@@ -101,6 +101,30 @@ def event_documents(events: DataFrame) -> DataFrame:
     return events.select(body.alias("raw"))
 
 
+def mixed_documents(events: DataFrame) -> DataFrame:
+    """``raw`` JSON text per event whose field ``mixed`` is, by turns, a text, a date, an
+    object, a list, an empty object, a number and an object of tricky texts."""
+    when = source_text(F.col("ts"))
+    kind = F.to_json(F.array(F.col("event_type")))
+    kind = F.substr(kind, F.lit(2), F.length(kind) - 2)
+    text = lambda *parts: F.concat(*(F.lit(p) if isinstance(p, str) else p for p in parts))
+    shapes = [
+        kind,
+        text('"', when, '"'),
+        text('{"at":"', when, '","e":{},"deep":{"kind":', kind, ',"list":[{"e":{},"at":"', when, '"},{},[]]}}'),
+        text('["', when, '",{},"x",null,', kind, "]"),
+        F.lit("{}"),
+        F.col("event_id").cast("string"),
+        F.lit('{"a\\\\":{},"k\\":{}":"\\":{},\\"","t":":{}","b":[":{}",{"c":{}}]}'),
+    ]
+    mixed = shapes[-1]
+    for k in reversed(range(len(shapes) - 1)):
+        mixed = F.when(F.col("event_id") % len(shapes) == k, shapes[k]).otherwise(mixed)
+    key = F.col("event_id").cast("string")
+    body = text('{"key":"' + EVENT_KEY_PREFIX, key, '","id":"', key, '","fields":{"issuetype":{"name":', kind, '},"mixed":', mixed, "}}")
+    return events.select(body.alias("raw"))
+
+
 class ParquetOrdersFetcher:
     """Fetcher serving a Parquet ``orders`` file as search pages.
 
@@ -112,7 +136,7 @@ class ParquetOrdersFetcher:
         import pyarrow.parquet as pq
 
         self.path = options["path"]
-        self.subtask = options.get("subtask")
+        self.type_list = options.get("types", "[]")
         self.file = pq.ParquetFile(self.path)
         md = self.file.metadata
         self.starts = []
@@ -181,10 +205,8 @@ class ParquetOrdersFetcher:
         return list(FIELD_NAMES)
 
     def types(self):
-        """Every priority once; the option ``subtask`` names the sub-task type."""
-        column = self.file.read(columns=["o_orderpriority"]).column(0)
-        return [(name, name == self.subtask) for name in sorted(column.unique().to_pylist())]
-
+        """The project's types: a JSON list of (name, sub-task flag) in the option ``types``."""
+        return [tuple(t) for t in json.loads(self.type_list)]
 
 
 def parquet_orders_fetcher(options: dict) -> ParquetOrdersFetcher:

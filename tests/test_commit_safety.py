@@ -24,7 +24,7 @@ def family(spark, tmp_root):
 def test_a_number_is_committed_once(spark, family):
     other = TableFamily(spark, family.root)
     staged = family.stage("t", rows(spark, "3"))
-    create_file(spark, f"{family.root}/_claims/{other.last_commit() + 1}")  # another driver's claim
+    create_file(spark, f"{family.claims}/{other.last_commit() + 1}")  # another driver's claim
     with pytest.raises(CommitConflict):
         family.commit([staged])
     assert state(other) == [("1", 1), ("2", 1)]
@@ -60,3 +60,23 @@ def test_untouched_tables_keep_their_folders(spark, family):
     family.commit([s for s in staged if s is not None])
     assert family.current()["u"] == before
     assert all(path_exists(spark, p) for p in before)
+
+
+def test_a_dead_claim_does_not_block_the_family(spark, family):
+    create_file(spark, f"{family.claims}/{family.last_commit() + 1}")  # its writer died before the commit
+    restarted = TableFamily(spark, family.root, claim_minutes=0)
+    n = restarted.commit([restarted.stage("t", rows(spark, "3"))])
+    assert state(restarted) == [("3", 1)] and n == family.last_commit() == 2
+
+
+def test_two_users_of_the_case_setting(spark):
+    from tablesync.session import case_sensitive
+
+    key = "spark.sql.caseSensitive"
+    first, second = case_sensitive(spark), case_sensitive(spark)
+    first.__enter__()
+    second.__enter__()
+    first.__exit__(None, None, None)
+    assert spark.conf.get(key) == "true"
+    second.__exit__(None, None, None)
+    assert spark.conf.get(key) == "false"

@@ -82,3 +82,35 @@ def test_keys_differing_by_case_keep_every_value(spark):
 def test_bad_text_is_no_failure(spark, text):
     raw = spark.createDataFrame([(text,), ('{"key":"A"}',)], "raw string")
     assert documents.parse(raw).where("doc IS NULL").count() == 1
+
+
+def test_rules_inside_mixed_shapes(spark):
+    """A field of several shapes: dates converted, empty objects nulled at any depth, nothing else touched."""
+    import json
+
+    from tablesync.operators import documents
+
+    date, utc = "2024-03-05T10:00:00.000+1100", "2024-03-04 23:00:00.000000"
+    tricky = {'a":{}': "x", "b\\": ':{},"c":{}', "c": ["{}", ":{}", {}, [{}], {"d": {}}], "nl\n\t\u0001\u0002": "\u0001{}\u0002", "é": date + " x"}
+    values = [
+        "text", date, 5, 1.5, True, None, {}, [], [{}], {"at": date, "e": {}}, [date, {"e": {"f": {}}}, "2024-03-05"], tricky,
+        {"deep": [[[{"at": [date]}]]], date: date, "": {}}, {"x": None},
+    ]
+
+    def rule(v, in_list=False):
+        if isinstance(v, dict):
+            return v if not v and in_list else None if not v else {k: rule(x) for k, x in v.items()}
+        if isinstance(v, list):
+            return [rule(x, True) for x in v]
+        return utc if v == date else v
+
+    raw = [(json.dumps({"key": str(i), "id": str(i), "fields": {"m": v}}),) for i, v in enumerate(values)]
+    flat = documents.flatten(*documents.staged(spark.createDataFrame(raw, "raw string")))
+    got = {int(r.id): r.m for r in flat.select("id", "m").collect()}
+    for i, v in enumerate(values):
+        want = rule(v)
+        if want is None or isinstance(want, str):
+            # text that is a date with more behind it stays as it is
+            assert got[i] == want, v
+        else:
+            assert json.loads(got[i]) == want, v
