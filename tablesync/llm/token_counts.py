@@ -177,6 +177,17 @@ def edit(tree: Tree, text: str, position: int, deleted: int, inserted: str, coun
     return make_edits(tree, text, [(position, deleted, inserted)], count)
 
 
+def packed(values) -> bytes:
+    """Small whole numbers, in as few bytes each as the largest needs; its first byte says how many."""
+    values = np.asarray(values)
+    width = next(w for w in (1, 2, 4, 8) if int(values.max(initial=0)) < 1 << 8 * w)
+    return bytes([width]) + values.astype(f"<u{width}").tobytes()
+
+
+def unpacked(blob: bytes) -> np.ndarray:
+    return np.frombuffer(blob, f"<u{blob[0]}", offset=1).astype(np.int64)
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("text_hash", F.xxhash64("text"))
 
@@ -190,8 +201,8 @@ def build_trees(docs: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
             chars, tokens = [], []
             for text in batch.column(2).to_pylist():
                 parts = leaves(text or "")
-                chars.append(np.array([len(p) for p in parts], "<i4").tobytes())
-                tokens.append(leaf_tokens(encoding, text or "", parts).astype("<i4").tobytes())
+                chars.append(packed([len(p) for p in parts]))
+                tokens.append(packed(leaf_tokens(encoding, text or "", parts)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(chars, pa.binary()), pa.array(tokens, pa.binary())],
                 names=["doc_id", "text_hash", "chars", "tokens"],
@@ -215,7 +226,7 @@ def apply_edits(docs: DataFrame, trees: DataFrame, vocabulary: str, pattern: str
             out = []
             for text, edits, chars, tokens in zip(*(c.to_pylist() for c in batch.columns[1:])):
                 text = text or ""
-                tree = Tree(np.frombuffer(chars, "<i4"), np.frombuffer(tokens, "<i4"))
+                tree = Tree(unpacked(chars), unpacked(tokens))
                 before = int(tree.tokens[1])
                 wanted = [(e["position"] or 0, e["deleted"] or 0, e["inserted"] or "") for e in edits or [] if e is not None]
                 tree, text, again = make_edits(tree, text, wanted, count)
