@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import logging
 import uuid
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+log = logging.getLogger(__name__)
+
 
 def observe_rows(df: DataFrame, name: str | None = None) -> tuple[DataFrame, Observation]:
     """Attach a row-count metric; read it with :func:`observed` after the action."""
@@ -15,9 +20,10 @@ def observe_rows(df: DataFrame, name: str | None = None) -> tuple[DataFrame, Obs
 
 
 def observed(obs: Observation) -> dict:
-    """The metrics of an Observation; empty when the observed job ran no
-    task at all (an input with no partitions reports no metrics row)."""
+    """The metrics of an Observation; empty, and logged, when the observed job reported
+    none (a plan that Spark found to be empty runs no task that could)."""
     try:
         return dict(obs.get)
-    except Exception:  # noqa: BLE001 - nothing was observed
+    except (Py4JError, PySparkException) as exc:
+        log.warning("no metrics observed: %s", exc)
         return {}

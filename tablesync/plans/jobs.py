@@ -91,7 +91,8 @@ def copy_table(spark: SparkSession, source: TableSource, table: str, sink: Sink,
     df = prepare_table(spark, source, table, **prepare)
     watched, obs = observe_rows(df)
     write_table(watched, sink, table, mode=mode, evolve=evolve)
-    return (table, int(observed_metrics(obs).get("rows") or 0), "ok", None)
+    rows = observed_metrics(obs).get("rows")
+    return (table, int(df.count() if rows is None else rows), "ok", None)
 
 
 def copy_schema(

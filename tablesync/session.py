@@ -7,6 +7,7 @@ fill in values that are unset, so a cluster's own configuration wins.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import threading
 import uuid
@@ -49,7 +50,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):  # local-cluster is a cluster
             # executors on other machines could not see a local folder
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         root = tempfile.mkdtemp(prefix="tablesync-ckpt-")
