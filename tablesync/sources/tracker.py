@@ -46,7 +46,7 @@ from pyspark.sql.datasource import (
 )
 
 from ..functions.times import MARK_ZONE
-from ..session import scratch_path
+from ..session import delete_path, scratch_path
 from .documents import PAGE_SIZE, load_fetcher
 
 MINUTE = "%Y/%m/%d %H:%M"
@@ -240,11 +240,16 @@ def fetch_for_sync(spark: SparkSession, fetcher_factory, **options) -> Callable[
     def read(**more) -> DataFrame:
         return spark.read.format("updated_documents").options(**options, **more).load().select("raw")
 
+    kept: list[str] = []  # the last fetch's folder: its sync is over when the next one begins
+
     def fetch(since: str | None) -> DataFrame:
         until = fetcher_factory(dict(options)).now()
         mark = {"since": since} if since else {}
         path = scratch_path(spark, "fetched")
         read(until=until, **mark).write.parquet(path)
+        while kept:
+            delete_path(spark, kept.pop())
+        kept.append(path)
         settled = spark.read.schema("raw string").parquet(path)
         return settled.unionByName(read(**{"from": until}, **mark))
 
