@@ -13,8 +13,8 @@ Latent states emit word *classes*, and a class emits its words:
   scaled forward and backward recursions over *all* training texts in the partitions, adds
   up the expected counts by class there, and sums them across partitions; the driver holds
   the model (at most ``(HEAD_WORDS + TAIL_CLASSES + 1) * STATES`` numbers), nothing else.
-  ``WARM_ITERATIONS`` over one block in ``WARM_SHARE`` find where to begin; every count of
-  the model that is used comes from the whole corpus.
+  No iteration reads less.  The states begin with emissions drawn far apart, from which
+  few iterations do.
 
 The score is log10 of the probability of the text's tokens with their end, by the scaled
 forward recursion over the whole text, exact but for rounding.
@@ -51,9 +51,7 @@ from tablesync.llm.common import stored, table, text_slices, utf8
 
 HELD_OUT = (7, 2)  # texts whose hash leaves this remainder are not learned from
 STATES = 8
-ITERATIONS = 2  # over all training texts
-WARM_ITERATIONS = 12  # over one block in WARM_SHARE
-WARM_SHARE = 8
+ITERATIONS = 6  # each over all training texts
 HEAD_WORDS = 10_000
 TAIL_CLASSES = 1_000
 SUFFIX = 3  # bytes at a word's end that choose its tail class
@@ -306,8 +304,8 @@ class Model:
 
     @classmethod
     def start(cls, shares: np.ndarray, states: int) -> Model:
-        noise = np.random.default_rng(1).random((len(shares), states))
-        emits = shares[:, None] * (0.5 + noise)
+        noise = np.random.default_rng(1).exponential(size=(len(shares), states))
+        emits = shares[:, None] * (0.1 + noise)
         moves = np.full((states, states), 0.2 / states) + 0.8 * np.eye(states)
         return cls(np.full(states, 1.0 / states), moves, emits / emits.sum(0))
 
@@ -441,16 +439,9 @@ def improved(texts: DataFrame, model: Model, shares: np.ndarray) -> Model:
     return model.improved(first, moved, emitted, shares)
 
 
-def train(
-    texts: DataFrame, shares: np.ndarray, states: int = STATES, iterations: int = ITERATIONS, warm_iterations: int = WARM_ITERATIONS
-) -> Model:
-    """Baum-Welch over all training texts of the numbered blocks, from a start found on a share of them."""
+def train(texts: DataFrame, shares: np.ndarray, states: int = STATES, iterations: int = ITERATIONS) -> Model:
+    """Baum-Welch: every iteration runs over all training texts of the numbered blocks."""
     model = Model.start(shares, states)
-    some = texts.filter(F.pmod(F.xxhash64("block"), F.lit(WARM_SHARE)) == 0)
-    if some.isEmpty():  # fewer blocks than the share is of
-        some = texts
-    for _ in range(warm_iterations):
-        model = improved(some, model, shares)
     for _ in range(iterations):
         model = improved(texts, model, shares)
     return model

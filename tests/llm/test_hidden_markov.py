@@ -206,3 +206,18 @@ def test_held_out_texts_gain_over_the_base_and_over_one_state(spark, sf_dir, doc
     one, base = held_out(1)
     many, _ = held_out(4)
     assert many > one > base
+
+
+def test_every_iteration_reads_all_training_texts(spark, small, monkeypatch):
+    """No iteration learns from a share of the blocks."""
+    docs = spark.createDataFrame([(i, f"a b{i % 7} c{i % 5} " * 12) for i in range(60)], "doc_id long, text string")
+    read = []
+    original = hmm.improved
+
+    def kept(texts, model, shares):
+        read.append(sum(n for r in texts.collect() for n, held in zip(r.lengths, r.held) if not held))
+        return original(texts, model, shares)
+
+    monkeypatch.setattr(hmm, "improved", kept)
+    rows = hmm.score_texts(docs, 3, 4).collect()
+    assert read == [rows[0].train_tokens] * 4
