@@ -52,8 +52,20 @@ def _path(name: str) -> str:
     return '$["' + name + '"]'
 
 
-def _vget(v: Column, name: str, dtype: str = "variant") -> Column:
-    return F.try_variant_get(v, _path(name), dtype)
+class _At:
+    """A place in a VARIANT column.  Values are read from the column by their whole path and
+    in their own type, so no value on the way is built, and a scan reads what is asked for."""
+
+    def __init__(self, base: Column, path: str = "$"):
+        self.base, self.path = base, path
+
+    def child(self, name: str) -> _At:
+        return _At(self.base, self.path + _path(name)[1:])
+
+    def get(self, dtype: str = "variant") -> Column:
+        if dtype == "variant" and self.path == "$":
+            return self.base
+        return F.try_variant_get(self.base, self.path, dtype)
 
 
 def key_of(doc: Column | str = "doc") -> Column:
@@ -148,23 +160,30 @@ def split_keyed_schemas(ddl: str | None) -> dict[str, tuple[T.DataType, T.DataTy
 
 
 def staged(raw: DataFrame, column: str = "raw") -> tuple[DataFrame, T.DataType, T.DataType]:
-    """(doc VARIANT, type of ``fields``, type of ``changelog``): every document is parsed once.
+    """(doc VARIANT, type of ``fields``, type of ``changelog``): every document is parsed once."""
+    return stage(parse(raw, column))
+
 
-    The parsed documents are written below the checkpoint folder; the same job merges
+def stage(parsed: DataFrame) -> tuple[DataFrame, T.DataType, T.DataType]:
+    """The column ``doc`` of a frame, computed once, with its merged types.
+
+    The documents are written below the checkpoint folder; the same job merges
     their schema in an Observation, so typing reads binary values instead of parsing the
     text a second time.
     """
-    spark = raw.sparkSession
-    parsed = parse(raw, column).select("doc")
+    spark = parsed.sparkSession
     watched = Observation(f"documents_{uuid.uuid4().hex[:8]}")
     path = scratch_path(spark, "documents")
-    merged = parsed.withColumn("_schema_in", keyed_schema_input(F.col("doc"), F.lit("all"))).observe(
-        watched, F.expr("schema_of_variant_agg(_schema_in)").alias("schemas")
+    merged = parsed.select("doc").observe(
+        watched,
+        F.expr(f"schema_of_variant_agg(try_variant_get(doc, '$.{ENVELOPE_FIELDS}', 'variant'))").alias("f"),
+        F.expr(f"schema_of_variant_agg(try_variant_get(doc, '$.{ENVELOPE_CHANGELOG}', 'variant'))").alias("c"),
     )
     with case_sensitive(spark):
-        merged.select("doc").write.parquet(path)
-    found = split_keyed_schemas(observed(watched).get("schemas")).get("all")
-    return spark.read.schema("doc variant").parquet(path), *(found or (T.StringType(), T.StringType()))
+        merged.write.parquet(path)
+    found = observed(watched)
+    types = (_normalise(_variant_ddl_to_type(found.get(k))) for k in ("f", "c"))
+    return spark.read.schema("doc variant").parquet(path), *types
 
 
 # --------------------------------------------------------------------------
@@ -260,47 +279,48 @@ def _walked_json(v: Column, convert_dates: bool, null_empty: bool) -> Column:
     return F.replace(F.replace(joined, F.lit("\u0002"), F.lit('\\"')), F.lit("\u0001"), F.lit("\\\\"))
 
 
-def typed(v: Column, dtype: T.DataType, dict_value: bool = True, convert_dates: bool = True, null_empty: bool = True) -> Column:
-    """Typed value of the VARIANT ``v`` under ``dtype`` (see module doc)."""
+def typed(at: Column | _At, dtype: T.DataType, dict_value: bool = True, convert_dates: bool = True, null_empty: bool = True) -> Column:
+    """Typed value of a VARIANT (a column or a place in one) under ``dtype`` (see module doc)."""
+    at = at if isinstance(at, _At) else _At(at)
     if isinstance(dtype, (T.StructType, T.ArrayType)) and not _needs_walk(dtype, dict_value, null_empty):
         # one cast for the whole subtree (no rule needs the untyped value)
-        cast = F.try_variant_get(v, "$", dtype.simpleString())
+        cast = at.get(dtype.simpleString())
         return _typed_dates(cast, dtype) if convert_dates else cast
     if isinstance(dtype, T.StructType):
         if not dtype.fields:  # only {} (or nothing) was ever seen here
-            text = F.when(_is_null(v), F.lit(None).cast("string")).otherwise(F.to_json(v))
+            text = F.when(_is_null(at.get()), F.lit(None).cast("string")).otherwise(F.to_json(at.get()))
             return F.lit(None).cast("string") if (dict_value and null_empty) else text
-        kids = [_vget(v, f.name) for f in dtype.fields]
+        kids = [at.child(f.name) for f in dtype.fields]
         own = {f.name: typed(k, f.dataType, True, convert_dates, null_empty) for k, f in zip(kids, dtype.fields)}
         struct = F.struct(*[_one_value([(own[f.name], f.dataType) for f in fs]).alias(fs[0].name) for fs in _by_name(dtype).values()])
-        out = F.when(_is_null(v), F.lit(None))
+        out = F.when(_is_null(at.get()), F.lit(None))
         if dict_value and null_empty:
             # The schema holds every key seen in any document, so an object
             # is {} exactly when none of its known keys is present.  A key
             # holding JSON null is present (variant null, not SQL NULL).
-            # The child extractions are shared with the struct above by
-            # subexpression elimination -- no re-serialisation of the object.
-            missing = kids[0].isNull()
+            # The first key that is there settles it.
+            missing = kids[0].get().isNull()
             for k in kids[1:]:
-                missing = missing & k.isNull()
+                missing = missing & k.get().isNull()
             out = out.when(missing, F.lit(None))
         return out.otherwise(struct)
     if isinstance(dtype, T.ArrayType):
-        arr = F.try_variant_get(v, "$", "array<variant>")
+        arr = at.get("array<variant>")
         return F.transform(arr, lambda x: typed(x, dtype.elementType, False, convert_dates, null_empty))
     if isinstance(dtype, T.StringType):
-        s = F.try_variant_get(v, "$", "string")
+        s = at.get("string")
         return times.to_utc_text(s) if convert_dates else s
     if isinstance(dtype, T.VariantType):  # conflicting shapes: each value by its own kind
+        v = at.get()
         kind = F.schema_of_variant(v)
-        text = F.try_variant_get(v, "$", "string")
+        text = at.get("string")
         out = F.when(_is_null(v), F.lit(None).cast("string"))
         if dict_value and null_empty:
             out = out.when(kind == "OBJECT<>", F.lit(None).cast("string"))
         out = out.when(kind == "STRING", times.to_utc_text(text) if convert_dates else text)
         out = out.when(kind.startswith("OBJECT") | kind.startswith("ARRAY"), _walked_json(v, convert_dates, null_empty))
         return out.otherwise(F.to_json(v))
-    return F.try_variant_get(v, "$", dtype.simpleString())
+    return at.get(dtype.simpleString())
 
 
 def envelope_columns(fields_type: T.DataType, changelog_type: T.DataType, doc: str = "doc", **rules) -> "OrderedDict[str, Column]":
@@ -315,20 +335,20 @@ def envelope_columns(fields_type: T.DataType, changelog_type: T.DataType, doc: s
     cols: OrderedDict[str, Column] = OrderedDict()
     cols[KEY_COLUMN] = F.try_variant_get(v, f"$.{ENVELOPE_KEY}", "string")
     cols[ENVELOPE_ID] = F.try_variant_get(v, f"$.{ENVELOPE_ID}", "string")
-    fields_v = F.try_variant_get(v, f"$.{ENVELOPE_FIELDS}", "variant")
+    fields = _At(v).child(ENVELOPE_FIELDS)
     if isinstance(fields_type, T.StructType):
         for same in _by_name(fields_type).values():
             f = same[0]
-            value = _one_value([(typed(_vget(fields_v, s.name), s.dataType, True, **rules), s.dataType) for s in same])
+            value = _one_value([(typed(fields.child(s.name), s.dataType, True, **rules), s.dataType) for s in same])
             if f.name in (KEY_COLUMN, ENVELOPE_ID):
                 # per document: the field wins only where the document has
                 # it (a JSON null counts as present); elsewhere the envelope
                 as_text = value if isinstance(f.dataType, (T.StringType, T.VariantType)) else (
-                    _walked_json(_vget(fields_v, f.name), True, True) if isinstance(f.dataType, (T.StructType, T.ArrayType)) else value.cast("string")
+                    _walked_json(fields.child(f.name).get(), True, True) if isinstance(f.dataType, (T.StructType, T.ArrayType)) else value.cast("string")
                 )
-                value = F.when(_vget(fields_v, f.name).isNotNull(), as_text).otherwise(cols[f.name])
+                value = F.when(fields.child(f.name).get().isNotNull(), as_text).otherwise(cols[f.name])
             cols[f.name] = value
-    cols[ENVELOPE_CHANGELOG] = typed(F.try_variant_get(v, f"$.{ENVELOPE_CHANGELOG}", "variant"), changelog_type, True, **rules)
+    cols[ENVELOPE_CHANGELOG] = typed(_At(v).child(ENVELOPE_CHANGELOG), changelog_type, True, **rules)
     return cols
 
 

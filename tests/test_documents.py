@@ -148,3 +148,25 @@ def test_value_text_of_nested_floats(spark):
     df = spark.createDataFrame(rows, "a array<array<double>>, x double")
     got = df.select(value_text(F.col("a"), df.schema["a"].dataType), value_text(F.col("x"), T.DoubleType())).collect()
     assert [tuple(r) for r in got] == [("0.30000000000000004, None, None, ", "2.0"), ("None", "None"), ("1e+16, nan", "5e-324")]
+
+
+def test_typing_reads_paths_not_documents(spark, tmp_root):
+    """No value between the document and a leaf is built: the scan gets the paths."""
+    from tablesync.operators import documents
+
+    texts = ['{"key":"A","fields":{"s":{"name":"x"},"u":"2024-03-05T10:00:00.000+1100","n":1}}', '{"key":"B","fields":{"s":{}}}', "7"]
+    raw = spark.createDataFrame([(t,) for t in texts], "raw string")
+    docs, ft, ct = documents.stage(documents.parse(raw))
+    flat = documents.flatten(docs, ft, ct)
+    plan = flat._jdf.queryExecution().executedPlan().toString()
+    scan = plan[plan.index("ReadSchema") :]
+    assert "fields" not in plan[: plan.index("FileScan")].split("Project", 1)[1] and "doc:variant" not in scan
+    rows = sorted((r.jira, r.n, r.s and r.s.name, r.u) for r in flat.where("jira IS NOT NULL").collect())
+    assert rows == [("A", 1, "x", "2024-03-04 23:00:00.000000"), ("B", None, None, None)]
+
+
+def test_latest_documents_are_parsed_once(spark, sf_dir):
+    from tablesync.plans import registry
+
+    plan = registry.dedupe_latest(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "parse_json" not in plan and "Aggregate" not in plan
