@@ -842,6 +842,6 @@ def dedupe_latest(spark, sf_dir):
     # newer versions first: the order of arrival must not matter
     raw = standins.order_documents(newer).unionByName(standins.order_documents(o))
     docs = latest_per_key(routing.with_type(documents.parse(raw).select("doc")))
-    ft, ct = documents.infer_schemas(docs, by=None)[""]
+    docs, ft, ct = documents.stage(docs)  # parsed and reduced once
     flat = documents.flatten(docs, ft, ct)
     return flat.select("jira", F.col("status.name").alias("status"), "updated")
