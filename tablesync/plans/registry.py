@@ -797,6 +797,9 @@ def fetched_documents(spark, sf_dir):
     return result.select(F.col("table_name").alias("t"), "rows", "fetched")
 
 
+LANDED_DOCUMENTS = 250_000  # documents in a landed file, at most
+
+
 @register("stream_sync", ORACLE_SQL["document_sync"])
 def stream_sync(spark, sf_dir):
     """The same two batches landed as JSON-lines files by Spark and applied
@@ -810,7 +813,8 @@ def stream_sync(spark, sf_dir):
     checkpoint = scratch_path(spark, "stream-checkpoint")
     field_map = _field_map(spark, sf_dir)
     for batch in (standins.order_documents(o), _changed_order_docs(o)):
-        batch.write.mode("append").text(landing)
+        # a compressed file is read by one task, so a file holds a bounded number of documents
+        batch.write.mode("append").option("compression", "gzip").option("maxRecordsPerFile", LANDED_DOCUMENTS).text(landing)
         query = start_sync(spark, landing, family, checkpoint=checkpoint, field_map=field_map)
         query.awaitTermination()
         if query.exception() is not None:

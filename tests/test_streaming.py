@@ -30,3 +30,25 @@ def test_stream_full_then_incremental(spark, tmp_root):
     state = {t: sorted(r["jira"] for r in df.collect()) for t, df in fam.read_all().items()}
     assert state == {"Bug": ["K-1", "K-2"], "Task": []}
     assert fam.read("Bug").where("jira = 'K-2'").first()["sev"] == 3
+
+
+def test_landed_files_are_compressed_and_bounded(spark, sf_dir, monkeypatch):
+    import os
+
+    from tablesync.plans import registry
+    from tablesync.session import scratch_path
+
+    paths = {}
+
+    def kept(spark, purpose):
+        paths[purpose] = scratch_path(spark, purpose)
+        return paths[purpose]
+
+    monkeypatch.setattr(registry, "scratch_path", kept)
+    monkeypatch.setattr(registry, "LANDED_DOCUMENTS", 400)
+    rows = registry.stream_sync(spark, sf_dir).count()
+    orders = spark.read.parquet(os.path.join(sf_dir, "orders.parquet")).count()
+    assert rows == orders > 400
+    files = [f for f in os.listdir(paths["landing"]) if f.startswith("part-")]
+    assert files and all(f.endswith(".gz") for f in files)
+    assert all(spark.read.text(os.path.join(paths["landing"], f)).count() <= 400 for f in files)
